@@ -125,40 +125,30 @@ def forest(values: np.ndarray, most: int, home: np.ndarray | None = None) -> tup
 
     home: only pairs with a row of which home is true are looked for.
     """
-    root = np.arange(len(values))
+    root, a, b = np.arange(len(values)), [], []
+
+    def connect(mine: np.ndarray, members: np.ndarray) -> None:
+        near = np.bitwise_count(values[mine][:, None] ^ values[members][None, :]) <= most
+        for k in np.flatnonzero(near.sum(axis=0) > (1 if home is None else 0)).tolist():
+            own = np.append(mine[near[:, k]], members[k])
+            while (root[own] != own).any():
+                own = root[own]
+            own = np.unique(own)
+            if len(own) > 1:
+                root[own[1:]] = own[0]
+                a.append(np.full(len(own) - 1, own[0]))
+                b.append(own[1:])
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    a, b = [], []
-    if len(values) <= LEAF:
-        i, j = np.nonzero(np.bitwise_count(values[:, None] ^ values[None, :]) <= most)
-        for p, q in zip(i[i < j].tolist(), j[i < j].tolist(), strict=True):
-            p, q = find(p), find(q)
-            if p != q:
-                root[max(p, q)] = min(p, q)
-                a.append(p)
-                b.append(q)
-        return np.array(a, np.int64), np.array(b, np.int64)
-    tree = VantageTree(values, LEAF)
     asked = np.arange(len(values)) if home is None else np.flatnonzero(home)
-    for leaf, rows in tree.reached(values[asked], most):
-        members = tree.members[leaf]
-        for k in range(0, len(rows), 4096):
-            mine = asked[rows[k : k + 4096]]
-            i, j = np.nonzero(np.bitwise_count(values[mine][:, None] ^ values[members][None, :]) <= most)
-            x, y = mine[i], members[j]
-            x, y = x[x != y], y[x != y]
-            for p, q in zip(x.tolist(), y.tolist(), strict=True) if len(x) else ():
-                p, q = find(p), find(q)
-                if p != q:
-                    root[max(p, q)] = min(p, q)
-                    a.append(p)
-                    b.append(q)
-    return np.array(a, np.int64), np.array(b, np.int64)
+    if len(values) <= LEAF:
+        connect(asked, np.arange(len(values)))
+    else:
+        tree = VantageTree(values, LEAF)
+        for leaf, rows in tree.reached(values[asked], most):
+            for k in range(0, len(rows), 4096):
+                connect(asked[rows[k : k + 4096]], tree.members[leaf])
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(a or none), np.concatenate(b or none)
 
 
 def links(distinct: DataFrame, most: int = 4, chunks: int = CHUNKS, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
