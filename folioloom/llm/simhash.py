@@ -29,7 +29,7 @@ from .common import bounded_batches, words_of, written
 from .components import components
 
 SEED, BITS = 42, 64
-CHUNKS, SAMPLE, BLOCK, LEAF = 5, 20_000, 8192, 48
+CHUNKS, SAMPLE, BLOCK, LEAF = 5, 20_000, 8192, 48  # chunks of at most 16 bits
 
 
 def shingle_hashes(text: str | None, width: int = 4) -> np.ndarray:
@@ -120,6 +120,20 @@ class VantageTree:
         return out
 
 
+    def routes(self, bits: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By each value of `bits` bits, where its leaves start; the leaves that its ball meets; which of them is its own."""
+        values = np.arange(1 << bits, dtype=np.uint64)
+        own = np.zeros(len(values), np.int64)
+        for leaf, rows in self.reached(values, 0):
+            own[rows] = leaf
+        met = self.reached(values, reach)
+        value = np.concatenate([rows for _, rows in met])
+        leaf = np.concatenate([np.full(len(rows), x) for x, rows in met])
+        order = np.lexsort((leaf, value))
+        value, leaf = value[order], leaf[order]
+        return np.searchsorted(value, np.arange(len(values) + 1)), leaf, leaf == own[value]
+
+
 def forest(values: np.ndarray, most: int, home: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of row numbers that connect all values within `most` bits of each other, fewer than values.
 
@@ -155,21 +169,23 @@ def links(distinct: DataFrame, most: int = 4, chunks: int = CHUNKS, block: int =
     """u, v that connect the fingerprints (column fp, distinct) within `most` bits of each other."""
     spark = distinct.sparkSession
     reach = most // chunks
+    if -(-BITS // chunks) > 16:
+        raise ValueError("chunks must have at most 16 bits")
     edges = np.linspace(0, BITS, chunks + 1).astype(int)
     some = distinct.orderBy(F.xxhash64("fp")).limit(sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     cut = lambda v, k: (v >> np.uint64(edges[k])) & np.uint64((1 << int(edges[k + 1] - edges[k])) - 1)
-    trees = spark.sparkContext.broadcast([VantageTree(np.unique(cut(some, k)), 2, seed=k) for k in range(chunks)])
+    routes = spark.sparkContext.broadcast([VantageTree(np.unique(cut(some, k)), 2, seed=k).routes(int(edges[k + 1] - edges[k]), reach) for k in range(chunks)])
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = batch["fp"].to_numpy(np.int64)
-            for k, tree in enumerate(trees.value):
-                value = cut(fp.view(np.uint64), k)
-                for near in {0, reach}:
-                    for leaf, rows in tree.reached(value, near):
-                        yield pd.DataFrame({"shard": np.full(len(rows), k * 10_000_000 + leaf), "fp": fp[rows], "home": np.full(len(rows), near == 0)})
-
-    dealt = distinct.mapInPandas(deal, "shard long, fp long, home boolean")
+            fp = batch.column("fp").to_numpy()
+            for k, (first, leaf, home) in enumerate(routes.value):
+                value = cut(fp.view(np.uint64), k).astype(np.int64)
+                n = first[value + 1] - first[value]
+                at = np.repeat(first[value] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                yield pa.RecordBatch.from_arrays([pa.array(k * 10_000_000 + leaf[at]), pa.array(np.repeat(fp, n)), pa.array(home[at])], ["shard", "fp", "home"])
+
+    dealt = distinct.mapInArrow(deal, "shard long, fp long, home boolean")
     if reach:
         dealt = dealt.groupBy("shard", "fp").agg(F.max("home").alias("home"))
     dealt = written(dealt, "shards")
