@@ -14,14 +14,15 @@ an id fall into one block and are taken like any other rows. An empty table give
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, bounded_batches, written
 
 #: Blocks of a source; a boundary block is cut once more into as many parts.
 BLOCKS = 1024
@@ -136,20 +137,13 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     return out.withColumn("taken", taken)
 
 
-def _first_words(text: pd.Series, words: pd.Series) -> pd.Series:
-    import re
-
-    pattern = re.compile(WORD)
-
-    def cut(t: str | None, n: int) -> str:
-        end = 0
-        for k, m in enumerate(pattern.finditer(t or "")):
-            if k == n:
-                break
-            end = m.end()
-        return (t or "")[:end]
-
-    return pd.Series([cut(t, n) for t, n in zip(text, words, strict=True)], dtype=object)
+def _first_words(text: str, n: int) -> str:
+    end = 0
+    for k, m in enumerate(re.finditer(WORD, text)):
+        if k == n:
+            break
+        end = m.end()
+    return text[:end]
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -161,9 +155,19 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.withColumns({"_k": key(F.col("doc_id")), "_s": F.coalesce("source", F.lit("")), "_n": size}).join(draws, ["_k", "_s", "_n"])
     rows = rows.withColumn("_d", F.explode("_d.draws"))
-    first = F.pandas_udf(_first_words, "string")
-    cut = rows.where(F.col("_d.words") < F.col("_n")).withColumn("text", first("text", "_d.words"))
-    out = rows.where(F.col("_d.words") >= F.col("_n")).unionByName(cut)
     order = F.xxhash64("_k", F.col("_d.shard"), F.col("_d.pass"))
-    out = out.select(*(F.col(f"`{c}`") for c in docs.columns), F.col("_d.shard").alias("mix_shard"), F.col("_d.pass").alias("mix_pass"), order.alias("mix_order"), F.col("_d.words").alias("mix_words"))
-    return out
+    more = [F.col("_d.shard").alias("mix_shard"), F.col("_d.pass").alias("mix_pass"), order.alias("mix_order"), F.col("_d.words").alias("mix_words")]
+    kept = [F.col(f"`{c}`") for c in docs.columns if not c.startswith("mix_")]
+    rows = rows.select(*kept, *more, (F.col("_d.words") < F.col("_n")).alias("_part"))
+    bounded_batches(docs.sparkSession)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, names = batch.schema.get_field_index("text"), batch.schema.names[:-1]
+            columns = batch.columns[:-1]
+            if (part := batch.column("_part").to_numpy(zero_copy_only=False)).any():
+                texts, words = columns[at].to_pylist(), batch.column("mix_words").to_pylist()
+                columns[at] = pa.array([_first_words(t, n) if p else t for t, n, p in zip(texts, words, part, strict=True)], columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return rows.mapInArrow(cut, rows.drop("_part").schema)

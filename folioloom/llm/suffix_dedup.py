@@ -245,7 +245,7 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
 def _removed(raw: bytes, own: list) -> np.ndarray:
     """The bytes of a text that go."""
     change = np.zeros(len(raw) + WINDOW + 1, np.int32)
-    for a, z in own or ():
+    for a, z in () if own is None else own:
         change[a] += 1
         change[z + WINDOW] -= 1
     return np.cumsum(change)[: len(raw)] > 0
