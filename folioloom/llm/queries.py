@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, mixing, quality, simhash, suffix_dedup, syncmers, toxicity, url_filter
+from . import attention_lm, decontaminate, langid, mixing, quality, simhash, suffix_dedup, syncmers, toxicity, url_filter
 from .common import table
 
 #: Fixed by contract.
@@ -35,6 +35,10 @@ def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_langid, op4_suffix_dedup, op5_syncmers, op7_simhash, op8_toxicity, op9_quality, op10_decontamination)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_langid, op4_suffix_dedup, op5_syncmers, op6_attention_lm, op7_simhash, op8_toxicity, op9_quality, op10_decontamination)}
 
 ORACLE_SQL = {
     "op1_url_filter": r"""
