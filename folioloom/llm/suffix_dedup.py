@@ -96,21 +96,29 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def merge(transforms: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shard of each row in merged order, interval of each row): rows of an interval share their first `rounds` bytes."""
-    shard = np.repeat(np.arange(len(transforms), dtype=np.uint8), [len(t) for t in transforms])
-    interval = np.zeros(len(shard), np.int32)
-    byte = np.empty(len(shard), np.uint8)
-    for _ in range(rounds):
-        for k, t in enumerate(transforms):
-            byte[shard == k] = t
+    """(rows, interval of each): of all shards' rows, one shard after the other, those that share their first `rounds` bytes with another.
+
+    A round puts the row of each suffix's predecessor where the byte before it sorts, so that rows which were in
+    order by k bytes are in order by k + 1, and an interval ends where that byte or the interval before differs.
+    A row alone in its interval stays alone, and so do all its predecessors: it needs no more rounds.
+    """
+    every = np.concatenate(transforms)
+    before, base = np.empty(len(every), np.int32), 0
+    for t in transforms:
+        before[base + np.argsort(t, kind="stable")] = np.arange(base, base + len(t), dtype=np.int32)
+        base += len(t)
+    row, interval = np.arange(len(every), dtype=np.int32), np.zeros(len(every), np.int32)
+    for k in range(rounds):
+        byte = every[row]
         order = np.argsort(byte, kind="stable")
-        byte, shard, before = byte[order], shard[order], interval[order]
-        ends = (byte[1:] != byte[:-1]) | (before[1:] != before[:-1])
-        interval = np.empty(len(shard), np.int32)
-        interval[:1] = 0
-        np.cumsum(ends, dtype=np.int32, out=interval[1:])
-        byte = np.empty(len(shard), np.uint8)
-    return shard, interval
+        byte, row, old = byte[order], before[row[order]], interval[order]
+        ends = np.ones(len(row) + 1, bool)
+        ends[1:-1] = (byte[1:] != byte[:-1]) | (old[1:] != old[:-1])
+        interval = np.cumsum(ends[:-1], dtype=np.int32)
+        if k % 4 == 3 or k == rounds - 1:
+            several = ~(ends[:-1] & ends[1:])
+            row, interval = row[several], interval[several]
+    return row, interval
 
 
 def repeated_starts(strings: list[bytes], shards: int = SHARDS, window: int = WINDOW) -> list[np.ndarray]:
@@ -126,18 +134,15 @@ def repeated_starts(strings: list[bytes], shards: int = SHARDS, window: int = WI
         parts.append(t)
         places.append(order + base)
         base += len(t)
-    shard, interval = merge(parts, window)
-    suffix = np.empty(base, np.int64)
-    for k, p in enumerate(places):
-        suffix[shard == k] = p
+    row, interval = merge(parts, window)
+    suffix = np.concatenate(places)[row]
     starts = np.concatenate([[0], np.cumsum(sizes + 1)])
     valid = np.zeros(base, bool)
     for s, n in zip(starts.tolist(), sizes.tolist(), strict=False):
         valid[s : s + max(0, n - window + 1)] = True
-    row_valid = valid[suffix]
-    times = np.bincount(interval[row_valid], minlength=int(interval[-1]) + 1 if base else 0)
+    suffix, interval = suffix[valid[suffix]], interval[valid[suffix]]
     flag = np.zeros(base, bool)
-    flag[suffix[row_valid]] = times[interval[row_valid]] > 1
+    flag[suffix] = np.bincount(interval)[interval] > 1
     return [flag[s : s + max(0, n - window + 1)] for s, n in zip(starts.tolist(), sizes.tolist(), strict=False)]
 
 
