@@ -34,7 +34,7 @@ from .common import bounded_batches, in_parts, utf8, written
 WINDOW, WIDTH, SEED_BYTES = 200, 150, 16
 REST = WINDOW - WIDTH + 1
 #: Different strings of a group in one task; bytes merged at once, and shards of them.
-HOT, MERGED_BYTES, SHARDS = 10_000, 3_000_000, 4
+HOT, MERGED_BYTES, SHARDS = 10_000, 600_000, 4
 SEPARATOR = 0xFF  # no byte of UTF-8
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -100,22 +100,35 @@ def merge(transforms: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.nda
 
     A round puts the row of each suffix's predecessor where the byte before it sorts, so that rows which were in
     order by k bytes are in order by k + 1, and an interval ends where that byte or the interval before differs.
-    A row alone in its interval stays alone, and so do all its predecessors: it needs no more rounds.
+    Rounds go several bytes at once, as many as have no more than 65536 different values. A row alone in its
+    interval stays alone, and so do all its predecessors: it needs no more rounds.
     """
     every = np.concatenate(transforms)
     before, base = np.empty(len(every), np.int32), 0
     for t in transforms:
         before[base + np.argsort(t, kind="stable")] = np.arange(base, base + len(t), dtype=np.int32)
         base += len(t)
-    row, interval = np.arange(len(every), dtype=np.int32), np.zeros(len(every), np.int32)
-    for k in range(rounds):
-        byte = every[row]
+    # steps[b]: of each row, its predecessor b + 1 back and the value of the bytes up to there
+    steps, value, back = [], np.zeros(len(every), np.int64), np.arange(len(every), dtype=np.int32)
+    for b in range(8):
+        value = value | every[back].astype(np.int64) << 8 * b  # the byte farthest back is the first to sort by
+        names, dense = np.unique(value, return_inverse=True)
+        if len(names) > 65536 and b > 1:
+            break
+        back = before[back]
+        steps.append((back, dense.astype(np.uint16)))
+    row, interval, left, k = np.arange(len(every), dtype=np.int32), np.zeros(len(every), np.int32), rounds, 0
+    while left:
+        back, dense = steps[min(left, len(steps)) - 1]
+        left -= min(left, len(steps))
+        byte = dense[row]
         order = np.argsort(byte, kind="stable")
-        byte, row, old = byte[order], before[row[order]], interval[order]
+        byte, row, old = byte[order], back[row[order]], interval[order]
         ends = np.ones(len(row) + 1, bool)
         ends[1:-1] = (byte[1:] != byte[:-1]) | (old[1:] != old[:-1])
         interval = np.cumsum(ends[:-1], dtype=np.int32)
-        if k % 4 == 3 or k == rounds - 1:
+        k += 1
+        if k % 2 == 0 or not left:
             several = ~(ends[:-1] & ends[1:])
             row, interval = row[several], interval[several]
     return row, interval
@@ -123,11 +136,10 @@ def merge(transforms: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.nda
 
 def repeated_starts(strings: list[bytes], shards: int = SHARDS, window: int = WINDOW) -> list[np.ndarray]:
     """For each string, a flag for each of its windows: whether an equal one starts anywhere else in the strings."""
-    sizes = np.array([len(s) for s in strings])
-    total = np.cumsum(sizes)
     shards = max(1, min(shards, len(strings)))
-    cut = np.searchsorted(total, total[-1] * np.arange(1, shards) / shards)
-    pieces = [p for p in np.split(np.arange(len(strings)), np.unique(cut)) if len(p)]
+    dealt = [i for k in range(shards) for i in range(k, len(strings), shards)]  # like strings stand together
+    pieces = [list(range(k, len(strings), shards)) for k in range(shards)]
+    sizes = np.array([len(strings[i]) for i in dealt])
     parts, places, base = [], [], 0
     for own in pieces:
         t, order = transform([strings[i] for i in own])
@@ -143,7 +155,8 @@ def repeated_starts(strings: list[bytes], shards: int = SHARDS, window: int = WI
     suffix, interval = suffix[valid[suffix]], interval[valid[suffix]]
     flag = np.zeros(base, bool)
     flag[suffix] = np.bincount(interval)[interval] > 1
-    return [flag[s : s + max(0, n - window + 1)] for s, n in zip(starts.tolist(), sizes.tolist(), strict=False)]
+    out = {i: flag[s : s + max(0, n - window + 1)] for i, s, n in zip(dealt, starts.tolist(), sizes.tolist(), strict=False)}
+    return [out[i] for i in range(len(strings))]
 
 
 def runs(flag: np.ndarray) -> list[list[int]]:
@@ -199,7 +212,8 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     cells = written(once.mapInArrow(cut, "x long, name long, _k long, _l long, first int, last int, string binary"), "windows")
     counted = cells.groupBy("x", "name").agg(F.count("*").alias("n"))
     counted = written(counted, "strings")
-    kinds = counted.groupBy("x").agg(F.count("*").alias("kinds")).where(F.col("kinds") > 1)
+    # a group goes on if it has several strings and one of them occurs once: the others are known to repeat
+    kinds = counted.groupBy("x").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where((F.col("kinds") > 1) & (F.col("least") == 1)).drop("least")
     several = counted.join(kinds, "x")
     strings = cells.where(F.col("string").isNotNull()).select("x", "name", "string").join(several, ["x", "name"]).dropDuplicates(["x", "name"])
     strings = written(strings, "open-strings")
