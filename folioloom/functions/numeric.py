@@ -27,9 +27,18 @@ def cosine_loss(a: Column, b: Column) -> Column:
     return 1 - dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
 
 
-def softmax(x: Column) -> Column:
-    e = F.transform(x, lambda v: F.exp(v.cast("double") - F.array_max(x).cast("double")))
-    return F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda s, y: s + y))
+def let(value: Column, then) -> Column:
+    """then(value), with the value worked out once: lambdas work out what they hold for each element."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def log_total(x: Column) -> Column:
+    """Logarithm of the sum of exponentials."""
+    return let(F.array_max(x).cast("double"), lambda top: top + F.log(F.aggregate(x, F.lit(0.0), lambda s, v: s + F.exp(v.cast("double") - top))))
+
+
+def log_softmax(x: Column) -> Column:
+    return let(log_total(x), lambda z: F.transform(x, lambda v: v.cast("double") - z))
 
 
 def top_k(x: Column, k: int) -> Column:
@@ -37,13 +46,36 @@ def top_k(x: Column, k: int) -> Column:
     return F.slice(F.sort_array(F.transform(x, lambda v, i: F.struct(v.cast("double").alias("v"), i.alias("i"))), asc=False), 1, k)
 
 
+def _kl(log_p: Column, log_q: Column) -> Column:
+    return F.aggregate(F.zip_with(log_p, log_q, lambda a, b: F.exp(a) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+
+
 def renormalized_top_k_kl(teacher: Column, student: Column, k: int) -> Column:
     """KL of the student from the teacher, both softmaxed over the teacher's k largest logits."""
-    top = top_k(teacher, k)
-    p = softmax(F.transform(top, lambda t: t["v"]))
-    q = softmax(F.transform(top, lambda t: F.get(student, t["i"])))
-    return F.aggregate(F.zip_with(p, q, lambda a, b: a * (F.log(a) - F.log(b))), F.lit(0.0), lambda s, x: s + x)
+    pairs = lambda top: F.transform(top, lambda t: F.struct(t["v"].alias("t"), F.get(student, t["i"]).alias("s")))
+    return let(let(top_k(teacher, k), pairs), lambda p: _kl(log_softmax(p["t"]), log_softmax(p["s"])))
 
 
 def masked_mean(value: Column, mask: Column) -> Column:
     return F.sum(value * mask) / F.greatest(F.sum(mask), F.lit(1))
+
+
+def normalized_mse(teacher: Column, student: Column) -> Column:
+    """Squared distance by the teacher's squared length."""
+    gap = F.zip_with(teacher, student, lambda x, y: x.cast("double") - y.cast("double"))
+    return dot(gap, gap) / F.greatest(dot(teacher, teacher), F.lit(1e-12))
+
+
+def truncated_top_k_kl(teacher: Column, student: Column, k: int) -> Column:
+    """KL over the teacher's k largest logits, both sides by their full denominators."""
+    totals = F.struct(log_total(teacher).alias("t"), log_total(student).alias("s"), top_k(teacher, k).alias("top"))
+
+    def summed(z: Column) -> Column:
+        return F.aggregate(z["top"], F.lit(0.0), lambda s, x: s + F.exp(x["v"] - z["t"]) * (x["v"] - z["t"] - F.get(student, x["i"]).cast("double") + z["s"]))
+
+    return let(totals, summed)
+
+
+def shifted_mask(mask: Column, length: Column) -> Column:
+    """A response mask for logits that predict the next token: its first place goes if it is one longer."""
+    return F.when(F.size(mask) == length + 1, F.slice(mask, F.lit(2), length)).otherwise(mask)

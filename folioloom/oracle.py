@@ -78,4 +78,27 @@ z AS (SELECT vec_id, ln(sum(exp(t))) AS zt, ln(sum(exp(s))) AS zs FROM k GROUP B
 SELECT vec_id, round(sum(exp(t - zt) * ((t - zt) - (s - zs))), 6) AS kl FROM k JOIN z USING (vec_id) GROUP BY vec_id""",
     "metric_reduction": "SELECT event_type, round(avg(v)::double, 4) AS mean_of_sums, count(*) AS ranks FROM (SELECT user_id, event_type, sum(value::decimal(20,6)) AS v FROM events GROUP BY user_id, event_type) GROUP BY event_type",
     "windowed_events": "SELECT epoch(time_bucket(INTERVAL 1 HOUR, ts))::bigint AS start, event_type, count(*) AS n, round(sum(value::decimal(20,6))::double, 4) AS total FROM events GROUP BY 1, 2",
+    "view_rlvr": f"""SELECT 'r' || doc_id AS canonical_record_id, 'normalized_levenshtein_v1' AS reward_profile_id, {_split("('r' || doc_id)")} AS split, text AS truth, CASE WHEN doc_id % 11 != 0 THEN 'img/' || doc_id || '.jpg' ELSE 'a' || doc_id END AS image FROM ({_LABELLED}) WHERE text != ''""",
+    "view_validate": f"""WITH l AS ({_LABELLED}), v AS (SELECT doc_id, 'r' || doc_id AS rid, doc_id // 4 AS did, {_split("('r' || doc_id)")} AS split, 1 + (length(text) - length(replace(text, '<image>', ''))) // 7 AS unused, n_chars + 1 AS w FROM l WHERE text != ''),
+x AS (SELECT did FROM v GROUP BY did HAVING count(DISTINCT split) > 1)
+SELECT rid AS canonical_record_id, 'image_count' AS rule FROM v WHERE doc_id % 10 = 7 UNION ALL SELECT rid, 'image_path' FROM v WHERE doc_id % 10 = 7
+UNION ALL SELECT rid, 'split_leak' FROM v WHERE did IN (SELECT did FROM x)
+UNION ALL SELECT rid, 'image_missing' FROM v, (VALUES (1), (2)) t(k) WHERE doc_id % 10 = 7
+UNION ALL SELECT rid, 'image_missing' FROM v WHERE doc_id % 10 != 7 AND doc_id % 11 = 0
+UNION ALL SELECT rid, 'aspect_ratio' FROM v WHERE doc_id % 10 != 7 AND doc_id % 11 != 0 AND greatest(w / 100.0, 100.0 / w) >= 40""",
+    "score_predictions": f"WITH {_PAIRS} SELECT conv_id || '-' || turn AS id, CASE WHEN turn % 2 = 0 THEN round(greatest(0.0, 1.0 - levenshtein(trim(prediction, W), trim(label, W))::double / greatest(length(trim(prediction, W)), length(trim(label, W)), 1)), 9) ELSE round(CASE WHEN trim(label, W) = '' THEN (CASE WHEN trim(prediction, W) = '' THEN 1.0 ELSE 0.0 END) ELSE 1.0 - least(levenshtein(trim(prediction, W), trim(label, W))::double / length(trim(label, W)), 1.0) END, 9) END AS score FROM u JOIN a USING (conv_id, turn)".replace("W)", "' ' || chr(9) || chr(10) || chr(13))"),
+    "lineage_of_view": f"SELECT 'r' || doc_id AS record_id, CASE WHEN source != 'src5' THEN source END AS source_name, CASE WHEN source != 'src5' THEN 'd' || (doc_id // 4) END AS document_id FROM ({_LABELLED}) WHERE text != ''",
+    "repetition_report": "SELECT doc_id, (doc_id % 90 * 2)::int AS span, concat_ws(';', CASE WHEN doc_id % 90 * 2 >= 140 THEN 'repeated_ngram_span' END, 'low_entropy_repeated_ngram') AS reasons FROM documents WHERE doc_id % 90 * 2 >= 80",
+    "nested_content": "SELECT event_id, event_type || chr(10) || user_id AS text FROM events",
+    "image_resolution": """WITH n AS (SELECT n_nationkey, replace(n_name, '_', 'x') || 'z' AS stem FROM nation)
+SELECT stem AS sample_id, CASE WHEN n_nationkey % 2 = 0 THEN stem || '.webp' ELSE stem || '_a.png' END AS image FROM n UNION ALL
+SELECT stem || '_2', CASE WHEN n_nationkey % 2 = 0 THEN stem || '_a.png' ELSE stem || '_b.jpg' END FROM n UNION ALL SELECT 'none', NULL""",
+    "runtime_paths": "SELECT 'a' || doc_id AS asset_id, CASE WHEN (n_chars + 1) % 2 = 0 THEN '/img/' || doc_id || '.jpg' ELSE '/data/img/' || doc_id || '.jpg' END AS path FROM documents WHERE doc_id % 11 != 0",
+    "kd_hidden": """WITH x AS (SELECT a.vec_id, unnest(a.embedding)::double AS t, unnest(b.embedding)::double AS s, generate_subscripts(a.embedding, 1) AS i FROM embeddings a JOIN embeddings b ON b.vec_id - 1 = a.vec_id),
+z AS (SELECT vec_id, ln(sum(exp(t))) AS zt, ln(sum(exp(s))) AS zs, sum((t - s) * (t - s)) / sum(t * t) AS mse FROM x GROUP BY vec_id),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY t DESC, i DESC) AS r FROM x) WHERE r <= 5)
+SELECT vec_id, round(any_value(mse), 6) AS mse, round(sum(exp(t - zt) * ((t - zt) - (s - zs))), 6) AS kl FROM k JOIN z USING (vec_id) GROUP BY vec_id""",
+    "masked_loss": "SELECT l_returnflag, round(sum(l_quantity * (l_linenumber % 2)) / greatest(sum(l_linenumber % 2), 1), 6)::double AS loss FROM lineitem GROUP BY l_returnflag",
+    "media_token_round_trip": "SELECT conv_id, turn, CASE WHEN role = 'user' THEN 1 ELSE 0 END::int AS left, true AS same FROM conversations",
+    "preview_and_extension": r"""SELECT page_id, CASE WHEN length(url) > 20 THEN substr(url, 1, 17) || '...' ELSE url END AS preview, coalesce(nullif(lower(regexp_extract(regexp_extract(url, '^([^?#]*)', 1), '(\.[A-Za-z0-9]+)$', 1)), ''), '.html') AS ext FROM pages""",
 }

@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import geometry, numeric, repetition, rewards, tables
+from .functions import content, geometry, numeric, repetition, rewards, tables
 from .functions import text as T
 from .functions.ids import stable_hash, stable_id
 from .operators import select as S
 from .operators import tables as R
+from .operators import views as V
 from .plans.view import ViewPlan, filter_counts, view_rows
+from .sources.files import resolved_images, under_root
 from .streaming.incremental import windowed_counts
 
 
@@ -251,5 +253,81 @@ def windowed_events(spark, sf_dir):
     return w.select(F.unix_timestamp("start").alias("start"), "event_type", "n", F.round(F.col("total").cast("double"), 4).alias("total"))
 
 
-_ALL = (view_build, view_filter_counts, view_select_where, sample_topk_hash, sample_keys, split_assign, split_counts, split_leakage, label_filter_counts, failure_stats, schema_sample_per_group, dedupe_keep_first, dedupe_last_wins, resume_anti_join, asset_left_join_dims, chat_messages, placeholder_count, reward_score, reward_summary, clean_labels, classify_text, layout_serialize, box_tokens_parse, crop_boxes, repetition_basic, repetition_full, table_cells, table_html_roundtrip, lineage_trace, broken_links, deploy_manifest, validator_violations, stable_ids, kd_schedule, kd_cosine, kd_topk_kl, metric_reduction, windowed_events)
+RLVR = ViewPlan.of({"name": "v2", "stage": "rlvr", "include": [{"task": "text"}], "reward_profile": {"by_task": {"text": "normalized_levenshtein_v1"}}, "split_policy": {"level": "record", "train_ratio": 0.8, "val_ratio": 0.1}})
+
+
+def view_rlvr(spark, sf_dir):
+    v = view_rows(RLVR, _records(spark, sf_dir), _assets(spark, sf_dir))
+    return v.select("canonical_record_id", "reward_profile_id", "split", F.col("reward_model.ground_truth").alias("truth"), F.col("images_path")[0].alias("image"))
+
+
+def view_validate(spark, sf_dir):
+    v = view_rows(RLVR, _records(spark, sf_dir), _assets(spark, sf_dir))
+    v = v.withColumn("images_path", F.when(F.substr("canonical_record_id", F.lit(-1), F.lit(1)) == "7", F.array(F.lit("/abs"), F.lit("b"))).otherwise(F.col("images_path")))
+    sizes = _assets(spark, sf_dir).select("path", "width", "height")
+    bad = V.view_violations(v, 40.0, sizes).join(v.select("id", "canonical_record_id"), "id")
+    return bad.select("canonical_record_id", "rule")
+
+
+def score_predictions(spark, sf_dir):
+    p = _pairs(spark, sf_dir)
+    key = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    view = p.select(key.alias("id"), "label", F.when(F.col("turn") % 2 == 0, "normalized_levenshtein_v1").otherwise("truth_levenshtein_v1").alias("reward_profile_id"))
+    out = V.score_predictions(view, p.select(key.alias("id"), "prediction"))
+    return out.select("id", F.round("score", 9).alias("score"))
+
+
+def lineage_of_view(spark, sf_dir):
+    r = _records(spark, sf_dir)
+    v = view_rows(RLVR, r, _assets(spark, sf_dir))
+    return V.trace(v, r.where(F.col("source_name") != "src5")).select("record_id", "source_name", "document_id")
+
+
+def repetition_report(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.repeat(F.lit("go on "), (F.col("doc_id") % 90).cast("int")), F.lit("end")).alias("text"))
+    out = repetition.analysed(d).where(F.size("reasons") > 0)
+    return out.select("doc_id", F.col("ngram.span").alias("span"), F.array_join("reasons", ";").alias("reasons")).orderBy(F.desc("span"), "doc_id")
+
+
+def nested_content(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    raw = F.concat(F.lit('{"kids": [{"other": "x"}, {"content": "'), F.col("user_id").cast("string"), F.lit('"}], "content": "'), "event_type", F.lit('"}'))
+    return e.select("event_id", content.nested_text(raw).alias("text"))
+
+
+def image_resolution(spark, sf_dir):
+    n = _t(spark, sf_dir, "nation").select("n_nationkey", F.concat(F.replace("n_name", F.lit("_"), F.lit("x")), F.lit("z")).alias("stem"))
+    named = lambda end: F.concat("stem", F.lit(end))
+    names = n.select(F.explode(F.array(named("_a.png"), named("_b.jpg"), F.when(F.col("n_nationkey") % 2 == 0, named(".webp")))).alias("name")).where(F.col("name").isNotNull())
+    asks = n.select(F.explode(F.array("stem", named("_2"), F.lit("none"))).alias("sample_id")).distinct()
+    return resolved_images(asks, names)
+
+
+def runtime_paths(spark, sf_dir):
+    return _assets(spark, sf_dir).select("asset_id", under_root("/data/", F.when(F.col("width") % 2 == 0, F.concat(F.lit("/"), "path")).otherwise(F.col("path"))).alias("path"))
+
+
+def kd_hidden(spark, sf_dir):
+    e = _t(spark, sf_dir, "embeddings")
+    other = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("b"))
+    return e.join(other, "vec_id").select("vec_id", F.round(numeric.normalized_mse(F.col("embedding"), F.col("b")), 6).alias("mse"), F.round(numeric.truncated_top_k_kl(F.col("embedding"), F.col("b"), 5), 6).alias("kl"))
+
+
+def masked_loss(spark, sf_dir):
+    e = _t(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.round(numeric.masked_mean(F.col("l_quantity"), (F.col("l_linenumber") % 2).cast("double")), 6).alias("loss"))
+    return e
+
+
+def media_token_round_trip(spark, sf_dir):
+    c = _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.array(F.struct("role", F.concat(F.lit("<image>"), "text").alias("content"))).alias("m"))
+    hidden = T.escape_media_tokens(F.col("m"), "n")[0]["content"]
+    return c.select("conv_id", "turn", T.count_placeholders(hidden).alias("left"), (T.restore_media_tokens(hidden, "n") == F.col("m")[0]["content"]).alias("same"))
+
+
+def preview_and_extension(spark, sf_dir):
+    p = _t(spark, sf_dir, "pages")
+    return p.select("page_id", T.truncated(F.col("url"), 20).alias("preview"), T.extension(F.regexp_extract("url", r"^([^?#]*)", 1), ".html").alias("ext"))
+
+
+_ALL = (view_build, view_filter_counts, view_select_where, sample_topk_hash, sample_keys, split_assign, split_counts, split_leakage, label_filter_counts, failure_stats, schema_sample_per_group, dedupe_keep_first, dedupe_last_wins, resume_anti_join, asset_left_join_dims, chat_messages, placeholder_count, reward_score, reward_summary, clean_labels, classify_text, layout_serialize, box_tokens_parse, crop_boxes, repetition_basic, repetition_full, table_cells, table_html_roundtrip, lineage_trace, broken_links, deploy_manifest, validator_violations, stable_ids, kd_schedule, kd_cosine, kd_topk_kl, metric_reduction, windowed_events, view_rlvr, view_validate, score_predictions, lineage_of_view, repetition_report, nested_content, image_resolution, runtime_paths, kd_hidden, masked_loss, media_token_round_trip, preview_and_extension)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
