@@ -74,13 +74,25 @@ def _by_task(values: Mapping[str, str]) -> Column:
 def serialized(formats: Mapping[str, str], width: Column, height: Column) -> Column:
     """The label of a record by the format of its task; null counts as empty."""
     t = lambda name: F.coalesce(F.col(f"target.{name}"), F.lit(""))
-    cells = F.coalesce(F.nullif(t("enhanced_otsl"), F.lit("")), F.nullif(t("otsl"), F.lit("")), html_to_cells(t("html")))
-    made = {"layout_box_v1": F.coalesce(layout_text(F.col("target.elements"), width, height), F.lit("")), "enhanced_otsl_v1": cells, "table_text_v1": t("text"), "latex_plain_v1": t("latex"), "plain_text_v1": t("text")}
+    cells = lambda: F.coalesce(F.nullif(t("enhanced_otsl"), F.lit("")), F.nullif(t("otsl"), F.lit("")), html_to_cells(t("html")))
+    layout = lambda: F.coalesce(layout_text(F.col("target.elements"), width, height), F.lit(""))
+    made = {"layout_box_v1": layout, "enhanced_otsl_v1": cells, "table_text_v1": lambda: t("text"), "latex_plain_v1": lambda: t("latex"), "plain_text_v1": lambda: t("text")}
     out = F.lit(None).cast("string")
     for task, name in formats.items():
         if name not in made:
             raise KeyError(f"no serializer {name}")
-        out = F.when(F.col("task") == task, made[name]).otherwise(out)
+        out = F.when(F.col("task") == task, made[name]()).otherwise(out)
+    return out
+
+
+def _tasks(plan: ViewPlan) -> set[str] | None:
+    """Tasks that the view can hold, or None if an include takes any."""
+    out: set[str] = set()
+    for r in plan.include:
+        want = r.get("task") or r.get("tasks")
+        if not want:
+            return None
+        out |= {want} if isinstance(want, str) else set(want)
     return out
 
 
@@ -93,6 +105,8 @@ def selected(plan: ViewPlan, records: DataFrame, assets: DataFrame) -> DataFrame
     side = lambda name: F.coalesce(F.col(f"asset_{name}"), F.get_json_object("metadata", f"$.{name}").cast("int"))
     df = df.withColumns({"width": side("width"), "height": side("height"), "path": F.coalesce("asset_path", "image_asset_id")})
     formats = FORMATS | dict(plan.formats)
+    if (tasks := _tasks(plan)) is not None:  # serializers of other tasks stay out of the plan, Python ones above all
+        formats = {t: f for t, f in formats.items() if t in tasks}
     df = df.withColumn("label", serialized(formats, F.coalesce("width", F.lit(1)), F.coalesce("height", F.lit(1))))
     problem = F.coalesce(select.label_problem(F.col("task"), F.col("label"), plan.stage), select.image_problem(F.col("width"), F.col("height"), plan.max_aspect_ratio))
     return df.withColumn("problem", problem).drop("asset_path", "asset_width", "asset_height")
