@@ -187,6 +187,7 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), part.column("_k").take(own), part.column("_l").take(own), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))], ["x", "_k", "_l", "first", "last"])
 
     twice = docs.select("text").mapInArrow(find, "x long, n long").groupBy("x").agg(F.sum("n").alias("n")).where(F.col("n") > 1).select("x")
+    twice = written(twice, "repeated")  # a plain table, so that the join can split a hot key
     placed = docs.select("_k", "_l", "text").mapInArrow(find_with_places, "x long, _k long, _l long, first int, last int")
     listed = placed.join(twice, "x", "left_semi").groupBy("_k", "_l").agg(F.collect_set(F.struct("first", "last", "x")).alias("groups"))
 
