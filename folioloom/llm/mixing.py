@@ -26,7 +26,7 @@ from .common import WORD, bounded_batches, written
 
 #: Blocks of a source; a boundary block is cut once more into as many parts.
 BLOCKS = 1024
-MOST_SOURCES = 200_000
+MOST_SOURCES, BROADCAST_SOURCES = 200_000, 10_000
 WEIGHTS = (5, 2, 1)
 
 
@@ -100,6 +100,7 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     schema = "source string, source_size long, target double, whole long, rest long, ends array<long>"
     plan = spark.createDataFrame([(*r, [int(x) for x in ends[:, i]]) for i, r in enumerate(rows)], schema)
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    small = F.broadcast if len(rows) <= BROADCAST_SOURCES else lambda df: df
 
     # where the rest of a source ends: in which block, in which part of it, and how many words of that part count
     def boundary(cells: DataFrame, digit: str, left: str) -> DataFrame:
@@ -108,13 +109,13 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
         return cells.where((F.col("before") < F.col(left)) & (F.col("before") + F.col("words") >= F.col(left)))
 
     p = plan.select(F.col("source").alias("_s"), "rest")
-    first = boundary(by_block.join(F.broadcast(p), same("source", "_s")), "b0", "rest").select(F.col("source").alias("_s"), F.col("b0").alias("cut0"), (F.col("rest") - F.col("before")).alias("left0"))
-    inside = meta.join(F.broadcast(first), same("source", "_s") & (F.col("b0") == F.col("cut0")))
+    first = boundary(by_block.join(small(p), same("source", "_s")), "b0", "rest").select(F.col("source").alias("_s"), F.col("b0").alias("cut0"), (F.col("rest") - F.col("before")).alias("left0"))
+    inside = meta.join(small(first), same("source", "_s") & (F.col("b0") == F.col("cut0")))
     second = boundary(inside.groupBy("source", "b1", "cut0", "left0").agg(F.sum("size").alias("words")), "b1", "left0")
     second = written(second.select(F.col("source").alias("_s"), "cut0", F.col("b1").alias("cut1"), (F.col("left0") - F.col("before")).alias("left1")), "mix-cuts", 1)
 
     plan = plan.join(second, same("source", "_s"), "left").drop("_s").withColumnRenamed("source", "_s")
-    rows_in = meta.join(F.broadcast(plan), same("source", "_s")).drop("_s")
+    rows_in = meta.join(small(plan), same("source", "_s")).drop("_s")
     at_cut = (F.col("b0") == F.col("cut0")) & (F.col("b1") == F.col("cut1"))
     ahead = F.coalesce((F.col("b0") < F.col("cut0")) | ((F.col("b0") == F.col("cut0")) & (F.col("b1") < F.col("cut1"))), F.lit(False))
     clear = rows_in.where(~F.coalesce(at_cut, F.lit(False))).withColumn("partly", F.when(ahead, F.col("size")).otherwise(F.lit(0)).cast("long"))
