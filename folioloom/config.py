@@ -8,7 +8,6 @@ from pathlib import PurePosixPath
 
 from pyspark.sql import SparkSession
 
-ROOT_VARIABLE = "OCR_DATA_ROOT"
 #: Option: its default, and the Spark setting that it becomes.
 EXECUTION = {"num_workers": (1, "spark.sql.shuffle.partitions"), "worker_batch_size": (256, "spark.sql.execution.arrow.maxRecordsPerBatch"), "schema_sample_size": (4096, None)}
 
