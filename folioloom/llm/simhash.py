@@ -142,8 +142,9 @@ def forest(values: np.ndarray, most: int, home: np.ndarray | None = None) -> tup
     root, a, b = np.arange(len(values)), [], []
 
     def connect(mine: np.ndarray, members: np.ndarray) -> None:
-        near = np.bitwise_count(values[mine][:, None] ^ values[members][None, :]) <= most
-        for k in np.flatnonzero(near.sum(axis=0) > (1 if home is None else 0)).tolist():
+        # a member's own row may be in another slice of `mine`, so it never counts as near
+        near = (np.bitwise_count(values[mine][:, None] ^ values[members][None, :]) <= most) & (mine[:, None] != members[None, :])
+        for k in np.flatnonzero(near.any(axis=0)).tolist():
             own = np.append(mine[near[:, k]], members[k])
             while (root[own] != own).any():
                 own = root[own]

@@ -251,3 +251,16 @@ def test_edited_items_are_found_within_the_budget():
             if best is not None:
                 assert ((t, i) in got) == (best <= int(decontaminate.RATE * len(item)))
                 assert (t, i) not in got or got[t, i][0] == best
+
+
+def test_links_of_isolated_pairs_in_a_full_shard(spark):
+    """All agree on one chunk only, so that pairs meet in its shard alone; many more than 4096 rows reach a leaf there."""
+    rng = np.random.default_rng(5)
+    edges = np.linspace(0, 64, simhash.CHUNKS + 1).astype(int)
+    half = rng.integers(0, 1 << 63, 7000, dtype=np.uint64) & ~np.uint64((1 << int(edges[1])) - 1)
+    flips = sum(np.uint64(1) << rng.integers(s, e, len(half)).astype(np.uint64) for s, e in zip(edges[1:-1], edges[2:], strict=True))
+    v = np.unique(np.concatenate([half, half ^ flips])).view(np.int64)
+    df = spark.createDataFrame([(int(x),) for x in v], "fp long")
+    got = {frozenset((r.u, r.v)) for r in simhash.links(df).collect()}
+    missed = [1 for a, b in zip(half.view(np.int64).tolist(), (half ^ flips).view(np.int64).tolist(), strict=True) if frozenset((a, b)) not in got]
+    assert not missed, len(missed)
