@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, words_of, written
@@ -58,16 +58,17 @@ def fingerprint(text: str | None, width: int = 4) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long)."""
+def fingerprints(docs: DataFrame, width: int = 4, more: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long) and the columns `more`."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([fingerprint(t.as_py(), width) for t in batch.column("text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.int64()), *(batch.column(c) for c in more)], ["doc_id", "fp", *more])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", *more)]
+    return docs.select("doc_id", "text", *more).mapInArrow(run, ", ".join([kinds[0], "fp long", *kinds[1:]]))
 
 
 class VantageTree:
@@ -231,30 +232,39 @@ def links(distinct: DataFrame, most: int = 4, chunks: int = CHUNKS, block: int =
     return dealt.mapInArrow(search, "u long, v long").distinct()
 
 
+def _rooted(rows: DataFrame, least: Column, most: int, **options) -> DataFrame:
+    """fp, least (of its rows) and root (the least fp of its component) for every fp of rows."""
+    classes = written(rows.groupBy("fp").agg(F.min(least).alias("least")), "classes")
+    root = components(links(classes.select("fp"), most, **options)).withColumnRenamed("u", "fp")
+    return classes.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, most: int = 4, **options) -> DataFrame:
     """doc_id, fingerprint (16 lower-case hex digits), component_id for every row of docs."""
     docs = written(fingerprints(docs, width), "fingerprints")
-    classes = written(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    root = components(links(classes.select("fp"), most, **options)).withColumnRenamed("u", "fp")
-    classes = classes.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    classes = _rooted(docs, F.col("doc_id"), most, **options)
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = classes.join(least, "root").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return docs.join(classes, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs, with all their columns, whose id is the least of their component.
+def keep_one(docs: DataFrame, width: int = 4, most: int = 4, **options) -> DataFrame:
+    """One row of each component, with all its columns: the least id, of equal ids the least digest of the text.
 
+    A row is known by its id and its text, so rows that share an id but not a component don't touch each other.
     Of rows that repeat an id and a text one stays; a null id stays only where its component has no other.
     """
-    found = near_duplicates(docs, **options)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    once = found.groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")
-    out = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    marked = docs.withColumn("_digest", F.md5(F.coalesce("text", F.lit(""))))
+    rows = written(fingerprints(marked, width, ("_digest",)), "fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_digest")
+    stays = _rooted(rows, first, most, **options).groupBy("root").agg(F.min("least").alias("row")).select("row.doc_id", "row._digest")
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["_digest"] == b["_digest"])
+    out = marked.join(stays, same(marked, stays), "left_semi")
+    once = rows.groupBy("doc_id", "_digest").count().where(F.col("count") > 1).select("doc_id", "_digest")
     repeated = once.limit(1).count()
     if repeated:
-        several = out.join(once, out["doc_id"].eqNullSafe(once["doc_id"]), "left_semi")
-        single = out.join(once, out["doc_id"].eqNullSafe(once["doc_id"]), "left_anti")
-        out = single.unionByName(several.dropDuplicates(["doc_id"]))
-    return out
+        several = out.join(once, same(out, once), "left_semi")
+        single = out.join(once, same(out, once), "left_anti")
+        out = single.unionByName(several.dropDuplicates(["doc_id", "_digest"]))
+    return out.drop("_digest")

@@ -61,6 +61,16 @@ def test_one_of_each_group_stays(spark):
     assert (2 in kept) != (3 in kept)  # both are empty
 
 
+def test_each_component_keeps_one_row(spark):
+    """Ids that are null or repeat with other texts: a row goes only if its own component has a lesser one."""
+    text = [" ".join(f"{w}{k}" for k in range(40)) for w in ("apple", "brick", "cloud", "drum")]
+    rows = [(None, text[0]), (5, text[0]), (None, text[1]), (None, text[2]), (None, text[2]), (7, text[3]), (7, "entirely other words " + text[1][::-1]), (6, text[3]), (8, "one more"), (8, "and another text"), (8, "one more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()), key=str)
+    want = [(5, text[0]), (None, text[1]), (None, text[2]), (6, text[3]), rows[6], rows[8], rows[9]]
+    assert kept == sorted(want, key=str)
+
+
 def test_undetermined_language(spark):
     docs = spark.createDataFrame([(*r, "own", 1, 2) for r in ROWS], SCHEMA)
     got = {r.doc_id: r for r in langid.identify(docs).collect()}
