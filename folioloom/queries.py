@@ -128,30 +128,46 @@ def placeholder_count(spark, sf_dir):
     return c.groupBy("conv_id").agg(F.sum(T.count_placeholders(F.col("text"))).alias("n"))
 
 
-def _pairs(spark, sf_dir):
+def _pairs(spark, sf_dir, whole=False):
+    """Turns and their answers; not whole: the first 64 ASCII characters, as far as the SQL goes."""
     c = _t(spark, sf_dir, "conversations")
-    ascii_ = F.substr(F.regexp_replace("text", r"[^\x00-\x7F]", ""), F.lit(1), F.lit(64))
-    user = c.where(F.col("role") == "user").select("conv_id", "turn", ascii_.alias("label"))
-    other = c.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), ascii_.alias("prediction"))
+    text = F.col("text") if whole else F.substr(F.regexp_replace("text", r"[^\x00-\x7F]", ""), F.lit(1), F.lit(64))
+    user = c.where(F.col("role") == "user").select("conv_id", "turn", text.alias("label"))
+    other = c.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), text.alias("prediction"))
     return user.join(other, ["conv_id", "turn"])
 
 
-def reward_score(spark, sf_dir):
+def reward_score(spark, sf_dir, whole=False):
     how = {"strip": False}
-    return _pairs(spark, sf_dir).select("conv_id", "turn", F.round(rewards.similarity(F.col("prediction"), F.col("label"), **how), 9).alias("score"), F.round(rewards.truth_reward(F.col("prediction"), F.col("label"), **how), 9).alias("reward"))
+    return _pairs(spark, sf_dir, whole).select("conv_id", "turn", F.round(rewards.similarity(F.col("prediction"), F.col("label"), **how), 9).alias("score"), F.round(rewards.truth_reward(F.col("prediction"), F.col("label"), **how), 9).alias("reward"))
 
 
-def reward_summary(spark, sf_dir):
-    s = reward_score(spark, sf_dir)
+def reward_score_full(spark, sf_dir):
+    return reward_score(spark, sf_dir, True)
+
+
+def reward_summary(spark, sf_dir, whole=False):
+    s = reward_score(spark, sf_dir, whole)
     return s.agg(F.count("*").alias("n"), F.min("score").alias("least"), F.round(F.avg("score"), 9).alias("mean"), F.max("score").alias("most"))
 
 
+def reward_summary_full(spark, sf_dir):
+    return reward_summary(spark, sf_dir, True)
+
+
 def clean_labels(spark, sf_dir):
     d = _t(spark, sf_dir, "documents")
     dirty = F.concat(F.lit(r" <|ln|>\( a+b \)"), F.regexp_replace(F.substr("text", F.lit(1), F.lit(80)), r"[^A-Za-z ,.]", ""), F.lit(r"<|pn|>\(c\) \("))
     return d.select("doc_id", T.clean_label(dirty).alias("clean"))
 
 
+def clean_labels_full(spark, sf_dir):
+    """Whole texts, with tokens and wrappers around them beside those that they hold."""
+    d = _t(spark, sf_dir, "documents")
+    dirty = F.concat(F.lit(r" <|ln|>\( a+b \)"), "text", F.lit(r"<|pn|>\(c\) \("))
+    return d.select("doc_id", T.clean_label(dirty).alias("clean"))
+
+
 def classify_text(spark, sf_dir):
     d = _t(spark, sf_dir, "documents")
     text = F.when(F.col("doc_id") % 5 == 0, F.lit(r"\[ x^2 + y^2 \]")).when(F.col("doc_id") % 5 == 1, F.lit("a\tb\nc\td")).when(F.col("doc_id") % 5 == 2, F.lit("<TABLE><tr>")).when(F.col("doc_id") % 5 == 3, F.lit("plain words here")).otherwise(F.lit("two words here x^2"))
@@ -269,14 +285,18 @@ def view_validate(spark, sf_dir):
     return bad.select("canonical_record_id", "rule")
 
 
-def score_predictions(spark, sf_dir):
-    p = _pairs(spark, sf_dir)
+def score_predictions(spark, sf_dir, whole=False):
+    p = _pairs(spark, sf_dir, whole)
     key = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     view = p.select(key.alias("id"), "label", F.when(F.col("turn") % 2 == 0, "normalized_levenshtein_v1").otherwise("truth_levenshtein_v1").alias("reward_profile_id"))
     out = V.score_predictions(view, p.select(key.alias("id"), "prediction"))
     return out.select("id", F.round("score", 9).alias("score"))
 
 
+def score_predictions_full(spark, sf_dir):
+    return score_predictions(spark, sf_dir, True)
+
+
 def lineage_of_view(spark, sf_dir):
     r = _records(spark, sf_dir)
     v = view_rows(RLVR, r, _assets(spark, sf_dir))
@@ -329,5 +349,5 @@ def preview_and_extension(spark, sf_dir):
     return p.select("page_id", T.truncated(F.col("url"), 20).alias("preview"), T.extension(F.regexp_extract("url", r"^([^?#]*)", 1), ".html").alias("ext"))
 
 
-_ALL = (view_build, view_filter_counts, view_select_where, sample_topk_hash, sample_keys, split_assign, split_counts, split_leakage, label_filter_counts, failure_stats, schema_sample_per_group, dedupe_keep_first, dedupe_last_wins, resume_anti_join, asset_left_join_dims, chat_messages, placeholder_count, reward_score, reward_summary, clean_labels, classify_text, layout_serialize, box_tokens_parse, crop_boxes, repetition_basic, repetition_full, table_cells, table_html_roundtrip, lineage_trace, broken_links, deploy_manifest, validator_violations, stable_ids, kd_schedule, kd_cosine, kd_topk_kl, metric_reduction, windowed_events, view_rlvr, view_validate, score_predictions, lineage_of_view, repetition_report, nested_content, image_resolution, runtime_paths, kd_hidden, masked_loss, media_token_round_trip, preview_and_extension)
+_ALL = (view_build, view_filter_counts, view_select_where, sample_topk_hash, sample_keys, split_assign, split_counts, split_leakage, label_filter_counts, failure_stats, schema_sample_per_group, dedupe_keep_first, dedupe_last_wins, resume_anti_join, asset_left_join_dims, chat_messages, placeholder_count, reward_score, reward_score_full, reward_summary, reward_summary_full, clean_labels, clean_labels_full, classify_text, layout_serialize, box_tokens_parse, crop_boxes, repetition_basic, repetition_full, table_cells, table_html_roundtrip, lineage_trace, broken_links, deploy_manifest, validator_violations, stable_ids, kd_schedule, kd_cosine, kd_topk_kl, metric_reduction, windowed_events, view_rlvr, view_validate, score_predictions, score_predictions_full, lineage_of_view, repetition_report, nested_content, image_resolution, runtime_paths, kd_hidden, masked_loss, media_token_round_trip, preview_and_extension)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
