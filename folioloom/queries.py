@@ -175,6 +175,13 @@ def classify_text(spark, sf_dir):
     return d.groupBy(T.classify(text, hint).alias("kind")).agg(F.count("*").alias("n"))
 
 
+def classify_text_full(spark, sf_dir):
+    """Whole texts and their source as the hint; every tenth also ends in a small table."""
+    d = _t(spark, sf_dir, "documents")
+    text = F.when(F.col("doc_id") % 10 == 1, F.concat("text", F.lit("\na\tb\nc\td"))).otherwise(F.col("text"))
+    return d.groupBy(T.classify(text, F.col("source")).alias("kind")).agg(F.count("*").alias("n"))
+
+
 def _boxes(spark, sf_dir):
     p = _t(spark, sf_dir, "part")
     box = F.array(F.col("p_size").cast("double"), F.col("p_size").cast("double") / 2, F.col("p_size") + 100.5, F.col("p_retailprice") / 2)
@@ -309,6 +316,14 @@ def repetition_report(spark, sf_dir):
     return out.select("doc_id", F.col("ngram.span").alias("span"), F.array_join("reasons", ";").alias("reasons")).orderBy(F.desc("span"), "doc_id")
 
 
+def repetition_report_full(spark, sf_dir):
+    """Whole texts; every tenth also ends in a loop."""
+    loop = F.repeat(F.lit(" go on"), (F.col("doc_id") % 90).cast("int"))
+    text = F.when(F.col("doc_id") % 10 == 0, F.concat("text", loop)).otherwise(F.col("text"))
+    out = repetition.analysed(_t(spark, sf_dir, "documents").select("doc_id", text.alias("text"))).where(F.size("reasons") > 0)
+    return out.select("doc_id", F.col("ngram.span").alias("span"), F.array_join("reasons", ";").alias("reasons")).orderBy(F.desc("span"), "doc_id")
+
+
 def nested_content(spark, sf_dir):
     e = _t(spark, sf_dir, "events")
     raw = F.concat(F.lit('{"kids": [{"other": "x"}, {"content": "'), F.col("user_id").cast("string"), F.lit('"}], "content": "'), "event_type", F.lit('"}'))
@@ -349,5 +364,5 @@ def preview_and_extension(spark, sf_dir):
     return p.select("page_id", T.truncated(F.col("url"), 20).alias("preview"), T.extension(F.regexp_extract("url", r"^([^?#]*)", 1), ".html").alias("ext"))
 
 
-_ALL = (view_build, view_filter_counts, view_select_where, sample_topk_hash, sample_keys, split_assign, split_counts, split_leakage, label_filter_counts, failure_stats, schema_sample_per_group, dedupe_keep_first, dedupe_last_wins, resume_anti_join, asset_left_join_dims, chat_messages, placeholder_count, reward_score, reward_score_full, reward_summary, reward_summary_full, clean_labels, clean_labels_full, classify_text, layout_serialize, box_tokens_parse, crop_boxes, repetition_basic, repetition_full, table_cells, table_html_roundtrip, lineage_trace, broken_links, deploy_manifest, validator_violations, stable_ids, kd_schedule, kd_cosine, kd_topk_kl, metric_reduction, windowed_events, view_rlvr, view_validate, score_predictions, score_predictions_full, lineage_of_view, repetition_report, nested_content, image_resolution, runtime_paths, kd_hidden, masked_loss, media_token_round_trip, preview_and_extension)
+_ALL = (view_build, view_filter_counts, view_select_where, sample_topk_hash, sample_keys, split_assign, split_counts, split_leakage, label_filter_counts, failure_stats, schema_sample_per_group, dedupe_keep_first, dedupe_last_wins, resume_anti_join, asset_left_join_dims, chat_messages, placeholder_count, reward_score, reward_score_full, reward_summary, reward_summary_full, clean_labels, clean_labels_full, classify_text, classify_text_full, layout_serialize, box_tokens_parse, crop_boxes, repetition_basic, repetition_full, table_cells, table_html_roundtrip, lineage_trace, broken_links, deploy_manifest, validator_violations, stable_ids, kd_schedule, kd_cosine, kd_topk_kl, metric_reduction, windowed_events, view_rlvr, view_validate, score_predictions, score_predictions_full, lineage_of_view, repetition_report, repetition_report_full, nested_content, image_resolution, runtime_paths, kd_hidden, masked_loss, media_token_round_trip, preview_and_extension)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
