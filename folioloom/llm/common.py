@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words are runs of anything but ASCII white space; bytes.split() cuts at just these bytes.
@@ -28,19 +28,38 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+_own_dirs: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
-    if not (path := spark.conf.get("spark.checkpoint.dir", None)):
-        path = f"file://{tempfile.mkdtemp(prefix='folioloom-')}"
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    """The folder that driver and executors share. Where none is set, one of our own, if all runs on one machine."""
+    if path := spark.conf.get("spark.checkpoint.dir", None):
+        return path.rstrip("/")
+    if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    if not _own_dirs:
+        _own_dirs.append(f"file://{tempfile.mkdtemp(prefix='folioloom-')}")
+    return _own_dirs[0]
 
 
 def written(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
     """The frame as a table in the shared folder: lineage ends there, and it outlives executors."""
     spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     (df.coalesce(partitions) if partitions else df).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Empties tables of `written` that nothing will read again."""
+    for df in frames:
+        df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(df.written_to)
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that columns of the operators' own can't clash with them."""
+    return F.struct(*(F.col(f"`{c}`").alias(c) for c in df.columns))
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

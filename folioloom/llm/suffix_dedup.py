@@ -7,15 +7,18 @@ A byte goes if a string of WINDOW bytes that covers it also starts anywhere else
    equal REST bytes from their anchor on, so groups whose REST bytes occur once in the corpus are done with.
 2. The other groups' strings (their windows, as one string) are gathered by those REST bytes. A string that
    occurs twice has all its windows repeated. Where different strings share REST bytes, one of each goes on.
-3. A task suffix-sorts its strings shard by shard, and merges the shards' Burrows-Wheeler transforms by
-   refining their interleave: each round sorts by one byte more, stably by the byte before, with no suffix
-   sorted again, and marks where the common prefix ends. After WINDOW rounds the intervals without a mark
-   are the repeated windows.
-4. Groups of more than HOT different strings are too many for a task: their windows are counted by hash
-   (128 bits), with partial counts before the shuffle.
-
-Texts shorter than WINDOW bytes have no window and stay whole; a null text is empty. Rows that repeat are
-repeats of each other. An empty table gives an empty result.
+3. In a task, only windows whose middle another string of the group has are looked at. It suffix-sorts their
+   strings shard by shard, and merges the shards' Burrows-Wheeler transforms by refining their interleave: each
+   round sorts by some bytes more, stably by those before, with no suffix sorted again, and marks where the
+   common prefix ends. The rows that are followed are those that end up as windows; after WINDOW bytes the
+   intervals of more than one row are the repeated windows.
+4. Groups of more than HOT different strings are too many for a task. Step 3's middles, narrowed to the windows
+   themselves, are counted by hash (128 bits) for them, with partial counts before the shuffle: exact as well.
+
+Texts shorter than WINDOW bytes have no window and stay whole; a null text is empty in the digest and stays null
+as a text. Rows that repeat, ids and all, are repeats of each other. Very long texts are worked through like any
+other, in a task's memory one at a time. There are no ties: a byte goes or stays by the input alone. Other columns
+pass through, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, in_parts, utf8, written
+from .common import bounded_batches, in_parts, release, utf8, whole_row, written
 
 WINDOW, WIDTH, SEED_BYTES = 200, 150, 16
 REST = WINDOW - WIDTH + 1
@@ -47,11 +50,11 @@ def _eights(data: np.ndarray) -> np.ndarray:
     return v[:-4] | v[4:] << np.uint64(32)
 
 
-def groups(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first start, last start, hash of the REST bytes) of each group of windows; starts within the text."""
+def groups(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, first start, last start, places from the first to the anchor, hash of the REST bytes) of each group of windows; starts within the text."""
     none = np.zeros(0, np.int64)
     if len(data) < WINDOW:
-        return none, none, none, none
+        return (none,) * 5
     v = _eights(data)
     n = len(data) - SEED_BYTES + 1
     h = (v[:n] * _A) ^ (v[8 : 8 + n] * _B)
@@ -76,89 +79,164 @@ def groups(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     for k in (*range(0, REST - 8, 8), REST - 8):
         x = (x ^ v[anchor + k]) * _A
         x ^= x >> np.uint64(31)
-    return text, first - at[text], last - at[text], (x * _B).view(np.int64)
+    return text, first - at[text], last - at[text], anchor - first, (x * _B).view(np.int64)
 
 
 def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(transform, suffix order) of strings, each closed by a separator, as one circular text."""
+    """(transform, suffix order) of strings, each closed by a separator; separators sort by their string's number."""
     text = np.frombuffer(b"".join(s + b"\xff" for s in strings), np.uint8)
     n = len(text)
     if not n:
         return text, np.zeros(0, np.int64)
-    rank = np.unique(_eights(np.concatenate([text, np.resize(text, 7)])).byteswap(), return_inverse=True)[1]
+    ends = np.flatnonzero(text == SEPARATOR)
+    owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=-1))
+    left = ends[owner] - np.arange(n)
+    beyond = np.maximum(0, 7 - left).astype(np.uint64)  # of the first eight bytes, those after the separator
+    first = _eights(np.concatenate([text, np.resize(text, 7)])).byteswap() >> np.uint64(8) * beyond
+    rank = np.unique(first << np.uint64(8) * beyond, return_inverse=True)[1]
+    rank = np.unique(rank * np.int64(len(ends) + 1) + np.where(left < 8, owner + 1, 0), return_inverse=True)[1]
     have = 8
-    while have < WINDOW:
-        key = rank * np.int64(n + 1) + np.roll(rank, -have)
-        rank = np.unique(key, return_inverse=True)[1]
+    while have < n and rank.max() + 1 < n:
+        rank = np.unique(rank * np.int64(n + 1) + np.roll(rank, -have), return_inverse=True)[1]
         have *= 2
-    order = np.argsort(rank, kind="stable")
+    order = np.empty(n, np.int64)
+    order[rank] = np.arange(n)
     return text[order - 1], order
 
 
-def merge(transforms: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, interval of each): of all shards' rows, one shard after the other, those that share their first `rounds` bytes with another.
+def steps_back(transforms: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of all shards' rows, one shard after the other: [b]: (row of the suffix b + 1 bytes longer, number of those bytes).
 
-    A round puts the row of each suffix's predecessor where the byte before it sorts, so that rows which were in
-    order by k bytes are in order by k + 1, and an interval ends where that byte or the interval before differs.
-    Rounds go several bytes at once, as many as have no more than 65536 different values. A row alone in its
-    interval stays alone, and so do all its predecessors: it needs no more rounds.
+    A stable sort of a transform leads from a suffix to the one that a byte more in front makes of it. Bytes are
+    numbered by the order of what they spell; there are as many steps as need no more than 65536 numbers.
     """
     every = np.concatenate(transforms)
     before, base = np.empty(len(every), np.int32), 0
     for t in transforms:
         before[base + np.argsort(t, kind="stable")] = np.arange(base, base + len(t), dtype=np.int32)
         base += len(t)
-    # steps[b]: of each row, its predecessor b + 1 back and the value of the bytes up to there
-    steps, value, back = [], np.zeros(len(every), np.int64), np.arange(len(every), dtype=np.int32)
-    for b in range(8):
-        value = value | every[back].astype(np.int64) << 8 * b  # the byte farthest back is the first to sort by
-        names, dense = np.unique(value, return_inverse=True)
-        if len(names) > 65536 and b > 1:
+    letters = np.cumsum(np.bincount(every, minlength=256) > 0) - 1
+    letter, size = letters[every].astype(np.int32), int(letters[-1]) + 1
+    out, back, number, names = [], np.arange(len(every), dtype=np.int32), np.zeros(len(every), np.int32), 1
+    for _ in range(8):
+        spelled = letter[back] * np.int32(names) + number  # the byte farthest back is the first to sort by
+        have = np.zeros(size * names, bool)
+        have[spelled] = True
+        dense = np.cumsum(have, dtype=np.int32) - 1
+        if dense[-1] >= 65536:
             break
-        back = before[back]
-        steps.append((back, dense.astype(np.uint16)))
-    row, interval, left, k = np.arange(len(every), dtype=np.int32), np.zeros(len(every), np.int32), rounds, 0
-    while left:
-        back, dense = steps[min(left, len(steps)) - 1]
+        number, names, back = dense[spelled], int(dense[-1]) + 1, before[back]
+        out.append((back, number.astype(np.uint16)))
+    return out
+
+
+def merge(transforms: list[np.ndarray], rounds: int, row: np.ndarray | None = None, interval: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, interval of each) after so many bytes: rows of all shards, one after the other, that are like another one.
+
+    A round puts the row of each suffix's predecessor where the bytes before it sort, so that rows which were in
+    order by k bytes are in order by more, and an interval ends where those bytes or the interval before differ.
+    A row alone in its interval stays alone, and so do all its predecessors: it needs no more rounds. Rows that
+    aren't asked for need none either: row, interval (ascending) are those to follow, else all rows in one.
+    """
+    steps = steps_back(transforms)
+    if row is None:
+        row = np.arange(sum(map(len, transforms)), dtype=np.int32)
+    if interval is None:
+        interval = np.zeros(len(row), np.int32)
+    left = rounds
+    while left and len(row):
+        back, number = steps[min(left, len(steps)) - 1]
         left -= min(left, len(steps))
-        byte = dense[row]
+        byte = number[row]
         order = np.argsort(byte, kind="stable")
         byte, row, old = byte[order], back[row[order]], interval[order]
         ends = np.ones(len(row) + 1, bool)
         ends[1:-1] = (byte[1:] != byte[:-1]) | (old[1:] != old[:-1])
-        interval = np.cumsum(ends[:-1], dtype=np.int32)
-        k += 1
-        if k % 2 == 0 or not left:
-            several = ~(ends[:-1] & ends[1:])
-            row, interval = row[several], interval[several]
+        several = ~(ends[:-1] & ends[1:])
+        row, interval = row[several], np.cumsum(ends[:-1], dtype=np.int32)[several]
     return row, interval
 
 
-def repeated_starts(strings: list[bytes], shards: int = SHARDS, window: int = WINDOW) -> list[np.ndarray]:
-    """For each string, a flag for each of its windows: whether an equal one starts anywhere else in the strings."""
+def repeated_starts(strings: list[bytes], kinds: list[tuple[int, int]] | None = None, shards: int = SHARDS, window: int = WINDOW) -> list[np.ndarray]:
+    """For each string, a flag for each of its windows: whether an equal one starts anywhere else in the strings.
+
+    kinds: a group of each string and its anchor's place; equal windows are of one group, as far before their
+    anchors. The merge then starts with the intervals of what can be equal.
+    """
     shards = max(1, min(shards, len(strings)))
-    dealt = [i for k in range(shards) for i in range(k, len(strings), shards)]  # like strings stand together
     pieces = [list(range(k, len(strings), shards)) for k in range(shards)]
-    sizes = np.array([len(strings[i]) for i in dealt])
-    parts, places, base = [], [], 0
+    dealt = [i for own in pieces for i in own]
+    parts, row_of, base = [], [], 0
     for own in pieces:
         t, order = transform([strings[i] for i in own])
+        back = np.empty(len(order), np.int32)
+        back[order] = np.arange(base, base + len(order), dtype=np.int32)
         parts.append(t)
-        places.append(order + base)
+        row_of.append(back)
         base += len(t)
-    row, interval = merge(parts, window)
-    suffix = np.concatenate(places)[row]
-    starts = np.concatenate([[0], np.cumsum(sizes + 1)])
-    valid = np.zeros(base, bool)
-    for s, n in zip(starts.tolist(), sizes.tolist(), strict=False):
-        valid[s : s + max(0, n - window + 1)] = True
-    suffix, interval = suffix[valid[suffix]], interval[valid[suffix]]
+    sizes = np.array([len(strings[i]) for i in dealt], np.int64)
+    have = np.maximum(sizes - window + 1, 0)
+    nth = np.arange(have.sum()) - np.repeat(np.cumsum(have) - have, have)
+    start = np.repeat(np.cumsum(sizes + 1) - sizes - 1, have) + nth
+    row_of = np.concatenate(row_of or [np.zeros(0, np.int32)])
     flag = np.zeros(base, bool)
-    flag[suffix] = np.bincount(interval)[interval] > 1
-    out = {i: flag[s : s + max(0, n - window + 1)] for i, s, n in zip(dealt, starts.tolist(), sizes.tolist(), strict=False)}
+    if len(start):
+        interval = np.zeros(len(start), np.int64)
+        if kinds is not None:
+            group, place = (np.array([kinds[i][k] for i in dealt], np.int64) for k in (0, 1))
+            interval = np.repeat(np.unique(group, return_inverse=True)[1] * (2 * WIDTH), have) + np.repeat(place, have) - nth + WIDTH
+        order = np.argsort(interval, kind="stable")
+        followed = start[order]
+        interval = np.unique(interval[order], return_inverse=True)[1].astype(np.int32)
+        row, interval = merge(parts, window, row_of[followed + window], interval)
+        place_of = np.empty(base, np.int64)
+        place_of[row_of] = np.arange(base)
+        flag[place_of[row]] = True
+    ends = np.cumsum(sizes + 1)
+    out = {i: flag[e - n - 1 : e - n - 1 + h] for i, e, n, h in zip(dealt, ends.tolist(), sizes.tolist(), have.tolist(), strict=True)}
     return [out[i] for i in range(len(strings))]
 
 
+def narrowed(strings: list[bytes], kinds: list[tuple[int, int]], step: int = 25) -> list[tuple[int, int, int]]:
+    """(string, first, last start) of the windows that others may equal.
+
+    Windows that start from step * j to step * j + step - 1 places before their anchor all hold the same bytes of it
+    but for step - 1 at either end: only those of which another string of the group has the same are kept.
+    """
+    cores: dict[tuple, int] = {}
+    own: list[list[tuple]] = []
+    for s, (group, place) in zip(strings, kinds, strict=True):
+        mine = []
+        for j in range((place - len(s) + WINDOW) // step, place // step + 1):
+            at = place - j * step
+            mine.append((group, j, s[at : at + WINDOW - step + 1]))
+            cores[mine[-1]] = cores.get(mine[-1], 0) + 1
+        own.append(mine)
+    out = []
+    for i, (s, (_, place), mine) in enumerate(zip(strings, kinds, own, strict=True)):
+        run: list[int] = []
+        for core in [*mine, None]:
+            if core is not None and cores[core] > 1:
+                run.append(core[1])
+            elif run:
+                out.append((i, max(0, place - run[-1] * step - step + 1), min(len(s) - WINDOW, place - run[0] * step)))
+                run = []
+    return out
+
+
+def repeated_windows(strings: list[bytes], kinds: list[tuple[int, int]]) -> list[np.ndarray]:
+    """What repeated_starts gives, of the windows that `narrowed` leaves; pieces that occur twice as a whole are known to repeat."""
+    out = [np.zeros(max(0, len(s) - WINDOW + 1), bool) for s in strings]
+    pieces: dict[tuple[int, int, bytes], list[tuple[int, int]]] = {}
+    for i, first, last in narrowed(strings, kinds):
+        pieces.setdefault((kinds[i][0], kinds[i][1] - first, strings[i][first : last + WINDOW]), []).append((i, first))
+    flags = repeated_starts([s for *_, s in pieces], [k[:2] for k in pieces])
+    for own, flag in zip(pieces.values(), flags, strict=True):
+        for i, first in own:
+            out[i][first : first + len(flag)] = True if len(own) > 1 else flag
+    return out
+
+
 def runs(flag: np.ndarray) -> list[list[int]]:
     """[first, last] of the runs of true."""
     edge = np.flatnonzero(np.diff(flag.astype(np.int8), prepend=0, append=0))
@@ -166,9 +244,9 @@ def runs(flag: np.ndarray) -> list[list[int]]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """docs with _k, _l: 128 bits that tell rows apart by id and text."""
+    """row (all columns of docs), text, and _k, _l: 128 bits that tell rows apart by id and text."""
     key: list[Column] = [F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))]
-    return docs.withColumns({"_k": F.xxhash64(*key), "_l": F.xxhash64(F.lit("l"), *reversed(key))})
+    return docs.select(whole_row(docs).alias("row"), "text", F.xxhash64(*key).alias("_k"), F.xxhash64(F.lit("l"), *reversed(key)).alias("_l"))
 
 
 def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -177,19 +255,19 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_parts(batches):
-            x, n = np.unique(groups(*utf8(part.column("text")))[3], return_counts=True)
+            x, n = np.unique(groups(*utf8(part.column("text")))[4], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(n, pa.int64())], ["x", "n"])
 
     def find_with_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_parts(batches):
-            text, first, last, x = groups(*utf8(part.column("text")))
+            text, first, last, ahead, x = groups(*utf8(part.column("text")))
             own = pa.array(text)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), part.column("_k").take(own), part.column("_l").take(own), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))], ["x", "_k", "_l", "first", "last"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), part.column("_k").take(own), part.column("_l").take(own), *(pa.array(c.astype(np.int32)) for c in (first, last, ahead))], ["x", "_k", "_l", "first", "last", "ahead"])
 
     twice = docs.select("text").mapInArrow(find, "x long, n long").groupBy("x").agg(F.sum("n").alias("n")).where(F.col("n") > 1).select("x")
     twice = written(twice, "repeated")  # a plain table, so that the join can split a hot key
-    placed = docs.select("_k", "_l", "text").mapInArrow(find_with_places, "x long, _k long, _l long, first int, last int")
-    listed = placed.join(twice, "x", "left_semi").groupBy("_k", "_l").agg(F.collect_set(F.struct("first", "last", "x")).alias("groups"))
+    placed = docs.select("_k", "_l", "text").mapInArrow(find_with_places, "x long, _k long, _l long, first int, last int, ahead int")
+    listed = placed.join(twice, "x", "left_semi").groupBy("_k", "_l").agg(F.collect_set(F.struct("first", "last", "ahead", "x")).alias("groups"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -205,39 +283,40 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
                         if len(seen) > 300_000:
                             seen.clear()
                         seen.add((g["x"], name))
-                    rows.append((g["x"], name, k, l, g["first"], g["last"], string if new else None))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 7, kinds, strict=True)], ["x", "name", "_k", "_l", "first", "last", "string"])
+                    rows.append((g["x"], name, k, l, g["first"], g["last"], g["ahead"], string if new else None))
+            kinds = (*[pa.int64()] * 4, *[pa.int32()] * 3, pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 8, kinds, strict=True)], ["x", "name", "_k", "_l", "first", "last", "ahead", "string"])
 
     once = docs.select("_k", "_l", "text").join(listed, ["_k", "_l"])  # rows that repeat give their groups each
-    cells = written(once.mapInArrow(cut, "x long, name long, _k long, _l long, first int, last int, string binary"), "windows")
+    cells = written(once.mapInArrow(cut, "x long, name long, _k long, _l long, first int, last int, ahead int, string binary"), "windows")
+    release(twice)
     counted = cells.groupBy("x", "name").agg(F.count("*").alias("n"))
     counted = written(counted, "strings")
     # a group goes on if it has several strings and one of them occurs once: the others are known to repeat
     kinds = counted.groupBy("x").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where((F.col("kinds") > 1) & (F.col("least") == 1)).drop("least")
     several = counted.join(kinds, "x")
-    strings = cells.where(F.col("string").isNotNull()).select("x", "name", "string").join(several, ["x", "name"]).dropDuplicates(["x", "name"])
+    strings = cells.where(F.col("string").isNotNull()).select("x", "name", "ahead", "string").join(several, ["x", "name"]).dropDuplicates(["x", "name"])
     strings = written(strings, "open-strings")
     whole = counted.where(F.col("n") > 1).select("x", "name", F.lit(None).cast("array<array<int>>").alias("spans"))
 
     def by_transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by x."""
-        held: list[tuple[int, int, int, bytes]] = []
+        held: list[tuple[int, int, int, int, bytes]] = []
         size = 0
 
         def out() -> pa.RecordBatch:
-            flags = repeated_starts([s for *_, s in held])
-            got = [(x, name, r) for (x, name, n, _), f in zip(held, flags, strict=True) if n == 1 and (r := runs(f))]
+            flags = repeated_windows([s for *_, s in held], [(x, ahead) for x, _, _, ahead, _ in held])
+            got = [(x, name, r) for (x, name, n, *_), f in zip(held, flags, strict=True) if n == 1 and (r := runs(f))]
             cols = zip(*got, strict=True) if got else ([], [], [])
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int32()))), strict=True)], ["x", "name", "spans"])
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("x", "name", "n", "string")), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("x", "name", "n", "ahead", "string")), strict=True):
                 if size > MERGED_BYTES and row[0] != held[-1][0]:
                     yield out()
                     held, size = [], 0
                 held.append(row)
-                size += len(row[3])
+                size += len(row[4])
         if held:
             yield out()
 
@@ -248,7 +327,7 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
                 digest = [xxhash.xxh3_128_digest(string[k : k + WINDOW]) for k in range(count)]
                 yield pa.RecordBatch.from_arrays([pa.array([x] * count), pa.array([name] * count), pa.array([n] * count), pa.array(np.arange(count, dtype=np.int32)), pa.array(digest, pa.binary())], ["x", "name", "n", "start", "window"])
 
-    few = strings.where(F.col("kinds") <= hot).select("x", "name", "n", "string").repartition("x").sortWithinPartitions("x", "name")
+    few = strings.where(F.col("kinds") <= hot).select("x", "name", "n", "ahead", "string").repartition("x").sortWithinPartitions("x", "name")
     merged = few.mapInArrow(by_transform, "x long, name long, spans array<array<int>>")
     found = whole.unionByName(merged)
     many = strings.where(F.col("kinds") > hot)
@@ -272,7 +351,7 @@ def _removed(raw: bytes, own: list) -> np.ndarray:
 
 
 def spans_by_row(docs: DataFrame, **options) -> DataFrame:
-    """_keyed(docs) with own: [first, last] starts of repeated windows, null where there are none."""
+    """row (all columns of docs), text, and own: [first, last] starts of repeated windows, null where there are none."""
     docs = _keyed(docs)
     own = repeats(docs, **options).groupBy("_k", "_l").agg(F.flatten(F.collect_set("spans")).alias("own"))
     return docs.join(own, ["_k", "_l"], "left")
@@ -293,7 +372,7 @@ def dedup_digest(docs: DataFrame, **options) -> DataFrame:
             cols = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3])], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    out = spans_by_row(docs.select("doc_id", "text"), **options).select("doc_id", "text", "own")
+    out = spans_by_row(docs.select("doc_id", "text"), **options).select("row.doc_id", "text", "own")
     return out.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -311,5 +390,5 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
         return pd.Series(out, dtype=object)
 
     out = spans_by_row(docs, **options)
-    out = out.withColumn("text", F.when(F.col("own").isNull(), F.col("text")).otherwise(kept("text", "own")))
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
+    text = F.when(F.col("own").isNull(), F.col("text")).otherwise(kept("text", "own"))
+    return out.select(*(text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
