@@ -1,15 +1,22 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-Every source is cut into equal permuted blocks by a seeded hash of the document id. A source whose target is
-t = r * size + rest is drawn r times in full, and `rest` words more from the front of its permutation: whole
-blocks, then whole documents of the boundary block, then the first words of one document, so that the words
-taken match the rounded target. The drawn blocks are dealt to output shards by a tree: each node holds the
-exact number of blocks of each source, and its left half gets a multivariate hypergeometric draw of them. A
-shard's blocks are consecutive places in the permuted draws of a source, so shards are disjoint, and within a
-shard the documents are ordered by hash.
-
-Nulls: a null source is a source of its own (last); a null text has size 0 and isn't drawn. Rows that repeat
-an id fall into one block and are taken like any other rows. An empty table gives an empty mix.
+Every source is put in the order of a seeded hash of its rows (id and text), which cuts it into equal permuted
+blocks. A source whose target is t = r * size + rest is drawn r times in full, and `rest` words more from the
+front of its order, to the word: the row where they end gives its first words only. Where that is known, so are
+the exact numbers of blocks that each source gives, and these are dealt to output shards by a tree: each node
+holds the exact number of blocks of each source, and its left half gets a multivariate hypergeometric draw of
+them. A shard's blocks are consecutive places in the permuted draws of a source, so shards are disjoint and
+hold just as many blocks of each source as their leaf of the tree says; within a shard rows are ordered by hash.
+
+What a row gives depends on the row and on a few numbers of its source alone, so the mix is read off in one pass
+over the documents, without a join of texts.
+
+Nulls: a null source is a source of its own (last), unlike an empty one; a null id is unlike an empty one; a null
+text has size 0 and isn't drawn. Rows that repeat an id are rows of their own. Rows that repeat id and text stand
+at one place; if the words end there they share them equally, the remainder of that division is not taken. Texts
+of any length are drawn like others; a very long one may end a source's draw in its middle. There are no other
+ties. Other columns pass through, but for the four that `mix` adds. An empty table gives an empty mix. Kept on
+the driver: some numbers of each source, and one for each source and shard.
 """
 
 from __future__ import annotations
@@ -21,12 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import WORD, bounded_batches, written
+from .common import WORD, bounded_batches, release, whole_row, written
 
-#: Blocks of a source; a boundary block is cut once more into as many parts.
+#: Blocks of a source; the one where its draw ends is cut once more into as many parts.
 BLOCKS = 1024
-MOST_SOURCES, BROADCAST_SOURCES = 200_000, 10_000
+#: Plans of more sources than that are joined, a source in so many parts, instead of broadcast.
+BROADCAST_SOURCES, SALTS = 10_000, 16
 WEIGHTS = (5, 2, 1)
 
 
@@ -68,74 +77,107 @@ def splitting_tree(quotas: Sequence[int], shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def _digit(level: int, blocks: int, seed: int) -> Column:
-    return F.pmod(F.xxhash64("_id", F.lit(seed * 31 + level)), F.lit(blocks)).cast("int")
+def _hash(docs: DataFrame, seed: int) -> Column:
+    """64 bits that place a row within its source; rows of one id and text have one place."""
+    return F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")))
 
 
-def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.0, most: float = 3.0, shards: int = 64, blocks: int = BLOCKS, seed: int = 7) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, draws (array of pass, shard, place, words)."""
-    spark = docs.sparkSession
-    if blocks & (blocks - 1):
+def _size(text: str = "text") -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _same(a: str, b: str) -> Column:
+    return F.col(a).eqNullSafe(F.col(b))
+
+
+def _digit(level: int, bits: int) -> Column:
+    """The digits of a hash, from the front, in the order of the signed number."""
+    front = F.shiftright("h", 64 - bits) + (1 << (bits - 1))
+    return (front if not level else F.shiftright("h", 64 - 2 * bits).bitwiseAND(F.lit((1 << bits) - 1))).cast("int")
+
+
+def _with_source(rows: DataFrame, plan: DataFrame, sources: int, source: str = "source") -> DataFrame:
+    """rows with the columns of plan, which has a row for each source (as _s)."""
+    if sources <= BROADCAST_SOURCES:
+        return rows.join(F.broadcast(plan), _same(source, "_s")).drop("_s")
+    # too many to broadcast: a hot source's rows are dealt to several tasks, each with its own copy of the plan's row
+    salted = rows.withColumn("_salt", F.pmod(F.col("h"), F.lit(SALTS)).cast("int"))
+    plan = plan.withColumn("_salt2", F.explode(F.array(*(F.lit(k) for k in range(SALTS)))))
+    return salted.join(plan, _same(source, "_s") & (F.col("_salt") == F.col("_salt2"))).drop("_s", "_salt", "_salt2")
+
+
+def _boundary(cells: DataFrame, place: str, left: str) -> DataFrame:
+    """Of each source, the cell in whose words the `left` first ones end; before: words ahead of it."""
+    before = F.sum("words").over(Window.partitionBy("source").orderBy(place)) - F.col("words")
+    cells = cells.withColumn("before", before)
+    return cells.where((F.col("before") < F.col(left)) & (F.col("before") + F.col("words") >= F.col(left)))
+
+
+def source_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.0, most: float = 3.0, shards: int = 64, blocks: int = BLOCKS, seed: int = 7) -> tuple[DataFrame, int]:
+    """(_s, source_size, target, whole, cut, left, copies, ends of each source; how many sources).
+
+    cut: the place where the last pass ends, left: the words that it takes there, copies: rows that stand there;
+    ends: for each shard, how many of the source's blocks it and those before it hold.
+    """
+    spark, bits = docs.sparkSession, blocks.bit_length() - 1
+    if blocks != 1 << bits or not bits:
         raise ValueError("blocks must be a power of two")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    meta = docs.select("doc_id", "source", size.alias("size")).withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    meta = meta.select("doc_id", "source", "size", _digit(0, blocks, seed).alias("b0"), _digit(1, blocks, seed).alias("b1"), F.xxhash64("_id", F.lit(seed)).alias("h"))
-    meta = written(meta, "mix-sizes")
-
-    by_block = written(meta.groupBy("source", "b0").agg(F.sum("size").alias("words")), "mix-blocks")
-    totals = by_block.groupBy("source").agg(F.sum("words").alias("words")).limit(MOST_SOURCES + 1).collect()
-    if len(totals) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources: the weights of a mix are kept by source")
-    totals = sorted(((r.source, int(r.words)) for r in totals), key=lambda x: (x[0] is None, x[0] or ""))
+    meta = written(docs.select("source", _size().alias("size"), _hash(docs, seed).alias("h")), "mix-sizes")
+    by_block = written(meta.groupBy("source", _digit(0, bits).alias("b0")).agg(F.sum("size").alias("words")), "mix-blocks")
+    totals = by_block.groupBy("source").agg(F.sum("words").alias("words")).toArrow().to_pylist()
+    totals = sorted(((r["source"], int(r["words"])) for r in totals), key=lambda x: (x[0] is None, x[0] or ""))
     sizes = [n for _, n in totals]
-    weight = [weights[i % len(weights)] for i in range(len(totals))]
-    targets = water_fill(sizes, weight, share * sum(sizes), most)
+    targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(totals))], share * sum(sizes), most)
 
-    rows, quotas = [], []
+    rows = []
     for (source, n), target in zip(totals, targets, strict=True):
         whole, rest = divmod(round(target), n) if n else (0, 0)
         rows.append((source, n, float(target), int(whole), int(rest)))
-        quotas.append(int(whole * blocks + (-(-rest * blocks // n) if n else 0)))
+    rests = spark.createDataFrame([(r[0], r[4]) for r in rows], "_s string, rest long")
+
+    # where the rest of each source ends: block, then part of it, then place
+    first = _boundary(_with_source(by_block.withColumn("h", F.xxhash64("b0")), rests, len(rows)), "b0", "rest").select(F.col("source").alias("_s"), F.col("b0").alias("cut0"), (F.col("rest") - F.col("before")).alias("left0"))
+    first = written(first, "mix-cuts", 1)
+    inside = _with_source(meta, first, len(rows)).where(_digit(0, bits) == F.col("cut0"))
+    parts = inside.groupBy("source", _digit(1, bits).alias("b1"), "cut0", "left0").agg(F.sum("size").alias("words"))
+    second = _boundary(parts, "b1", "left0").select(F.col("source").alias("_s"), "cut0", F.col("b1").alias("cut1"), (F.col("left0") - F.col("before")).alias("left1"))
+    second = written(second, "mix-cuts", 1)
+    inside = _with_source(meta, second, len(rows)).where((_digit(0, bits) == F.col("cut0")) & (_digit(1, bits) == F.col("cut1")))
+    places = inside.groupBy("source", "h", "cut0", "left1").agg(F.sum("size").alias("words"), F.count("*").alias("copies"))
+    third = _boundary(places, "h", "left1").select("source", "cut0", F.col("h").alias("cut"), (F.col("left1") - F.col("before")).alias("left"), "copies")
+    cuts = {r["source"]: r for r in third.toArrow().to_pylist()}
+    release(meta, by_block, first, second)
+
+    # the blocks that are really drawn, the last one partly, are what the tree deals out
+    quotas = [r[3] * blocks + (cuts[r[0]]["cut0"] + 1 if r[0] in cuts else 0) for r in rows]
     ends = splitting_tree(quotas, shards, seed).cumsum(axis=0)
-    schema = "source string, source_size long, target double, whole long, rest long, ends array<long>"
-    plan = spark.createDataFrame([(*r, [int(x) for x in ends[:, i]]) for i, r in enumerate(rows)], schema)
-    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    small = F.broadcast if len(rows) <= BROADCAST_SOURCES else lambda df: df
-
-    # where the rest of a source ends: in which block, in which part of it, and how many words of that part count
-    def boundary(cells: DataFrame, digit: str, left: str) -> DataFrame:
-        before = F.sum("words").over(Window.partitionBy("source").orderBy(digit)) - F.col("words")
-        cells = cells.withColumn("before", before)
-        return cells.where((F.col("before") < F.col(left)) & (F.col("before") + F.col("words") >= F.col(left)))
-
-    p = plan.select(F.col("source").alias("_s"), "rest")
-    first = boundary(by_block.join(small(p), same("source", "_s")), "b0", "rest").select(F.col("source").alias("_s"), F.col("b0").alias("cut0"), (F.col("rest") - F.col("before")).alias("left0"))
-    inside = meta.join(small(first), same("source", "_s") & (F.col("b0") == F.col("cut0")))
-    second = boundary(inside.groupBy("source", "b1", "cut0", "left0").agg(F.sum("size").alias("words")), "b1", "left0")
-    second = written(second.select(F.col("source").alias("_s"), "cut0", F.col("b1").alias("cut1"), (F.col("left0") - F.col("before")).alias("left1")), "mix-cuts", 1)
-
-    plan = plan.join(second, same("source", "_s"), "left").drop("_s").withColumnRenamed("source", "_s")
-    rows_in = meta.join(small(plan), same("source", "_s")).drop("_s")
-    at_cut = (F.col("b0") == F.col("cut0")) & (F.col("b1") == F.col("cut1"))
-    ahead = F.coalesce((F.col("b0") < F.col("cut0")) | ((F.col("b0") == F.col("cut0")) & (F.col("b1") < F.col("cut1"))), F.lit(False))
-    clear = rows_in.where(~F.coalesce(at_cut, F.lit(False))).withColumn("partly", F.when(ahead, F.col("size")).otherwise(F.lit(0)).cast("long"))
-    order = Window.partitionBy("source").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    cut = rows_in.where(at_cut).withColumn("_sum", F.sum("size").over(order))
-    cut = cut.withColumn("partly", F.greatest(F.lit(0), F.least(F.col("size"), F.col("left1") - F.col("_sum") + F.col("size"))).cast("long")).drop("_sum")
-    out = clear.unionByName(cut)
-
-    n_blocks = F.lit(blocks)
-    whole = F.transform(F.sequence(F.lit(0), F.col("whole").cast("int")), lambda k: F.struct(k.alias("pass"), F.col("size").alias("words")))
-    whole = F.filter(whole, lambda d: (d["pass"] < F.col("whole")) & (d["words"] > 0))
-    part = F.filter(F.array(F.struct(F.col("whole").cast("int").alias("pass"), F.col("partly").alias("words"))), lambda d: d["words"] > 0)
+    none = {"cut": None, "left": 0, "copies": 1}
+    out = [(*r[:4], *(cuts.get(r[0], none)[k] for k in ("cut", "left", "copies")), ends[:, i].tolist()) for i, r in enumerate(rows)]
+    return spark.createDataFrame(out, "_s string, source_size long, target double, whole int, cut long, left long, copies long, ends array<long>"), len(out)
+
+
+def _draws(blocks: int, shards: int, seed: int) -> Column:
+    """What a row with size, h and its source's plan gives: array of pass, shard, block (its place), words."""
+    bits, n_blocks = blocks.bit_length() - 1, F.lit(blocks)
+    at_end = F.least(F.col("size"), F.floor(F.col("left") / F.col("copies")).cast("long"))
+    partly = F.when(F.col("h") < F.col("cut"), F.col("size")).when(F.col("h") == F.col("cut"), at_end).otherwise(F.lit(0)).cast("long")
+    passes = F.transform(F.sequence(F.lit(0), F.col("whole")), lambda k: F.struct(k.alias("pass"), F.when(k < F.col("whole"), F.col("size")).otherwise(partly).alias("words")))
+    passes = F.filter(passes, lambda d: d["words"] > 0)
     # a pass deals its blocks in an order of its own; in the last the blocks in front come first
-    turn = lambda k: F.pmod(F.col("b0") * (2 * k + 1) + F.pmod(F.hash(k, F.lit(seed)), n_blocks), n_blocks)
-    place = lambda d: d["pass"].cast("long") * n_blocks + F.when(d["pass"] < F.col("whole"), turn(d["pass"])).otherwise(F.col("b0"))
-    shard = lambda d: F.least(F.size(F.filter(F.col("ends"), lambda e: e <= place(d))), F.lit(shards - 1))
-    draws = F.transform(F.concat(whole, part), lambda d: F.struct(d["pass"].alias("pass"), shard(d).alias("shard"), place(d).alias("block"), d["words"].alias("words")))
-    out = out.select("doc_id", "source", "size", "source_size", "target", "h", draws.alias("draws"))
+    b0 = _digit(0, bits)
+    turn = lambda k: F.pmod(b0 * (2 * k + 1) + F.pmod(F.hash(k, F.lit(seed)), n_blocks), n_blocks)
+    place = lambda d: d["pass"].cast("long") * n_blocks + F.when(d["pass"] < F.col("whole"), turn(d["pass"])).otherwise(b0)
+    shard = lambda d: F.size(F.filter(F.col("ends"), lambda e: e <= place(d)))
+    return F.transform(passes, lambda d: F.struct(d["pass"].alias("pass"), shard(d).alias("shard"), place(d).alias("block"), d["words"].alias("words")))
+
+
+def plan_mix(docs: DataFrame, shards: int = 64, blocks: int = BLOCKS, seed: int = 7, **options) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, taken, draws (array of pass, shard, block, words)."""
+    plan, n = source_plan(docs, shards=shards, blocks=blocks, seed=seed, **options)
+    rows = docs.select("doc_id", "source", _size().alias("size"), _hash(docs, seed).alias("h"))
+    rows = _with_source(rows, plan, n).withColumn("draws", _draws(blocks, shards, seed))
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"])
-    return out.withColumn("taken", taken)
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "draws")
 
 
 def _first_words(text: str, n: int) -> str:
@@ -147,28 +189,26 @@ def _first_words(text: str, n: int) -> str:
     return text[:end]
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, shards: int = 64, blocks: int = BLOCKS, seed: int = 7, **options) -> DataFrame:
     """The mix itself: a row for each draw of a document, with all its columns and mix_shard, mix_pass,
     mix_order (ascending within a shard) and mix_words. A part of a document is its first mix_words words."""
-    plan = plan_mix(docs, **options)
-    key = lambda d: F.coalesce(d.cast("string"), F.lit(""))
-    draws = plan.where(F.size("draws") > 0).groupBy(key(F.col("doc_id")).alias("_k"), F.coalesce("source", F.lit("")).alias("_s"), F.col("size").alias("_n")).agg(F.max_by(F.struct("draws"), F.col("taken")).alias("_d"))
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.withColumns({"_k": key(F.col("doc_id")), "_s": F.coalesce("source", F.lit("")), "_n": size}).join(draws, ["_k", "_s", "_n"])
-    rows = rows.withColumn("_d", F.explode("_d.draws"))
-    order = F.xxhash64("_k", F.col("_d.shard"), F.col("_d.pass"))
-    more = [F.col("_d.shard").alias("mix_shard"), F.col("_d.pass").alias("mix_pass"), order.alias("mix_order"), F.col("_d.words").alias("mix_words")]
-    kept = [F.col(f"`{c}`") for c in docs.columns if not c.startswith("mix_")]
-    rows = rows.select(*kept, *more, (F.col("_d.words") < F.col("_n")).alias("_part"))
+    plan, n = source_plan(docs, shards=shards, blocks=blocks, seed=seed, **options)
+    own = ("mix_shard", "mix_pass", "mix_order", "mix_words")
+    names = [c for c in docs.columns if c not in own]
+    rows = docs.select(whole_row(docs).alias("row"), "source", _size().alias("size"), _hash(docs, seed).alias("h"))
+    rows = _with_source(rows, plan, n).select("row", "size", "h", F.explode(_draws(blocks, shards, seed)).alias("draw"))
+    more = [F.col("draw.shard"), F.col("draw.pass"), F.xxhash64("h", "draw.shard", "draw.pass"), F.col("draw.words")]
+    kept = [F.col("row").getField(c).alias(c) for c in names]
+    rows = rows.select(*kept, *(c.alias(k) for c, k in zip(more, own, strict=True)), (F.col("draw.words") < F.col("size")).alias("part of " + "".join(names)))
     bounded_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, names = batch.schema.get_field_index("text"), batch.schema.names[:-1]
-            columns = batch.columns[:-1]
-            if (part := batch.column("_part").to_numpy(zero_copy_only=False)).any():
-                texts, words = columns[at].to_pylist(), batch.column("mix_words").to_pylist()
+            columns, part = batch.columns[:-1], batch.columns[-1].to_numpy(zero_copy_only=False)
+            if part.any():
+                at = names.index("text")
+                texts, words = columns[at].to_pylist(), columns[-1].to_pylist()
                 columns[at] = pa.array([_first_words(t, n) if p else t for t, n, p in zip(texts, words, part, strict=True)], columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays(columns, [*names, *own])
 
-    return rows.mapInArrow(cut, rows.drop("_part").schema)
+    return rows.mapInArrow(cut, StructType(rows.schema.fields[:-1]))

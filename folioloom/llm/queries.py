@@ -20,7 +20,8 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", F.to_json("draws").alias("draws"))
 
 
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
