@@ -91,6 +91,33 @@ def in_parts(batches: Iterator[pa.RecordBatch], text: str = "text", most: int =
             start = stop
 
 
+def first_by_hash(df: DataFrame, hashed: str, most: int) -> DataFrame:
+    """The rows with the `most` least values of the long column `hashed`, or of them all if there are fewer.
+
+    The place of the cut is found by counting 12 bits of the hash at a time, so no task gets more than the few rows
+    that share the cut's digits; of rows that tie at the cut by the whole hash, any.
+    """
+    near, left, low = df, most, None
+    place = F.col(hashed).bitwiseXOR(F.lit(-(1 << 63)))  # unsigned order becomes signed order
+    for level in range(5):
+        digit = F.shiftrightunsigned(place, 52 - 12 * level).bitwiseAND(F.lit(4095))
+        counts = sorted((r[0], r[1]) for r in near.groupBy(digit.alias("digit")).count().collect())
+        for value, n in counts:
+            if n > left:
+                break
+            left -= n
+        else:
+            return df if low is None else df.where(low)
+        inside, below = digit == value, digit < value
+        taken = below if low is None else (low | (within & below))
+        within = inside if level == 0 else within & inside
+        low, near = taken, df.where(within)
+        if n <= 1000 or not left:
+            break
+    rest = near.orderBy(hashed).limit(left)
+    return df.where(low).unionByName(rest) if left else df.where(low)
+
+
 def held_out(doc_id: str, of: int):
     """crc32 of the id as text has remainder 2; false where the id is null."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % of == 2, F.lit(False))

@@ -1,9 +1,11 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-The index holds at most `most` labelled documents, chosen by hash. Terms are runs of letters and digits (A-Z
-lower-cased, bytes above 127 count as letters). The vector space has the terms that tell the examples' labels
-apart: their log-likelihood ratio G2 is above 2 ln(number of terms), which few would pass by chance. A term's
-weight is (1 + ln tf) * idf, idf = ln((N + 1) / (df + 1)), df counted over all N documents of the corpus.
+The index holds at most `most` labelled documents of at most `most_bytes` in all, chosen by hash, one for each id.
+Terms are runs of letters and digits (A-Z lower-cased, bytes above 127 count as letters). The vector space has all
+terms of the examples; others have no axis. A term's weight is (1 + ln tf) * idf * telling. idf is
+ln((N + 1) / (df + 1)), with df counted over all N documents of the corpus. telling is the term's log-likelihood
+ratio G2 against the examples' labels, over what chance lets the best of all terms reach (2 ln of their number),
+and at least FLOOR: without it most of a long text's cosine comes from words that say nothing of the label.
 Examples are kept in blocks, with the highest weight of each term in each block. For a text, the weights of its
 terms times those maxima bound every block; blocks are scored exactly, best bound first, until no block left
 can hold one of the K nearest. Ties go to the earlier example.
@@ -12,6 +14,10 @@ The vote is the mean label of the nearest, weighted by cosine to the power SHARP
 terms (an empty or null one too) is nearest to the examples that have none and gets their mean label. A
 logistic curve turns votes into scores, with `cut` at the vote that divides best the votes that examples get
 from the others. Evidence: labels and cosines of the five nearest. Without labels every score is 0.
+
+Labels that are null, neither 0 nor 1, or of a null id are left out; of an id's labels the higher counts, and of
+its texts the one with the least hash. Rows that repeat get the same score. Texts of any length are scored whole.
+Other columns don't matter. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, held_out, in_parts, utf8
+from .common import bounded_batches, first_by_hash, held_out, in_parts, release, utf8, written
 
-MOST_LABELLED, K, BLOCK, SHARP = 6000, 15, 64, 2.0
+MOST_LABELLED, MOST_BYTES, K, BLOCK, SHARP, FLOOR, DENSE = 3000, 64_000_000, 31, 64, 2.0, 0.25, 5
 CUT = 0.3
 
 
@@ -48,57 +54,68 @@ def terms(text: bytes) -> list[bytes]:
     return text.translate(_TERMS).split()
 
 
-def telling(texts: list[bytes], labels: list[int]) -> list[bytes]:
-    """Terms whose presence goes with the label, either way, more than chance lets the best of them all."""
+def telling(names: list[bytes], texts: list[bytes], labels: list[int], floor: float = FLOOR) -> np.ndarray:
+    """By term, how much more than chance lets the best of them all its presence goes with the label; `floor` at least."""
     have = (Counter(), Counter())
     for t, y in zip(texts, labels, strict=True):
         have[y].update(set(terms(t)))
     ones, n = sum(labels), len(labels)
-    names = sorted(have[0].keys() | have[1].keys())
     if not names or not 0 < ones < n:
-        return []
+        return np.ones(len(names))
     a, b = (np.array([h[t] for t in names], np.float64) for h in (have[1], have[0]))
     both, out = a + b, 0.0
     for seen, total, whole in ((a, both, ones), (b, both, n - ones), (ones - a, n - both, ones), (n - ones - b, n - both, n - ones)):
         out = out + 2 * seen * np.log(np.maximum(seen, 1e-12) * n / np.maximum(total * whole, 1e-12))
-    return [t for t, g in zip(names, out.tolist(), strict=True) if g > 2 * np.log(len(names))]
+    return np.maximum(floor, out / (2 * np.log(max(2, len(names)))))
 
 
 class Index:
-    """Postings by term and block; examples are ordered by label, then by their rarest term, to make bounds tight."""
+    """Postings by term and block; examples are ordered by label, then by their heaviest term, to make bounds tight.
+
+    Its attributes are plain arrays and a dict, which executors get by broadcast and put into an Index of their own.
+    """
 
-    def __init__(self, texts: list[bytes], labels: list[int], df: dict[bytes, int], n: int, block: int = BLOCK):
+    def __init__(self, texts: list[bytes], labels: list[int], df: dict[bytes, int], n: int, block: int = BLOCK, floor: float = FLOOR):
         """df: of the terms that make up the vector space."""
-        self.number = {t: i for i, t in enumerate(sorted(df))}
-        counts = [Counter(x for x in terms(t) if x in self.number) for t in texts]
-        idf = np.array([np.log((n + 1) / (min(n, df[t]) + 1)) for t in self.number], np.float64)
-        self.idf, self.block = idf, block
-        lead = [max((idf[self.number[t]], t) for t in c)[1] if c else b"" for c in counts]
+        names = sorted(df)
+        self.number = {t: i for i, t in enumerate(names)}
+        counts = [Counter(self.number[x] for x in terms(t) if x in self.number) for t in texts]
+        axis = np.array([np.log((n + 1) / (min(n, df[t]) + 1)) for t in names], np.float64) * telling(names, texts, labels, floor)
+        self.axis, self.block = axis, block
+        weights = []
+        for c in counts:
+            t = np.fromiter(c.keys(), np.int64, len(c))
+            w = (1 + np.log(np.fromiter(c.values(), np.float64, len(c)))) * axis[t]
+            norm = np.sqrt((w * w).sum())
+            weights.append((t, w / norm if norm else w))
+        lead = [int(t[w.argmax()]) if len(t) else -1 for t, w in weights]
         order = sorted(range(len(texts)), key=lambda i: (labels[i], lead[i], texts[i]))
         self.labels = np.array([labels[i] for i in order], np.float64)
         without = [labels[i] for i in range(len(texts)) if not counts[i]]
         self.vote_without = float(np.mean(without)) if without else float(np.mean(labels)) if labels else 0.0
         self.digests = np.array([int.from_bytes(hashlib.blake2b(texts[i], digest_size=7).digest()) for i in order], np.int64)
-        term, doc, weight = [], [], []
-        for place, i in enumerate(order):
-            t = np.fromiter((self.number[x] for x in counts[i]), np.int64, len(counts[i]))
-            w = (1 + np.log(np.fromiter(counts[i].values(), np.float64, len(counts[i])))) * idf[t]
-            norm = np.sqrt((w * w).sum())
-            term.append(t)
-            doc.append(np.full(len(t), place))
-            weight.append(w / norm if norm else w)
         none = [np.zeros(0)]
-        term, doc, weight = (np.concatenate(x or none) for x in (term, doc, weight))
+        term = np.concatenate([weights[i][0] for i in order] or none).astype(np.int64)
+        weight = np.concatenate([weights[i][1] for i in order] or none)
+        doc = np.repeat(np.arange(len(order)), [len(weights[i][0]) for i in order])
         order = np.lexsort((doc, term))
-        term, self.doc, self.weight = term[order].astype(np.int64), doc[order].astype(np.int32), weight[order]
+        term, self.doc, self.weight = term[order], doc[order], weight[order]
+        self.term_first = np.searchsorted(term, np.arange(len(names) + 1))
+        # terms of many examples also have their weights as a row of a matrix
+        often = np.flatnonzero(np.diff(self.term_first) > max(16, len(texts) // DENSE))
+        self.row = np.full(len(names), -1)
+        self.row[often] = np.arange(len(often))
+        self.rows = np.zeros((len(often), (len(texts) // block + 1) * block), np.float64)
+        mine = self.row[term] >= 0
+        self.rows[self.row[term[mine]], self.doc[mine]] = self.weight[mine]
         # a cell is a term in a block: its postings from cell_first on, and their highest weight
-        key = term * (len(texts) // block + 1) + self.doc // block
+        self.blocks = len(texts) // block + 1
+        key = term * self.blocks + self.doc // block
         first = np.flatnonzero(np.diff(key, prepend=-1))
         self.cell_first = np.append(first, len(key))
-        self.cell_block = (self.doc[first] // block).astype(np.int32)
+        self.cell_block = self.doc[first] // block
         self.cell_most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
         self.term_cells = np.searchsorted(term[first], np.arange(len(self.number) + 1))
-        self.blocks = len(texts) // block + 1
 
     @staticmethod
     def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -107,31 +124,41 @@ class Index:
     def nearest(self, text: bytes, k: int = K, unlike: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest that share a term with the text; unlike: a digest to pass over."""
         number = self.number
-        count = Counter([number[t] for t in terms(text) if t in number])
+        count = Counter(terms(text))
+        count = {number[t]: n for t, n in count.items() if t in number}
         if not count:
             return np.zeros(0, np.int64), np.zeros(0)
         hit, tf = list(count), list(count.values())
         hit = np.array(hit, np.int64)
-        q = (1 + np.log(np.array(tf, np.float64))) * self.idf[hit]
+        q = (1 + np.log(np.array(tf, np.float64))) * self.axis[hit]
         norm = np.sqrt((q * q).sum())
         q = q / norm if norm else q
         n = self.term_cells[hit + 1] - self.term_cells[hit]
-        cell, q = self._ranges(self.term_cells[hit], n), np.repeat(q, n)
+        cell, by_cell = self._ranges(self.term_cells[hit], n), np.repeat(q, n)
         where = self.cell_block[cell]
-        bound = np.bincount(where, q * self.cell_most[cell], self.blocks)
+        bound = np.bincount(where, by_cell * self.cell_most[cell], self.blocks)
         order = np.argsort(-bound, kind="stable")
         score, best, done, least = np.zeros(self.blocks * self.block), None, 0, 0.0
         while done < self.blocks and bound[order[done]] > least:
             step = order[done : done + (6 if not done else self.blocks)]
             step = step[bound[step] > least]
             done = done + 6 if not done else self.blocks
-            chosen = np.zeros(self.blocks, bool)
-            chosen[step] = True
-            own = chosen[where]
-            c = cell[own]
-            m = self.cell_first[c + 1] - self.cell_first[c]
-            post = self._ranges(self.cell_first[c], m)
-            score += np.bincount(self.doc[post], np.repeat(q[own], m) * self.weight[post], len(score))
+            if 3 * len(step) > self.blocks:  # most blocks: whole postings, without a look at cells
+                row = self.row[hit]
+                other = hit[row < 0]
+                post = self._ranges(self.term_first[other], self.term_first[other + 1] - self.term_first[other])
+                each = np.repeat(q[row < 0], self.term_first[other + 1] - self.term_first[other])
+                by_row = np.zeros(len(self.rows))
+                by_row[row[row >= 0]] = q[row >= 0]
+                score = by_row @ self.rows + np.bincount(self.doc[post], self.weight[post] * each, len(score))
+            else:
+                chosen = np.zeros(self.blocks, bool)
+                chosen[step] = True
+                own = chosen[where]
+                c = cell[own]
+                m = self.cell_first[c + 1] - self.cell_first[c]
+                post = self._ranges(self.cell_first[c], m)
+                score += np.bincount(self.doc[post], np.repeat(by_cell[own], m) * self.weight[post], len(score))
             if unlike is not None:
                 score[: len(self.digests)][self.digests == unlike] = 0.0
             best = np.argpartition(-score, k)[:k] if len(score) > k else np.arange(len(score))
@@ -173,42 +200,60 @@ def _score(vote: float, slope: float, middle: float, cut: float) -> float:
     return float(1 / (1 + np.exp(-(slope * (vote - middle) + np.log(cut / (1 - cut))))))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, label: str = "toxic", of: int = 4, cut: float = CUT) -> DataFrame:
-    """doc_id, held_out, score, predicted, nearest (labels and cosines of up to five examples)."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    known = labels.where(~held_out("doc_id", of)).select("doc_id", F.col(label).cast("int").alias("y")).dropna()
-    known = known.orderBy(F.xxhash64("doc_id", F.lit(13)), "doc_id", "y").limit(most)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id").select("text", "y").collect()
-    texts, y = [r.text.encode() for r in rows], [int(r.y) for r in rows]
-    vocabulary = spark.sparkContext.broadcast({t: i for i, t in enumerate(telling(texts, y))})
+def examples(docs: DataFrame, labels: DataFrame, label: str, of: int, most: int, most_bytes: int) -> tuple[list[bytes], list[int]]:
+    """Texts and labels to learn from, at most `most` and `most_bytes`, one for each id, in the order of their hash."""
+    known = labels.where(~held_out("doc_id", of) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("y"))
+    known = known.where(F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.max("y").alias("y")).withColumn("h", F.xxhash64("doc_id", F.lit(13)))
+    known = written(first_by_hash(known, "h", most), "chosen-labels", 1)
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text")).join(F.broadcast(known), "doc_id")
+    rows = written(rows.groupBy("doc_id", "h", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "labelled-texts")
+    sizes = sorted(rows.select("h", "doc_id", F.octet_length("text")).collect())
+    ids = [r[1] for r, total in zip(sizes, np.cumsum([r[2] for r in sizes]), strict=True) if total <= most_bytes]
+    last = ids[-1:] and next(r[0] for r in sizes if r[1] == ids[-1])
+    got = sorted(rows.where(F.col("h") <= last).collect(), key=lambda r: (r["h"], r["doc_id"])) if ids else []
+    release(known, rows)
+    return [r["text"].encode() for r in got], [r["y"] for r in got]
+
 
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def document_frequencies(docs: DataFrame, names: list[bytes]) -> tuple[dict[bytes, int], int]:
+    """(documents that have each of the terms, documents)."""
+    vocabulary = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(names)})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, df, n = vocabulary.value, np.zeros(len(vocabulary.value) + 1, np.int64), 0
         for part in in_parts(batches):
             data, at = utf8(part.column("text"))
             raw, n = data.tobytes(), n + part.num_rows
             for s, e in zip(at.tolist(), at[1:].tolist(), strict=False):
-                own = {number[t] for t in terms(raw[s:e]) if t in number}
+                own = {number[t] for t in set(terms(raw[s:e])) if t in number}
                 df[np.fromiter(own, np.int64, len(own))] += 1
         df[-1] = n
         own = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(df[own])], ["term", "df"])
 
-    counted = docs.select("text").mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toPandas()
-    by_number = dict(zip(counted["term"], counted["df"], strict=True))
-    n = by_number.pop(len(vocabulary.value), 0)
-    name = list(vocabulary.value)
-    index = Index(texts, y, {name[i]: int(c) for i, c in by_number.items()}, n)
+    counted = docs.select("text").mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    by_number = dict(zip(counted.column("term").to_pylist(), counted.column("df").to_pylist(), strict=True))
+    n = by_number.pop(len(names), 0)
+    return {names[i]: c for i, c in by_number.items()}, n
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, label: str = "toxic", of: int = 4, cut: float = CUT, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """doc_id, held_out, score, predicted, nearest (labels and cosines of up to five examples)."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    docs = docs.select("doc_id", "text")
+    texts, y = examples(docs, labels, label, of, most, most_bytes)
+    index = Index(texts, y, *document_frequencies(docs, sorted({x for t in texts for x in terms(t)})))
     digest = lambda t: int.from_bytes(hashlib.blake2b(t, digest_size=7).digest())
-    some = sorted(range(len(texts)), key=lambda i: digest(texts[i]))
-    votes = np.array([index.vote(texts[i], unlike=digest(texts[i])) for i in some])
-    slope, middle = calibrate(votes, np.array([y[i] for i in some], np.float64), cut)
-    shared = spark.sparkContext.broadcast(index)
+    votes = np.array([index.vote(t, unlike=digest(t)) for t in texts])
+    slope, middle = calibrate(votes, np.array(y, np.float64), cut)
+    shared = spark.sparkContext.broadcast(vars(index))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = Index.__new__(Index)
+        vars(index).update(shared.value)
         for part in in_parts(batches):
             data, at = utf8(part.column("text"))
             raw, score, votes, evidence = data.tobytes(), [], {}, []
@@ -225,5 +270,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED
             near = pa.array(evidence, pa.list_(pa.struct([("label", pa.int32()), ("cosine", pa.float64())])))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score), pa.array((score >= cut).astype(np.int32)), near], ["doc_id", "score", "predicted", "nearest"])
 
-    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int, nearest array<struct<label:int,cosine:double>>")
+    out = docs.mapInArrow(run, f"doc_id {kind}, score double, predicted int, nearest array<struct<label:int,cosine:double>>")
     return out.select("doc_id", held_out("doc_id", of).alias("held_out"), "score", "predicted", "nearest")

@@ -1,14 +1,17 @@
 """Operators against plain versions of their contracts on the smallest tables, and held-out accuracy."""
 
 import hashlib
+import os
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
 
-from folioloom.llm import attention_lm, decontaminate, mixing, simhash, suffix_dedup, syncmers
+from folioloom.llm import attention_lm, decontaminate, mixing, simhash, suffix_dedup, syncmers, toxicity
 from folioloom.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -55,6 +58,46 @@ def test_mix_rows(spark):
     assert mixed.mix_shard.between(0, 63).all()
 
 
+def test_draws_fill_the_leaves_of_the_tree(spark, docs):
+    """The blocks that are drawn, counted one by one, are those of the splitting tree, shard by shard."""
+    shards, blocks, seed = 5, 4, 7
+    plan = mixing.plan_mix(spark.read.parquet(f"{SF}/documents.parquet").where("source in ('src0', 'src1', 'src2')"), shards=shards, blocks=blocks, seed=seed).collect()
+    sources = sorted({r.source for r in plan})
+    used = [{(d["block"], d["shard"]) for r in plan if r.source == s for d in r.draws} for s in sources]
+    quotas = [max(b for b, _ in u) + 1 for u in used]
+    assert all(len(u) == q for u, q in zip(used, quotas, strict=True))  # every block is met, and in one shard
+    tree = mixing.splitting_tree(quotas, shards, seed)
+    assert [[sum(k == s for _, s in u) for u in used] for k in range(shards)] == tree.tolist()
+    whole = [r for r in plan if r.source == "src0"]
+    rest = round(whole[0].target) % whole[0].source_size
+    assert sum(d["words"] for r in whole for d in r.draws if d["pass"] == round(r.target) // r.source_size) == rest
+
+
+def test_mix_of_repeated_and_null_rows(spark):
+    """Rows that share an id are rows of their own; ids and sources that are null aren't empty ones; names may clash."""
+    rows = [(1, "a b c d e f g", "x"), (1, "h i", "x"), (1, "a b c d e f g", "x"), (None, "k l m", "x"), (None, "n", None), (None, None, None), (2, "o p q r s", ""), (3, "t u", None), (4, "v w x y", "y")]
+    names = ["_k", "_s", "_n", "_d", "h", "size", "row", "target", "mix_x", "mix_shard"]
+    docs = spark.createDataFrame([(*r, *range(10)) for r in rows], "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    plan = mixing.plan_mix(docs).collect()
+    assert len(plan) == len(rows) and {r.source for r in plan} == {None, "", "x", "y"}
+    for s in (None, "", "x", "y"):
+        own = [r for r in plan if r.source == s]
+        assert sum(r["size"] for r in own) == own[0].source_size and 0 <= round(own[0].target) - sum(r.taken for r in own) <= 1
+    out = mixing.mix(docs)
+    assert out.columns == [*(c for c in docs.columns if c != "mix_shard"), "mix_shard", "mix_pass", "mix_order", "mix_words"]
+    got = out.collect()
+    assert all(len(r.text.split()) == r.mix_words and (r._k, r._d, r["size"], r.mix_x) == (0, 3, 5, 8) for r in got)
+    assert sorted((str(r.doc_id), str(r.source), r.mix_words) for r in got) == sorted((str(r.doc_id), str(r.source), d["words"]) for r in plan for d in r.draws)
+    mixed = mixing.mix(docs.limit(0))
+    assert mixed.count() == 0 and mixed.columns == out.columns
+    monkey, mixing.BROADCAST_SOURCES = mixing.BROADCAST_SOURCES, 0
+    try:
+        joined = mixing.plan_mix(docs).collect()
+    finally:
+        mixing.BROADCAST_SOURCES = monkey
+    assert sorted(map(str, joined)) == sorted(map(str, plan))
+
+
 def test_language(spark, docs):
     got = by_id(spark, "op3_langid").loc[docs.doc_id]
     held = got.held_out.to_numpy()
@@ -189,7 +232,6 @@ def test_links_of_dense_groups(spark, options):
             root[root == max(root[i], root[j])] = min(root[i], root[j])
         return root
 
-    assert all(near[place[a], place[b]] for a, b in got) or True  # a link connects what is connected
     assert (roots((place[a], place[b]) for a, b in got) == roots(zip(*map(list, np.nonzero(near)), strict=True))).all()
 
 
@@ -208,6 +250,53 @@ def test_classifiers(spark, monkeypatch):
     assert accuracy(spark, "op8_toxicity", "toxic", 0.3) > 0.9
 
 
+@pytest.mark.parametrize("block", [4, 64])
+def test_nearest_is_plain_cosine(docs, block):
+    """Every term of the examples is an axis; the nearest are those of a plain cosine of all pairs."""
+    texts = [(t or "").encode() for t in docs.text]
+    labels = [int(i % 5 == 0) for i in range(len(texts))]
+    df = Counter(x for t in texts for x in set(toxicity.terms(t)))
+    known = {x: df[x] for x in {x for t in texts[:120] for x in toxicity.terms(t)}}
+    index = toxicity.Index(texts[:120], labels[:120], known, len(texts), block=block)
+    axis = dict(zip(sorted(known), index.axis, strict=True))
+    assert set(axis) == {x for t in texts[:120] for x in toxicity.terms(t)} and min(axis.values()) >= 0
+
+    def vector(t):
+        w = {x: (1 + np.log(n)) * axis[x] for x, n in Counter(toxicity.terms(t)).items() if x in axis}
+        size = np.sqrt(sum(v * v for v in w.values()))
+        return {x: v / size for x, v in w.items()} if size else {}
+
+    vectors = [vector(t) for t in texts]
+    for q in range(100, len(texts)):
+        want = sorted((sum(v * d.get(x, 0) for x, v in vectors[q].items()) for d in vectors[:120]), reverse=True)[: toxicity.K]
+        got = index.nearest(texts[q])[1]
+        assert np.allclose(got, [c for c in want if c > 0], atol=1e-9)
+
+
+def test_toxicity_scores_are_votes(spark, docs):
+    got = by_id(spark, "op8_toxicity").loc[docs.doc_id]
+    assert got.score.between(0, 1).all() and got.score.round(6).nunique() > 20 and ((got.score >= 0.3) == (got.predicted == 1)).all()
+
+
+def test_workers_without_the_package(tmp_path):
+    """What travels to executors comes along whole: their Python has no path to the repository."""
+    code = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+s = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp}").getOrCreate()
+from folioloom.llm.queries import QUERIES
+sys.path.pop(0)
+for name in ("op8_toxicity", "op3_langid", "op9_quality", "op10_decontamination", "op1_url_filter"):
+    assert QUERIES[name](s, "/root/testdata/sf0.001").toPandas() is not None, name
+print("all done")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code.format(repo=repo, tmp=tmp_path)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "all done" in out.stdout, out.stderr[-2000:]
+
+
 def test_decontamination(spark, docs):
     got = QUERIES["op10_decontamination"](spark, SF).toPandas()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").toPandas()
