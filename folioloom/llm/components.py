@@ -1,7 +1,9 @@
 """Connected components of links between keys, by alternating large-star and small-star rounds.
 
-A round is two shuffles whose rows never exceed the links; each is written to the shared folder, so lineage
-stays short and lost executors cost a stage. Keys of very many links are spread by salted partial minima.
+A round is two stars, whose rows never exceed twice the links; each round is written to the shared folder, so lineage
+stays short and lost executors cost a stage. Minima are aggregated before the shuffle; the links of a hot key meet
+their minimum in a plain join, which adaptive execution splits. Rounds go on until nothing changes: a round cuts
+the height of the trees, so they are about the logarithm of the longest path.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import release, written
 
 
 def _star(links: DataFrame, larger: bool) -> DataFrame:
@@ -28,19 +30,16 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
     return moved.where(F.col("u") != F.col("v")).distinct()
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """links: u, v of one type. Returns u, root for every key that isn't the least of its component."""
     links = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where(F.col("u") != F.col("v"))
     links = written(links.distinct(), "links")
     sums = lambda df: tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
     before = sums(links)
-    for _ in range(most_rounds):
-        if not before[0]:
-            break
-        links = written(_star(_star(links, True), False), "links")
+    while before[0]:
+        old, links = links, written(_star(_star(links, True), False), "links")
+        release(old)
         if (now := sums(links)) == before:
             break
         before = now
-    else:
-        raise RuntimeError("components did not settle")
     return links.select("u", F.col("v").alias("root"))

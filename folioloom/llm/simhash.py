@@ -4,14 +4,19 @@ Fingerprint: of the lower-cased words' shingles, repeats included, bit i is 1 if
 XXH64 values (seed 42) have it. Two fingerprints within `most` bits agree within `most // CHUNKS` bits on one
 of CHUNKS chunks of theirs. For each chunk a vantage-point tree, built from a bounded sample of chunk values,
 divides all distinct fingerprints into shards by their chunk's distance from vantage points; the triangle
-bound says which other shards a fingerprint's ball can reach, and it queries those too. A shard compares whole
-fingerprints in a vantage-point tree of its own, exactly. Shards that hold more than BLOCK fingerprints are cut
-into blocks, and each pair of blocks is searched. A shard gives links that connect what it found connected, not
-all pairs, so dense groups stay linear.
+bound says which other shards a fingerprint's ball can reach, and it queries those too. With 5 chunks and 4 bits
+the ball is a point, which only its own shard can hold; with 4 chunks it has one bit and reaches others. A shard
+compares whole fingerprints in a vantage-point tree of its own, exactly.
+
+Shards of more than DEEP * BLOCK fingerprints are dealt once more: where a chunk agrees, the other bits differ in
+`most` places at most, so one of CHUNKS parts of them agrees too, and so on up to LEVELS times. The key so gets
+longer as the corpus grows. What still is over BLOCK is cut into blocks, and each pair of blocks is searched.
+A shard gives links that connect what it found connected, not all pairs, so dense groups stay linear.
 
 Empty and null texts have fingerprint zero and are linked like any other. Equal fingerprints are one class.
-A component's id is its least doc_id; a null doc_id counts only if the component has no other. An empty table
-gives an empty result.
+A component's id is its least doc_id; a null doc_id counts only if the component has no other. Rows that repeat
+are of one component. Texts of any length are read whole. Other columns don't matter, whatever their names. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,11 +30,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, words_of, written
+from .common import bounded_batches, first_by_hash, whole_row, words_of, written
 from .components import components
 
 SEED, BITS = 42, 64
 CHUNKS, SAMPLE, BLOCK, LEAF = 5, 20_000, 8192, 48  # chunks of at most 16 bits
+DEEP, LEVELS = 16, 3
+#: Lists of full shards up to this length are broadcast.
+BROADCAST_SHARDS = 100_000
 
 
 def shingle_hashes(text: str | None, width: int = 4) -> np.ndarray:
@@ -167,16 +175,25 @@ def forest(values: np.ndarray, most: int, home: np.ndarray | None = None) -> tup
     return np.concatenate(a or none), np.concatenate(b or none)
 
 
-def links(distinct: DataFrame, most: int = 4, chunks: int = CHUNKS, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
-    """u, v that connect the fingerprints (column fp, distinct) within `most` bits of each other."""
-    spark = distinct.sparkSession
-    reach = most // chunks
+def _bits(first: int, last: int) -> int:
+    return (1 << last) - (1 << first)
+
+
+def _parts(mask: int, chunks: int) -> list[int]:
+    """The bits that a mask leaves, in `chunks` masks."""
+    free = [i for i in range(BITS) if not mask >> i & 1]
+    return [sum(1 << int(i) for i in own) for own in np.array_split(free, chunks) if len(own)]
+
+
+def _shards(distinct: DataFrame, most: int, chunks: int, sample: int) -> DataFrame:
+    """shard, fp, home (whether the shard is the fingerprint's own), mask (bits that agree, where a ball is a point)."""
+    reach, edges = most // chunks, np.linspace(0, BITS, chunks + 1).astype(int).tolist()
     if -(-BITS // chunks) > 16:
         raise ValueError("chunks must have at most 16 bits")
-    edges = np.linspace(0, BITS, chunks + 1).astype(int)
-    some = distinct.orderBy(F.xxhash64("fp")).limit(sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
-    cut = lambda v, k: (v >> np.uint64(edges[k])) & np.uint64((1 << int(edges[k + 1] - edges[k])) - 1)
-    routes = spark.sparkContext.broadcast([VantageTree(np.unique(cut(some, k)), 2, seed=k).routes(int(edges[k + 1] - edges[k]), reach) for k in range(chunks)])
+    some = first_by_hash(distinct.withColumn("h", F.xxhash64("fp")), "h", sample).select("fp").toArrow()["fp"].to_numpy().view(np.uint64)
+    cut = lambda v, k: (v >> np.uint64(edges[k])) & np.uint64(_bits(0, edges[k + 1] - edges[k]))
+    routes = distinct.sparkSession.sparkContext.broadcast([VantageTree(np.unique(cut(some, k)), 2, seed=k).routes(edges[k + 1] - edges[k], reach) for k in range(chunks)])
+    masks = np.array([_bits(a, z) for a, z in zip(edges, edges[1:], strict=False)], np.uint64).view(np.int64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,18 +202,45 @@ def links(distinct: DataFrame, most: int = 4, chunks: int = CHUNKS, block: int =
                 value = cut(fp.view(np.uint64), k).astype(np.int64)
                 n = first[value + 1] - first[value]
                 at = np.repeat(first[value] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                yield pa.RecordBatch.from_arrays([pa.array(k * 10_000_000 + leaf[at]), pa.array(np.repeat(fp, n)), pa.array(home[at])], ["shard", "fp", "home"])
+                yield pa.RecordBatch.from_arrays([pa.array(k * 10_000_000 + leaf[at]), pa.array(np.repeat(fp, n)), pa.array(home[at]), pa.array(np.full(len(at), masks[k]))], ["shard", "fp", "home", "mask"])
+
+    dealt = distinct.mapInArrow(deal, "shard long, fp long, home boolean, mask long")
+    return dealt.groupBy("shard", "fp", "mask").agg(F.max("home").alias("home")) if reach else dealt
+
 
-    dealt = distinct.mapInArrow(deal, "shard long, fp long, home boolean")
-    if reach:
-        dealt = dealt.groupBy("shard", "fp").agg(F.max("home").alias("home"))
-    dealt = written(dealt, "shards")
+def _deeper(rows: DataFrame, chunks: int) -> DataFrame:
+    """Rows of full shards, dealt by a part of the bits that aren't known to agree."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp, mask = batch.column("fp").to_numpy(), batch.column("mask").to_numpy()
+            for m in np.unique(mask):
+                own = fp[mask == m]
+                for part in _parts(int(m) & _bits(0, BITS), chunks):
+                    both = np.array([int(m) & _bits(0, BITS) | part], np.uint64).view(np.int64)[0]
+                    yield pa.RecordBatch.from_arrays([pa.array(own & both), pa.array(own), pa.array(np.ones(len(own), bool)), pa.array(np.full(len(own), both))], ["value", "fp", "home", "mask"])
+
+    return rows.select("fp", "mask").mapInArrow(deal, "value long, fp long, home boolean, mask long").select(F.xxhash64("mask", "value").alias("shard"), "fp", "home", "mask").distinct()
+
+
+def links(distinct: DataFrame, most: int = 4, chunks: int = CHUNKS, block: int = BLOCK, sample: int = SAMPLE, deep: int = DEEP) -> DataFrame:
+    """u, v that connect the fingerprints (column fp, distinct) within `most` bits of each other."""
+    reach = most // chunks
+    dealt, ready = written(_shards(distinct, most, chunks, sample), "shards"), []
+    for _ in range(0 if reach else LEVELS):
+        full = written(dealt.groupBy("shard").count().where(F.col("count") > deep * block).select("shard"), "full-shards")
+        if not (n := full.count()):
+            break
+        full = F.broadcast(full) if n <= BROADCAST_SHARDS else full
+        ready.append(dealt.join(full, "shard", "left_anti"))
+        dealt = written(_deeper(dealt.join(full, "shard", "left_semi"), chunks), "shards")
+    for other in ready:
+        dealt = dealt.unionByName(other)
     # full shards are cut into blocks; a block meets itself and each later one
-    full = {r.shard: -(-r["count"] // block) for r in dealt.groupBy("shard").count().where(F.col("count") > block).collect()}
-    parts = F.lit(1)
-    if full:
-        parts = F.coalesce(F.create_map(*(F.lit(x) for kv in full.items() for x in kv))[F.col("shard")], F.lit(1))
-    dealt = dealt.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("fp", F.lit(9)), F.col("parts")).cast("int"))
+    sizes = written(dealt.groupBy("shard").count().where(F.col("count") > block).select("shard", F.ceil(F.col("count") / block).cast("int").alias("parts")), "full-shards")
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_SHARDS else sizes
+    dealt = dealt.join(sizes, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp", F.lit(9)), F.col("parts")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")))
     dealt = dealt.select("shard", "fp", "home", F.explode(others).alias("pair"))
 
@@ -252,19 +296,20 @@ def near_duplicates(docs: DataFrame, width: int = 4, most: int = 4, **options) -
 def keep_one(docs: DataFrame, width: int = 4, most: int = 4, **options) -> DataFrame:
     """One row of each component, with all its columns: the least id, of equal ids the least digest of the text.
 
-    A row is known by its id and its text, so rows that share an id but not a component don't touch each other.
-    Of rows that repeat an id and a text one stays; a null id stays only where its component has no other.
+    A row is known by its id, its text and its other columns (but for maps, which have no order), so rows that share
+    an id but not a component don't touch each other. Of rows that are alike in all that one stays; a null id stays
+    only where its component has no other.
     """
-    marked = docs.withColumn("_digest", F.md5(F.coalesce("text", F.lit(""))))
-    rows = written(fingerprints(marked, width, ("_digest",)), "fingerprints")
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_digest")
-    stays = _rooted(rows, first, most, **options).groupBy("root").agg(F.min("least").alias("row")).select("row.doc_id", "row._digest")
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["_digest"] == b["_digest"])
-    out = marked.join(stays, same(marked, stays), "left_semi")
-    once = rows.groupBy("doc_id", "_digest").count().where(F.col("count") > 1).select("doc_id", "_digest")
-    repeated = once.limit(1).count()
-    if repeated:
-        several = out.join(once, same(out, once), "left_semi")
-        single = out.join(once, same(out, once), "left_anti")
-        out = single.unionByName(several.dropDuplicates(["doc_id", "_digest"]))
-    return out.drop("_digest")
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in ("doc_id", "text") and "map<" not in f.dataType.simpleString()]
+    marked = docs.select(whole_row(docs).alias("row"), "doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("digest"), F.xxhash64(F.col("text").isNull(), *plain).alias("rest"))
+    rows = written(fingerprints(marked, width, ("digest", "rest")), "fingerprints")
+    key = ["doc_id", "digest", "rest"]
+    first = F.struct(F.col("doc_id").isNull().alias("none"), *key)
+    stays = _rooted(rows, first, most, **options).groupBy("root").agg(F.min("least").alias("row")).select(*(F.col(f"row.{k}").alias(f"its_{k}") for k in key))
+    same = F.col("doc_id").eqNullSafe(F.col("its_doc_id")) & (F.col("digest") == F.col("its_digest")) & (F.col("rest") == F.col("its_rest"))
+    out = marked.join(stays, same, "left_semi")
+    again = rows.groupBy(*key).count().where(F.col("count") > 1).select(*(F.col(k).alias(f"its_{k}") for k in key))
+    again = written(again, "repeated-rows")
+    if not again.isEmpty():
+        out = out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates(key))
+    return out.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

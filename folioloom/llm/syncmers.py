@@ -2,12 +2,16 @@
 
 A closed syncmer is a k-mer whose least s-mer (by hash) starts at its first or last place; whether a k-mer is
 one depends on nothing around it. Of a text's syncmers, each of SLOTS slots keeps the one with the least hash
-(the first, if it occurs more than once) and its position. A fingerprint is six hex digits a slot: three of
-the hash, three of the position in steps of STEP bytes; dots where a slot is empty. Likeness is the share of
-the slots filled in either fingerprint in which both have one hash on the commonest shift of positions.
+(the first, if it occurs more than once) and its position. A fingerprint is ten hex digits a slot: three of
+the hash, seven of the position in steps of STEP bytes, enough for any string; dots where a slot is empty.
+Likeness is the share of the slots filled in either fingerprint in which both have one hash on the commonest
+shift of positions.
 
 Texts are compared as UTF-8. A text shorter than a k-mer has one anchor, its own hash; an empty or null text
-has none, and two without any are alike (1.0).
+has none, and two without any are alike (1.0). Ids may be of any type that can be ordered. Rows of one id are in
+the order of their texts' hash, so a hot id is dealt to many tasks; rows that repeat an id and a text follow each
+other. Very long texts are read whole, one at a time. Other columns don't matter. An empty table gives an empty
+result, a single row is its own next.
 """
 
 from __future__ import annotations
@@ -19,13 +23,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches
 
 K, S, SLOTS, STEP = 16, 8, 128, 16
-PART_BYTES, MOST_PARTS = 8_000_000, 20_000
+#: A part of the ids has at most about so many bytes of text; there are as many as shuffle partitions at least.
+PART_BYTES, SAMPLED = 256_000_000, 8
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -65,7 +70,7 @@ def sketches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     cell = (doc * SLOTS + slot)[order]
     first = order[np.flatnonzero(np.diff(cell, prepend=-1))]
     hashes[doc[first], slot[first]] = (h[first] & np.uint64(0xFFF)).astype(np.int32)
-    places[doc[first], slot[first]] = (at[first] // STEP) & 0xFFF
+    places[doc[first], slot[first]] = at[first] // STEP
     for i, t in enumerate(texts):
         if 0 < len(t) < K:
             x = xxhash.xxh64_intdigest(t)
@@ -77,7 +82,7 @@ _HEX = np.array([list(b"%03x" % i) for i in range(4096)], np.uint8)
 
 
 def strings(hashes: np.ndarray, places: np.ndarray) -> list[str]:
-    out = np.concatenate([_HEX[hashes & 0xFFF], _HEX[places]], axis=2)
+    out = np.concatenate([_HEX[hashes & 0xFFF], _HEX[places >> 16 & 0xFFF], _HEX[places >> 4 & 0xFFF], _HEX[places & 0xF, 2:]], axis=2)
     out[hashes < 0] = ord(".")
     return [row.tobytes().decode() for row in out.reshape(len(out), -1)]
 
@@ -86,13 +91,14 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     """Of fingerprints row by row, from 0 to 1."""
     filled = ((a[0] >= 0) | (b[0] >= 0)).sum(axis=1)
     same = (a[0] == b[0]) & (a[0] >= 0)
-    shift = np.where(same, (a[1] - b[1] + 1) & 0xFFF, -1)  # a step more or less from rounding goes with its neighbour
+    none = np.int64(-(1 << 40))
+    shift = np.where(same, a[1].astype(np.int64) - b[1], none)  # a step more or less from rounding goes with its neighbour
     out = np.zeros(len(filled))
     shift.sort(axis=1)
     for i in range(len(out)):
         if not filled[i]:
             out[i] = 1.0
-        elif len(own := shift[i, np.searchsorted(shift[i], 0) :]):
+        elif len(own := shift[i, np.searchsorted(shift[i], none, "right") :]):
             near = np.searchsorted(own, own + 1, "right") - np.arange(len(own))
             out[i] = near.max() / filled[i]
     return out
@@ -103,35 +109,60 @@ def _edited(text: str, after: str) -> str:
     return text[: len(text) - half] + after[:half]
 
 
+def _order(kind: str) -> Column:
+    """doc_id as a long or a string that sorts like it, null first."""
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    if kind.startswith(("decimal", "float", "double", "date", "timestamp", "boolean")):
+        raise ValueError(f"ids of type {kind}: cast them to long or string")
+    return F.coalesce(F.concat(F.lit("1"), F.col("doc_id").cast("string")), F.lit("0"))
+
+
+def _place(cut_key: np.ndarray, cut_hash: np.ndarray, key: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(how many cuts are at or before each (key, hash), whether it is one)."""
+    low, high = np.searchsorted(cut_key, key, "left"), np.searchsorted(cut_key, key, "right")
+    at, is_cut = low.copy(), np.zeros(len(key), bool)
+    for k in np.unique(low[high > low]):
+        own = (low == k) & (high > low)
+        cuts = cut_hash[k : high[own][0]]
+        at[own] = k + np.searchsorted(cuts, h[own], "right")
+        is_cut[own] = np.isin(h[own], cuts)
+    return at, is_cut
+
+
 def fingerprint_with_edits(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """Fingerprints of every text and of the text whose last half gives way to the front of the next document's.
 
-    Next is by doc_id, null first, then by text; the first follows the last. Returns doc_id, n_chars,
+    Next is by doc_id, null first, then by hash of the text; the first follows the last. Returns doc_id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
     Documents are dealt to ranges of ids; the first of each range is also sent to the range before it.
     """
-    spark = docs.sparkSession
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     bounded_batches(spark)
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"))
-    total, least = docs.agg(F.sum(F.octet_length("text")), F.min("key")).first()
-    parts = int(min(MOST_PARTS, 1 + (total or 0) // part_bytes))
-    cuts = docs.agg(F.percentile_approx("key", [k / parts for k in range(1, parts)], 10 * parts)).first()[0] if parts > 1 and least is not None else []
-    cuts = sorted({least, *cuts}) if least is not None else []
-    bounds = spark.sparkContext.broadcast(np.array(cuts, np.int64))
+    text = F.coalesce("text", F.lit(""))
+    docs = docs.select("doc_id", text.alias("text"), _order(kind).alias("key"), F.xxhash64(text).alias("h"))
+    total, n, least = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*"), F.min(F.struct("key", "h"))).first()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1 + total // part_bytes)
+    # cuts are keys of a sample, the first of all included
+    chosen = F.pmod(F.xxhash64("key", "h", F.lit(3)), F.lit(1 << 30)) < int(min(1.0, SAMPLED * parts / max(1, n)) * (1 << 30))
+    sample = sorted({(r["key"], r["h"]) for r in docs.select("key", "h").where(chosen).toArrow().to_pylist()})
+    cuts = sorted({sample[k * len(sample) // parts] for k in range(1, parts)} | {tuple(least)}) if sample else [tuple(least)] if least else []
+    keys = np.array([k for k, _ in cuts], np.int64 if docs.schema["key"].dataType.simpleString() == "bigint" else object)
+    bounds = spark.sparkContext.broadcast((keys, np.array([h for _, h in cuts], np.int64)))
 
     @F.pandas_udf("array<int>")
-    def dealt(key: pd.Series) -> pd.Series:
-        at = np.searchsorted(bounds.value, key.to_numpy(np.int64), "right") - 1
-        first = bounds.value[at] == key.to_numpy(np.int64)
-        last = len(bounds.value) - 1
-        return pd.Series([[int(p), int(p - 1 if p else last)] if f else [int(p)] for p, f in zip(at, first, strict=True)])
-
-    rows = docs.withColumn("_p", dealt("key")).select("doc_id", "text", "key", F.posexplode("_p").alias("guest", "part"))
-    rows = rows.repartition(max(1, 2 * len(cuts)), "part").sortWithinPartitions("part", "guest", "key", "text")
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    def dealt(key: pd.Series, h: pd.Series) -> pd.Series:
+        at, first = _place(*bounds.value, key.to_numpy(), h.to_numpy(np.int64))
+        last = len(bounds.value[0]) - 1
+        return pd.Series([[p, p - 1 if p else last] if f else [p] for p, f in zip((at - 1).tolist(), first.tolist(), strict=True)])
+
+    rows = docs.withColumn("to", dealt("key", "h")).select("doc_id", "text", "key", "h", F.posexplode("to").alias("guest", "part"))
+    rows = rows.repartitionById(max(1, len(cuts)), F.col("part")).sortWithinPartitions("guest", "key", "h", "text")
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A part's own rows come in their order, then its guest, the first row of the next part."""
+
         def out(ids: list, texts: list[str]) -> pa.RecordBatch:
             """Of all texts but the last, which is the next of the one before it."""
             edited = [_edited(a, b) for a, b in zip(texts, texts[1:], strict=False)]
@@ -141,17 +172,13 @@ def fingerprint_with_edits(docs: DataFrame, part_bytes: int = PART_BYTES) -> Dat
             cols = [pa.array(ids[:-1], pa_kind), pa.array([len(t) for t in texts[:-1]], pa.int64()), [hashlib.sha256(t).hexdigest() for t in raw], strings(*own), strings(*theirs), likeness(own, theirs), likeness(own, after)]
             return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names)
 
-        ids, texts, part, guests, size, pa_kind = [], [], None, 0, 0, None
+        ids, texts, size, pa_kind, over = [], [], 0, None, False
         for batch in batches:
             pa_kind = batch.column("doc_id").type
-            for i, t, p, g in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "part", "guest")), strict=True):
-                if p != part:
-                    if len(ids) > 1:
-                        yield out(ids, texts)
-                    ids, texts, part, guests, size = [], [], p, 0, 0
-                if g and guests:
-                    continue
-                guests += g
+            for i, t, g in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("guest").to_pylist(), strict=True):
+                if over:
+                    break  # guests that repeat the first one
+                t, over = t.as_py(), bool(g)
                 ids.append(i)
                 texts.append(t)
                 size += len(t)
@@ -162,4 +189,4 @@ def fingerprint_with_edits(docs: DataFrame, part_bytes: int = PART_BYTES) -> Dat
         if len(ids) > 1:
             yield out(ids, texts)
 
-    return rows.select("doc_id", "text", "part", "guest").mapInArrow(run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return rows.select("doc_id", "text", "guest").mapInArrow(run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

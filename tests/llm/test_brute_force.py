@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from folioloom.llm import attention_lm, decontaminate, mixing, simhash, suffix_dedup, syncmers, toxicity
 from folioloom.llm.queries import QUERIES
@@ -150,6 +151,72 @@ def test_syncmers_over_many_parts(spark, docs):
     assert few.equals(many)
 
 
+def slow_sketch(text):
+    """(hash, place) by slot, from the definition."""
+    a, b, c, top = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, (1 << 64) - 1
+    if 0 < len(text) < 16:
+        x = xxhash.xxh64_intdigest(text)
+        return {x >> 57: (x & 0xFFF, 0)}
+    v = [int.from_bytes(text[i : i + 8], "little") * a & top for i in range(len(text) - 7)]
+    v = [x ^ x >> 32 for x in v]
+    h = [(x * b & top) >> 32 for x in v]
+    out = {}
+    for i in range(len(text) - 15):
+        own = h[i : i + 9]
+        if own[0] == min(own) or own[8] < min(own[:8]):
+            m = ((v[i] * c & top) ^ v[i + 8]) * b & top
+            m ^= m >> 29
+            new = (m & (1 << 44) - 1, i, m)
+            if new < out.get(m >> 57, (1 << 64,)):
+                out[m >> 57] = new
+    return {k: (m & 0xFFF, i // 16) for k, (_, i, m) in out.items()}
+
+
+def slow_likeness(a, b):
+    shifts = [a[k][1] - b[k][1] for k in a.keys() & b.keys() if a[k][0] == b[k][0]]
+    filled = len(a.keys() | b.keys())
+    return max((sum(s in (x, x + 1) for s in shifts) for x in shifts), default=0) / filled if filled else 1.0
+
+
+def test_fingerprints_and_likeness(spark, docs):
+    got = by_id(spark, "op5_syncmers").loc[docs.doc_id]
+    texts = [t or "" for t in docs.text]
+    sketch = [slow_sketch(t.encode()) for t in texts]
+    for i, row in enumerate(got.itertuples()):
+        after = texts[(i + 1) % len(texts)]
+        half = len(texts[i]) // 2
+        edited = slow_sketch((texts[i][: len(texts[i]) - half] + after[:half]).encode())
+        for want, string in ((sketch[i], row.fingerprint), (edited, row.edited_fingerprint)):
+            assert string == "".join("%03x%07x" % want[k] if k in want else "." * 10 for k in range(128))
+        assert row.near_edited == pytest.approx(slow_likeness(sketch[i], edited))
+        assert row.near_next == pytest.approx(slow_likeness(sketch[i], sketch[(i + 1) % len(texts)]))
+
+
+@pytest.mark.parametrize("kind", ["string", "long", "int"])
+def test_next_document_by_any_id(spark, kind):
+    """Ids that are null, strings or repeat very often: next is by id, then by the text's hash, whatever the parts."""
+    texts = [f"text number {i} " * (1 + i % 5) for i in range(300)]
+    ids = [None if i % 3 == 0 else str(i % 7) if i % 2 else str(i) for i in range(300)]
+    df = spark.createDataFrame([(None if x is None else x if kind == "string" else int(x), t) for x, t in zip(ids, texts, strict=True)], f"doc_id {kind}, text string")
+    order = [(r.doc_id, r.text) for r in df.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()]
+    want = Counter()
+    for (x, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        half = len(t) // 2
+        want[x, hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest()] += 1
+    for size in (1 << 30, 500):
+        got = syncmers.fingerprint_with_edits(df, part_bytes=size).collect()
+        assert Counter((r.doc_id, r.edited_sha256) for r in got) == want
+
+
+def test_shifts_of_long_texts():
+    """A passage 100,000 bytes further on is one shift, and differs from its place 65,536 bytes before."""
+    rng = np.random.default_rng(4)
+    draw = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes()
+    same = draw(3000)
+    at, h = syncmers.sketches([same, draw(100_000) + same])
+    assert h[1].max() > 4096 and syncmers.likeness((at[:1], h[:1]), (at[:1], h[:1] + 6250))[0] == 1.0
+
+
 def test_syncmers_are_context_free():
     rng = np.random.default_rng(1)
     data = rng.integers(97, 123, 4000, dtype=np.uint8)
@@ -215,7 +282,7 @@ def test_simhash(spark, docs):
     assert [docs.doc_id[r] for r in root] == got.component_id.tolist()
 
 
-@pytest.mark.parametrize("options", [{}, {"chunks": 4}, {"block": 16}])
+@pytest.mark.parametrize("options", [{}, {"chunks": 4}, {"block": 16}, {"block": 16, "deep": 1}, {"block": 4, "deep": 0}])
 def test_links_of_dense_groups(spark, options):
     rng = np.random.default_rng(2)
     v = rng.integers(0, 1 << 63, 60, dtype=np.uint64)

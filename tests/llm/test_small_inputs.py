@@ -71,6 +71,16 @@ def test_each_component_keeps_one_row(spark):
     assert kept == sorted(want, key=str)
 
 
+def test_one_row_of_each_and_clashing_names(spark):
+    rows = [(1, "one two three four five", 1), (1, "one two three four five", 1), (1, "one two three four five", 2), (None, None, 3), (2, "", 4), (3, "six seven eight", 5)]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, digest int, row string, rest string")
+    got = sorted((r.doc_id, r.digest) for r in simhash.keep_one(docs).collect())
+    assert [d for d, _ in got] == [1, 2, 3] and got[0][1] in (1, 2)
+    assert simhash.keep_one(docs).columns == docs.columns
+    empty = simhash.keep_one(docs.limit(0))
+    assert empty.count() == 0
+
+
 def test_undetermined_language(spark):
     docs = spark.createDataFrame([(*r, "own", 1, 2) for r in ROWS], SCHEMA)
     got = {r.doc_id: r for r in langid.identify(docs).collect()}
