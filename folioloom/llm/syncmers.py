@@ -30,7 +30,7 @@ from .common import bounded_batches
 
 K, S, SLOTS, STEP = 16, 8, 128, 16
 #: A part of the ids has at most about so many bytes of text; there are as many as shuffle partitions at least.
-PART_BYTES, SAMPLED = 256_000_000, 8
+PART_BYTES, SAMPLED = 64_000_000, 8
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 

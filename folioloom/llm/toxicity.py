@@ -6,9 +6,11 @@ terms of the examples; others have no axis. A term's weight is (1 + ln tf) * idf
 ln((N + 1) / (df + 1)), with df counted over all N documents of the corpus. telling is the term's log-likelihood
 ratio G2 against the examples' labels, over what chance lets the best of all terms reach (2 ln of their number),
 and at least FLOOR: without it most of a long text's cosine comes from words that say nothing of the label.
-Examples are kept in blocks, with the highest weight of each term in each block. For a text, the weights of its
-terms times those maxima bound every block; blocks are scored exactly, best bound first, until no block left
-can hold one of the K nearest. Ties go to the earlier example.
+Terms of many examples are rows of a matrix, and their part of all cosines is one product for a batch of texts.
+The others have postings in blocks of examples, with the highest weight of each term in each block: for a text,
+the weights of its terms times those maxima, on top of the best that a block has so far, bound the block. Only
+blocks whose bound is above the K-th best so far can hold one of the K nearest and are scored; all that are left
+out cannot. Ties go to the earlier example. Terms are told apart by 64-bit hashes.
 
 The vote is the mean label of the nearest, weighted by cosine to the power SHARP; a text without any of the
 terms (an empty or null one too) is nearest to the examples that have none and gets their mean label. A
@@ -23,7 +25,6 @@ Other columns don't matter. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, first_by_hash, held_out, in_parts, release, utf8, written
 
-MOST_LABELLED, MOST_BYTES, K, BLOCK, SHARP, FLOOR, DENSE = 3000, 64_000_000, 31, 64, 2.0, 0.25, 5
+MOST_LABELLED, MOST_BYTES, K, BLOCK, SHARP, FLOOR, DENSE = 3000, 64_000_000, 31, 64, 2.0, 0.25, 32
 CUT = 0.3
 
 
@@ -54,127 +55,181 @@ def terms(text: bytes) -> list[bytes]:
     return text.translate(_TERMS).split()
 
 
-def telling(names: list[bytes], texts: list[bytes], labels: list[int], floor: float = FLOOR) -> np.ndarray:
+_KEEP = np.frombuffer(_TERMS, np.uint8)
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_CHUNK = 1 << 20
+
+
+def hashed(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first bytes, hashes) of the terms in a byte array, one after the other.
+
+    A term's hash is the sum of its bytes times powers of a base, of which prefix sums give all at once.
+    """
+    low = _KEEP[data]
+    inside = np.concatenate([[False], low != 32, [False]])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    first, last = edge[::2], edge[1::2]
+    out, k = np.empty(len(first), np.uint64), 0
+    while k < len(first):
+        stop = max(k + 1, int(np.searchsorted(last, first[k] + _CHUNK)))
+        s, e = first[k:stop] - first[k], last[k:stop] - first[k]
+        size = int(e[-1]) + 1
+        power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, _BASE)]))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum((low[first[k] : first[k] + size - 1].astype(np.uint64) + np.uint64(1)) * power[:-1])])
+        back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, _INVERSE)]))
+        out[k:stop] = (sums[e] - sums[s]) * back[s]
+        k = stop
+    out ^= out >> np.uint64(32)
+    out *= _MIX
+    return first, out ^ (out >> np.uint64(29))
+
+
+class Vocabulary:
+    """Numbers of known terms, found by hash: in order, with a table of where their first 20 bits start."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.unique(hashes)
+        self.starts = np.searchsorted(self.hashes >> np.uint64(44), np.arange((1 << 20) + 1, dtype=np.uint64))
+        self.longest = int(np.diff(self.starts).max())
+
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """-1 where unknown."""
+        out = np.full(len(h), -1, np.int64)
+        if len(self.hashes):
+            at = self.starts[(h >> np.uint64(44)).astype(np.int64)]
+            for k in range(self.longest):
+                place = np.minimum(at + k, len(self.hashes) - 1)
+                same = self.hashes[place] == h
+                out[same] = place[same]
+        return out
+
+    def counts(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, how often) of the known terms of each text, by text."""
+        low = data
+        if len(at) > 2 and len(data):  # a term ends with its text
+            ends = at[1:-1]
+            low = np.insert(data, ends[ends < len(data)], 32)
+        first, h = hashed(low)
+        bounds = at + np.arange(len(at))
+        number = self.numbers(h)
+        text = np.searchsorted(bounds, first[number >= 0], "right") - 1
+        key, n = np.unique(text * max(1, len(self.hashes)) + number[number >= 0], return_counts=True)
+        return key // max(1, len(self.hashes)), key % max(1, len(self.hashes)), n
+
+
+def telling(text: np.ndarray, term: np.ndarray, labels: np.ndarray, size: int, floor: float = FLOOR) -> np.ndarray:
     """By term, how much more than chance lets the best of them all its presence goes with the label; `floor` at least."""
-    have = (Counter(), Counter())
-    for t, y in zip(texts, labels, strict=True):
-        have[y].update(set(terms(t)))
-    ones, n = sum(labels), len(labels)
-    if not names or not 0 < ones < n:
-        return np.ones(len(names))
-    a, b = (np.array([h[t] for t in names], np.float64) for h in (have[1], have[0]))
-    both, out = a + b, 0.0
+    ones, n = int(labels.sum()), len(labels)
+    if not size or not 0 < ones < n:
+        return np.ones(size)
+    both = np.bincount(term, minlength=size).astype(np.float64)
+    a = np.bincount(term, labels[text], size)
+    b, out = both - a, 0.0
     for seen, total, whole in ((a, both, ones), (b, both, n - ones), (ones - a, n - both, ones), (n - ones - b, n - both, n - ones)):
         out = out + 2 * seen * np.log(np.maximum(seen, 1e-12) * n / np.maximum(total * whole, 1e-12))
-    return np.maximum(floor, out / (2 * np.log(max(2, len(names)))))
+    return np.maximum(floor, out / (2 * np.log(max(2, size))))
+
+
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def digest(text: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(text, digest_size=7).digest())
+
+
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
 
 
 class Index:
-    """Postings by term and block; examples are ordered by label, then by their heaviest term, to make bounds tight.
+    """Examples, ordered by label, then by their heaviest term, to make bounds tight.
 
-    Its attributes are plain arrays and a dict, which executors get by broadcast and put into an Index of their own.
+    Its attributes are plain arrays, which executors get by broadcast and put into an Index of their own.
     """
 
-    def __init__(self, texts: list[bytes], labels: list[int], df: dict[bytes, int], n: int, block: int = BLOCK, floor: float = FLOOR):
-        """df: of the terms that make up the vector space."""
-        names = sorted(df)
-        self.number = {t: i for i, t in enumerate(names)}
-        counts = [Counter(self.number[x] for x in terms(t) if x in self.number) for t in texts]
-        axis = np.array([np.log((n + 1) / (min(n, df[t]) + 1)) for t in names], np.float64) * telling(names, texts, labels, floor)
-        self.axis, self.block = axis, block
-        weights = []
-        for c in counts:
-            t = np.fromiter(c.keys(), np.int64, len(c))
-            w = (1 + np.log(np.fromiter(c.values(), np.float64, len(c)))) * axis[t]
-            norm = np.sqrt((w * w).sum())
-            weights.append((t, w / norm if norm else w))
-        lead = [int(t[w.argmax()]) if len(t) else -1 for t, w in weights]
+    def __init__(self, texts: list[bytes], labels: list[int], known: np.ndarray, df: np.ndarray, n: int, block: int = BLOCK, floor: float = FLOOR, dense: int = DENSE):
+        """known: the vocabulary's hashes in order; df: of its terms, over n documents."""
+        words = Vocabulary(known)
+        self.known, self.block, size = known, block, len(known)
+        text, term, tf = words.counts(*joined(texts))
+        y = np.array(labels, np.float64)
+        self.axis = np.log((n + 1) / (np.minimum(n, df) + 1)) * telling(text, term, y, size, floor)
+        weight = (1 + np.log(tf)) * self.axis[term]
+        norm = np.sqrt(np.bincount(text, weight * weight, len(texts)))
+        weight = weight / np.where(norm > 0, norm, 1)[text]
+        lead, heaviest = np.full(len(texts), -1), np.lexsort((weight, text))
+        lead[text[heaviest]] = term[heaviest]  # the last one of each text stays
         order = sorted(range(len(texts)), key=lambda i: (labels[i], lead[i], texts[i]))
-        self.labels = np.array([labels[i] for i in order], np.float64)
-        without = [labels[i] for i in range(len(texts)) if not counts[i]]
-        self.vote_without = float(np.mean(without)) if without else float(np.mean(labels)) if labels else 0.0
-        self.digests = np.array([int.from_bytes(hashlib.blake2b(texts[i], digest_size=7).digest()) for i in order], np.int64)
-        none = [np.zeros(0)]
-        term = np.concatenate([weights[i][0] for i in order] or none).astype(np.int64)
-        weight = np.concatenate([weights[i][1] for i in order] or none)
-        doc = np.repeat(np.arange(len(order)), [len(weights[i][0]) for i in order])
+        self.labels, self.digests = y[order], np.array([digest(texts[i]) for i in order], np.int64)
+        without = y[np.bincount(text, minlength=len(texts)) == 0]
+        self.vote_without = float(without.mean()) if len(without) else float(y.mean()) if len(y) else 0.0
+        place = np.empty(len(texts), np.int64)
+        place[order] = np.arange(len(texts))
+        self.blocks = len(texts) // block + 1
+        # terms of many examples are rows of a matrix, the others have postings
+        often = np.bincount(term, minlength=size) > max(16, len(texts) // dense)
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self.rows = np.zeros((int(often.sum()), self.blocks * block), np.float32)
+        mine = often[term]
+        self.rows[self.row[term[mine]], place[text[mine]]] = weight[mine]
+        term, doc, weight = term[~mine], place[text[~mine]], weight[~mine]
         order = np.lexsort((doc, term))
         term, self.doc, self.weight = term[order], doc[order], weight[order]
-        self.term_first = np.searchsorted(term, np.arange(len(names) + 1))
-        # terms of many examples also have their weights as a row of a matrix
-        often = np.flatnonzero(np.diff(self.term_first) > max(16, len(texts) // DENSE))
-        self.row = np.full(len(names), -1)
-        self.row[often] = np.arange(len(often))
-        self.rows = np.zeros((len(often), (len(texts) // block + 1) * block), np.float64)
-        mine = self.row[term] >= 0
-        self.rows[self.row[term[mine]], self.doc[mine]] = self.weight[mine]
         # a cell is a term in a block: its postings from cell_first on, and their highest weight
-        self.blocks = len(texts) // block + 1
         key = term * self.blocks + self.doc // block
         first = np.flatnonzero(np.diff(key, prepend=-1))
         self.cell_first = np.append(first, len(key))
         self.cell_block = self.doc[first] // block
         self.cell_most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
-        self.term_cells = np.searchsorted(term[first], np.arange(len(self.number) + 1))
-
-    @staticmethod
-    def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
-        return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-
-    def nearest(self, text: bytes, k: int = K, unlike: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest that share a term with the text; unlike: a digest to pass over."""
-        number = self.number
-        count = Counter(terms(text))
-        count = {number[t]: n for t, n in count.items() if t in number}
-        if not count:
-            return np.zeros(0, np.int64), np.zeros(0)
-        hit, tf = list(count), list(count.values())
-        hit = np.array(hit, np.int64)
-        q = (1 + np.log(np.array(tf, np.float64))) * self.axis[hit]
-        norm = np.sqrt((q * q).sum())
-        q = q / norm if norm else q
-        n = self.term_cells[hit + 1] - self.term_cells[hit]
-        cell, by_cell = self._ranges(self.term_cells[hit], n), np.repeat(q, n)
+        self.term_cells = np.searchsorted(term[first], np.arange(size + 1))
+
+    def nearest(self, data: np.ndarray, at: np.ndarray, words: Vocabulary, k: int = K, unlike: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text, (examples, cosines) of the k nearest that share a term with it; unlike: digests to pass over."""
+        text, term, tf = words.counts(data, at)
+        weight = (1 + np.log(tf)) * self.axis[term]
+        norm = np.sqrt(np.bincount(text, weight * weight, len(at) - 1))
+        weight = weight / np.where(norm > 0, norm, 1)[text]
+        bounds = np.searchsorted(text, np.arange(len(at)))
+        for start in range(0, len(at) - 1, 64):
+            stop = min(start + 64, len(at) - 1)
+            own = slice(bounds[start], bounds[stop])
+            row = self.row[term[own]]
+            by_row = np.zeros((stop - start, len(self.rows)), np.float32)
+            by_row[(text[own] - start)[row >= 0], row[row >= 0]] = weight[own][row >= 0]
+            dense = (by_row @ self.rows).astype(np.float64)
+            for i in range(start, stop):
+                own = slice(bounds[i], bounds[i + 1])
+                few = self.row[term[own]] < 0
+                yield self._best(dense[i - start], term[own][few], weight[own][few], k, None if unlike is None else unlike[i])
+
+    def _best(self, score: np.ndarray, term: np.ndarray, q: np.ndarray, k: int, unlike: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """score: what the matrix gives, a lower bound of each cosine."""
+        banned = np.flatnonzero(self.digests == unlike) if unlike is not None else None
+        if banned is not None:
+            score[banned] = 0.0
+        k = min(k, len(score))
+        least = np.partition(score, len(score) - k)[len(score) - k] - 1e-9
+        n = self.term_cells[term + 1] - self.term_cells[term]
+        cell, by_cell = _ranges(self.term_cells[term], n), np.repeat(q, n)
         where = self.cell_block[cell]
-        bound = np.bincount(where, by_cell * self.cell_most[cell], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        score, best, done, least = np.zeros(self.blocks * self.block), None, 0, 0.0
-        while done < self.blocks and bound[order[done]] > least:
-            step = order[done : done + (6 if not done else self.blocks)]
-            step = step[bound[step] > least]
-            done = done + 6 if not done else self.blocks
-            if 3 * len(step) > self.blocks:  # most blocks: whole postings, without a look at cells
-                row = self.row[hit]
-                other = hit[row < 0]
-                post = self._ranges(self.term_first[other], self.term_first[other + 1] - self.term_first[other])
-                each = np.repeat(q[row < 0], self.term_first[other + 1] - self.term_first[other])
-                by_row = np.zeros(len(self.rows))
-                by_row[row[row >= 0]] = q[row >= 0]
-                score = by_row @ self.rows + np.bincount(self.doc[post], self.weight[post] * each, len(score))
-            else:
-                chosen = np.zeros(self.blocks, bool)
-                chosen[step] = True
-                own = chosen[where]
-                c = cell[own]
-                m = self.cell_first[c + 1] - self.cell_first[c]
-                post = self._ranges(self.cell_first[c], m)
-                score += np.bincount(self.doc[post], np.repeat(by_cell[own], m) * self.weight[post], len(score))
-            if unlike is not None:
-                score[: len(self.digests)][self.digests == unlike] = 0.0
-            best = np.argpartition(-score, k)[:k] if len(score) > k else np.arange(len(score))
-            least = score[best].min() - 1e-9 if len(best) == k else 0.0
-        if best is None:
-            return np.zeros(0, np.int64), np.zeros(0)
-        # of those that tie with the last, the earlier ones
-        last = score[best].min()
+        bound = score.reshape(self.blocks, self.block).max(axis=1) + np.bincount(where, by_cell * self.cell_most[cell], self.blocks)
+        own = (bound > least)[where]
+        c = cell[own]
+        m = self.cell_first[c + 1] - self.cell_first[c]
+        post = _ranges(self.cell_first[c], m)
+        score = score + np.bincount(self.doc[post], np.repeat(by_cell[own], m) * self.weight[post], len(score))
+        if banned is not None:
+            score[banned] = 0.0
+        last = np.partition(score, len(score) - k)[len(score) - k]
         over = np.flatnonzero(score > last)
-        best = np.concatenate([over, np.flatnonzero(score == last)[: max(0, k - len(over))]])
-        best = best[score[best] > 0]
+        best = np.concatenate([over, np.flatnonzero(score == last)[: k - len(over)]])  # of those that tie with the last, the earlier ones
+        best = best[score[best] > 1e-9]
         best = best[np.lexsort((best, -score[best]))]
         return best, score[best]
 
-    def vote(self, text: bytes, k: int = K, sharp: float = SHARP, unlike: int | None = None) -> float:
-        own, cosine = self.nearest(text, k, unlike)
+    def vote(self, own: np.ndarray, cosine: np.ndarray, sharp: float = SHARP) -> float:
         if not len(own):
             return self.vote_without
         w = cosine**sharp
@@ -216,26 +271,24 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, of: int, most: int,
     return [r["text"].encode() for r in got], [r["y"] for r in got]
 
 
-def document_frequencies(docs: DataFrame, names: list[bytes]) -> tuple[dict[bytes, int], int]:
+def document_frequencies(docs: DataFrame, known: np.ndarray) -> tuple[np.ndarray, int]:
     """(documents that have each of the terms, documents)."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(names)})
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, df, n = vocabulary.value, np.zeros(len(vocabulary.value) + 1, np.int64), 0
+        words, n = Vocabulary(shared.value), 0
+        df = np.zeros(len(words.hashes) + 1, np.int64)
         for part in in_parts(batches):
-            data, at = utf8(part.column("text"))
-            raw, n = data.tobytes(), n + part.num_rows
-            for s, e in zip(at.tolist(), at[1:].tolist(), strict=False):
-                own = {number[t] for t in set(terms(raw[s:e])) if t in number}
-                df[np.fromiter(own, np.int64, len(own))] += 1
+            df[:-1] += np.bincount(words.counts(*utf8(part.column("text")))[1], minlength=len(df) - 1)
+            n += part.num_rows
         df[-1] = n
         own = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(df[own])], ["term", "df"])
 
     counted = docs.select("text").mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
-    by_number = dict(zip(counted.column("term").to_pylist(), counted.column("df").to_pylist(), strict=True))
-    n = by_number.pop(len(names), 0)
-    return {names[i]: c for i, c in by_number.items()}, n
+    out = np.zeros(len(known) + 1, np.int64)
+    out[counted["term"].to_numpy()] = counted["df"].to_numpy()
+    return out[:-1], int(out[-1])
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, label: str = "toxic", of: int = 4, cut: float = CUT, most_bytes: int = MOST_BYTES) -> DataFrame:
@@ -244,9 +297,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED
     bounded_batches(spark)
     docs = docs.select("doc_id", "text")
     texts, y = examples(docs, labels, label, of, most, most_bytes)
-    index = Index(texts, y, *document_frequencies(docs, sorted({x for t in texts for x in terms(t)})))
-    digest = lambda t: int.from_bytes(hashlib.blake2b(t, digest_size=7).digest())
-    votes = np.array([index.vote(t, unlike=digest(t)) for t in texts])
+    data, at = joined(texts)
+    known = np.unique(hashed(np.insert(data, at[1:-1], 32) if len(texts) > 1 else data)[1])
+    index = Index(texts, y, known, *document_frequencies(docs, known))
+    votes = np.array([index.vote(*x) for x in index.nearest(data, at, Vocabulary(known), unlike=[digest(t) for t in texts])])
     slope, middle = calibrate(votes, np.array(y, np.float64), cut)
     shared = spark.sparkContext.broadcast(vars(index))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -254,18 +308,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index.__new__(Index)
         vars(index).update(shared.value)
+        words = Vocabulary(index.known)
         for part in in_parts(batches):
-            data, at = utf8(part.column("text"))
-            raw, score, votes, evidence = data.tobytes(), [], {}, []
-            for s, e in zip(at.tolist(), at[1:].tolist(), strict=False):
-                text = raw[s:e]
-                if text not in votes:
-                    own, cosine = index.nearest(text)
-                    w = cosine**SHARP
-                    vote = float((w * index.labels[own]).sum() / w.sum()) if len(own) else index.vote_without
-                    votes[text] = (_score(vote, slope, middle, cut) if len(index.labels) else 0.0, [{"label": int(index.labels[i]), "cosine": float(c)} for i, c in zip(own[:5], cosine[:5], strict=True)])
-                score.append(votes[text][0])
-                evidence.append(votes[text][1])
+            score, evidence = [], []
+            for own, cosine in index.nearest(*utf8(part.column("text")), words):
+                score.append(_score(index.vote(own, cosine), slope, middle, cut) if len(index.labels) else 0.0)
+                evidence.append([{"label": int(index.labels[i]), "cosine": float(c)} for i, c in zip(own[:5], cosine[:5], strict=True)])
             score = np.array(score)
             near = pa.array(evidence, pa.list_(pa.struct([("label", pa.int32()), ("cosine", pa.float64())])))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score), pa.array((score >= cut).astype(np.int32)), near], ["doc_id", "score", "predicted", "nearest"])

@@ -317,16 +317,22 @@ def test_classifiers(spark, monkeypatch):
     assert accuracy(spark, "op8_toxicity", "toxic", 0.3) > 0.9
 
 
-@pytest.mark.parametrize("block", [4, 64])
-def test_nearest_is_plain_cosine(docs, block):
+@pytest.mark.parametrize("block,dense", [(4, 16), (64, 16), (16, 1), (8, 1000)])
+def test_nearest_is_plain_cosine(docs, block, dense):
     """Every term of the examples is an axis; the nearest are those of a plain cosine of all pairs."""
     texts = [(t or "").encode() for t in docs.text]
     labels = [int(i % 5 == 0) for i in range(len(texts))]
+    name = {x: int(toxicity.hashed(np.frombuffer(x, np.uint8))[1][0]) for t in texts for x in toxicity.terms(t)}
+    assert len(set(name.values())) == len(name)
     df = Counter(x for t in texts for x in set(toxicity.terms(t)))
-    known = {x: df[x] for x in {x for t in texts[:120] for x in toxicity.terms(t)}}
-    index = toxicity.Index(texts[:120], labels[:120], known, len(texts), block=block)
-    axis = dict(zip(sorted(known), index.axis, strict=True))
-    assert set(axis) == {x for t in texts[:120] for x in toxicity.terms(t)} and min(axis.values()) >= 0
+    axes = sorted({x for t in texts[:120] for x in toxicity.terms(t)}, key=name.get)
+    known = np.array([name[x] for x in axes], np.uint64)
+    index = toxicity.Index(texts[:120], labels[:120], known, np.array([df[x] for x in axes]), len(texts), block=block, dense=dense)
+    axis = dict(zip(axes, index.axis, strict=True))
+    ones = Counter(x for t, y in zip(texts[:120], labels[:120], strict=True) for x in set(toxicity.terms(t)) if y)
+    rare = next(x for x in axes if ones[x] == 1 and sum(x in toxicity.terms(t) for t in texts[:120]) == 1)
+    g2 = 2 * np.log(120 / 24) + 2 * 23 * np.log(23 * 120 / (119 * 24)) + 2 * 96 * np.log(96 * 120 / (119 * 96))
+    assert axis[rare] == pytest.approx(np.log((len(texts) + 1) / (df[rare] + 1)) * max(toxicity.FLOOR, g2 / (2 * np.log(len(axes)))))
 
     def vector(t):
         w = {x: (1 + np.log(n)) * axis[x] for x, n in Counter(toxicity.terms(t)).items() if x in axis}
@@ -334,10 +340,20 @@ def test_nearest_is_plain_cosine(docs, block):
         return {x: v / size for x, v in w.items()} if size else {}
 
     vectors = [vector(t) for t in texts]
-    for q in range(100, len(texts)):
+    found = list(index.nearest(*toxicity.joined(texts), toxicity.Vocabulary(known)))
+    for q in range(len(texts)):
         want = sorted((sum(v * d.get(x, 0) for x, v in vectors[q].items()) for d in vectors[:120]), reverse=True)[: toxicity.K]
-        got = index.nearest(texts[q])[1]
-        assert np.allclose(got, [c for c in want if c > 0], atol=1e-9)
+        want = [c for c in want if c > 1e-6]
+        assert np.allclose(found[q][1][: len(want)], want, atol=1e-5) and (found[q][1][len(want) :] < 1e-5).all()
+
+
+def test_terms_by_hash():
+    texts = [b"", b"one two", b"two", b" ", b"x" * 3_000_000 + b" one", "né É1 a-b".encode(), b"one"]
+    first, h = toxicity.hashed(np.frombuffer(b"two one two", np.uint8))
+    words = toxicity.Vocabulary(h)
+    text, term, n = words.counts(*toxicity.joined(texts))
+    one = words.numbers(h[1:2])[0]
+    assert first.tolist() == [0, 4, 8] and sorted(zip(text.tolist(), (term == one).tolist(), n.tolist(), strict=True)) == [(1, False, 1), (1, True, 1), (2, False, 1), (4, True, 1), (6, True, 1)]
 
 
 def test_toxicity_scores_are_votes(spark, docs):
