@@ -8,9 +8,16 @@ First every window of a text is held against that bound with all segments' q-gra
 the shared q-grams are counted by segment in overlapping bands of diagonals; bands that meet the bound are
 verified by banded alignment. All three steps keep every true match.
 
-Null and empty texts match nothing. Items without a text, or shorter than Q bytes in normal form, carry no
-evidence and match nothing. Items that repeat are each reported. A benchmark of more than INDEX_BYTES is
-searched in parts of about that size, so what is broadcast stays bounded.
+Texts are gone through in stretches of CHUNK bytes, and shared q-grams are expanded POSTINGS at a time, so long and
+repetitive texts take no more memory than others, but for their normal form. A segment that is found in a text
+isn't looked for in it again: start, end and edits are those of the places found first.
+
+Null and empty texts match nothing. Items without a text or an id carry no evidence and match nothing. Those of
+less than `shortest` bytes in normal form (by default Q, for shorter ones are found anywhere) don't either; below
+Q bytes an item has no q-gram and is searched as it is. Items that repeat are each reported, and so are rows that
+repeat. Ties of edits keep the place found first. Other columns don't matter to `find` and pass through
+`keep_clean`. An empty table of documents gives an empty result, an empty benchmark finds nothing. A benchmark of
+more than INDEX_BYTES is searched in parts of about that size, so what is broadcast stays bounded.
 """
 
 from __future__ import annotations
@@ -26,8 +33,8 @@ from .common import bounded_batches, in_parts, utf8
 
 Q, SEGMENT, STRIDE, RATE, EXACT = 8, 100, 50, 0.08, 40
 INDEX_BYTES, TABLE_BITS = 16_000_000, 22
-#: Regions are cut at such distances, so that their bands can be numbered.
-LONGEST = 1 << 22
+#: Bytes gone through at once, bytes of a region at most, q-grams of segments expanded at once.
+CHUNK, LONGEST, POSTINGS = 1 << 22, 1 << 14, 1 << 21
 #: Segments are filtered with others of like length.
 LENGTH_CLASSES = (EXACT, 60, 80)
 
@@ -66,12 +73,13 @@ def _slot(gram: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    def __init__(self, items: list[tuple[int, bytes]]):
+    def __init__(self, items: list[tuple[int, bytes]], shortest: int = Q):
         """items: (id, text in normal form)."""
+        self.short = [(k, text) for k, (_, text) in enumerate(items) if max(1, shortest) <= len(text) < Q]
         self.segments: list[tuple[int, int, bytes, int, int]] = []  # number of the item, place, bytes, e, bound
         self.ids = [i for i, _ in items]
         for k, (_, text) in enumerate(items):
-            if len(text) < Q:
+            if len(text) < max(Q, shortest):
                 continue
             starts = range(0, max(1, len(text) - SEGMENT + STRIDE), STRIDE) if len(text) > SEGMENT else (0,)
             for s in sorted({min(s, max(0, len(text) - SEGMENT)) for s in starts}):
@@ -115,26 +123,38 @@ def regions(hit: np.ndarray, at: np.ndarray, group: dict) -> np.ndarray:
     return np.stack([text, start, stop], axis=1)
 
 
-def candidates(index: Index, group: dict, hit: np.ndarray, gram: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(region, segment, band) of the bands that hold enough of a segment's q-grams."""
+def shared(group: dict, hit: np.ndarray, gram: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, region, number of the q-gram in the class) of the q-grams in regions that segments have."""
     start, n = found[:, 1], np.maximum(found[:, 2] - found[:, 1] - Q + 1, 0)
-    at = np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+    at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
     region = np.repeat(np.arange(len(found)), n)
     own = hit[at] > 0
     at, region = at[own], region[own]
     where = np.searchsorted(group["keys"], gram[at])
     where[where == len(group["keys"])] = 0
     own = group["keys"][where] == gram[at]
-    at, region, where = at[own], region[own], where[own]
+    return at[own], region[own], where[own]
+
+
+def candidates(index: Index, group: dict, at: np.ndarray, region: np.ndarray, where: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(region, segment, band) of the bands that hold enough of a segment's q-grams; start: of each region."""
     lo, n = group["first"][where], group["count"][where]
-    post = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-    region, seg = np.repeat(region, n), group["seg"][post]
-    band = (np.repeat(at, n) - start[region] - group["place"][post] + SEGMENT) // (index.e[seg] + 1)
-    key = (region * len(index.e) + seg) << 24
-    key, count = np.unique(np.concatenate([key | band, (key | (band - 1))[band > 0]]), return_counts=True)
-    seg = (key >> 24) % len(index.e)
-    enough = count >= index.bound[seg]
-    return (key >> 24)[enough] // len(index.e), seg[enough], (key & 0xFFFFFF)[enough]
+    ends, keys, counts = np.cumsum(n), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    k = 0
+    while k < len(at):
+        stop = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + POSTINGS, "right")))
+        m = n[k:stop]
+        post = np.repeat(lo[k:stop] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+        r, seg = np.repeat(region[k:stop], m), group["seg"][post]
+        band = (np.repeat(at[k:stop], m) - start[r] - group["place"][post] + SEGMENT) // (index.e[seg] + 1)
+        key = (r * len(index.e) + seg) << 24
+        key, count = np.unique(np.concatenate([key | band, (key | (band - 1))[band > 0]]), return_counts=True)
+        both, back = np.unique(np.concatenate([keys, key]), return_inverse=True)
+        keys, counts = both, np.bincount(back, np.concatenate([counts, count]), len(both)).astype(np.int64)
+        k = stop
+    seg = (keys >> 24) % len(index.e)
+    enough = counts >= index.bound[seg]
+    return (keys >> 24)[enough] // len(index.e), seg[enough], (keys & 0xFFFFFF)[enough]
 
 
 def aligned(segment: np.ndarray, text: np.ndarray, first: int, width: int) -> tuple[int, int]:
@@ -155,43 +175,113 @@ def aligned(segment: np.ndarray, text: np.ndarray, first: int, width: int) -> tu
     return int(row[best]), first + len(segment) + best
 
 
+class _Search:
+    """What has been found so far in some texts."""
+
+    def __init__(self, index: Index, whole: bool):
+        self.index, self.whole = index, whole
+        self.found: dict[tuple[int, int], list[int]] = {}
+        self.done: dict[int, set[int]] = {}
+        self.failed: set[tuple[int, bytes]] = set()
+
+    def add(self, t: int, item: int, edits: int, a: int, z: int) -> None:
+        old = self.found.get((t, item))
+        self.found[t, item] = [min(edits, old[0]), min(a, old[1]), max(z, old[2]), old[3] + 1] if old else [edits, a, z, 1]
+
+    def verify(self, data: np.ndarray, t: int, start: int, stop: int, s: int, band: int) -> tuple[int, int, int] | None:
+        """(edits, first, last) of the segment on a band of the region, places within the data."""
+        text, e = self.index.segments[s][2:4]
+        low = band * (e + 1) - SEGMENT  # the band's diagonals: from here 2e + 2 on
+        base, end = start + max(0, low), min(stop, start + low + 2 * e + 2 + len(text))
+        piece = data[base:end].tobytes()
+        if (exact := piece.find(text)) >= 0:
+            return 0, base + exact, base + exact + len(text)
+        if not e:
+            return None
+        around, pattern = data[start:stop], np.frombuffer(text, np.uint8)
+        edits, last = aligned(pattern, around, low - e, 4 * e + 2)
+        if edits > e:
+            if 0 <= low - e and low + 3 * e + 2 + len(text) + e <= stop - start:  # all that was looked at is in sight
+                wide = data[start + low - e : start + low + 3 * e + 2 + len(text) + e].tobytes()
+                self.failed.add((s, wide)) if len(self.failed) < 10_000 else None
+            return None
+        first = max(0, last - aligned(pattern[::-1], around[:last][::-1], -e, 2 * e + 1)[1])
+        return edits, start + first, start + last
+
+    def known_to_fail(self, data: np.ndarray, start: int, stop: int, s: int, band: int) -> bool:
+        text, e = self.index.segments[s][2:4]
+        low = band * (e + 1) - SEGMENT
+        if not self.failed or low - e < 0 or low + 3 * e + 2 + len(text) + e > stop - start:
+            return False
+        return (s, data[start + low - e : start + low + 3 * e + 2 + len(text) + e].tobytes()) in self.failed
+
+    def run(self, data: np.ndarray, at: np.ndarray, base: int, place_of: np.ndarray, begin: np.ndarray) -> None:
+        """Looks for all segments in data, which stands `base` bytes from the start of the texts in normal form."""
+        index = self.index
+        gram = grams(data)
+        slot = _slot(gram)
+        for group in index.classes if len(gram) else ():
+            hit = group["bitmap"][slot]
+            for end in at[1:-1]:  # q-grams that reach into the next text
+                hit[max(0, end - Q + 1) : end] = 0
+            where = regions(hit, at, group)
+            if not len(where):
+                continue
+            place, region, number = shared(group, hit, gram, where)
+            bounds = np.searchsorted(region, np.arange(len(where) + 1))
+            total = np.concatenate([[0], np.cumsum(group["count"][number])])[bounds]
+            r = 0
+            while r < len(where):
+                stop = max(r + 1, int(np.searchsorted(total, total[r] + POSTINGS, "right")) - 1)
+                own = slice(bounds[r], bounds[stop])
+                texts = np.unique(where[r:stop, 0])
+                sub = (place[own], region[own], number[own])
+                if len(texts) == 1 and (gone := self.done.get(int(texts[0]))):
+                    if not self.whole:
+                        r = stop
+                        continue
+                    open_ = np.ones(len(index.e), bool)
+                    open_[list(gone)] = False
+                    alive = np.add.reduceat(open_[group["seg"]].astype(np.int64), group["first"]) > 0
+                    keep = alive[sub[2]]
+                    sub = tuple(c[keep] for c in sub)
+                for i, s, b in zip(*(x.tolist() for x in candidates(index, group, *sub, where[:, 1])), strict=True):
+                    t, start, end = where[i].tolist()
+                    gone = self.done.setdefault(t, set())
+                    if s in gone or gone and not self.whole or self.known_to_fail(data, start, end, s, b):
+                        continue
+                    if got := self.verify(data, t, start, end, s, b):
+                        gone.add(s)
+                        edits, first, last = got
+                        a, z = (int(place_of[base + x]) - int(begin[t]) for x in (first, last - 1))
+                        self.add(t, index.segments[s][0], edits, a, z + 1)
+                r = stop
+
+
 def matches(index: Index, data: np.ndarray, at: np.ndarray, whole: bool = True) -> dict[tuple[int, int], list[int]]:
     """By (text, item): [fewest edits, start, stop, segments found]; whole: else one match a text is enough."""
     begin = at
     data, at, place_of = normal(data, at)
-    gram, found, done = grams(data), {}, set()
-    slot = _slot(gram)
-    for group in index.classes if len(gram) else ():
-        hit = group["bitmap"][slot]
-        for end in at[1:-1]:  # q-grams that reach into the next text
-            hit[max(0, end - Q + 1) : end] = 0
-        where = regions(hit, at, group)
-        if not len(where):
-            continue
-        for r, s, b in zip(*(x.tolist() for x in candidates(index, group, hit, gram, where)), strict=True):
-            t, start, stop = where[r].tolist()
-            item, _, text, e, _ = index.segments[s]
-            if (t, s) in done or not whole and t in done:
-                continue
-            low = b * (e + 1) - SEGMENT  # the band's diagonals: from here 2e + 2 on
-            base = max(0, low)
-            exact = data[start + base : min(stop, start + low + 2 * e + 2 + len(text))].tobytes().find(text)
-            if exact >= 0:
-                edits, first, last = 0, base + exact, base + exact + len(text)
-            elif not e:
-                continue
-            else:
-                piece, pattern = data[start:stop], np.frombuffer(text, np.uint8)
-                edits, last = aligned(pattern, piece, low - e, 4 * e + 2)
-                if edits > e:
-                    continue
-                first = max(0, last - aligned(pattern[::-1], piece[:last][::-1], -e, 2 * e + 1)[1])
-            done |= {(t, s), t}
-            a, z = (int(place_of[start + x]) - int(begin[t]) for x in (first, last - 1))
-            z += 1
-            old = found.get((t, item))
-            found[t, item] = [min(edits, old[0]), min(a, old[1]), max(z, old[2]), old[3] + 1] if old else [edits, a, z, 1]
-    return found
+    search = _Search(index, whole)
+    over = 4 * max((g["reach"] for g in index.classes), default=0)
+    if len(data) <= CHUNK + over or len(at) > 2 and not (np.diff(at) > CHUNK).any():
+        search.run(data, at, 0, place_of, begin)
+    else:  # a stretch of one text at a time
+        for t in range(len(at) - 1):
+            for a in range(int(at[t]), int(at[t + 1]), CHUNK):
+                own = _Search(index, whole)
+                own.found, own.done, own.failed = {}, {0: search.done.setdefault(t, set())}, search.failed
+                piece = data[a : min(int(at[t + 1]), a + CHUNK + over)]
+                own.run(piece, np.array([0, len(piece)]), a, place_of, begin[t : t + 1])
+                for (_, item), (edits, first, last, n) in own.found.items():
+                    for _ in range(n):
+                        search.add(t, item, edits, first, last)
+    for k, text in index.short:
+        raw = data.tobytes()
+        for t in range(len(at) - 1):
+            if (p := raw.find(text, at[t], at[t + 1])) >= 0:
+                search.add(t, k, 0, int(place_of[p] - begin[t]), int(place_of[p + len(text) - 1] - begin[t]) + 1)
+    return search.found
 
 
 def _indexes(benchmark: DataFrame, index_bytes: int) -> Iterator[list[tuple[int, bytes]]]:
@@ -207,7 +297,7 @@ def _indexes(benchmark: DataFrame, index_bytes: int) -> Iterator[list[tuple[int,
         yield out
 
 
-def find(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_BYTES, shortest: int = Q) -> DataFrame:
     """A row for each document and item found in it: doc_id, item_id, edits, start_byte, end_byte, segments."""
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -215,10 +305,10 @@ def find(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_BYTES)
     schema = f"doc_id {kind}, item_id {item_kind}, edits int, start_byte long, end_byte long, segments int"
     out = None
     for items in _indexes(benchmark, index_bytes):
-        shared = spark.sparkContext.broadcast(items)
+        sent = spark.sparkContext.broadcast(items)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value)
+        def run(batches: Iterator[pa.RecordBatch], items=sent) -> Iterator[pa.RecordBatch]:
+            index = Index(items.value, shortest)
             for part in in_parts(batches):
                 got = matches(index, *utf8(part.column("text")))
                 if got:
@@ -232,15 +322,15 @@ def find(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_BYTES)
     return spark.createDataFrame([], schema) if out is None else out
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_BYTES, shortest: int = Q) -> DataFrame:
     """The rows of docs, with all their columns, in which no item is found."""
     spark = docs.sparkSession
     bounded_batches(spark)
     for items in _indexes(benchmark, index_bytes):
-        shared = spark.sparkContext.broadcast(items)
+        sent = spark.sparkContext.broadcast(items)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value)
+        def run(batches: Iterator[pa.RecordBatch], items=sent) -> Iterator[pa.RecordBatch]:
+            index = Index(items.value, shortest)
             for part in in_parts(batches):
                 bad = {t for t, _ in matches(index, *utf8(part.column("text")), whole=False)}
                 yield part.filter(pa.array([i not in bad for i in range(part.num_rows)]))

@@ -425,6 +425,43 @@ def test_edited_items_are_found_within_the_budget():
                 assert (t, i) not in got or got[t, i][0] == best
 
 
+def test_repetitive_and_long_texts_take_bounded_memory():
+    code = """
+import resource, sys
+sys.path.insert(0, {repo!r})
+import numpy as np
+from folioloom.llm import decontaminate as d
+near = b"a" * 91 + b"bcdefghij"
+index = d.Index([(1, b"a" * 100), (2, near), (3, b"the quick brown fox jumps over the lazy dog again and again")])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for text in (b"a" * 5_000_000, b"ab" * 2_500_000, b"a" * 4_500_000 + b" the quick brown fox jumps over the lazy dog again and again"):
+    data = np.frombuffer(text, np.uint8)
+    print(sorted((i, v) for (_, i), v in d.matches(index, data, np.array([0, len(data)])).items()))
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code.format(repo=repo)], capture_output=True, text=True, timeout=300)
+    lines = out.stdout.splitlines()
+    assert lines[0] == "[(0, [0, 0, 100, 1])]" and lines[1] == "[]", out
+    assert eval(lines[2])[-1] == (2, [0, 4_500_001, 4_500_060, 1]) and int(lines[3]) < 700, lines
+
+
+@pytest.mark.parametrize("sizes", [(1 << 22, 1 << 14, 1 << 21), (300, 64, 50)])
+def test_decontamination_in_small_steps(monkeypatch, sizes):
+    """Long texts, stretch by stretch and few q-grams at a time, give what the whole gives: every item within its budget."""
+    for name, value in zip(("CHUNK", "LONGEST", "POSTINGS"), sizes, strict=True):
+        monkeypatch.setattr(decontaminate, name, value)
+    rng = np.random.default_rng(8)
+    draw = lambda n: rng.choice(list(b"ab cde"), n).astype(np.uint8).tobytes()
+    flat = lambda t: b" ".join(t.split())
+    items = [(i, flat(draw(90))) for i in range(6)] + [(6, b"ab" * 40), (7, b"hello"), (8, b"")]
+    texts = [flat(draw(250) + b" " + items[i][1] + b" " + draw(250) + items[(i + 1) % 7][1][:-3] + b"zzz" + draw(50)) for i in range(7)] + [b"xx hello xx"]
+    index = decontaminate.Index(items, shortest=3)
+    got = decontaminate.matches(index, np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+    want = {(t, i) for t, text in enumerate(texts) for i, item in items if item and edit_distance_within(item, text) <= (int(decontaminate.RATE * len(item)) if len(item) >= decontaminate.EXACT else 0)}
+    assert set(got) == want and (7, 7) in want and (0, 0) in want and (0, 1) in want
+
+
 def test_links_of_isolated_pairs_in_a_full_shard(spark):
     """All agree on one chunk only, so that pairs meet in its shard alone; many more than 4096 rows reach a leaf there."""
     rng = np.random.default_rng(5)
