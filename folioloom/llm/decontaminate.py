@@ -22,6 +22,7 @@ more than INDEX_BYTES is searched in parts of about that size, so what is broadc
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -100,7 +101,7 @@ class Index:
             bitmap[_slot(gram)] = 1
             keys, first = np.unique(gram[order], return_index=True)
             reach = max(len(self.segments[i][2]) + self.segments[i][3] for i in own)
-            self.classes.append({"bitmap": bitmap, "keys": keys, "first": first, "count": np.diff(np.append(first, len(gram))), "seg": seg[order], "place": place[order], "reach": reach, "bound": max(1, min(self.segments[i][4] for i in own))})
+            self.classes.append({"number": k, "bitmap": bitmap, "keys": keys, "first": first, "count": np.diff(np.append(first, len(gram))), "seg": seg[order], "place": place[order], "reach": reach, "bound": max(1, min(self.segments[i][4] for i in own))})
         self.e = np.array([s[3] for s in self.segments], np.int64)
         self.bound = np.maximum(1, np.array([s[4] for s in self.segments], np.int64))
 
@@ -183,6 +184,7 @@ class _Search:
         self.found: dict[tuple[int, int], list[int]] = {}
         self.done: dict[int, set[int]] = {}
         self.failed: set[tuple[int, bytes]] = set()
+        self.seen: set[tuple[int, bytes]] = set()  # texts and digests of regions: bytes that repeat in a text need no second look
 
     def add(self, t: int, item: int, edits: int, a: int, z: int) -> None:
         old = self.found.get((t, item))
@@ -225,13 +227,17 @@ class _Search:
             for end in at[1:-1]:  # q-grams that reach into the next text
                 hit[max(0, end - Q + 1) : end] = 0
             where = regions(hit, at, group)
-            if not len(where):
-                continue
+            names = [hashlib.blake2b(data[a:z], digest_size=16, salt=bytes([group["number"]])).digest() for _, a, z in where.tolist()]
+            names = list(zip(where[:, 0].tolist(), names, strict=True))
+            where, names = where[np.array([n not in self.seen for n in names], bool)], [n for n in names if n not in self.seen]
             place, region, number = shared(group, hit, gram, where)
             bounds = np.searchsorted(region, np.arange(len(where) + 1))
             total = np.concatenate([[0], np.cumsum(group["count"][number])])[bounds]
             r = 0
             while r < len(where):
+                if names[r] in self.seen:
+                    r += 1
+                    continue
                 stop = max(r + 1, int(np.searchsorted(total, total[r] + POSTINGS, "right")) - 1)
                 own = slice(bounds[r], bounds[stop])
                 texts = np.unique(where[r:stop, 0])
@@ -255,6 +261,8 @@ class _Search:
                         edits, first, last = got
                         a, z = (int(place_of[base + x]) - int(begin[t]) for x in (first, last - 1))
                         self.add(t, index.segments[s][0], edits, a, z + 1)
+                if len(self.seen) < 100_000:
+                    self.seen.update(names[r:stop])
                 r = stop
 
 
@@ -268,9 +276,10 @@ def matches(index: Index, data: np.ndarray, at: np.ndarray, whole: bool = True)
         search.run(data, at, 0, place_of, begin)
     else:  # a stretch of one text at a time
         for t in range(len(at) - 1):
+            seen: set[tuple[int, bytes]] = set()
             for a in range(int(at[t]), int(at[t + 1]), CHUNK):
                 own = _Search(index, whole)
-                own.found, own.done, own.failed = {}, {0: search.done.setdefault(t, set())}, search.failed
+                own.done, own.failed, own.seen = {0: search.done.setdefault(t, set())}, search.failed, seen
                 piece = data[a : min(int(at[t + 1]), a + CHUNK + over)]
                 own.run(piece, np.array([0, len(piece)]), a, place_of, begin[t : t + 1])
                 for (_, item), (edits, first, last, n) in own.found.items():
