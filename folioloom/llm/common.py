@@ -118,6 +118,28 @@ def first_by_hash(df: DataFrame, hashed: str, most: int) -> DataFrame:
     return df.where(low).unionByName(rest) if left else df.where(low)
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, most: int, most_bytes: int) -> DataFrame:
+    """doc_id, h, y, text of at most `most` labelled documents and `most_bytes`, those of the least hashes h, as a table.
+
+    Labels that are null, neither 0 nor 1, or of a null id are left out; of an id's labels the higher counts, and
+    of its texts the one with the least hash. A null text is empty.
+    """
+    known = labels.where(F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("y"))
+    known = known.where(F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.max("y").alias("y")).withColumn("h", F.xxhash64("doc_id", F.lit(13)))
+    known = written(first_by_hash(known, "h", most), "chosen-labels", 1)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
+    rows = written(rows.groupBy("doc_id", "h", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "labelled-texts")
+    total, last = 0, None
+    for h, size in sorted(tuple(r) for r in rows.select("h", F.octet_length("text")).collect()):
+        if (total := total + size) > most_bytes:
+            break
+        last = h
+    release(known)
+    out = rows.where(F.col("h") <= last) if last is not None else rows.limit(0)
+    out.written_to = rows.written_to
+    return out
+
+
 def held_out(doc_id: str, of: int):
     """crc32 of the id as text has remainder 2; false where the id is null."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % of == 2, F.lit(False))

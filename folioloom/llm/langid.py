@@ -7,9 +7,14 @@ the last resort is a uniform byte. With the statistics frozen, all code lengths
 a text costs one look-up of its context and one of its code lengths per byte. The language with the shortest
 code wins; ties go to the first in code point order.
 
-Learned from at most about `most` documents of each language, chosen by hash. A null text, or one without a
-letter, is `und` with score 0; so is everything if there is nothing to learn from. The score is the posterior
-of the language, the evidence held to that of EVIDENCE bytes.
+Learned from about `most` documents and `most_bytes` of each language at most, chosen by hash of id and text.
+Languages are kept in tables of up to BESIDE, each with the contexts that its own languages use most, so a tree
+doesn't shrink with the number of languages; a table has 4 MB a language. Code lengths are kept to 1/1024 bit.
+
+A null text, or one without a letter, is `und` with score 0; so is everything if there is nothing to learn from.
+The score is the posterior of the language, the evidence held to that of EVIDENCE bytes. A null id is not held
+out, a null lang not learned from. Rows that repeat get the same result. Texts of any length are read whole.
+Other columns don't matter. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,9 +29,11 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, held_out, in_parts, utf8
 
-MOST_DOCS, MOST_LANGS = 3000, 200
-#: Contexts in all, and bytes of the table of code lengths.
-CONTEXTS, TABLE_BYTES = 8192, 64_000_000
+MOST_DOCS, MOST_BYTES = 3000, 30_000_000
+#: More values of lang are an error: what is broadcast has a table for each.
+MOST_LANGS = 1000
+#: Contexts of a table, and languages in it; a unit of its code lengths.
+CONTEXTS, BESIDE, UNIT = 8192, 8, 1024
 EVIDENCE = 64
 #: Stands before the first byte of a text.
 START = 10
@@ -59,7 +66,6 @@ class Model:
     def __init__(self, langs: list[str], grams: list[tuple[np.ndarray, np.ndarray]], most: int = CONTEXTS):
         """grams: of each language what gram_counts returns, added up."""
         self.langs = langs
-        most = max(257, min(most, TABLE_BYTES // (1024 * max(1, len(langs)))))
         totals: dict[tuple[int, int], int] = {}
         by_order = []
         for order in range(4):
@@ -70,7 +76,8 @@ class Model:
                 joint, back = np.unique(joint, return_inverse=True)
                 rows.append((joint, np.bincount(back, weights=count, minlength=len(joint))))
                 c, back = np.unique(joint >> 8, return_inverse=True)
-                for x, n in zip(c.tolist(), np.bincount(back, weights=rows[-1][1]).tolist(), strict=True):
+                part = np.bincount(back, weights=rows[-1][1])
+                for x, n in zip(c.tolist(), (part / max(1, part.sum())).tolist(), strict=True):  # a language's contexts by their share
                     totals[order, x] = totals.get((order, x), 0) + n
             by_order.append(rows)
         totals[0, 0] = totals.get((0, 0), 0) + 1
@@ -79,7 +86,7 @@ class Model:
         number = {k: i for i, k in enumerate(self.nodes)}
         parent = np.array([number[o - 1, x & ((1 << 8 * (o - 1)) - 1)] if o else 0 for o, x in self.nodes])
         order_of = np.array([o for o, _ in self.nodes])
-        self.bits = np.zeros((len(self.nodes) * 256, max(1, len(langs))), np.float32)
+        self.bits = np.zeros((len(self.nodes) * 256, max(1, len(langs))), np.uint16)
         for k in range(len(langs)):
             count = np.zeros((len(self.nodes), 256))
             for order in range(4):
@@ -99,7 +106,7 @@ class Model:
                     full = distinct == 256  # nothing to escape to
                     mine = np.where(seen, c / np.where(full, total, total + distinct), escaped)
                 p[at] = np.where(total > 0, mine, below)
-            self.bits[:, k] = -np.log2(np.maximum(p, 1e-12)).ravel()
+            self.bits[:, k] = np.round(-np.log2(np.maximum(p, 1e-12)) * UNIT).ravel()
 
     def longest(self) -> np.ndarray:
         """By the three bytes before, the number of the longest context that the tree has."""
@@ -120,22 +127,30 @@ class Model:
         if len(data) and len(at) > 1:
             row = longest[contexts(data, at)].astype(np.int32) * np.int32(256) + data
             filled = np.flatnonzero(np.diff(at) > 0)
-            out[filled] = np.add.reduceat(self.bits[row], at[filled], axis=0, dtype=np.float64)
+            out[filled] = np.add.reduceat(self.bits[row], at[filled], axis=0, dtype=np.int64) / UNIT
         return out
 
 
-def train(docs: DataFrame, most: int = MOST_DOCS, contexts_most: int = CONTEXTS) -> dict:
+def tables(langs: list[str], grams: list[tuple[np.ndarray, np.ndarray]], contexts_most: int = CONTEXTS) -> list[dict]:
+    """Plain parts of the models of up to BESIDE languages each."""
+    out = []
+    for k in range(0, len(langs), BESIDE):
+        model = Model(langs[k : k + BESIDE], grams[k : k + BESIDE], contexts_most)
+        out.append({"langs": model.langs, "nodes": model.nodes, "bits": model.bits})
+    return out
+
+
+def train(docs: DataFrame, most: int = MOST_DOCS, contexts_most: int = CONTEXTS, most_bytes: int = MOST_BYTES) -> list[dict]:
     """docs: doc_id, text, lang of those to learn from."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count().limit(MOST_LANGS + 1).collect()
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).limit(MOST_LANGS + 1).collect()
     if len(counts) > MOST_LANGS:
         raise ValueError(f"more than {MOST_LANGS} languages")
     if not counts:
-        return {"langs": [], "nodes": [], "bits": None}
-    rate = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, most / r["count"]))))
-    unit = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_003)) / 1_000_003
+        return []
+    rate = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, most / r["n"], most_bytes / max(1, r["bytes"])))))
+    unit = F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1_000_003)) / 1_000_003
     sample = known.where(unit < rate[F.col("lang")]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,11 +163,10 @@ def train(docs: DataFrame, most: int = MOST_DOCS, contexts_most: int = CONTEXTS)
     got: pd.DataFrame = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(got["lang"].unique())
     grams = [(g["gram"].to_numpy(), g["n"].to_numpy()) for g in (got[got["lang"] == x].sort_values("gram") for x in langs)]
-    model = Model(langs, grams, contexts_most)
-    return {"langs": langs, "nodes": model.nodes, "bits": model.bits}
+    return tables(langs, grams, contexts_most)
 
 
-def predict(docs: DataFrame, model: dict) -> DataFrame:
+def predict(docs: DataFrame, model: list[dict]) -> DataFrame:
     """doc_id, lang_pred, score of docs with doc_id and text."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -160,16 +174,18 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     docs = docs.select("doc_id", "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = Model.__new__(Model)
-        tree.langs, tree.nodes, tree.bits = (shared.value[k] for k in ("langs", "nodes", "bits"))
-        longest = tree.longest() if tree.langs else None
-        names = np.array([*tree.langs, "und"], dtype=object)
+        trees = []
+        for part in shared.value:
+            trees.append(Model.__new__(Model))
+            vars(trees[-1]).update(part)
+        longest = [tree.longest() for tree in trees]
+        names = np.array([*(x for tree in trees for x in tree.langs), "und"], dtype=object)
         for part in in_parts(batches):
             data, at = utf8(part.column("text"))
             letters = part.column("letters").to_numpy(zero_copy_only=False).astype(bool)
             best, score = np.full(part.num_rows, len(names) - 1), np.zeros(part.num_rows)
-            if tree.langs:
-                bits = tree.code_lengths(longest, data, at)
+            if trees:
+                bits = np.concatenate([tree.code_lengths(own, data, at) for tree, own in zip(trees, longest, strict=True)], axis=1)
                 n = np.maximum(np.diff(at), 1)[:, None]
                 logit = -np.log(2) * (bits - bits.min(1, keepdims=True)) * np.minimum(1, EVIDENCE / n)
                 p = np.exp(logit) / np.exp(logit).sum(1, keepdims=True)

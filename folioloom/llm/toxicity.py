@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, first_by_hash, held_out, in_parts, release, utf8, written
+from .common import bounded_batches, held_out, in_parts, labelled_texts, release, utf8
 
 MOST_LABELLED, MOST_BYTES, K, BLOCK, SHARP, FLOOR, DENSE = 3000, 64_000_000, 31, 64, 2.0, 0.25, 32
 CUT = 0.3
@@ -256,18 +256,10 @@ def _score(vote: float, slope: float, middle: float, cut: float) -> float:
 
 
 def examples(docs: DataFrame, labels: DataFrame, label: str, of: int, most: int, most_bytes: int) -> tuple[list[bytes], list[int]]:
-    """Texts and labels to learn from, at most `most` and `most_bytes`, one for each id, in the order of their hash."""
-    known = labels.where(~held_out("doc_id", of) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("y"))
-    known = known.where(F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.max("y").alias("y")).withColumn("h", F.xxhash64("doc_id", F.lit(13)))
-    known = written(first_by_hash(known, "h", most), "chosen-labels", 1)
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text")).join(F.broadcast(known), "doc_id")
-    rows = written(rows.groupBy("doc_id", "h", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "labelled-texts")
-    sizes = sorted(rows.select("h", "doc_id", F.octet_length("text")).collect())
-    ids = [r[1] for r, total in zip(sizes, np.cumsum([r[2] for r in sizes]), strict=True) if total <= most_bytes]
-    last = ids[-1:] and next(r[0] for r in sizes if r[1] == ids[-1])
-    got = sorted(rows.where(F.col("h") <= last).collect(), key=lambda r: (r["h"], r["doc_id"])) if ids else []
-    release(known, rows)
+    """Texts and labels to learn from, in the order of their hash."""
+    rows = labelled_texts(docs, labels.where(~held_out("doc_id", of)), label, most, most_bytes)
+    got = sorted(rows.collect(), key=lambda r: (r["h"], r["doc_id"]))
+    release(rows)
     return [r["text"].encode() for r in got], [r["y"] for r in got]
 
 

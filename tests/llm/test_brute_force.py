@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from folioloom.llm import attention_lm, decontaminate, mixing, simhash, suffix_dedup, syncmers, toxicity
+from folioloom.llm import attention_lm, decontaminate, langid, mixing, quality, simhash, suffix_dedup, syncmers, toxicity
 from folioloom.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -105,6 +105,84 @@ def test_language(spark, docs):
     assert held.sum() > 20 and (got.lang_pred.to_numpy() == docs.lang)[held].mean() > 0.9
 
 
+def slow_code_length(text, counts, nodes):
+    """Bits of a text by escapes with exclusion, symbol by symbol, from counts[order][context][byte]."""
+    bits = 0.0
+    for i, c in enumerate(text):
+        before = bytes([10, 10, 10]) + text[:i]
+        ctx = next(before[len(before) - o :] for o in (3, 2, 1, 0) if (o, int.from_bytes(before[len(before) - o :], "big")) in nodes)
+
+        def p(ctx, c):
+            own = counts[len(ctx)].get(ctx)
+            below = (lambda b: p(ctx[1:], b)) if ctx else (lambda b: 1 / 256)
+            if not own:
+                return below(c)
+            total, distinct = sum(own.values()), len(own)
+            if c in own:
+                return own[c] / (total + distinct if distinct < 256 else total)
+            return distinct / (total + distinct) * below(c) / (1 - sum(below(b) for b in own))
+
+        bits -= np.log2(max(p(ctx, c), 1e-12))
+    return bits
+
+
+def test_code_lengths_of_many_languages(docs):
+    """Nine languages need two tables; code lengths are those of the trees, worked out symbol by symbol."""
+    rng = np.random.default_rng(6)
+    texts = [[bytes(rng.choice(list(b"abcdef gh"[k % 5 :]), 400).astype(np.uint8)) for _ in range(2)] for k in range(9)]
+    grams = [langid.gram_counts(np.frombuffer(b"".join(t), np.uint8), np.array([0, 400, 800])) for t in texts]
+    parts = langid.tables([f"l{k}" for k in range(9)], grams, 40)
+    assert [len(p["langs"]) for p in parts] == [8, 1] and all(len(p["nodes"]) == 40 for p in parts)
+    query = [b"abc defg", b"", b"hhh\xff zz", b"g"]
+    data, at = np.frombuffer(b"".join(query), np.uint8), np.concatenate([[0], np.cumsum([len(q) for q in query])])
+    k = 0
+    for part in parts:
+        tree = langid.Model.__new__(langid.Model)
+        vars(tree).update(part)
+        got = tree.code_lengths(tree.longest(), data, at)
+        for j in range(len(part["langs"])):
+            counts = [{} for _ in range(4)]
+            for t in texts[k]:
+                for i, c in enumerate(t):
+                    before = bytes([10, 10, 10]) + t[:i]
+                    for o in range(4):
+                        counts[o].setdefault(before[len(before) - o :], Counter())[c] += 1
+            want = [slow_code_length(q, counts, set(part["nodes"])) for q in query]
+            assert np.allclose(got[:, j], want, atol=0.01)
+            k += 1
+
+
+def test_ranking_is_a_minimum(docs):
+    """At the learned weights the gradient of the pairs' logistic loss, ridge included, is zero."""
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(300, quality.N_FEATURES)).astype(np.float32), rng.integers(0, 2, 300)
+    x[:, 0] += y
+    model = quality.fit(x, y, pairs=2000)
+    z = (x - model["mean"]) / model["scale"]
+    draw = np.random.default_rng(11)
+    good, bad = draw.choice(np.flatnonzero(y == 1), 2000), draw.choice(np.flatnonzero(y == 0), 2000)
+    diff = z[good] - z[bad]
+    p = 1 / (1 + np.exp(-diff @ model["w"]))
+    assert np.abs(diff.T @ (1 - p) - model["w"]).max() < 0.05
+    assert ((z @ model["w"])[y == 1].mean() > (z @ model["w"])[y == 0].mean()) and np.mean(z @ model["w"] >= model["threshold"]) == pytest.approx((y == 1).mean(), abs=0.01)
+
+
+def test_features_of_a_text():
+    """Shares of byte classes and neighbours, word length and distinct shares, counted one by one."""
+    texts = [b"Ab c, d.\nAb 12!", b"", "é x x\nx x".encode()]
+    kinds = quality._classes()
+    got = quality.features(*toxicity.joined(texts))
+    for t, row in zip(texts, got, strict=True):
+        if not t:
+            assert (row == 0).all()
+            continue
+        one, two = Counter(int(kinds[b]) for b in t), Counter((int(kinds[a]), int(kinds[b])) for a, b in zip(t, t[1:], strict=False))
+        want = [one[k] / len(t) for k in range(12)] + [np.sqrt(two[i, j] / len(t)) for i in range(12) for j in range(12)]
+        words = t.split()
+        want += [(len(t) - t.count(b" ")) / len(words) / 10, len(set(words)) / len(words), len(set(t.split(b"\n"))) / len(t.split(b"\n")), np.log1p(len(words)) / 10]
+        assert np.allclose(row, want, atol=1e-6)
+
+
 def removed(texts, window):
     count = Counter(t[i : i + window] for t in texts for i in range(len(t) - window + 1))
     for t in texts:

@@ -1,5 +1,7 @@
 """Nulls, empty tables, repeated rows, extra columns and very long texts in every operator."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,9 +92,29 @@ def test_undetermined_language(spark):
 def test_urls(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://Example.COM:80/En/?q#f", "http://a.b.example.com/en/7x", "http://example.com/en/6", "http://xexample.net/de/8", "ftp://net", "http://net/de/", "http://[::1]/x", "http://é.org/es/ü"]
     rules = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
-    df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id int, url string, host string")
-    by_trie = {r.page_id: r for r in url_filter.judge_urls(df, rules).collect()}
-    by_join = {r.page_id: r for r in url_filter.judge_urls(df, rules, broadcast_chars=0).collect()}
-    assert by_trie == by_join
+    df = spark.createDataFrame([(i, u, "x", "y", "z") for i, u in enumerate(urls)], "page_id int, url string, host string, _host string, row string")
+    by_trie = {r.page_id: r for r in url_filter.judge_urls(df, [*rules, (None, "/", "block")]).collect()}
+    by_nodes = {r.page_id: r for r in url_filter.judge_urls(df, rules, broadcast_chars=0).collect()}
+    assert by_trie == by_nodes and by_trie[0]._host == "y" and by_trie[0].row == "z"
     assert [(by_trie[i].rule, by_trie[i].verdict) for i in (0, 4, 5, 6, 7, 8, 9, 11)] == [(None, "allow"), (None, "allow"), ("example.com/en/7", "allow"), ("com/en/", "block"), ("net/de/", "block"), (None, "allow"), ("net/de/", "block"), ("org/es/", "block")]
     assert (by_trie[4].host, by_trie[4].path) == ("example.com:80", "/En/") and by_trie[0].host == ""
+    for many in (url_filter.BROADCAST_CHARS, 0):
+        with pytest.raises(Exception, match="neither allow nor block|is neither"):
+            url_filter.judge_urls(df, [("com", "/", "maybe")], broadcast_chars=many).collect()
+        assert url_filter.judge_urls(df.limit(0), rules, broadcast_chars=many).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_both_forms_of_the_trie(spark, seed):
+    rng = random.Random(seed)
+    pick = lambda: ".".join(rng.choice("abc") for _ in range(rng.randrange(0, 4)))
+    path = lambda: "".join(rng.choice(["/", "x", "xy", "/x/", "é"]) for _ in range(rng.randrange(0, 5)))
+    rules = list({(h, p): (h, p, rng.choice(["allow", "block"])) for h, p in ((pick(), path()) for _ in range(60))}.values())
+    urls = [f"http://{pick()}/{path()}" for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(df, rules).collect()}
+    assert got == {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(df, rules, broadcast_chars=0).collect()}
+    for i, u in enumerate(urls):
+        host, _, rest = u[7:].partition("/")
+        fits = [((len(h.split(".")) if h else 0, len(p)), h + p, v) for h, p, v in rules if ("." + host).endswith("." + h if h else "") and ("/" + rest).startswith(p)]
+        assert got[i] == (max(fits)[1:] if fits else (None, "allow"))
