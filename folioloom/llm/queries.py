@@ -13,6 +13,9 @@ from .common import table
 #: Fixed by contract.
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
+#: A public byte-level vocabulary, as installed with the tokenizers of this machine.
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -37,7 +40,7 @@ def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attention_lm.score_texts(table(spark, sf_dir, "documents"))
+    return attention_lm.score_texts(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

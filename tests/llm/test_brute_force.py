@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from folioloom.llm import attention_lm, decontaminate, langid, mixing, quality, simhash, suffix_dedup, syncmers, toxicity
-from folioloom.llm.queries import QUERIES
+from folioloom.llm.queries import QUERIES, VOCABULARY
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -315,8 +315,56 @@ def test_language_model(spark, docs):
     assert (got.score < 0).all() and np.corrcoef(got.score, base)[0, 1] > 0.9
 
 
+def plain_log_prob(model, ids, target):
+    """Of the target after ids, with one query at a time and no mask: what comes later isn't there."""
+    p, x = model.p, []
+    for k, i in enumerate(ids):
+        x.append(p["E"][i] + p["P"][k])
+    x, size = np.array(x, np.float64), attention_lm.WIDTH // attention_lm.HEADS
+    q, k, v = x[-1] @ p["Q"], x @ p["K"], x @ p["V"]
+    o = []
+    for h in range(attention_lm.HEADS):
+        own = slice(h * size, (h + 1) * size)
+        a = np.exp(k[:, own] @ q[own] / np.sqrt(size))
+        o.append((a / a.sum()) @ v[:, own])
+    y = x[-1] + np.concatenate(o) @ p["O"]
+    y = y + np.maximum(y @ p["W1"] + p["b1"], 0) @ p["W2"] + p["b2"]
+    z = y @ p["U"] + p["c"]
+    return z[target] - np.log(np.exp(z - z.max()).sum()) - z.max()
+
+
+def test_scores_from_the_definition(spark):
+    """Counts, back-off and attention, worked out token by token with plain attention; each piece is scored once."""
+    texts = ["the cat and the dog and the long verylongwordthatneedsseveralwindowsofpieces", "the dog sat", "", "A cat, the dog", "and the THE the sat on x", "zzz the unseenword"] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in attention_lm.score_texts(df, VOCABULARY, steps=40, frequent=3).collect()}
+    groups = attention_lm.common_words(df, 7)
+    cut, held = attention_lm.Windows(attention_lm.ranks(VOCABULARY)), {i: r.held_out for i, r in got.items()}
+    t, lines = Counter(), {i: list(zip(*attention_lm._tokens(x.encode(), groups), strict=True)) for i, x in enumerate(texts)}
+    for i, line in lines.items():
+        t.update(line if not held[i] else ())
+    c, kinds, sums = Counter(), Counter(), Counter()
+    for (w, k), n in t.items():
+        c[w] += n
+        kinds[k] += 1
+        sums[k] += n
+    model = attention_lm.fit(cut, [(w, k, 1) for w, k in t], 40, seed=3)
+    spelled = {}
+    for line in lines.values():
+        for w, k in line:
+            pieces = [(ids[: len(ids) - len(target) + j + 1], x) for ids, target in cut.of(w, k) for j, x in enumerate(target)]
+            spelled[w, k] = sum(plain_log_prob(model, *p) for p in pieces) / np.log(10)
+    n, v = sum(c.values()), len(c)
+    for i, line in lines.items():
+        want = 0.0
+        for w, k in line:
+            p = (c[w] + v * 10 ** spelled[w, k]) / (n + v)
+            want += np.log10((t[w, k] + max(1, kinds[k]) * p) / (sums[k] + max(1, kinds[k])))
+        assert got[i].score == pytest.approx(want, abs=1e-3) and got[i].train_tokens == n
+
+
 def test_model_is_a_distribution():
-    cut = attention_lm.Windows(attention_lm.ranks())
+    cut = attention_lm.Windows(attention_lm.ranks(VOCABULARY))
     model = attention_lm.fit(cut, [(b"the", 1, 5), (b"", 2, 3), (b"thing", 0, 2)], steps=20)
     ids = np.array([[cut.first_context, 40, 41]], np.int32)
     out = [model.log_probs(np.repeat(ids, cut.n + 2, 0), np.arange(cut.n + 2), np.full(cut.n + 2, 2), np.arange(cut.n + 2))]
@@ -325,7 +373,7 @@ def test_model_is_a_distribution():
 
 
 def test_gradients():
-    cut = attention_lm.Windows(attention_lm.ranks())
+    cut = attention_lm.Windows(attention_lm.ranks(VOCABULARY))
     model = attention_lm.Model(cut.n + 2 + attention_lm.CONTEXTS, cut.n + 2)
     model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
     batch = attention_lm.padded([w for t in (b"the", b"", b"y" * 60) for w in cut.of(t, 1)])
@@ -446,7 +494,7 @@ import sys
 sys.path.insert(0, {repo!r})
 from pyspark.sql import SparkSession
 s = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp}").getOrCreate()
-from folioloom.llm.queries import QUERIES
+from folioloom.llm.queries import QUERIES, VOCABULARY
 sys.path.pop(0)
 for name in ("op8_toxicity", "op3_langid", "op9_quality", "op10_decontamination", "op1_url_filter"):
     assert QUERIES[name](s, "/root/testdata/sf0.001").toPandas() is not None, name

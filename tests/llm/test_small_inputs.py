@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioloom.llm import attention_lm, decontaminate, langid, mixing, quality, simhash, suffix_dedup, syncmers, toxicity, url_filter
+from folioloom.llm.queries import VOCABULARY
 
 LONG = " ".join(f"word{i % 977} tail" for i in range(60_000))
 ROWS = [(1, "Hello there, old friend.", "en", "a"), (1, "Hello there, old friend.", "en", "a"), (2, None, None, None), (3, "", "en", "b"), (None, "no id here", "de", "b"), (4, LONG, "en", "a"), (5, "12 34 !!", "fr", None), (6, "Hello there, old friend.", "en", "c"), (7, "né À 日本 \x00 x", "fr", "c")]
@@ -33,7 +34,7 @@ def n(docs):
 
 
 def test_every_row_gets_a_result(spark, docs, labels):
-    for out in (mixing.plan_mix(docs), langid.identify(docs), suffix_dedup.dedup_digest(docs), syncmers.fingerprint_with_edits(docs), attention_lm.score_texts(docs, steps=3), simhash.near_duplicates(docs), toxicity.score_toxicity(docs, labels), quality.score_quality(docs, labels)):
+    for out in (mixing.plan_mix(docs), langid.identify(docs), suffix_dedup.dedup_digest(docs), syncmers.fingerprint_with_edits(docs), attention_lm.score_texts(docs, VOCABULARY, steps=3), simhash.near_duplicates(docs), toxicity.score_toxicity(docs, labels), quality.score_quality(docs, labels)):
         rows = out.collect()
         assert len(rows) == n(docs), out.columns
         assert sorted(str(r.doc_id) for r in rows) == sorted(str(r.doc_id) for r in docs.collect())
