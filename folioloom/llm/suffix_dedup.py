@@ -294,6 +294,7 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     counted = written(counted, "strings")
     # a group goes on if it has several strings and one of them occurs once: the others are known to repeat
     kinds = counted.groupBy("x").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where((F.col("kinds") > 1) & (F.col("least") == 1)).drop("least")
+    kinds = written(kinds, "kinds")  # plain tables on both sides, so that the join can split a hot group
     several = counted.join(kinds, "x")
     strings = cells.where(F.col("string").isNotNull()).select("x", "name", "ahead", "string").join(several, ["x", "name"]).dropDuplicates(["x", "name"])
     strings = written(strings, "open-strings")
