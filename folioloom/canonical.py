@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,13 +35,13 @@ def write(df: DataFrame, root: str, table: str, append: bool = False, rows_per_f
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    """The table, or None if it isn't there. Partition columns stay strings."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    where = spark._jvm.org.apache.hadoop.fs.Path(path_of(root, table))
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return None
-    schema = CANONICAL[table] + ", source string"
-    return spark.read.schema(schema).parquet(path_of(root, table)).drop("source")
+    """The table with its partition column source, or None if it isn't there."""
+    try:
+        return spark.read.schema(CANONICAL[table] + ", source string").parquet(path_of(root, table))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def asset_manifest(assets: DataFrame, needed: DataFrame) -> DataFrame:

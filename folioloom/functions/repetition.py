@@ -1,7 +1,7 @@
 """Signs of a decoding loop in generated text.
 
-Token counts and runs of one token are Column expressions (see text.py); repeated n-grams skip what they have
-counted and compression needs zlib, so those two are Arrow UDFs.
+Token counts, runs of one token, repeated n-grams and compression ratios are worked out in one Arrow UDF over whole
+texts: a batch's tokens become numbers, and for each n equality at distance n is one comparison of arrays.
 """
 
 from __future__ import annotations
@@ -9,51 +9,70 @@ from __future__ import annotations
 import re
 import zlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructType
 
-from .text import longest_token_run, tokens
+from .text import TOKEN
 
 # Fixed values of the classification.
 LIMITS = {"same_token_run": 50, "ngram_span": 140, "entropy_repeats": 12, "entropy_span": 80, "entropy_compression": 0.25, "compression": 0.12, "compression_span": 35, "compression_tokens": 500, "char_run": 80, "leader_compression": 0.18}
 NGRAM = StructType().add("repeats", IntegerType()).add("n", IntegerType()).add("span", IntegerType()).add("example", StringType())
+SIGNS = StructType().add("token_count", IntegerType()).add("same_token_run", IntegerType()).add("ngram", NGRAM).add("compression", DoubleType())
 LEADERS = (".", "·", "—")
-
-
-def repeated_ngram(words: list[str], longest: int = 12) -> tuple[int, int, int, str]:
-    """(repeats, n, tokens covered, n-gram) of the n-gram whose repeats in a row cover most; of equals the first and shortest."""
-    best = (0, 0, 0, "")
-    for n in range(1, min(longest, len(words) // 2) + 1):
-        # same[i] tells whether the token n places on is the same: m of those in a row from i make m // n + 1 repeats
-        i, stop = 0, len(words) - n
-        while i < stop:
-            m = 0
-            while i + m < stop and words[i + m] == words[i + m + n]:
-                m += 1
-            repeats = m // n + 1
+_TOKEN = re.compile(TOKEN, re.ASCII)  # as in the JVM, digits and white space are ASCII
+LONGEST = 12
+
+
+def loops(texts: list[list[str]], longest: int = LONGEST) -> tuple[list[tuple[int, int, int, str]], list[int]]:
+    """For each list of tokens, (repeats, n, tokens covered, n-gram) of the n-gram whose repeats in a row cover most, of
+    equals the shortest and first; and the longest run of one token."""
+    number: dict[str, int] = {}
+    ids = np.fromiter((number.setdefault(w, len(number)) for t in texts for w in t), np.int64)
+    size = np.array([len(t) for t in texts], np.int64)
+    doc, first = np.repeat(np.arange(len(texts)), size), np.cumsum(size) - size
+    best: list[tuple[int, int, int, str]] = [(0, 0, 0, "")] * len(texts)
+    runs = np.minimum(size, 1)
+    for n in range(1, min(longest, int(size.max(initial=0)) // 2) + 1):
+        same = np.concatenate([[False], (ids[:-n] == ids[n:]) & (doc[:-n] == doc[n:]), [False]])
+        edge = np.flatnonzero(same[1:] != same[:-1])
+        starts, stops = edge[::2], edge[1::2]
+        if n == 1:
+            np.maximum.at(runs, doc[starts], stops - starts + 1)
+        # m places in a row make m // n + 1 repeats; the next one is looked for behind them
+        free = 0
+        for start, stop in zip(starts[stops - starts >= n].tolist(), stops[stops - starts >= n].tolist(), strict=True):
+            start = max(start, free)
+            repeats = (stop - start) // n + 1
             if repeats > 1:
-                if repeats * n > best[2]:
-                    best = (repeats, n, repeats * n, " ".join(words[i : i + n]))
-                i += repeats * n
-            else:
-                i += 1
-    return best
-
-
-@F.pandas_udf(NGRAM)
-def repeated_ngrams(words: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([repeated_ngram(list(w)) if w is not None else (0, 0, 0, "") for w in words], columns=["repeats", "n", "span", "example"])
-
-
-@F.pandas_udf(DoubleType())
-def compression_ratio(text: pd.Series) -> pd.Series:
-    def one(t: str | None) -> float:
-        raw = re.sub(r"\s+", " ", t or "").strip().encode(errors="ignore")
-        return len(zlib.compress(raw)) / len(raw) if raw else 1.0
-
-    return text.map(one)
+                free, d = start + repeats * n, int(doc[start])
+                if repeats * n > best[d][2]:
+                    at = start - int(first[d])
+                    best[d] = (repeats, n, repeats * n, " ".join(texts[d][at : at + n]))
+    return best, runs.tolist()
+
+
+def compression_ratio(text: str | None) -> float:
+    raw = re.sub(r"\s+", " ", text or "").strip().encode(errors="ignore")
+    return len(zlib.compress(raw)) / len(raw) if raw else 1.0
+
+
+@F.pandas_udf(SIGNS)
+def signs_of(text: pd.Series) -> pd.DataFrame:
+    tokens = [_TOKEN.findall(t) if t else [] for t in text]
+    best, runs = [], []
+    start = 0
+    while start < len(tokens):  # a bounded number of tokens at a time
+        stop, held = start, 0
+        while stop < len(tokens) and (stop == start or held + len(tokens[stop]) <= 1_000_000):
+            held += len(tokens[stop])
+            stop += 1
+        b, r = loops(tokens[start:stop])
+        best, runs, start = best + b, runs + r, stop
+    ngram = [dict(zip(("repeats", "n", "span", "example"), x, strict=True)) for x in best]
+    return pd.DataFrame({"token_count": [len(t) for t in tokens], "same_token_run": runs, "ngram": ngram, "compression": [compression_ratio(t) for t in text]})
 
 
 def char_run(text: Column) -> Column:
@@ -64,8 +83,8 @@ def char_run(text: Column) -> Column:
 
 def analysed(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds token_count, char_count, same_token_run, ngram, compression, char_run and reasons."""
-    df = df.withColumn("_t", tokens(F.coalesce(text, F.lit(""))))
-    df = df.withColumns({"token_count": F.size("_t"), "char_count": F.length(F.coalesce(text, F.lit(""))), "same_token_run": longest_token_run(F.col("_t")), "ngram": repeated_ngrams("_t"), "compression": compression_ratio(text), "char_run": char_run(F.coalesce(text, F.lit("")))})
+    whole = F.coalesce(text, F.lit(""))
+    df = df.withColumn("signs", signs_of(text)).select(*(f"`{c}`" for c in df.columns), "signs.*", F.length(whole).alias("char_count"), char_run(whole).alias("char_run"))
     x, col = LIMITS, F.col
     span, repeats = col("ngram.span"), col("ngram.repeats")
     signs = [
@@ -77,4 +96,4 @@ def analysed(df: DataFrame, text: str = "text") -> DataFrame:
     ]
     reasons = F.array_compact(F.array(*(F.when(sign, name) for sign, name in signs)))
     leader = col("ngram.example").isin(*LEADERS) & (span == col("same_token_run")) & (col("compression") > x["leader_compression"])
-    return df.withColumn("reasons", F.when(leader, F.array().cast("array<string>")).otherwise(reasons)).drop("_t")
+    return df.withColumn("reasons", F.when(leader, F.array().cast("array<string>")).otherwise(reasons))

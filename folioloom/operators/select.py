@@ -11,6 +11,8 @@ from ..functions.geometry import aspect_ratio
 from ..functions.ids import seeded_digest, unit_interval
 from ..functions.text import has_media_token
 
+#: Up to so many keys a sample is taken by top-k.
+TOP = 10_000
 LEVELS = {"document": "document_id", "page": "page_id", "record": "record_id"}
 
 
@@ -36,21 +38,24 @@ def where(df: DataFrame, rule: Mapping | None) -> Column:
 
 def applies(df: DataFrame, rule: Mapping) -> Column:
     out = where(df, rule.get("where"))
-    for key, col in (("task", "task"), ("tasks", "task"), ("sources", "source_name")):
-        if (want := rule.get(key)) is not None:
-            out = out & F.coalesce(F.col(col).isin([want] if isinstance(want, str) else list(want)), F.lit(False))
+    for key, names in (("task", ("task",)), ("tasks", ("task",)), ("sources", ("source_name", "source"))):
+        if want := rule.get(key):  # an empty list asks for any
+            for name in names:
+                if name in df.columns:  # source, where it is there, is the partition that holds source_name
+                    out = out & F.coalesce(F.col(name).isin([want] if isinstance(want, str) else list(want)), F.lit(False))
     return out
 
 
 def include(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
-    """Rows of each rule, in the order of rules; a row that two rules want comes twice."""
+    """Rows of each rule, with its number; a row that two rules want comes twice. The table is read once."""
     if not rules:
         raise ValueError("a view includes nothing")
-    parts = [df.where(applies(df, r)).withColumn("include_order", F.lit(i)) for i, r in enumerate(rules)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    wanted, some = [], F.lit(False)
+    for i, r in enumerate(rules):
+        fits = applies(df, r)
+        wanted.append(F.when(fits, F.lit(i)))
+        some = some | fits
+    return df.where(some).withColumn("include_order", F.explode(F.array_compact(F.array(*wanted))))
 
 
 def exclude(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
@@ -61,11 +66,32 @@ def exclude(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
 
 
 def sample_keys(df: DataFrame, key: str, count: int, seed: int = 42) -> DataFrame:
-    """The `count` distinct keys with the least seeded digests (top-k per task, then merged: no global sort)."""
+    """The `count` distinct keys with the least seeded digests.
+
+    Up to TOP keys, tasks keep that many each and are merged. Beyond, keys are counted by three hex digits of their
+    digests at a time until the cut is known, so that no task gets more than those that share its digits.
+    """
     if count < 0:
         raise ValueError("a sample's count can't be negative")
     keys = df.select(F.col(key).cast("string").alias("sample_key")).where(F.col("sample_key").isNotNull()).distinct()
-    return keys.orderBy(seeded_digest(seed, F.col("sample_key"))).limit(count)
+    digest = seeded_digest(seed, F.col("sample_key"))
+    if count <= TOP:
+        return keys.orderBy(digest).limit(count)
+    prefix, left = "", count
+    while True:
+        digits = F.substr(digest, F.lit(len(prefix) + 1), F.lit(3))
+        near = keys.where(digest.startswith(prefix)) if prefix else keys
+        for value, n in sorted(tuple(r) for r in near.groupBy(digits.alias("d")).count().collect()):
+            if n > left:
+                break
+            left -= n
+        else:
+            return keys if not prefix else keys.where(F.substr(digest, F.lit(1), F.lit(len(prefix))) <= prefix)
+        prefix += value
+        if n <= TOP:
+            break
+    below = keys.where(F.substr(digest, F.lit(1), F.lit(len(prefix))) < prefix)
+    return below.unionByName(keys.where(digest.startswith(prefix)).orderBy(digest).limit(left))
 
 
 def sample(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
@@ -93,6 +119,14 @@ def split_of(key: Column, seed: int = 42, train: float = 0.98, val: float = 0.01
     return F.when(u < train, "train").when(u < train + val, "val").otherwise("test")
 
 
+def split_by_table(df: DataFrame, key: str, splits: DataFrame, otherwise: Column | None = None) -> DataFrame:
+    """df with split from a table of (key, split); keys that it lacks get `otherwise`, or fail the job without one."""
+    known = splits.select(F.col(key).cast("string").alias("split_key"), F.col("split").alias("given_split")).dropDuplicates(["split_key"])
+    lacking = F.raise_error(F.concat(F.lit("no split for "), F.col(key).cast("string"))).cast("string") if otherwise is None else otherwise
+    out = df.join(known, F.col(key).cast("string") == F.col("split_key"), "left")
+    return out.withColumn("split", F.coalesce("given_split", lacking)).drop("split_key", "given_split")
+
+
 def label_problem(task: Column, label: Column, stage: str) -> Column:
     """empty_label, reserved_media_token_label (sft only) or null."""
     empty = F.coalesce(label, F.lit("")) == ""

@@ -55,7 +55,7 @@ class ViewPlan:
         mode = (images.get("materialization") or {}).get("mode") or "source_reference"
         if mode not in ("source_reference", "nested_reference"):
             raise ValueError(f"image mode {mode!r} isn't supported")
-        return cls(config["name"], stage, tuple(config.get("include") or ()), tuple(config.get("exclude") or ()), tuple(config.get("sample") or ()), dict(config.get("target_serialization") or {}), dict(config.get("prompts") or {}), dict(config.get("split_policy") or {}), (images.get("filter") or {}).get("max_aspect_ratio"), mode, dict(config.get("reward_profile") or {}), rows)
+        return cls(config["name"], stage, tuple(config.get("include") or ()), tuple(config.get("exclude") or ()), tuple([sample] if isinstance(sample := config.get("sample") or (), Mapping) else sample), dict(config.get("target_serialization") or {}), dict(config.get("prompts") or {}), dict(config.get("split_policy") or {}), (images.get("filter") or {}).get("max_aspect_ratio"), mode, dict(config.get("reward_profile") or {}), rows)
 
     @classmethod
     def from_yaml(cls, spark: SparkSession, path: str) -> ViewPlan:
