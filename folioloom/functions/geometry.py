@@ -26,9 +26,13 @@ def box_text(box: Column, label: Column, rotation: Column, width: Column, height
     return F.concat(F.lit("<|box_start|>"), F.concat_ws(" ", *at), F.lit("<|box_end|><|ref_start|>"), F.coalesce(label, F.lit("unknown")), F.lit("<|ref_end|>"), rotation_token(rotation))
 
 
-def layout_text(elements: Column, width: Column, height: Column) -> Column:
-    """Elements (bbox, label, rotation) in order, as one string."""
-    return F.array_join(F.transform(elements, lambda e: box_text(e["bbox"], e["label"], e["rotation"], width, height)), "")
+def layout_text(elements: Column, width: Column, height: Column, fit: Column | None = None) -> Column:
+    """Elements (bbox, label, rotation) in order, as one string; fit: how the image is resized, null where it isn't."""
+    if fit is None:
+        return F.array_join(F.transform(elements, lambda e: box_text(e["bbox"], e["label"], e["rotation"], width, height)), "")
+    size = [F.coalesce(fit[f"output_{name}"], side) for name, side in (("width", width), ("height", height))]
+    box = lambda e: F.when(fit.isNull(), e["bbox"]).otherwise(moved_box(e["bbox"], fit))
+    return F.array_join(F.transform(elements, lambda e: box_text(box(e), e["label"], e["rotation"], *size)), "")
 
 
 def crop_box(box: Column, width: Column, height: Column) -> Column:
@@ -50,8 +54,18 @@ def aspect_ratio(width: Column, height: Column) -> Column:
 
 
 def fitted(width: Column, height: Column, size: int, square: bool) -> Column:
-    """How an image is resized so that its longer side is `size`, and padded to a square."""
-    scale = F.lit(float(size)) / F.greatest(width, height)
-    w, h = F.greatest(F.round(width * scale), F.lit(1)).cast("int"), F.greatest(F.round(height * scale), F.lit(1)).cast("int")
-    pad = lambda side: F.floor((F.lit(size) - side) / 2).cast("int") if square else F.lit(0)
-    return F.struct(scale.alias("scale"), pad(w).alias("pad_x"), pad(h).alias("pad_y"), (F.lit(size) if square else w).alias("width"), (F.lit(size) if square else h).alias("height"))
+    """How an image becomes `size` by `size`: stretched, or padded to a square and scaled alike; null without a positive size."""
+    longer = F.greatest(width, height)
+    if square:
+        x = y = F.lit(float(size)) / longer
+        left, top = (longer - width) * x / 2, (longer - height) * y / 2
+    else:
+        x, y = F.lit(float(size)) / width, F.lit(float(size)) / height
+        left = top = F.lit(0.0)
+    made = F.struct(x.alias("scale_x"), y.alias("scale_y"), left.alias("pad_left"), top.alias("pad_top"), F.lit(size).alias("output_width"), F.lit(size).alias("output_height"))
+    return F.when((width > 0) & (height > 0), made)
+
+
+def moved_box(box: Column, fit: Column) -> Column:
+    """A box of the original image as it lies in the fitted one."""
+    return F.transform(box, lambda v, i: F.when(i % 2 == 0, v * fit["scale_x"] + fit["pad_left"]).otherwise(v * fit["scale_y"] + fit["pad_top"]))

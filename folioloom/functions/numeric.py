@@ -76,6 +76,39 @@ def truncated_top_k_kl(teacher: Column, student: Column, k: int) -> Column:
     return let(totals, summed)
 
 
+def schedule(step: Column, kind: str, **how) -> Column:
+    """constant (value), piecewise_linear (points), warmup_constant (warmup, start, peak) or warmup_hold_decay; steps below 0 fail."""
+    made = {
+        "constant": lambda value: F.lit(float(value)),
+        "piecewise_linear": lambda points: piecewise_linear(step, points),
+        "warmup_constant": lambda warmup, start, peak: piecewise_linear(step, [(0, start), (warmup, peak)] if warmup else [(0, peak)]),
+        "warmup_hold_decay": lambda **k: warmup_hold_decay(step, **k),
+    }
+    if kind not in made:
+        raise ValueError(f"no schedule {kind}")
+    return F.when(step < 0, F.raise_error(F.lit("a step can't be negative")).cast("double")).otherwise(made[kind](**how))
+
+
+def total_loss(raw: dict[str, Column], weight: dict[str, Column]) -> Column:
+    """Raw losses by their weights, as a struct: loss, and of each part its raw and weighted loss and its weight.
+
+    A part whose weight is 0 counts as 0, whatever its loss."""
+    fields, total = [], F.lit(0.0)
+    for name, w in weight.items():
+        part = F.when(w == 0, F.lit(0.0)).otherwise(raw[name])
+        total = total + part * w
+        fields += [part.alias(f"loss_{name}_raw"), (part * w).alias(f"loss_{name}_weighted"), w.alias(f"lambda_{name}")]
+    return F.struct(total.alias("loss"), *fields)
+
+
+def reduced_metrics(df, by: list[str], rank: str, name: str = "metric", value: str = "value"):
+    """One value of each metric: sums within a rank and the mean over ranks for losses, the mean for others that differ, else the value that all have."""
+    within = df.groupBy(*by, name, rank).agg(F.sum(value).alias("total"), F.avg(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"), F.count("*").alias("n"))
+    over = within.groupBy(*by, name).agg(F.avg("total").alias("sums"), (F.sum(F.col("mean") * F.col("n")) / F.sum("n")).alias("mean"), F.min("low").alias("low"), F.max("high").alias("high"))
+    pick = F.when(F.col(name).contains("loss"), F.col("sums")).when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("mean"))
+    return over.select(*by, name, pick.alias(value))
+
+
 def shifted_mask(mask: Column, length: Column) -> Column:
     """A response mask for logits that predict the next token: its first place goes if it is one longer."""
     return F.when(F.size(mask) == length + 1, F.slice(mask, F.lit(2), length)).otherwise(mask)

@@ -14,7 +14,6 @@ ROTATIONS = {"<|rotate_up|>": 0, "<|rotate_right|>": 90, "<|rotate_down|>": 180,
 TASK_PHRASES = (("layout", "Layout Detection"), ("table", "Table Recognition"), ("formula", "Formula Recognition"), ("text", "Text Recognition"))
 TOKEN = r"\\[A-Za-z]+|[A-Za-z]+|\d+(?:\.\d+)?|[\u4e00-\u9fff]|[^\s]"
 MEDIA_TOKENS = ("<image>", "<video>")
-
 DISPLAY = r"(?s)^\s*(?:\\\[(.*?)\\\]|\$\$(.*?)\$\$)\s*$"
 
 
@@ -149,3 +148,19 @@ def extension(name: Column, default: str = ".png") -> Column:
 
 def relative_path_ok(path: Column) -> Column:
     return F.coalesce((path != "") & ~path.startswith("/") & ~F.array_contains(F.split(path, "/"), ".."), F.lit(False))
+
+
+def as_list(value: Column, kind: str) -> Column:
+    """An array of `kind`: null as none, an array as it is, any other value as the only one."""
+    return F.coalesce(value if kind.startswith("array") else F.when(value.isNotNull(), F.array(value)), F.array().cast(kind if kind.startswith("array") else f"array<{kind}>"))
+
+
+def ordered_unique(values: Column) -> Column:
+    """The different values of an array, each where it first stands."""
+    return F.array_distinct(F.filter(values, lambda v: v.isNotNull() & (v != "")))
+
+
+def first_positive(*values: Column) -> Column:
+    """The first value that is a whole number above 0, or can be read as one."""
+    number = lambda v: v.cast("string").try_cast("double").try_cast("int")
+    return F.coalesce(*(F.when(number(v) > 0, number(v)) for v in values))

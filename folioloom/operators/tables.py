@@ -77,6 +77,21 @@ def violations(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     return df.select(F.col(key), F.explode(broken).alias("rule"))
 
 
+def without_null_columns(df: DataFrame, optional: Sequence[str]) -> DataFrame:
+    """df without those of the optional columns that hold nothing but nulls; looked at in one pass."""
+    there = [c for c in optional if c in df.columns]
+    if not there:
+        return df
+    filled = df.agg(*(F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(there))).first()
+    return df.drop(*(c for i, c in enumerate(there) if not filled[i]))
+
+
+def flagged_summary(df: DataFrame, reasons: str = "reasons") -> DataFrame:
+    """How many rows were looked at, how many are flagged, and how many for each reason."""
+    each = df.select(F.explode(F.concat(F.array(F.lit("scanned")), F.when(F.size(reasons) > 0, F.array(F.lit("flagged"))).otherwise(F.array().cast("array<string>")), reasons)).alias("name"))
+    return each.groupBy("name").agg(F.count("*").alias("n"))
+
+
 def metric_means(df: DataFrame, rank: Sequence[str], value: str) -> DataFrame:
     """Sums within a rank, then the mean over ranks."""
     within = df.groupBy(*rank).agg(F.sum(value).alias("v"))

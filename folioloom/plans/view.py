@@ -1,7 +1,9 @@
-"""A view definition (mapping or YAML) compiled into one lazy plan: include, sample, exclude, filter, split, project.
+"""A view definition (mapping or YAML) compiled into one lazy plan: include, sample, exclude, filter, resize, split, project.
 
 The asset manifest is joined by key, prompts and serializers are Column expressions, and the schema is declared;
-nothing runs before the result is written.
+nothing runs before the result is written (samples of very many keys count them first).
+Records that can't be made (no format for their task, or an image that an embedded or resized one needs is missing)
+fail the job, or are left out and told by `failures` where the plan says skip_failure.
 """
 
 from __future__ import annotations
@@ -14,9 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..canonical import asset_manifest
-from ..functions.geometry import layout_text
+from ..functions.geometry import fitted, layout_text
 from ..functions.ids import stable_hash, stable_id
+from ..functions.images import refitted
+from ..functions.prompts import rendered
 from ..functions.tables import html_to_cells
+from ..functions.text import truncated
 from ..operators import select
 from ..schemas import STAGES
 
@@ -26,6 +31,10 @@ PROMPTS = {"layout": "\nLayout Detection:", "table": "{image}\nTable Recognition
 FORMATS = {"layout": "layout_box_v1", "table": "enhanced_otsl_v1", "formula": "latex_plain_v1", "text": "plain_text_v1"}
 
 
+MODES = ("embedded", "source_reference", "nested_reference")
+TABLE_KEYS = ("display", "elements", "enhanced_otsl", "html", "latex", "otsl", "raw", "text")
+
+
 @dataclass(frozen=True)
 class ViewPlan:
     name: str
@@ -40,6 +49,10 @@ class ViewPlan:
     image_mode: str = "source_reference"
     rewards: Mapping[str, Any] = field(default_factory=dict)
     rows_per_shard: int = 0
+    transforms: Mapping[str, Mapping] = field(default_factory=dict)
+    system_prompt: str = SYSTEM_PROMPT
+    skip_failure: bool = False
+    prune: tuple[str, ...] = ()
 
     @classmethod
     def of(cls, config: Mapping[str, Any]) -> ViewPlan:
@@ -53,15 +66,19 @@ class ViewPlan:
         if rows < 0:
             raise ValueError("rows_per_shard can't be negative")
         mode = (images.get("materialization") or {}).get("mode") or "source_reference"
-        if mode not in ("source_reference", "nested_reference"):
+        if mode not in MODES:
             raise ValueError(f"image mode {mode!r} isn't supported")
-        return cls(config["name"], stage, tuple(config.get("include") or ()), tuple(config.get("exclude") or ()), tuple([sample] if isinstance(sample := config.get("sample") or (), Mapping) else sample), dict(config.get("target_serialization") or {}), dict(config.get("prompts") or {}), dict(config.get("split_policy") or {}), (images.get("filter") or {}).get("max_aspect_ratio"), mode, dict(config.get("reward_profile") or {}), rows)
+        return cls(config["name"], stage, tuple(config.get("include") or ()), tuple(config.get("exclude") or ()), tuple([sample] if isinstance(sample := config.get("sample") or (), Mapping) else sample), dict(config.get("target_serialization") or {}), dict(config.get("prompts") or {}), dict(config.get("split_policy") or {}), float((images.get("filter") or {}).get("max_aspect_ratio") or 0) or None, mode, dict(config.get("reward_profile") or {}), rows, {t: dict(x) for t, x in (config.get("image_transform") or {}).items() if x and x.get("resize_to")}, config.get("system_prompt") or SYSTEM_PROMPT, bool(config.get("skip_failure")), tuple(config.get("prune") or ()))
 
     @classmethod
     def from_yaml(cls, spark: SparkSession, path: str) -> ViewPlan:
-        import yaml
+        return cls.of(read_yaml(spark, path))
+
+
+def read_yaml(spark: SparkSession, path: str) -> dict[str, Any]:
+    import yaml
 
-        return cls.of(yaml.safe_load(spark.read.text(path, wholetext=True).first()[0]) or {})
+    return yaml.safe_load(spark.read.text(path, wholetext=True).first()[0]) or {}
 
 
 def _by_task(values: Mapping[str, str]) -> Column:
@@ -71,11 +88,11 @@ def _by_task(values: Mapping[str, str]) -> Column:
     return out
 
 
-def serialized(formats: Mapping[str, str], width: Column, height: Column) -> Column:
+def serialized(formats: Mapping[str, str], width: Column, height: Column, fit: Column | None = None) -> Column:
     """The label of a record by the format of its task; null counts as empty."""
     t = lambda name: F.coalesce(F.col(f"target.{name}"), F.lit(""))
     cells = lambda: F.coalesce(F.nullif(t("enhanced_otsl"), F.lit("")), F.nullif(t("otsl"), F.lit("")), html_to_cells(t("html")))
-    layout = lambda: F.coalesce(layout_text(F.col("target.elements"), width, height), F.lit(""))
+    layout = lambda: F.coalesce(layout_text(F.col("target.elements"), width, height, fit), F.lit(""))
     made = {"layout_box_v1": layout, "enhanced_otsl_v1": cells, "table_text_v1": lambda: t("text"), "latex_plain_v1": lambda: t("latex"), "plain_text_v1": lambda: t("text")}
     out = F.lit(None).cast("string")
     for task, name in formats.items():
@@ -104,46 +121,113 @@ def selected(plan: ViewPlan, records: DataFrame, assets: DataFrame) -> DataFrame
     df = df.join(manifest, "image_asset_id", "left")
     side = lambda name: F.coalesce(F.col(f"asset_{name}"), F.get_json_object("metadata", f"$.{name}").cast("int"))
     df = df.withColumns({"width": side("width"), "height": side("height"), "path": F.coalesce("asset_path", "image_asset_id")})
+    df = df.withColumn("fit", _fit(plan))
+    shown = lambda name: F.coalesce(F.col(f"fit.output_{name}"), F.col(name))
     formats = FORMATS | dict(plan.formats)
     if (tasks := _tasks(plan)) is not None:  # serializers of other tasks stay out of the plan, Python ones above all
         formats = {t: f for t, f in formats.items() if t in tasks}
-    df = df.withColumn("label", serialized(formats, F.coalesce("width", F.lit(1)), F.coalesce("height", F.lit(1))))
-    problem = F.coalesce(select.label_problem(F.col("task"), F.col("label"), plan.stage), select.image_problem(F.col("width"), F.col("height"), plan.max_aspect_ratio))
+    df = df.withColumn("label", serialized(formats, F.coalesce("width", F.lit(1)), F.coalesce("height", F.lit(1)), F.col("fit") if plan.transforms else None))
+    problem = F.coalesce(select.label_problem(F.col("task"), F.col("label"), plan.stage), select.image_problem(shown("width"), shown("height"), plan.max_aspect_ratio))
     return df.withColumn("problem", problem).drop("asset_path", "asset_width", "asset_height")
 
 
-def view_rows(plan: ViewPlan, records: DataFrame, assets: DataFrame) -> DataFrame:
-    df = selected(plan, records, assets).where(F.col("problem").isNull())
+def _fit(plan: ViewPlan) -> Column:
+    out = F.lit(None)
+    for task, how in plan.transforms.items():
+        out = F.when(F.col("task") == task, fitted(F.col("width"), F.col("height"), int(how["resize_to"]), bool(how.get("pad_to_square")))).otherwise(out)
+    return out if plan.transforms else F.lit(None).cast("struct<output_width:int,output_height:int>")
+
+
+def _made(plan: ViewPlan, records: DataFrame, assets: DataFrame, images: DataFrame | None) -> DataFrame:
+    """Records without a problem, with bytes (of their image, where the view needs them), view_asset and error."""
+    df = selected(plan, records, assets)
+    known = _by_task(FORMATS | dict(plan.formats))
+    df = df.where(F.col("problem").isNull() | known.isNull())
+    changed = F.col("fit").isNotNull()
+    needs = F.lit(True) if plan.image_mode == "embedded" else changed
+    if images is not None and (plan.transforms or plan.image_mode == "embedded"):
+        df = df.join(images.select("path", F.col("content").alias("bytes")), "path", "left")
+        if plan.transforms:
+            square = F.lit(False)
+            for task, how in plan.transforms.items():
+                square = F.when(F.col("task") == task, F.lit(bool(how.get("pad_to_square")))).otherwise(square)
+            df = df.withColumn("bytes", F.when(changed, refitted("bytes", F.col("fit.output_width"), square)).otherwise(F.col("bytes")))
+    else:
+        df = df.withColumn("bytes", F.lit(None).cast("binary"))
+    what = F.when(changed, F.lit("can't resize the image of ")).otherwise(F.lit("can't read the image of "))
+    error = F.when(known.isNull(), F.struct(F.lit("KeyError").alias("exception_type"), F.concat(F.lit("no format for task "), "task").alias("message")))
+    error = error.when(needs & F.col("bytes").isNull(), F.struct(F.lit("ValueError").alias("exception_type"), F.concat(what, "record_id").alias("message")))
+    return df.withColumn("error", error)
+
+
+def failures(plan: ViewPlan, records: DataFrame, assets: DataFrame, images: DataFrame | None = None) -> DataFrame:
+    """A row for each record that can't be made: where it is, what it holds, and why."""
+    df = _made(plan, records, assets, images).where(F.col("error").isNotNull())
+    t = lambda k: F.to_json(F.col(f"target.{k}")) if k == "elements" else F.col(f"target.{k}").cast("string")
+    filled = lambda k: F.coalesce(t(k), F.lit("")) != ""
+    keys = F.array_compact(F.array(*(F.when(filled(k), k) for k in TABLE_KEYS)))
+    preview = F.concat_ws("; ", *(F.when(filled(k), F.concat(F.lit(f"{k}="), truncated(t(k), 160))) for k in TABLE_KEYS))
+    return df.select(F.lit("materialize").alias("phase"), "record_id", "source_name", "task", "document_id", "page_id", "region_id", _by_task(FORMATS | dict(plan.formats)).alias("target_format"), keys.alias("target_keys"), truncated(preview, 512).alias("target_preview"), "error.exception_type", truncated(F.col("error.message"), 512).alias("message"))
+
+
+def view_rows(plan: ViewPlan, records: DataFrame, assets: DataFrame, images: DataFrame | None = None, splits: DataFrame | None = None) -> DataFrame:
+    """The rows of a view. images: path and content of files, where bytes are needed; splits: given ones, by key."""
+    df = _made(plan, records, assets, images)
+    failed = F.col("error").isNotNull()
+    if plan.skip_failure:
+        df = df.where(~failed)
+    else:
+        df = df.withColumn("record_id", F.when(failed, F.raise_error(F.col("error.message")).cast("string")).otherwise(F.col("record_id")))
     level = select.LEVELS[plan.split.get("level", "document")]
     split = select.split_of(F.col(level), int(plan.split.get("seed", 42)), float(plan.split.get("train_ratio", 0.98)), float(plan.split.get("val_ratio", 0.01)))
-    prompt = F.replace(_by_task(PROMPTS | dict(plan.prompts)), F.lit("{image}"), F.lit("<image>"))
+    if splits is not None:
+        df = select.split_by_table(df, level, splits, split)
+        split = F.col("split")
+    prompt = rendered(_by_task(PROMPTS | dict(plan.prompts)))
     template = F.concat("task", F.lit("_default_v1"))
     content = stable_hash(F.concat("record_id", template))
     turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
-    image = {"source_reference": F.array("path").alias("images_path"), "nested_reference": F.array(F.struct(F.col("path").alias("image"))).alias("images")}[plan.image_mode]
+    asset_id = stable_id("view_asset", F.lit(plan.name), F.col("task"), content)
+    path = F.when(F.col("fit").isNotNull(), F.concat(F.lit("assets/"), F.translate(asset_id, ":/", "__"), F.lit(".png"))).otherwise(F.col("path"))
+    image = {"embedded": F.array("bytes").alias("images_bytes"), "source_reference": F.array(path).alias("images_path"), "nested_reference": F.array(F.struct(path.alias("image"))).alias("images")}[plan.image_mode]
     cols = [
-        stable_id("view", F.lit(plan.name), content).alias("id"), F.lit(plan.stage).alias("stage"), "task", F.col("path").alias("image_path"),
-        F.array(turn("system", F.lit(SYSTEM_PROMPT)), turn("user", prompt)).alias("prompt"), "label", "source_name", "document_id", "page_id", "region_id",
+        stable_id("view", F.lit(plan.name), content).alias("id"), F.lit(plan.stage).alias("stage"), "task", path.alias("image_path"),
+        F.array(turn("system", F.lit(plan.system_prompt)), turn("user", prompt)).alias("prompt"), "label", "source_name", "document_id", "page_id", "region_id",
         F.col("record_id").alias("canonical_record_id"), F.col("image_asset_id").alias("canonical_image_asset_id"), _by_task(FORMATS | dict(plan.formats)).alias("target_format"),
-        template.alias("prompt_template_id"), split.alias("split"), stable_id("view_asset", F.lit(plan.name), F.col("task"), content).alias("view_image_asset_id"), image, F.col("task").alias("data_source"),
+        template.alias("prompt_template_id"), split.alias("split"), asset_id.alias("view_image_asset_id"), image, F.col("task").alias("data_source"),
     ]
     if plan.stage == "sft":
         cols.append(F.array(turn("user", prompt), turn("assistant", F.col("label"))).alias("messages"))
     if plan.stage == "rlvr":
         profile = F.coalesce(_by_task(plan.rewards.get("by_task") or {}), F.lit(plan.rewards.get("default") or "normalized_levenshtein_v1"))
-        cols += [profile.alias("reward_profile_id"), F.struct(F.col("label")).alias("reward_payload"), F.struct(F.lit("rule").alias("style"), F.col("label").alias("ground_truth")).alias("reward_model"), F.col("label").alias("answer_key")]
-    return df.select(*cols)
+        cols += [profile.alias("reward_profile_id"), F.struct(F.col("label")).alias("reward_payload"), F.struct(F.lit("rule").alias("style"), F.col("label").alias("ground_truth")).alias("reward_model"), F.col("label").alias("answer_key"), F.struct(F.col("record_id").alias("sample_id"), split.alias("split")).alias("extra_info")]
+    return df.select(*cols).drop(*plan.prune)
+
+
+def view_assets(plan: ViewPlan, records: DataFrame, assets: DataFrame, images: DataFrame) -> DataFrame:
+    """path (below the view's folder) and content of the images that the view resizes."""
+    df = _made(plan, records, assets, images).where(F.col("error").isNull() & F.col("fit").isNotNull())
+    content = stable_hash(F.concat("record_id", F.concat("task", F.lit("_default_v1"))))
+    name = F.translate(stable_id("view_asset", F.lit(plan.name), F.col("task"), content), ":/", "__")
+    return df.select(F.concat(F.lit("assets/"), name, F.lit(".png")).alias("path"), F.col("bytes").alias("content"))
+
+
+def shard_counts(plan: ViewPlan, rows: DataFrame) -> DataFrame:
+    """Files of each split: as many as its rows fill, one where they aren't cut."""
+    return rows.groupBy("split").agg(F.count("*").alias("n")).select("split", "n", (F.ceil(F.col("n") / plan.rows_per_shard) if plan.rows_per_shard else F.lit(1)).cast("int").alias("shards"))
 
 
 def filter_counts(plan: ViewPlan, records: DataFrame, assets: DataFrame) -> DataFrame:
     return selected(plan, records, assets).where(F.col("problem").isNotNull()).groupBy("problem").agg(F.count("*").alias("n"))
 
 
-def write_view(plan: ViewPlan, records: DataFrame, assets: DataFrame, root: str) -> str:
+def write_view(plan: ViewPlan, records: DataFrame, assets: DataFrame, root: str, images: DataFrame | None = None, splits: DataFrame | None = None) -> str:
     """Writes <root>/<view>/split=<split>/; a rerun replaces the view."""
     path = f"{root.rstrip('/')}/{plan.name}"
-    out = view_rows(plan, records, assets).write.mode("overwrite").partitionBy("split")
+    out = view_rows(plan, records, assets, images, splits).write.mode("overwrite").partitionBy("split")
     if plan.rows_per_shard:
         out = out.option("maxRecordsPerFile", plan.rows_per_shard)
     out.parquet(path)
+    if plan.transforms and images is not None and plan.image_mode != "embedded":
+        view_assets(plan, records, assets, images).write.mode("overwrite").parquet(f"{path}.assets")
     return path

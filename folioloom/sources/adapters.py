@@ -70,6 +70,7 @@ def chat_messages(spark: SparkSession, paths: str | list[str], name: str, images
 def nested_jsonl(spark: SparkSession, paths: str | list[str], name: str, images: DataFrame | None = None, tasks: Sequence[str] | None = None) -> dict[str, DataFrame]:
     schema = "record_id string, subset_id string, category string, language string, document_types array<string>, annotation_source string, original_file_name string, image_path string, size_key string, label string, label_empty boolean, raw struct<file_name:string,label:string,type:string>, type string"
     df = spark.read.schema(schema).json(paths)
+    df = df.withColumn("subset_id", F.coalesce("subset_id", F.nullif(F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+/[^/]+$", 1), F.lit(""))))
     df = df.where(~F.coalesce("label_empty", F.lit(False)) & (T.py_strip(F.coalesce("label", F.lit(""))) != ""))
     side = lambda k: F.try_element_at(F.split("size_key", "_"), F.lit(k)).try_cast("int")
     df = _sized(df.withColumns({"width": side(1), "height": side(2)}), images)
@@ -81,6 +82,14 @@ def nested_jsonl(spark: SparkSession, paths: str | list[str], name: str, images:
     return _one_page_tables(df, tasks)
 
 
+def scan_documents(spark: SparkSession, paths: str | list[str], name: str) -> DataFrame:
+    """document_id, source_document_id and image_path of nested JSON lines, before anything is exported."""
+    df = spark.read.schema("record_id string, subset_id string, image_path string").json(paths)
+    subset = F.coalesce("subset_id", F.nullif(F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+/[^/]+$", 1), F.lit("")))
+    key = F.concat_ws("/", subset, "record_id")
+    return df.select(stable_id("doc", F.lit(name), key).alias("document_id"), key.alias("source_document_id"), "image_path")
+
+
 def table_parquet(spark: SparkSession, paths: str | list[str], name: str, images: DataFrame | None = None, tasks: Sequence[str] | None = None) -> dict[str, DataFrame]:
     df = spark.read.schema("filename string, image struct<bytes:binary,path:string>, html_with_text array<string>").parquet(*([paths] if isinstance(paths, str) else paths))
     joined = T.py_strip(F.array_join(F.coalesce("html_with_text", F.array().cast("array<string>")), ""))
@@ -91,19 +100,36 @@ def table_parquet(spark: SparkSession, paths: str | list[str], name: str, images
     return _one_page_tables(df, tasks)
 
 
-def annotated_pages(spark: SparkSession, paths: str | list[str], name: str, images: DataFrame | None = None) -> dict[str, DataFrame]:
-    """paths: files <sample>_model.json with a list of pages, each a list of blocks of type, index, bbox, angle, content."""
+def _middle(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """sample, page_index, page_size and para_blocks of files <sample>_middle.json."""
+    schema = "pdf_info array<struct<page_size:array<double>,para_blocks:array<struct<index:int,bbox:array<double>>>>>"
+    raw = spark.read.text(paths, wholetext=True).select("value", F.regexp_extract("_metadata.file_path", r"([^/]+)_middle\.json$", 1).alias("sample"))
+    pages = raw.select("sample", F.posexplode(F.from_json("value", schema)["pdf_info"]).alias("page_index", "p"))
+    return pages.select("sample", "page_index", F.col("p.page_size").alias("page_size"), F.col("p.para_blocks").alias("para_blocks"))
+
+
+def annotated_pages(spark: SparkSession, paths: str | list[str], name: str, images: DataFrame | None = None, middle: str | list[str] | None = None) -> dict[str, DataFrame]:
+    """paths: files <sample>_model.json with a list of pages, each a list of blocks of type, index, bbox, angle, content.
+
+    middle: files <sample>_middle.json, whose page sizes, and boxes of the blocks with one index, come first."""
     block = "struct<type:string,index:int,bbox:array<double>,angle:double,content:string>"
     raw = spark.read.text(paths, wholetext=True).select("value", F.regexp_extract("_metadata.file_path", r"([^/]+)_model\.json$", 1).alias("sample"))
     pages = raw.select("sample", F.posexplode(F.from_json("value", f"array<array<{block}>>")).alias("page_index", "blocks"))
     pages = pages.withColumn("image_path", F.concat("sample", F.lit(".jpg"))).withColumns({c: F.lit(None).cast("int") for c in ("width", "height")})
     pages = _sized(pages, images)
+    if middle is not None:
+        pages = pages.join(_middle(spark, middle), ["sample", "page_index"], "left")
+        side = lambda k, c: F.when(F.size("page_size") >= 2, F.greatest(F.get("page_size", F.lit(k)).cast("int"), F.lit(1))).otherwise(F.col(c))
+        pages = pages.withColumns({"width": side(0, "width"), "height": side(1, "height")})
+    else:
+        pages = pages.withColumn("para_blocks", F.lit(None).cast("array<struct<index:int,bbox:array<double>>>"))
     sample, page = F.col("sample"), F.col("page_index").cast("string")
     pages = pages.withColumns({"source_name": F.lit(name), "document_id": stable_id("doc", F.lit(name), sample), "page_id": stable_id("page", F.lit(name), sample, page), "page_asset": stable_id("asset", F.lit(name), sample, page)})
     blocks = pages.select("*", F.posexplode("blocks").alias("position", "b")).where(F.col("b.type").isNotNull())
     kind = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in REGION_TASKS.items() for x in kv)), F.lower("b.type")), F.lit("text"))
     key = stable_hash(F.concat_ws("|", sample, page, F.col("b.index").cast("string"), F.to_json("b.bbox")))
-    blocks = blocks.withColumns({"task": kind, "bbox": scaled_if_normal(F.col("b.bbox"), F.col("width"), F.col("height")), "region_id": stable_id("region", F.lit(name), key), "crop": stable_id("asset", F.lit(name), F.lit("crop"), key), "reading_order": F.col("position") + 1})
+    given = F.try_element_at(F.filter("para_blocks", lambda x: (x["index"] == F.col("b.index")) & x["bbox"].isNotNull()), F.lit(-1))["bbox"]
+    blocks = blocks.withColumns({"task": kind, "bbox": F.coalesce(given, scaled_if_normal(F.col("b.bbox"), F.col("width"), F.col("height"))), "region_id": stable_id("region", F.lit(name), key), "crop": stable_id("asset", F.lit(name), F.lit("crop"), key), "reading_order": F.col("position") + 1})
     content, task = F.coalesce("b.content", F.lit("")), F.col("task")
     region_target = _target(text=F.when(task == "text", content), html=F.when(task == "table", content), latex=F.when(task == "formula", content), raw=F.when(~task.isin("text", "table", "formula"), content))
     regions = blocks.select("*", F.col("b.index").cast("string").alias("source_annotation_id"), F.col("b.angle").alias("rotation"), F.col("b.type").alias("element_type"), F.col("b.type").alias("category"), F.col("crop").alias("crop_asset_id"))

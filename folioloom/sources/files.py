@@ -17,6 +17,14 @@ def image_listing(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("path"), image_header(F.substring("content", 1, 262_144)).alias("s")).select("path", "s.*")
 
 
+def relative_files(spark: SparkSession, root: str) -> DataFrame:
+    """path (below the folder) and content of all files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    inside = F.regexp_extract("path", r"^(?:file:)?/*(.*)$", 1)
+    top = root.split(":", 1)[-1].strip("/")
+    return files.select(F.substr(inside, F.lit(len(top) + 2)).alias("path"), "content")
+
+
 def markdown_outputs(spark: SparkSession, root: str, glob: str = "*/*/*.md") -> DataFrame:
     """sample_id (folder two above), path, text of generated documents."""
     raw = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{glob}")
@@ -53,3 +61,11 @@ def missing_files(references: DataFrame, files: DataFrame) -> DataFrame:
 
 def under_root(root: str, path: Column) -> Column:
     return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
+
+
+def first_existing(df: DataFrame, candidates: str, files: DataFrame, name: str = "path") -> DataFrame:
+    """df with the first of its candidate paths (array) that is among files (path), else the first of all."""
+    each = df.select(F.xxhash64(candidates).alias("asked"), F.col(candidates).alias("all")).dropDuplicates(["asked"]).select("asked", F.posexplode("all").alias("place", "path"))
+    found = each.join(files.select("path").distinct(), "path", "left_semi").groupBy("asked").agg(F.min_by("path", "place").alias("found"))
+    out = df.withColumn("asked", F.xxhash64(candidates)).join(found, "asked", "left")
+    return out.withColumn(name, F.coalesce("found", F.get(candidates, F.lit(0)))).drop("asked", "found")
