@@ -150,3 +150,60 @@ def words_of(text: str | bytes | None) -> list[bytes]:
     if text is None:
         return []
     return (text if isinstance(text, bytes) else text.encode()).lower().split()
+
+
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_CHUNK = 1 << 20
+
+
+def word_hashes(low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first bytes, ends, hashes) of the words in a byte array, one after the other; a word has no space (32).
+
+    A word's hash is the sum of its bytes times powers of a base, of which prefix sums give all at once.
+    """
+    inside = np.concatenate([[False], low != 32, [False]])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    first, last = edge[::2], edge[1::2]
+    out, k = np.empty(len(first), np.uint64), 0
+    while k < len(first):
+        stop = max(k + 1, int(np.searchsorted(last, first[k] + _CHUNK)))
+        s, e = first[k:stop] - first[k], last[k:stop] - first[k]
+        size = int(e[-1]) + 1
+        power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, _BASE)]))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum((low[first[k] : first[k] + size - 1].astype(np.uint64) + np.uint64(1)) * power[:-1])])
+        back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, _INVERSE)]))
+        out[k:stop] = (sums[e] - sums[s]) * back[s]
+        k = stop
+    out ^= out >> np.uint64(32)
+    out *= _MIX
+    return first, last, out ^ (out >> np.uint64(29))
+
+
+def apart(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, starts) of texts with a space between them, so that words end with their texts."""
+    if len(at) > 2 and len(data):
+        ends = at[1:-1]
+        data = np.insert(data, ends, 32)
+        return data, at + np.concatenate([np.arange(len(at) - 1), [len(at) - 2]])
+    return data, at
+
+
+class HashTable:
+    """Numbers of known words, found by hash: in order, with a table of where their first 20 bits start."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.unique(hashes)
+        self.starts = np.searchsorted(self.hashes >> np.uint64(44), np.arange((1 << 20) + 1, dtype=np.uint64))
+        self.longest = int(np.diff(self.starts).max())
+
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """-1 where unknown."""
+        out = np.full(len(h), -1, np.int64)
+        if len(self.hashes):
+            at = self.starts[(h >> np.uint64(44)).astype(np.int64)]
+            for k in range(self.longest):
+                place = np.minimum(at + k, len(self.hashes) - 1)
+                same = self.hashes[place] == h
+                out[same] = place[same]
+        return out

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, held_out, in_parts, labelled_texts, release, utf8
+from .common import HashTable, apart, bounded_batches, held_out, in_parts, labelled_texts, release, utf8, word_hashes
 
 MOST_LABELLED, MOST_BYTES, K, BLOCK, SHARP, FLOOR, DENSE = 3000, 64_000_000, 31, 64, 2.0, 0.25, 32
 CUT = 0.3
@@ -56,62 +56,19 @@ def terms(text: bytes) -> list[bytes]:
 
 
 _KEEP = np.frombuffer(_TERMS, np.uint8)
-_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_CHUNK = 1 << 20
 
 
 def hashed(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first bytes, hashes) of the terms in a byte array, one after the other.
+    """(first bytes, hashes) of the terms in a byte array."""
+    first, _, h = word_hashes(_KEEP[data])
+    return first, h
 
-    A term's hash is the sum of its bytes times powers of a base, of which prefix sums give all at once.
-    """
-    low = _KEEP[data]
-    inside = np.concatenate([[False], low != 32, [False]])
-    edge = np.flatnonzero(inside[1:] != inside[:-1])
-    first, last = edge[::2], edge[1::2]
-    out, k = np.empty(len(first), np.uint64), 0
-    while k < len(first):
-        stop = max(k + 1, int(np.searchsorted(last, first[k] + _CHUNK)))
-        s, e = first[k:stop] - first[k], last[k:stop] - first[k]
-        size = int(e[-1]) + 1
-        power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, _BASE)]))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((low[first[k] : first[k] + size - 1].astype(np.uint64) + np.uint64(1)) * power[:-1])])
-        back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, _INVERSE)]))
-        out[k:stop] = (sums[e] - sums[s]) * back[s]
-        k = stop
-    out ^= out >> np.uint64(32)
-    out *= _MIX
-    return first, out ^ (out >> np.uint64(29))
-
-
-class Vocabulary:
-    """Numbers of known terms, found by hash: in order, with a table of where their first 20 bits start."""
-
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.unique(hashes)
-        self.starts = np.searchsorted(self.hashes >> np.uint64(44), np.arange((1 << 20) + 1, dtype=np.uint64))
-        self.longest = int(np.diff(self.starts).max())
-
-    def numbers(self, h: np.ndarray) -> np.ndarray:
-        """-1 where unknown."""
-        out = np.full(len(h), -1, np.int64)
-        if len(self.hashes):
-            at = self.starts[(h >> np.uint64(44)).astype(np.int64)]
-            for k in range(self.longest):
-                place = np.minimum(at + k, len(self.hashes) - 1)
-                same = self.hashes[place] == h
-                out[same] = place[same]
-        return out
 
+class Vocabulary(HashTable):
     def counts(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, how often) of the known terms of each text, by text."""
-        low = data
-        if len(at) > 2 and len(data):  # a term ends with its text
-            ends = at[1:-1]
-            low = np.insert(data, ends[ends < len(data)], 32)
+        low, bounds = apart(data, at)
         first, h = hashed(low)
-        bounds = at + np.arange(len(at))
         number = self.numbers(h)
         text = np.searchsorted(bounds, first[number >= 0], "right") - 1
         key, n = np.unique(text * max(1, len(self.hashes)) + number[number >= 0], return_counts=True)
