@@ -4,6 +4,11 @@ Quality: documents that the classifier rejects go. Near-duplicates: of each grou
 document stays. Suffix dedup: repeated 200-byte passages go from the texts. Decontamination: documents in which
 a benchmark item is found go. Mixing: the documents that are left, drawn to their sources' targets; a row for
 each draw, with its output shard and its place there. All but the last return the columns of documents.
+
+A null text is empty to every stage: it is scored like any other, is near to other empty ones, has no passage and
+isn't drawn. Rows with a null id are rows of their own. Of rows that repeat in all columns one stays. Of near
+duplicates the least id stays, so ties don't arise. Very long texts go through whole. Other columns pass through all
+stages, whatever their names, but for the four that mixing adds. An empty table gives an empty mix.
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,13 +57,18 @@ def glob_pattern(glob: str) -> str:
     return f"(?s)^{out}$"
 
 
+def _fits(pattern: str) -> Callable[[Column], Column]:
+    return lambda part: part.rlike(pattern)
+
+
 def glob_kept(path: Column, include: Sequence[str] = (), exclude: Sequence[str] = ()) -> Column:
     """Whether a path is packed: an exclude pattern that fits it or any of its parts drops it, an include keeps it anyway."""
 
     def fits(globs: Sequence[str]) -> Column:
         hit = F.lit(False)
-        for g in globs:
-            hit = hit | path.rlike(glob_pattern(g)) | F.exists(F.split(path, "/"), lambda p, g=g: p.rlike(glob_pattern(g)))
+        for pattern in map(glob_pattern, globs):
+            part = F.filter(F.split(path, "/"), _fits(pattern))
+            hit = hit | path.rlike(pattern) | (F.size(part) > 0)
         return hit
 
     return fits(include) | ~fits(exclude)

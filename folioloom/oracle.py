@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import queries_runs
+
 
 def _split(key: str) -> str:
     u = f"(('0x' || substr(sha256('42:' || {key}), 1, 12))::bigint / 281474976710656.0)"
@@ -9,16 +11,12 @@ def _split(key: str) -> str:
 
 
 _LABELLED = "SELECT doc_id, lang, source, n_chars, CASE WHEN doc_id % 70 = 0 THEN '' WHEN doc_id % 50 = 0 THEN '<image>' || text ELSE text END AS text FROM documents"
-_PAIRS = r"""u AS (SELECT conv_id, turn, substr(regexp_replace(text, '[^\x00-\x7F]', '', 'g'), 1, 64) AS label FROM conversations WHERE role = 'user'),
-a AS (SELECT conv_id, turn - 1 AS turn, substr(regexp_replace(text, '[^\x00-\x7F]', '', 'g'), 1, 64) AS prediction FROM conversations WHERE role = 'assistant'),
-s AS (SELECT u.conv_id, u.turn, round(greatest(0.0, 1.0 - levenshtein(prediction, label)::double / greatest(length(prediction), length(label), 1)), 9) AS score,
- round(CASE WHEN label = '' THEN (CASE WHEN prediction = '' THEN 1.0 ELSE 0.0 END) ELSE 1.0 - least(levenshtein(prediction, label)::double / length(label), 1.0) END, 9) AS reward FROM u JOIN a USING (conv_id, turn))"""
 _VIEW = f"""l AS ({_LABELLED}),
-r AS (SELECT 'r' || doc_id AS rid, source, lang, 'd' || (doc_id // 4) AS did, CASE WHEN doc_id % 11 != 0 THEN 'img/' || doc_id || '.jpg' ELSE 'a' || doc_id END AS path,
- CASE WHEN doc_id % 11 != 0 THEN n_chars + 1 END AS w, CASE WHEN doc_id % 11 != 0 THEN 100 END AS h, text FROM l WHERE source IN ('src0','src1','src2','src3') AND lang IN ('en','fr')),
+r AS (SELECT 'r' || doc_id AS rid, source, lang, 'd' || (doc_id // 4) AS did, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'img/' || doc_id || '.jpg' ELSE 'a' || doc_id END AS path,
+ CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN n_chars + 1 END AS w, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 100 END AS h, text FROM l WHERE source IN ('src0','src1','src2','src3') AND lang IN ('en','fr')),
 k AS (SELECT did FROM (SELECT DISTINCT did FROM r) ORDER BY sha256('7:' || did) LIMIT 60),
 p AS (SELECT *, CASE WHEN text = '' THEN 'empty_label' WHEN contains(text, '<image>') OR contains(text, '<video>') THEN 'reserved_media_token_label' WHEN w IS NULL THEN 'invalid_dimensions'
- WHEN greatest(w::double / h, h::double / w) > 60 THEN 'aspect_ratio' END AS problem FROM r WHERE did IN (SELECT did FROM k) AND NOT (source = 'src3' AND lang = 'fr'))"""
+ WHEN greatest(w::double / h, h::double / w) > 60 THEN 'aspect_ratio' END AS problem FROM r WHERE NOT (source = 'src3' AND lang = 'fr'))"""
 _BOX = "b AS (SELECT p_partkey, p_size::double AS x0, p_size::double / 2 AS x1, p_size + 100.5 AS x2, p_retailprice / 2 AS x3, p_brand AS label, (p_partkey % 4) * 90 AS rotation FROM part)"
 _GRID = ", ".join(f"least(greatest(floor(x{k} * 1000 / {s}), 0), 1000)::int AS g{k}" for k, s in enumerate((800, 1000, 800, 1000)))
 _TURN = "CASE rotation WHEN 90 THEN 'right' WHEN 180 THEN 'down' WHEN 270 THEN 'left' ELSE 'up' END"
@@ -31,9 +29,13 @@ def _line(points: list[tuple[float, float]], step: str = "step") -> str:
     return f"{out} ELSE {points[-1][1]} END"
 
 
+_CLEAN = r"""c AS (SELECT doc_id, source, replace(replace(regexp_replace(regexp_replace(replace(replace(replace(replace(dirty, '<|ln|>', ''), '<|pn|>', ''), '<|sn|>', ''), '<<<change_line_token_wrap>>>', ''),
+ '\\\(\s*(.*?)\s*\\\)', '$\1$', 'gs'), '\\\$\s*(.*?)\s*\\\$', '$\1$', 'gs'), '\(', ''), '\)', '') AS x FROM d), k AS (SELECT doc_id, source, regexp_replace(x, '^\s+|\s+$', '', 'g') AS clean FROM c)"""
+_DISPLAY = r"'^\s*(?:\\\[(.*?)\\\]|\$\$(.*?)\$\$)\s*$'"
+
 ORACLE_SQL = {
     "view_build": f"""WITH {_VIEW} SELECT 'view:v1:' || substr(sha256(rid || 'text_default_v1'), 1, 16) AS id, rid AS canonical_record_id, path AS image_path, {_split("did")} AS split, text AS label,
- '<image>' || chr(10) || 'Text Recognition:' AS ask, 2::int AS turns, 'plain_text_v1' AS target_format FROM p WHERE problem IS NULL""",
+ '<image>' || chr(10) || 'Text Recognition:' AS ask, 2::int AS turns, 'plain_text_v1' AS target_format FROM p WHERE problem IS NULL AND did IN (SELECT did FROM k)""",
     "view_filter_counts": f"WITH {_VIEW} SELECT problem, count(*) AS n FROM p WHERE problem IS NOT NULL GROUP BY problem",
     "view_select_where": "SELECT d.doc_id, source AS source_name, lang FROM documents d LEFT JOIN labels l USING (doc_id) WHERE lang IN ('en','de') AND coalesce(toxic, 0) != 1 AND NOT (source = 'src1') AND NOT (source = 'src2' AND lang = 'de')",
     "sample_topk_hash": "SELECT source, doc_id, sample_rank FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY sha256('42:' || doc_id))::int AS sample_rank FROM documents) WHERE sample_rank <= 5",
@@ -48,13 +50,9 @@ SELECT 'event_type' AS kind, event_type AS value, count(*) AS n FROM e GROUP BY
     "dedupe_keep_first": "SELECT min(doc_id) AS doc_id, sha256(text) AS digest FROM documents GROUP BY sha256(text)",
     "dedupe_last_wins": "SELECT max(doc_id) AS doc_id, arg_max(source, doc_id) AS source, sha256(text) AS digest FROM documents GROUP BY sha256(text)",
     "resume_anti_join": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
-    "asset_left_join_dims": "SELECT l_orderkey, l_linenumber, CASE WHEN p_size IS NULL OR p_size <= 0 OR l_quantity <= 0 THEN 'invalid_dimensions' WHEN greatest(l_quantity / p_size, p_size / l_quantity) > 3.0 THEN 'aspect_ratio' ELSE 'kept' END AS problem FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_partkey % 5 != 0) ON p_partkey = l_partkey",
+    "asset_left_join_dims": "SELECT l_orderkey, l_linenumber, CASE WHEN p_size IS NULL OR p_size <= 0 OR l_quantity <= 0 THEN 'invalid_dimensions' WHEN greatest(l_quantity / p_size, p_size / l_quantity) > 3.0 THEN 'aspect_ratio' ELSE 'kept' END AS problem FROM lineitem LEFT JOIN part ON p_partkey = l_partkey",
     "chat_messages": "SELECT conv_id, count(*)::int AS n, string_agg(role || ':' || text, chr(10) ORDER BY turn, role, text) AS chat FROM conversations GROUP BY conv_id",
     "placeholder_count": "SELECT conv_id, sum((length(t) - length(replace(t, '<image>', ''))) // 7)::bigint AS n FROM (SELECT conv_id, CASE WHEN turn % 2 = 0 THEN '<image>' || text || '<image>' ELSE text END AS t FROM conversations) GROUP BY conv_id",
-    "reward_score": f"WITH {_PAIRS} SELECT conv_id, turn, score, reward FROM s",
-    "reward_summary": f"WITH {_PAIRS} SELECT count(*) AS n, min(score) AS least, round(avg(score), 9) AS mean, max(score) AS most FROM s",
-    "clean_labels": r"""SELECT doc_id, trim('$a+b$' || regexp_replace(substr(text, 1, 80), '[^A-Za-z ,.]', '', 'g') || '$c$ ') AS clean FROM documents""",
-    "classify_text": "SELECT CASE WHEN doc_id % 7 = 0 OR doc_id % 5 IN (1, 2) THEN 'table' WHEN doc_id % 5 = 0 THEN 'formula' ELSE 'text' END AS kind, count(*) AS n FROM documents GROUP BY 1",
     "layout_serialize": f"WITH {_BOX}, g AS (SELECT *, {_GRID} FROM b) SELECT p_partkey, '<|box_start|>' || g0 || ' ' || g1 || ' ' || g2 || ' ' || g3 || '<|box_end|><|ref_start|>' || label || '<|ref_end|><|rotate_' || {_TURN} || '|>' AS box FROM g",
     "box_tokens_parse": f"WITH {_BOX}, g AS (SELECT *, {_GRID} FROM b) SELECT p_partkey, place, label, rotation::int AS rotation, round(g0 * 800 / 1000.0, 6)::double AS x0, round(g1 * 1000 / 1000.0, 6)::double AS x1, round(g2 * 800 / 1000.0, 6)::double AS x2, round(g3 * 1000 / 1000.0, 6)::double AS x3 FROM g, (VALUES (1), (2)) t(place)",
     "crop_boxes": f"""WITH {_BOX}, c AS (SELECT p_partkey, least(greatest(trunc(x0)::int, 0), 119) AS c0, least(greatest(trunc(x1)::int, 0), 299) AS c1, trunc(x2)::int AS a, trunc(x3)::int AS b FROM b)
@@ -64,9 +62,7 @@ x AS (SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM t), g A
 r AS (SELECT doc_id, max(n) AS run FROM (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id, w, island) GROUP BY doc_id)
 SELECT doc_id, len(t)::int AS tokens, length(text)::int AS chars, coalesce(run, 0)::int AS run FROM t LEFT JOIN r USING (doc_id)""",
     "table_cells": "SELECT r_name, string_agg('<fcel>' || n_name || '<ecel><fcel>' || n_nationkey || '<nl>', '' ORDER BY n_nationkey) AS cells FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name",
-    "lineage_trace": "SELECT o_orderkey, c_custkey, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey",
-    "broken_links": "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
-    "deploy_manifest": r"SELECT path FROM (SELECT regexp_extract(url, '://[^/]+/([^?#]*)', 1) AS path FROM pages UNION SELECT 'img/' || doc_id || '.jpg' FROM documents WHERE doc_id % 11 != 0) WHERE path IS NOT NULL AND path != ''",
+    "deploy_manifest": r"SELECT path FROM (SELECT regexp_extract(url, '://[^/]+/([^?#]*)', 1) AS path FROM pages UNION SELECT 'img/' || doc_id || '.jpg' FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) WHERE path IS NOT NULL AND path != ''",
     "validator_violations": """SELECT doc_id, 'long_enough' AS rule FROM documents WHERE NOT coalesce(n_chars >= 500, false) UNION ALL SELECT doc_id, 'labelled' FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL
 UNION ALL SELECT doc_id, 'english' FROM documents WHERE NOT coalesce(lang = 'en', false)""",
     "stable_ids": "SELECT page_id, 'page:' || translate(url, '/:', '__') || ':' || page_id AS id, substr(sha256(url), 1, 16) AS h FROM pages",
@@ -78,22 +74,19 @@ z AS (SELECT vec_id, ln(sum(exp(t))) AS zt, ln(sum(exp(s))) AS zs FROM k GROUP B
 SELECT vec_id, round(sum(exp(t - zt) * ((t - zt) - (s - zs))), 6) AS kl FROM k JOIN z USING (vec_id) GROUP BY vec_id""",
     "metric_reduction": "SELECT event_type, round(avg(v)::double, 4) AS mean_of_sums, count(*) AS ranks FROM (SELECT user_id, event_type, sum(value::decimal(20,6)) AS v FROM events GROUP BY user_id, event_type) GROUP BY event_type",
     "windowed_events": "SELECT epoch(time_bucket(INTERVAL 1 HOUR, ts))::bigint AS start, event_type, count(*) AS n, round(sum(value::decimal(20,6))::double, 4) AS total FROM events GROUP BY 1, 2",
-    "view_rlvr": f"""SELECT 'r' || doc_id AS canonical_record_id, 'normalized_levenshtein_v1' AS reward_profile_id, {_split("('r' || doc_id)")} AS split, text AS truth, CASE WHEN doc_id % 11 != 0 THEN 'img/' || doc_id || '.jpg' ELSE 'a' || doc_id END AS image FROM ({_LABELLED}) WHERE text != ''""",
+    "view_rlvr": f"""SELECT 'r' || doc_id AS canonical_record_id, 'normalized_levenshtein_v1' AS reward_profile_id, {_split("('r' || doc_id)")} AS split, text AS truth, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'img/' || doc_id || '.jpg' ELSE 'a' || doc_id END AS image FROM ({_LABELLED}) WHERE text != ''""",
     "view_validate": f"""WITH l AS ({_LABELLED}), v AS (SELECT doc_id, 'r' || doc_id AS rid, doc_id // 4 AS did, {_split("('r' || doc_id)")} AS split, 1 + (length(text) - length(replace(text, '<image>', ''))) // 7 AS unused, n_chars + 1 AS w FROM l WHERE text != ''),
 x AS (SELECT did FROM v GROUP BY did HAVING count(DISTINCT split) > 1)
 SELECT rid AS canonical_record_id, 'image_count' AS rule FROM v WHERE doc_id % 10 = 7 UNION ALL SELECT rid, 'image_path' FROM v WHERE doc_id % 10 = 7
 UNION ALL SELECT rid, 'split_leak' FROM v WHERE did IN (SELECT did FROM x)
 UNION ALL SELECT rid, 'image_missing' FROM v, (VALUES (1), (2)) t(k) WHERE doc_id % 10 = 7
-UNION ALL SELECT rid, 'image_missing' FROM v WHERE doc_id % 10 != 7 AND doc_id % 11 = 0
-UNION ALL SELECT rid, 'aspect_ratio' FROM v WHERE doc_id % 10 != 7 AND doc_id % 11 != 0 AND greatest(w / 100.0, 100.0 / w) >= 40""",
-    "score_predictions": f"WITH {_PAIRS} SELECT conv_id || '-' || turn AS id, CASE WHEN turn % 2 = 0 THEN round(greatest(0.0, 1.0 - levenshtein(trim(prediction, W), trim(label, W))::double / greatest(length(trim(prediction, W)), length(trim(label, W)), 1)), 9) ELSE round(CASE WHEN trim(label, W) = '' THEN (CASE WHEN trim(prediction, W) = '' THEN 1.0 ELSE 0.0 END) ELSE 1.0 - least(levenshtein(trim(prediction, W), trim(label, W))::double / length(trim(label, W)), 1.0) END, 9) END AS score FROM u JOIN a USING (conv_id, turn)".replace("W)", "' ' || chr(9) || chr(10) || chr(13))"),
+UNION ALL SELECT rid, 'image_missing' FROM v WHERE doc_id % 10 != 7 AND doc_id NOT IN (SELECT doc_id FROM labels)
+UNION ALL SELECT rid, 'aspect_ratio' FROM v WHERE doc_id % 10 != 7 AND doc_id IN (SELECT doc_id FROM labels) AND greatest(w / 100.0, 100.0 / w) >= 40""",
     "lineage_of_view": f"SELECT 'r' || doc_id AS record_id, CASE WHEN source != 'src5' THEN source END AS source_name, CASE WHEN source != 'src5' THEN 'd' || (doc_id // 4) END AS document_id FROM ({_LABELLED}) WHERE text != ''",
-    "repetition_report": "SELECT doc_id, (doc_id % 90 * 2)::int AS span, concat_ws(';', CASE WHEN doc_id % 90 * 2 >= 140 THEN 'repeated_ngram_span' END, 'low_entropy_repeated_ngram') AS reasons FROM documents WHERE doc_id % 90 * 2 >= 80",
-    "nested_content": "SELECT event_id, event_type || chr(10) || user_id AS text FROM events",
     "image_resolution": """WITH n AS (SELECT n_nationkey, replace(n_name, '_', 'x') || 'z' AS stem FROM nation)
 SELECT stem AS sample_id, CASE WHEN n_nationkey % 2 = 0 THEN stem || '.webp' ELSE stem || '_a.png' END AS image FROM n UNION ALL
 SELECT stem || '_2', CASE WHEN n_nationkey % 2 = 0 THEN stem || '_a.png' ELSE stem || '_b.jpg' END FROM n UNION ALL SELECT 'none', NULL""",
-    "runtime_paths": "SELECT 'a' || doc_id AS asset_id, CASE WHEN (n_chars + 1) % 2 = 0 THEN '/img/' || doc_id || '.jpg' ELSE '/data/img/' || doc_id || '.jpg' END AS path FROM documents WHERE doc_id % 11 != 0",
+    "runtime_paths": "SELECT 'a' || doc_id AS asset_id, CASE WHEN (n_chars + 1) % 2 = 0 THEN '/img/' || doc_id || '.jpg' ELSE '/data/img/' || doc_id || '.jpg' END AS path FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
     "kd_hidden": """WITH x AS (SELECT a.vec_id, unnest(a.embedding)::double AS t, unnest(b.embedding)::double AS s, generate_subscripts(a.embedding, 1) AS i FROM embeddings a JOIN embeddings b ON b.vec_id - 1 = a.vec_id),
 z AS (SELECT vec_id, ln(sum(exp(t))) AS zt, ln(sum(exp(s))) AS zs, sum((t - s) * (t - s)) / sum(t * t) AS mse FROM x GROUP BY vec_id),
 k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY t DESC, i DESC) AS r FROM x) WHERE r <= 5)
@@ -101,4 +94,11 @@ SELECT vec_id, round(any_value(mse), 6) AS mse, round(sum(exp(t - zt) * ((t - zt
     "masked_loss": "SELECT l_returnflag, round(sum(l_quantity * (l_linenumber % 2)) / greatest(sum(l_linenumber % 2), 1), 6)::double AS loss FROM lineitem GROUP BY l_returnflag",
     "media_token_round_trip": "SELECT conv_id, turn, CASE WHEN role = 'user' THEN 1 ELSE 0 END::int AS left, true AS same FROM conversations",
     "preview_and_extension": r"""SELECT page_id, CASE WHEN length(url) > 20 THEN substr(url, 1, 17) || '...' ELSE url END AS preview, coalesce(nullif(lower(regexp_extract(regexp_extract(url, '^([^?#]*)', 1), '(\.[A-Za-z0-9]+)$', 1)), ''), '.html') AS ext FROM pages""",
-}
+    "clean_labels": rf"""WITH d AS (SELECT doc_id, source, ' <|ln|>\( a+b \)' || text || '<|pn|>\(c\) \(' AS dirty FROM documents), {_CLEAN} SELECT doc_id, clean FROM k""",
+    "classify_text": rf"""WITH d AS (SELECT doc_id, source, CASE WHEN doc_id % 10 = 1 THEN text || chr(10) || 'a' || chr(9) || 'b' || chr(10) || 'c' || chr(9) || 'd' ELSE text END AS dirty FROM documents), {_CLEAN},
+l AS (SELECT *, list_filter(string_split_regex(clean, '\r\n|[\n\r]'), lambda t: trim(t) != '') AS lines, regexp_replace(regexp_replace(clean, '\\\((.*?)\\\)', '', 'g'), {_DISPLAY}, '', 'gs') AS rest FROM k),
+m AS (SELECT *, list_sum(list_transform(lines, lambda t: length(t) - length(replace(t, chr(9), '')))) AS tabs, list_sum(list_transform(lines, lambda t: length(t) - length(replace(t, '|', '')))) AS bars FROM l)
+SELECT CASE WHEN regexp_matches(source, '(?i)\b(table|tabular|tbl|cell|row|column|col)\b') OR regexp_matches(lower(clean), '<table|<tr|<td') OR (len(lines) >= 2 AND (tabs >= 2 OR bars >= 4)) THEN 'table'
+ WHEN regexp_matches(clean, {_DISPLAY}, 's') OR (regexp_matches(clean, '\\[a-zA-Z]+|[_^{{}}]') AND len(regexp_extract_all(rest, '[A-Za-z]{{2,}}')) <= 2 AND len(regexp_extract_all(rest, '[\x{{4e00}}-\x{{9fff}}]')) = 0) THEN 'formula' ELSE 'text' END AS kind, count(*) AS n FROM m GROUP BY 1""",
+    "table_html_roundtrip": """SELECT n_nationkey, '<fcel>' || n_name || '<fcel>a & b<lcel><nl><ucel><fcel>c<ecel><nl>' AS cells, '<table><tr><td rowspan="2">' || n_name || '</td><td colspan="2">a &amp; b</td></tr><tr><td>c</td><td></td></tr></table>' AS html FROM nation""",
+} | queries_runs.ORACLE_SQL

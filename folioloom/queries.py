@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import content, geometry, numeric, repetition, rewards, tables
+from . import queries_runs
+from .functions import geometry, numeric, repetition, rewards, tables
 from .functions import text as T
 from .functions.ids import stable_hash, stable_id
 from .operators import select as S
@@ -38,7 +40,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _t(spark, sf_dir, "documents")
     key = F.col("doc_id").cast("string")
-    return d.where(F.col("doc_id") % 11 != 0).select(F.concat(F.lit("a"), key).alias("asset_id"), F.concat(F.lit("img/"), key, F.lit(".jpg")).alias("path"), F.lit("s").alias("source_name"), (F.col("n_chars") + 1).cast("int").alias("width"), F.lit(100).alias("height"), F.lit("jpg").alias("format"))
+    return d.join(_t(spark, sf_dir, "labels"), "doc_id", "left_semi").select(F.concat(F.lit("a"), key).alias("asset_id"), F.concat(F.lit("img/"), key, F.lit(".jpg")).alias("path"), F.lit("s").alias("source_name"), (F.col("n_chars") + 1).cast("int").alias("width"), F.lit(100).alias("height"), F.lit("jpg").alias("format"))
 
 
 PLAN = ViewPlan.of({"name": "v1", "stage": "sft", "include": [{"task": "text", "sources": ["src0", "src1", "src2", "src3"], "where": {"language": {"in": ["en", "fr"]}}}], "exclude": [{"where": {"source_name": "src3", "language": "fr"}}], "sample": [{"level": "document", "count": 60, "seed": 7}], "image_policy": {"filter": {"max_aspect_ratio": 60}}, "split_policy": {"train_ratio": 0.8, "val_ratio": 0.1}})
@@ -50,7 +52,7 @@ def view_build(spark, sf_dir):
 
 
 def view_filter_counts(spark, sf_dir):
-    return filter_counts(PLAN, _records(spark, sf_dir), _assets(spark, sf_dir))
+    return filter_counts(replace(PLAN, sample=()), _records(spark, sf_dir), _assets(spark, sf_dir))
 
 
 def view_select_where(spark, sf_dir):
@@ -113,7 +115,7 @@ def resume_anti_join(spark, sf_dir):
 
 def asset_left_join_dims(spark, sf_dir):
     lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").alias("w"))
-    parts = _t(spark, sf_dir, "part").where(F.col("p_partkey") % 5 != 0).select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("h"))
+    parts = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("h"))
     return lines.join(parts, "l_partkey", "left").select("l_orderkey", "l_linenumber", F.coalesce(S.image_problem(F.col("w"), F.col("h"), 3.0), F.lit("kept")).alias("problem"))
 
 
@@ -128,40 +130,25 @@ def placeholder_count(spark, sf_dir):
     return c.groupBy("conv_id").agg(F.sum(T.count_placeholders(F.col("text"))).alias("n"))
 
 
-def _pairs(spark, sf_dir, whole=False):
-    """Turns and their answers; not whole: the first 64 ASCII characters, as far as the SQL goes."""
+def _pairs(spark, sf_dir):
+    """Turns and their answers."""
     c = _t(spark, sf_dir, "conversations")
-    text = F.col("text") if whole else F.substr(F.regexp_replace("text", r"[^\x00-\x7F]", ""), F.lit(1), F.lit(64))
-    user = c.where(F.col("role") == "user").select("conv_id", "turn", text.alias("label"))
-    other = c.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), text.alias("prediction"))
+    user = c.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("label"))
+    other = c.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("prediction"))
     return user.join(other, ["conv_id", "turn"])
 
 
-def reward_score(spark, sf_dir, whole=False):
+def reward_score(spark, sf_dir):
     how = {"strip": False}
-    return _pairs(spark, sf_dir, whole).select("conv_id", "turn", F.round(rewards.similarity(F.col("prediction"), F.col("label"), **how), 9).alias("score"), F.round(rewards.truth_reward(F.col("prediction"), F.col("label"), **how), 9).alias("reward"))
+    return _pairs(spark, sf_dir).select("conv_id", "turn", F.round(rewards.similarity(F.col("prediction"), F.col("label"), **how), 9).alias("score"), F.round(rewards.truth_reward(F.col("prediction"), F.col("label"), **how), 9).alias("reward"))
 
 
-def reward_score_full(spark, sf_dir):
-    return reward_score(spark, sf_dir, True)
-
-
-def reward_summary(spark, sf_dir, whole=False):
-    s = reward_score(spark, sf_dir, whole)
+def reward_summary(spark, sf_dir):
+    s = reward_score(spark, sf_dir)
     return s.agg(F.count("*").alias("n"), F.min("score").alias("least"), F.round(F.avg("score"), 9).alias("mean"), F.max("score").alias("most"))
 
 
-def reward_summary_full(spark, sf_dir):
-    return reward_summary(spark, sf_dir, True)
-
-
 def clean_labels(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents")
-    dirty = F.concat(F.lit(r" <|ln|>\( a+b \)"), F.regexp_replace(F.substr("text", F.lit(1), F.lit(80)), r"[^A-Za-z ,.]", ""), F.lit(r"<|pn|>\(c\) \("))
-    return d.select("doc_id", T.clean_label(dirty).alias("clean"))
-
-
-def clean_labels_full(spark, sf_dir):
     """Whole texts, with tokens and wrappers around them beside those that they hold."""
     d = _t(spark, sf_dir, "documents")
     dirty = F.concat(F.lit(r" <|ln|>\( a+b \)"), "text", F.lit(r"<|pn|>\(c\) \("))
@@ -169,13 +156,6 @@ def clean_labels_full(spark, sf_dir):
 
 
 def classify_text(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents")
-    text = F.when(F.col("doc_id") % 5 == 0, F.lit(r"\[ x^2 + y^2 \]")).when(F.col("doc_id") % 5 == 1, F.lit("a\tb\nc\td")).when(F.col("doc_id") % 5 == 2, F.lit("<TABLE><tr>")).when(F.col("doc_id") % 5 == 3, F.lit("plain words here")).otherwise(F.lit("two words here x^2"))
-    hint = F.when(F.col("doc_id") % 7 == 0, F.lit("a table of values")).otherwise(F.lit("report_table_001"))
-    return d.groupBy(T.classify(text, hint).alias("kind")).agg(F.count("*").alias("n"))
-
-
-def classify_text_full(spark, sf_dir):
     """Whole texts and their source as the hint; every tenth also ends in a small table."""
     d = _t(spark, sf_dir, "documents")
     text = F.when(F.col("doc_id") % 10 == 1, F.concat("text", F.lit("\na\tb\nc\td"))).otherwise(F.col("text"))
@@ -224,16 +204,6 @@ def table_html_roundtrip(spark, sf_dir):
     return n.select("n_nationkey", "cells", tables.cells_to_html("cells").alias("html"))
 
 
-def lineage_trace(spark, sf_dir):
-    o, c, n = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer"), _t(spark, sf_dir, "nation")
-    return o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select("o_orderkey", "c_custkey", "c_name", "n_name")
-
-
-def broken_links(spark, sf_dir):
-    c, o = _t(spark, sf_dir, "customer"), _t(spark, sf_dir, "orders")
-    return R.broken_links(c, o, c.c_custkey == o.o_custkey).select("c_custkey")
-
-
 def deploy_manifest(spark, sf_dir):
     pages = _t(spark, sf_dir, "pages").select(F.regexp_extract("url", r"://[^/]+/([^?#]*)", 1).alias("path"))
     return R.file_manifest(pages, _assets(spark, sf_dir))
@@ -292,44 +262,20 @@ def view_validate(spark, sf_dir):
     return bad.select("canonical_record_id", "rule")
 
 
-def score_predictions(spark, sf_dir, whole=False):
-    p = _pairs(spark, sf_dir, whole)
+def score_predictions(spark, sf_dir):
+    p = _pairs(spark, sf_dir)
     key = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     view = p.select(key.alias("id"), "label", F.when(F.col("turn") % 2 == 0, "normalized_levenshtein_v1").otherwise("truth_levenshtein_v1").alias("reward_profile_id"))
     out = V.score_predictions(view, p.select(key.alias("id"), "prediction"))
     return out.select("id", F.round("score", 9).alias("score"))
 
 
-def score_predictions_full(spark, sf_dir):
-    return score_predictions(spark, sf_dir, True)
-
-
 def lineage_of_view(spark, sf_dir):
     r = _records(spark, sf_dir)
     v = view_rows(RLVR, r, _assets(spark, sf_dir))
     return V.trace(v, r.where(F.col("source_name") != "src5")).select("record_id", "source_name", "document_id")
 
 
-def repetition_report(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.repeat(F.lit("go on "), (F.col("doc_id") % 90).cast("int")), F.lit("end")).alias("text"))
-    out = repetition.analysed(d).where(F.size("reasons") > 0)
-    return out.select("doc_id", F.col("ngram.span").alias("span"), F.array_join("reasons", ";").alias("reasons")).orderBy(F.desc("span"), "doc_id")
-
-
-def repetition_report_full(spark, sf_dir):
-    """Whole texts; every tenth also ends in a loop."""
-    loop = F.repeat(F.lit(" go on"), (F.col("doc_id") % 90).cast("int"))
-    text = F.when(F.col("doc_id") % 10 == 0, F.concat("text", loop)).otherwise(F.col("text"))
-    out = repetition.analysed(_t(spark, sf_dir, "documents").select("doc_id", text.alias("text"))).where(F.size("reasons") > 0)
-    return out.select("doc_id", F.col("ngram.span").alias("span"), F.array_join("reasons", ";").alias("reasons")).orderBy(F.desc("span"), "doc_id")
-
-
-def nested_content(spark, sf_dir):
-    e = _t(spark, sf_dir, "events")
-    raw = F.concat(F.lit('{"kids": [{"other": "x"}, {"content": "'), F.col("user_id").cast("string"), F.lit('"}], "content": "'), "event_type", F.lit('"}'))
-    return e.select("event_id", content.nested_text(raw).alias("text"))
-
-
 def image_resolution(spark, sf_dir):
     n = _t(spark, sf_dir, "nation").select("n_nationkey", F.concat(F.replace("n_name", F.lit("_"), F.lit("x")), F.lit("z")).alias("stem"))
     named = lambda end: F.concat("stem", F.lit(end))
@@ -364,5 +310,5 @@ def preview_and_extension(spark, sf_dir):
     return p.select("page_id", T.truncated(F.col("url"), 20).alias("preview"), T.extension(F.regexp_extract("url", r"^([^?#]*)", 1), ".html").alias("ext"))
 
 
-_ALL = (view_build, view_filter_counts, view_select_where, sample_topk_hash, sample_keys, split_assign, split_counts, split_leakage, label_filter_counts, failure_stats, schema_sample_per_group, dedupe_keep_first, dedupe_last_wins, resume_anti_join, asset_left_join_dims, chat_messages, placeholder_count, reward_score, reward_score_full, reward_summary, reward_summary_full, clean_labels, clean_labels_full, classify_text, classify_text_full, layout_serialize, box_tokens_parse, crop_boxes, repetition_basic, repetition_full, table_cells, table_html_roundtrip, lineage_trace, broken_links, deploy_manifest, validator_violations, stable_ids, kd_schedule, kd_cosine, kd_topk_kl, metric_reduction, windowed_events, view_rlvr, view_validate, score_predictions, score_predictions_full, lineage_of_view, repetition_report, repetition_report_full, nested_content, image_resolution, runtime_paths, kd_hidden, masked_loss, media_token_round_trip, preview_and_extension)
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
+_ALL = (view_build, view_filter_counts, view_select_where, sample_topk_hash, sample_keys, split_assign, split_counts, split_leakage, label_filter_counts, failure_stats, schema_sample_per_group, dedupe_keep_first, dedupe_last_wins, resume_anti_join, asset_left_join_dims, chat_messages, placeholder_count, reward_score, reward_summary, clean_labels, classify_text, layout_serialize, box_tokens_parse, crop_boxes, repetition_basic, repetition_full, table_cells, table_html_roundtrip, deploy_manifest, validator_violations, stable_ids, kd_schedule, kd_cosine, kd_topk_kl, metric_reduction, windowed_events, view_rlvr, view_validate, score_predictions, lineage_of_view, image_resolution, runtime_paths, kd_hidden, masked_loss, media_token_round_trip, preview_and_extension)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL} | queries_runs.QUERIES

@@ -38,13 +38,13 @@ def truth(p, g):
 
 
 def test_rewards_of_whole_turns(spark, folder):
-    got = {(r.conv_id, r.turn): (r.score, r.reward) for r in QUERIES["reward_score_full"](spark, folder).collect()}
+    got = {(r.conv_id, r.turn): (r.score, r.reward) for r in QUERIES["reward_score"](spark, folder).collect()}
     want = {(c, t): (pytest.approx(similarity(p, g), abs=1e-8), pytest.approx(truth(p, g), abs=1e-8)) for c, t, g, p in TURNS}
     assert got == want
     all_ = [similarity(p, g) for _, _, g, p in TURNS]
-    (r,) = QUERIES["reward_summary_full"](spark, folder).collect()
+    (r,) = QUERIES["reward_summary"](spark, folder).collect()
     assert (r.n, r.least, r["mean"], r.most) == (len(all_), *(pytest.approx(x, abs=1e-8) for x in (min(all_), sum(all_) / len(all_), max(all_))))
-    got = {r.id: r.score for r in QUERIES["score_predictions_full"](spark, folder).collect()}
+    got = {r.id: r.score for r in QUERIES["score_predictions"](spark, folder).collect()}
     assert got == {f"{c}-{t}": pytest.approx(similarity(p.strip(), g.strip()), abs=1e-8) for c, t, g, p in TURNS}
 
 
@@ -57,7 +57,7 @@ def plain_clean(text):
 
 
 def test_clean_whole_texts(spark, folder):
-    got = {r.doc_id: r.clean for r in QUERIES["clean_labels_full"](spark, folder).collect()}
+    got = {r.doc_id: r.clean for r in QUERIES["clean_labels"](spark, folder).collect()}
     assert got == {i: plain_clean(r" <|ln|>\( a+b \)" + t + r"<|pn|>\(c\) \(") for i, t in DOCS}
 
 
@@ -65,11 +65,11 @@ def test_report_and_kinds_follow_the_text(spark, tmp_path):
     """Ids alone would give other rows: the loops, tables and formulas are in the texts."""
     prose = " ".join(f"word{k} of plain prose" for k in range(200))
     loop = " no end" * 75
-    rows = [(1, prose, "web"), (2, prose + loop, "web"), (3, prose + " " + "ab " * 60, "web"), (4, prose + "!" * 90, "web"), (5, prose + "\nx\ty\nz\tw", "web"), (6, r"\[ x^2 \]", "web"), (7, r"x^2 + \alpha", "web"), (8, prose, "a table"), (9, None, "web"), (80, prose, "web"), (85, prose[:40], "web"), (91, prose, "web")]
+    rows = [(1, prose, "web"), (2, prose + loop, "web"), (3, prose + " " + "ab " * 60, "web"), (4, prose + "!" * 90, "web"), (5, prose + "\nx\ty\nz\tw", "web"), (6, r"\[ x^2 \]", "web"), (7, r"x^2 + \alpha", "web"), (8, prose, "a table"), (9, None, "web"), (80, prose + " go on" * 80, "web"), (85, prose[:40], "web"), (91, prose, "web")]
     spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: (r.span, set(r.reasons.split(";"))) for r in QUERIES["repetition_report_full"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: (r.span, set(r.reasons.split(";"))) for r in QUERIES["repetition_report"](spark, str(tmp_path)).collect()}
     assert {i: got[i][0] for i in got} == {2: 150, 3: 60, 4: 90, 80: 160}
     assert "repeated_ngram_span" in got[2][1] & got[80][1]
     assert "same_token_run" in got[3][1] and "char_run" in got[4][1]
-    kinds = {r.kind: r.n for r in QUERIES["classify_text_full"](spark, str(tmp_path)).collect()}
+    kinds = {r.kind: r.n for r in QUERIES["classify_text"](spark, str(tmp_path)).collect()}
     assert kinds == {"table": 4, "formula": 2, "text": 6}  # 1 and 91 end in a table; 5 holds one; the source of 8 tells
