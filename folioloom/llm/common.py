@@ -154,7 +154,7 @@ def words_of(text: str | bytes | None) -> list[bytes]:
 
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_CHUNK = 1 << 20
+_CHUNK = 1 << 17
 
 
 def word_hashes(low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
