@@ -101,6 +101,11 @@ def total_loss(raw: dict[str, Column], weight: dict[str, Column]) -> Column:
     return F.struct(total.alias("loss"), *fields)
 
 
+def validation_loss(df, by: list[str], rank: str, value: str = "loss"):
+    """The mean over ranks of each rank's mean over its batches."""
+    return df.groupBy(*by, rank).agg(F.avg(value).alias("mean")).groupBy(*by).agg(F.avg("mean").alias(value))
+
+
 def reduced_metrics(df, by: list[str], rank: str, name: str = "metric", value: str = "value"):
     """One value of each metric: sums within a rank and the mean over ranks for losses, the mean for others that differ, else the value that all have."""
     within = df.groupBy(*by, name, rank).agg(F.sum(value).alias("total"), F.avg(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"), F.count("*").alias("n"))

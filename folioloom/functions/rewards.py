@@ -25,3 +25,12 @@ def truth_reward(prediction: Column, label: Column, **how) -> Column:
     p, g = normalized(prediction, **how), normalized(label, **how)
     empty = F.when(p == "", 1.0).otherwise(0.0)
     return F.when(g == "", empty).otherwise(F.lit(1.0) - F.least(F.levenshtein(p, g) / F.length(g), F.lit(1.0)))
+
+
+def register(spark) -> None:
+    """The two rewards as functions for SQL: normalized_similarity and truth_reward, of a prediction and a label."""
+    strip = lambda x: f"regexp_replace(coalesce({x}, ''), '(?U)^\\\\s+|\\\\s+$', '')"
+    p, g = strip("prediction"), strip("label")
+    head = "CREATE OR REPLACE TEMPORARY FUNCTION {}(prediction STRING, label STRING) RETURNS DOUBLE RETURN "
+    spark.sql(head.format("normalized_similarity") + f"greatest(0D, 1D - levenshtein({p}, {g}) / greatest(length({p}), length({g}), 1))")
+    spark.sql(head.format("truth_reward") + f"CASE WHEN {g} = '' THEN (CASE WHEN {p} = '' THEN 1D ELSE 0D END) ELSE 1D - least(levenshtein({p}, {g}) / length({g}), 1D) END")

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..canonical import path_of, read, write
+from ..functions.geometry import crop_box
+from ..functions.images import cropped
 
 Tables = dict[str, DataFrame]
 
@@ -58,6 +60,16 @@ def report(tables: Tables) -> DataFrame:
     return out.unionByName(tasks.select(F.concat(F.lit("records/"), "task").alias("name"), "n"))
 
 
+def region_crops(tables: Tables, images: DataFrame) -> DataFrame:
+    """path (of the crop asset) and content (PNG) of the regions that have one; images: path and content of page images."""
+    assets = tables["assets"].select("asset_id", "path")
+    pages = tables["pages"].select("page_id", "width", "height", F.col("page_image_asset_id").alias("asset_id")).join(assets, "asset_id").join(images, "path")
+    regions = tables["regions"].where(F.col("crop_asset_id").isNotNull()).select("page_id", "bbox", F.col("crop_asset_id").alias("crop"))
+    crops = assets.select(F.col("asset_id").alias("crop"), F.col("path").alias("crop_path"))
+    rows = regions.join(pages.drop("path", "asset_id"), "page_id").join(crops, "crop")
+    return rows.select(F.col("crop_path").alias("path"), cropped("content", crop_box(F.col("bbox"), F.col("width"), F.col("height"))).alias("content"))
+
+
 def write_json(spark: SparkSession, value: Any, path: str) -> None:
     """One file of JSON below `path`, indented, other scripts as they are."""
     spark.createDataFrame([(json.dumps(value, indent=2, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(path)

@@ -31,6 +31,8 @@ PROMPTS = {"layout": "\nLayout Detection:", "table": "{image}\nTable Recognition
 FORMATS = {"layout": "layout_box_v1", "table": "enhanced_otsl_v1", "formula": "latex_plain_v1", "text": "plain_text_v1"}
 
 
+#: The task that each format is for.
+FORMAT_TASKS = {"layout_box_v1": "layout", "enhanced_otsl_v1": "table", "table_text_v1": "table", "latex_plain_v1": "formula", "plain_text_v1": "text"}
 MODES = ("embedded", "source_reference", "nested_reference")
 TABLE_KEYS = ("display", "elements", "enhanced_otsl", "html", "latex", "otsl", "raw", "text")
 
@@ -98,6 +100,8 @@ def serialized(formats: Mapping[str, str], width: Column, height: Column, fit: C
     for task, name in formats.items():
         if name not in made:
             raise KeyError(f"no serializer {name}")
+        if FORMAT_TASKS[name] != task:
+            raise ValueError(f"format {name} is for {FORMAT_TASKS[name]}, not for {task}")
         out = F.when(F.col("task") == task, made[name]()).otherwise(out)
     return out
 

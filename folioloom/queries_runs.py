@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import geometry, numeric, repetition
+from .functions import geometry, numeric, repetition, rewards
 from .functions import text as T
 from .functions.prompts import rendered
 from .operators import deploy, lineage
@@ -196,6 +196,18 @@ def reduced_metrics(spark, sf_dir):
     return out.select("metric", F.round(F.col("value").cast("double"), 3).alias("value"))
 
 
+def validation_loss(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").select("event_type", "user_id", F.col("value").alias("loss"))
+    return numeric.validation_loss(e, ["event_type"], "user_id").select("event_type", F.round("loss", 4).alias("loss"))
+
+
+def sql_rewards(spark, sf_dir):
+    """Short turns against their roles, by the functions that are registered for SQL."""
+    rewards.register(spark)
+    c = _t(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit(" "), "p_brand").alias("p"), F.col("p_type").alias("g"))
+    return c.select("p_partkey", F.expr("round(normalized_similarity(p, g), 9)").alias("score"), F.expr("round(truth_reward(p, g), 9)").alias("reward"))
+
+
 def different_targets(spark, sf_dir):
     c = _t(spark, sf_dir, "conversations")
     roles = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"])
@@ -247,7 +259,7 @@ def repetition_report(spark, sf_dir):
     return out.select("doc_id", F.col("ngram.span").alias("span"), "same_token_run", F.array_join("reasons", ";").alias("reasons")).orderBy(F.desc("span"), F.desc("same_token_run"), "doc_id")
 
 
-_ALL = (view_embedded, view_failures, view_failure_stats, view_one_sample, view_shard_counts, view_given_splits, fitted_boxes, export_report, export_not_completed, deploy_view, deploy_counts, deploy_missing, deploy_globs, recent_files, ranked_nodes, checkpoint_ancestors, checkpoint_descendants, run_progress, grpo_violations, stage_violations, first_rows_per_file, flagged_summary, total_losses, reduced_metrics, different_targets, first_positive_side, image_candidates, prompts, broken_links, lineage_trace, nested_content, repetition_report)
+_ALL = (view_embedded, view_failures, view_failure_stats, view_one_sample, view_shard_counts, view_given_splits, fitted_boxes, export_report, export_not_completed, deploy_view, deploy_counts, deploy_missing, deploy_globs, recent_files, ranked_nodes, checkpoint_ancestors, checkpoint_descendants, run_progress, grpo_violations, stage_violations, first_rows_per_file, flagged_summary, total_losses, reduced_metrics, validation_loss, sql_rewards, different_targets, first_positive_side, image_candidates, prompts, broken_links, lineage_trace, nested_content, repetition_report)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 
@@ -295,6 +307,8 @@ SELECT step, round(s + s / 2 * l + s * 3 * h, 6) AS loss, round(CASE WHEN l = 0
     "reduced_metrics": """WITH e AS (SELECT user_id, CASE WHEN value > 50 THEN 'loss_' ELSE 'rate_' END || event_type AS metric, value::decimal(20,6) AS value FROM events),
 w AS (SELECT metric, user_id, sum(value) AS total FROM e GROUP BY metric, user_id), m AS (SELECT metric, avg(total) AS sums FROM w GROUP BY metric)
 SELECT metric, round(CASE WHEN starts_with(metric, 'loss') THEN sums ELSE mean END::double, 3) AS value FROM m JOIN (SELECT metric, avg(value) AS mean FROM e GROUP BY metric) USING (metric)""",
+    "validation_loss": "SELECT event_type, round(avg(m), 4) AS loss FROM (SELECT event_type, user_id, avg(value) AS m FROM events GROUP BY event_type, user_id) GROUP BY event_type",
+    "sql_rewards": "SELECT p_partkey, round(greatest(0.0, 1.0 - levenshtein(p_brand, p_type)::double / greatest(length(p_brand), length(p_type), 1)), 9) AS score, round(1.0 - least(levenshtein(p_brand, p_type)::double / length(p_type), 1.0), 9) AS reward FROM part",
     "different_targets": "SELECT conv_id, string_agg(role, ',' ORDER BY first) AS roles, min(role) AS first FROM (SELECT conv_id, role, min(turn) AS first FROM conversations GROUP BY conv_id, role) GROUP BY conv_id",
     "first_positive_side": "SELECT p_partkey, CASE WHEN p_size > 0 THEN p_size ELSE 7 END::int AS side FROM part",
     "image_candidates": f"SELECT page_id, CASE WHEN page_id IN (SELECT doc_id FROM documents WHERE {_IN} AND n_chars > 1000) THEN 'img/' || page_id || '.jpg' ELSE 'img/' || page_id || '.png' END AS path FROM pages",

@@ -148,4 +148,10 @@ def annotated_pages(spark: SparkSession, paths: str | list[str], name: str, imag
     return {k: conform(v, k) for k, v in made.items()}
 
 
+def embedded_images(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """path and content of the images that table parquet files hold, as files to write."""
+    df = spark.read.schema("filename string, image struct<bytes:binary,path:string>").parquet(*([paths] if isinstance(paths, str) else paths))
+    return df.where(F.col("image.bytes").isNotNull()).select(F.coalesce("image.path", "filename").alias("path"), F.col("image.bytes").alias("content"))
+
+
 ADAPTERS = {"chat_messages": chat_messages, "nested_jsonl": nested_jsonl, "table_parquet": table_parquet, "annotated_pages": annotated_pages}

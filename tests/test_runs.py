@@ -16,7 +16,8 @@ from folioloom.operators import select as S
 from folioloom.operators import views as V
 from folioloom.plans import export
 from folioloom.plans.view import ViewPlan, failures, view_assets, view_rows, write_view
-from folioloom.sources.adapters import annotated_pages, nested_jsonl, scan_documents
+from folioloom.sources.adapters import annotated_pages, embedded_images, nested_jsonl, scan_documents
+from folioloom.sources.files import write_files
 
 PAGES = [[{"type": "paragraph", "index": 5, "bbox": [0.0, 0.0, 0.5, 0.5], "angle": 0, "content": "Low water at noon"}, {"type": "table", "index": 6, "bbox": [0.5, 0.5, 1.0, 1.0], "angle": 0, "content": "<table><tr><td>1</td></tr></table>"}]]
 
@@ -95,6 +96,28 @@ def test_middle_files_and_folders(spark, tmp_path):
     assert [tuple(r) for r in scan_documents(spark, f"{tmp_path}/lines/*/annotations/*.jsonl", "n").collect()] == [(docs[0].document_id, "set7/r1", "p.png")]
 
 
+def test_crops_and_files(spark, tmp_path):
+    made = source(spark, tmp_path)
+    raw, pixels = picture(40, 20)
+    files = spark.createDataFrame([("m1.jpg", bytearray(raw))], "path string, content binary")
+    crops = export.region_crops(made, files)
+    assert crops.count() == 2
+    write_files(crops, f"{tmp_path}/out")
+    boxes = sorted(images.decoded_png(p.read_bytes()).shape for p in (tmp_path / "out" / "assets").iterdir())
+    assert boxes == [(10, 20, 3), (10, 20, 3)]
+    rows = [("a/b.png", (bytearray(raw), "t/b.png"), ["<tr></tr>"])]
+    spark.createDataFrame(rows, "filename string, image struct<bytes:binary,path:string>, html_with_text array<string>").write.parquet(f"{tmp_path}/tables")
+    write_files(embedded_images(spark, f"{tmp_path}/tables"), f"{tmp_path}/out")
+    assert (tmp_path / "out" / "t" / "b.png").read_bytes() == raw
+
+
+def test_formats_are_for_their_tasks(spark, tmp_path):
+    made = source(spark, tmp_path)
+    for formats, error in (({"text": "latex_plain_v1"}, ValueError), ({"text": "no_such_v1"}, KeyError)):
+        with pytest.raises(error):
+            view_rows(ViewPlan.of({"name": "x", "include": [{"task": "text"}], "target_serialization": formats}), made["records"], made["assets"])
+
+
 def test_exports_resume_and_report(spark, tmp_path):
     root = f"{tmp_path}/store"
     got = export.export(spark, source(spark, tmp_path), root, "annotated_pages", "leaflets", tasks=["text", "layout"])
