@@ -20,7 +20,8 @@ from .text import TOKEN
 # Fixed values of the classification.
 LIMITS = {"same_token_run": 50, "ngram_span": 140, "entropy_repeats": 12, "entropy_span": 80, "entropy_compression": 0.25, "compression": 0.12, "compression_span": 35, "compression_tokens": 500, "char_run": 80, "leader_compression": 0.18}
 NGRAM = StructType().add("repeats", IntegerType()).add("n", IntegerType()).add("span", IntegerType()).add("example", StringType())
-SIGNS = StructType().add("token_count", IntegerType()).add("same_token_run", IntegerType()).add("ngram", NGRAM).add("compression", DoubleType())
+SIGNS = StructType().add("token_count", IntegerType()).add("same_token_run", IntegerType()).add("ngram", NGRAM).add("compression", DoubleType()).add("char_run", IntegerType())
+_SPACE = np.array([9, 10, 11, 12, 13, 32], np.uint32)
 LEADERS = (".", "·", "—")
 _TOKEN = re.compile(TOKEN, re.ASCII)  # as in the JVM, digits and white space are ASCII
 LONGEST = 12
@@ -59,6 +60,17 @@ def compression_ratio(text: str | None) -> float:
     return len(zlib.compress(raw)) / len(raw) if raw else 1.0
 
 
+def char_run(text: str | None) -> int:
+    """The longest run of ten or more of one character that is no ASCII white space, else 0."""
+    points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(points) < 10:
+        return 0
+    edge = np.flatnonzero(np.concatenate([[True], points[1:] != points[:-1], [True]]))
+    run = np.diff(edge)[~np.isin(points[edge[:-1]], _SPACE)]
+    most = int(run.max(initial=0))
+    return most if most >= 10 else 0
+
+
 @F.pandas_udf(SIGNS)
 def signs_of(text: pd.Series) -> pd.DataFrame:
     tokens = [_TOKEN.findall(t) if t else [] for t in text]
@@ -72,19 +84,13 @@ def signs_of(text: pd.Series) -> pd.DataFrame:
         b, r = loops(tokens[start:stop])
         best, runs, start = best + b, runs + r, stop
     ngram = [dict(zip(("repeats", "n", "span", "example"), x, strict=True)) for x in best]
-    return pd.DataFrame({"token_count": [len(t) for t in tokens], "same_token_run": runs, "ngram": ngram, "compression": [compression_ratio(t) for t in text]})
-
-
-def char_run(text: Column) -> Column:
-    """The longest run of ten or more of one non-space character."""
-    found = F.regexp_extract_all(F.regexp_replace(text, r"\s+", " "), F.lit(r"((\S)\2{9,})"), F.lit(1))
-    return F.coalesce(F.array_max(F.transform(found, lambda x: F.length(x))), F.lit(0))
+    return pd.DataFrame({"token_count": [len(t) for t in tokens], "same_token_run": runs, "ngram": ngram, "compression": [compression_ratio(t) for t in text], "char_run": [char_run(t) for t in text]})
 
 
 def analysed(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds token_count, char_count, same_token_run, ngram, compression, char_run and reasons."""
     whole = F.coalesce(text, F.lit(""))
-    df = df.withColumn("signs", signs_of(text)).select(*(f"`{c}`" for c in df.columns), "signs.*", F.length(whole).alias("char_count"), char_run(whole).alias("char_run"))
+    df = df.withColumn("signs", signs_of(text)).select(*(f"`{c}`" for c in df.columns), "signs.*", F.length(whole).alias("char_count"))
     x, col = LIMITS, F.col
     span, repeats = col("ngram.span"), col("ngram.repeats")
     signs = [
