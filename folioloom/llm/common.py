@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 #: Words are runs of anything but ASCII white space; bytes.split() cuts at just these bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -77,6 +78,30 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0] : at[-1]], at - at[0]
 
 
+def as_arrow(data: np.ndarray, at: np.ndarray, binary: bool = False) -> pa.Array:
+    """The inverse of utf8: a column of strings, or of binaries."""
+    wide = at[-1] >= 2**31
+    kind = (pa.large_binary() if wide else pa.binary()) if binary else (pa.large_string() if wide else pa.string())
+    return pa.Array.from_buffers(kind, len(at) - 1, [None, pa.py_buffer(at.astype(np.int64 if wide else np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def beside(df: DataFrame, left_out: str) -> Column:
+    """All columns but one, as one struct."""
+    rest = df.select(*(F.col(f"`{c}`") for c in df.columns if c != left_out))
+    return whole_row(rest) if rest.columns else F.struct(F.lit(0))
+
+
+def schema_beside(rows: DataFrame, results: dict[str, DataType]) -> StructType:
+    """Of a kernel that returns the struct `row` and results."""
+    return StructType([rows.schema["row"], *(StructField(k, v) for k, v in results.items())])
+
+
+def with_results(out: DataFrame, columns: list[str], results: dict[str, str]) -> DataFrame:
+    """The columns of `row`, without those named like results, then the results under their names."""
+    taken = {r.lower() for r in results}
+    return out.select(*(F.col(f"`row`.`{c}`").alias(c) for c in columns if c.lower() not in taken), *(F.col(v).alias(k) for k, v in results.items()))
+
+
 def in_parts(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 2_000_000, rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that each holds some `most` bytes of text or one longer text."""
     for batch in batches:

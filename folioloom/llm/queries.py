@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, decontaminate, langid, mixing, quality, simhash, suffix_dedup, syncmers, toxicity, url_filter
+from . import attention_lm, byte_bpe, decontaminate, divergence, infilling, langid, mixing, quality, simhash, suffix_dedup, syncmers, toxicity, url_filter
 from .common import table
 
 #: Fixed by contract.
@@ -60,7 +60,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_langid, op4_suffix_dedup, op5_syncmers, op6_attention_lm, op7_simhash, op8_toxicity, op9_quality, op10_decontamination)}
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_digest(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infilling.infill_digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_langid, op4_suffix_dedup, op5_syncmers, op6_attention_lm, op7_simhash, op8_toxicity, op9_quality, op10_decontamination, op11_source_divergence, op12_byte_bpe, op13_fill_in_middle)}
 
 ORACLE_SQL = {
     "op1_url_filter": r"""
@@ -75,5 +87,36 @@ WITH cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, str
                  WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/es/') THEN 'org/es/' END AS rule FROM parts)
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
        CASE WHEN rule IS NULL OR rule = 'example.com/en/7' THEN 'allow' ELSE 'block' END AS verdict FROM ruled
+""",
+    "op11_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+     t AS (SELECT k, lang, source, unnest(terms) AS term FROM d),
+     kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT k) >= 30),
+     groups AS (SELECT DISTINCT lang, source FROM d),
+     c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+     v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+     g AS (SELECT lang, source, term, coalesce(n, 0) AS n, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total, v
+           FROM groups JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+     l AS (SELECT lang, term, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total FROM c GROUP BY lang, term),
+     p AS (SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 5)::HUGEINT // (total + 5 * v)::HUGEINT AS p FROM g),
+     q AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 5)::HUGEINT // (total + 5 * v)::HUGEINT AS q FROM l JOIN v USING (lang)),
+     sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+     pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+              FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+     term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM (FROM pair UNION ALL FROM term))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+""",
+    "op13_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+     h AS (SELECT *, len(lines) AS n, ('0x' || substr(digest, 1, 8))::BIGINT AS h1, ('0x' || substr(digest, 9, 8))::BIGINT AS h2,
+                  ('0x' || substr(digest, 17, 8))::BIGINT AS h3, ('0x' || substr(digest, 25, 8))::BIGINT AS h4 FROM d),
+     k AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+     c AS (SELECT *, array_to_string(lines[1:a], '') AS prefix, array_to_string(lines[a + 1:b], '') AS middle, array_to_string(lines[b + 1:], '') AS suffix FROM k)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM c
 """,
 }
