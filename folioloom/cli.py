@@ -11,7 +11,7 @@ from . import canonical, config
 from .functions import prompts
 from .operators import deploy, views
 from .plans.export import export
-from .plans.view import ViewPlan, read_yaml, write_view
+from .plans.view import ViewPlan, read_view, read_yaml, write_view
 from .schemas import CANONICAL
 from .sources.adapters import ADAPTERS
 from .sources.files import image_listing, relative_files
@@ -59,7 +59,7 @@ def main(args: list[str] | None = None) -> int:
         images = relative_files(spark, a.images) if a.images else None
         print(write_view(ViewPlan.of(raw), table("records"), table("assets"), a.views, images))
     elif a.command == "validate-view":
-        view = spark.read.parquet(a.view).withColumn("file", F.col("_metadata.file_path"))
+        view = read_view(spark, a.view).withColumn("file", F.col("_metadata.file_path"))
         view = views.first_rows(view, a.max_rows, F.col("file"), "id").drop("file")
         sizes = image_listing(spark, a.images) if a.images else None
         bad = views.view_violations(view, a.max_aspect_ratio, sizes).unionByName(views.stage_violations(view))
@@ -67,22 +67,22 @@ def main(args: list[str] | None = None) -> int:
         print(*(f"{r.id}: {r.rule}" for r in rows), sep="\n")
         return int(bool(rows))
     elif a.command == "reward-smoke-test":
-        view = spark.read.parquet(a.view).where("stage = 'rlvr'")
+        view = read_view(spark, a.view).where("stage = 'rlvr'")
         view = view.orderBy("id").limit(a.limit) if a.limit > 0 else view
         out = views.reward_summary(views.score_predictions(view, view.select("id", F.col("label").alias("prediction")))).first()
         print(out.asDict())
         return int(not out["n"])
     elif a.command == "deploy-manifest":
-        view = spark.read.parquet(a.view)
+        view = read_view(spark, a.view)
         files = view.select(F.col("_metadata.file_path").alias("path")).distinct()
         deploy.write_lines(deploy.manifest(files, view), a.out)
         print(deploy.manifest_counts(files, view).first().asDict())
     elif a.command == "score-predictions":
-        scores = views.score_predictions(spark.read.parquet(a.view), spark.read.parquet(a.predictions))
+        scores = views.score_predictions(read_view(spark, a.view), spark.read.parquet(a.predictions))
         scores.write.mode("overwrite").parquet(a.out)
         print(views.reward_summary(spark.read.parquet(a.out)).first().asDict())
     else:
-        view = spark.read.parquet(a.view)
+        view = read_view(spark, a.view)
         print(*views.trace(view.where(view.id == a.id), table("records"), table("documents")).toJSON().collect(), sep="\n")
     return 0
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .edit_distance import edit_distance
 from .text import py_strip
 
 
@@ -17,14 +18,14 @@ def normalized(text: Column, case_sensitive: bool = True, strip: bool = True) ->
 def similarity(prediction: Column, label: Column, **how) -> Column:
     """max(0, 1 - distance / longer length)."""
     p, g = normalized(prediction, **how), normalized(label, **how)
-    return F.greatest(F.lit(0.0), F.lit(1.0) - F.levenshtein(p, g) / F.greatest(F.length(p), F.length(g), F.lit(1)))
+    return F.greatest(F.lit(0.0), F.lit(1.0) - edit_distance(p, g) / F.greatest(F.length(p), F.length(g), F.lit(1)))
 
 
 def truth_reward(prediction: Column, label: Column, **how) -> Column:
     """1 - min(distance / length of the truth, 1); an empty truth gives 1 to an empty prediction and else 0."""
     p, g = normalized(prediction, **how), normalized(label, **how)
     empty = F.when(p == "", 1.0).otherwise(0.0)
-    return F.when(g == "", empty).otherwise(F.lit(1.0) - F.least(F.levenshtein(p, g) / F.length(g), F.lit(1.0)))
+    return F.when(g == "", empty).otherwise(F.lit(1.0) - F.least(edit_distance(p, g) / F.length(g), F.lit(1.0)))
 
 
 def register(spark) -> None:

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..canonical import asset_manifest
@@ -24,15 +24,16 @@ from ..functions.tables import html_to_cells
 from ..functions.text import truncated
 from ..operators import select
 from ..schemas import STAGES
+from ..sources.file_sink import content_path, write_files
+from . import snapshots
 
 SYSTEM_PROMPT = "You are a helpful assistant."
 # Prompts by task; {image} stands for the image placeholder.
 PROMPTS = {"layout": "\nLayout Detection:", "table": "{image}\nTable Recognition:", "formula": "{image}\nFormula Recognition:", "text": "{image}\nText Recognition:", "diagram": "{image}\nImage Analysis:", "seal": "{image}\nSeal Recognition:"}
+# The default format of a task, and the task that each format is for.
 FORMATS = {"layout": "layout_box_v1", "table": "enhanced_otsl_v1", "formula": "latex_plain_v1", "text": "plain_text_v1"}
-
-
-#: The task that each format is for.
 FORMAT_TASKS = {"layout_box_v1": "layout", "enhanced_otsl_v1": "table", "table_text_v1": "table", "latex_plain_v1": "formula", "plain_text_v1": "text"}
+SPLITS = ("train", "val", "test")
 MODES = ("embedded", "source_reference", "nested_reference")
 TABLE_KEYS = ("display", "elements", "enhanced_otsl", "html", "latex", "otsl", "raw", "text")
 
@@ -156,11 +157,12 @@ def _made(plan: ViewPlan, records: DataFrame, assets: DataFrame, images: DataFra
             for task, how in plan.transforms.items():
                 square = F.when(F.col("task") == task, F.lit(bool(how.get("pad_to_square")))).otherwise(square)
             df = df.withColumn("bytes", F.when(changed, refitted("bytes", F.col("fit.output_width"), square)).otherwise(F.col("bytes")))
-    else:
+    elif plan.transforms or plan.image_mode == "embedded":
         df = df.withColumn("bytes", F.lit(None).cast("binary"))
     what = F.when(changed, F.lit("can't resize the image of ")).otherwise(F.lit("can't read the image of "))
     error = F.when(known.isNull(), F.struct(F.lit("KeyError").alias("exception_type"), F.concat(F.lit("no format for task "), "task").alias("message")))
-    error = error.when(needs & F.col("bytes").isNull(), F.struct(F.lit("ValueError").alias("exception_type"), F.concat(what, "record_id").alias("message")))
+    if plan.transforms or plan.image_mode == "embedded":
+        error = error.when(needs & F.col("bytes").isNull(), F.struct(F.lit("ValueError").alias("exception_type"), F.concat(what, "record_id").alias("message")))
     return df.withColumn("error", error)
 
 
@@ -174,25 +176,33 @@ def failures(plan: ViewPlan, records: DataFrame, assets: DataFrame, images: Data
     return df.select(F.lit("materialize").alias("phase"), "record_id", "source_name", "task", "document_id", "page_id", "region_id", _by_task(FORMATS | dict(plan.formats)).alias("target_format"), keys.alias("target_keys"), truncated(preview, 512).alias("target_preview"), "error.exception_type", truncated(F.col("error.message"), 512).alias("message"))
 
 
+def _unless(bad: Column, message: Column) -> Column:
+    """A filter that keeps all rows and fails the job at a bad one, whatever columns are read."""
+    return F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+
+
 def view_rows(plan: ViewPlan, records: DataFrame, assets: DataFrame, images: DataFrame | None = None, splits: DataFrame | None = None) -> DataFrame:
-    """The rows of a view. images: path and content of files, where bytes are needed; splits: given ones, by key."""
-    df = _made(plan, records, assets, images)
+    """The rows of a view. images: path and content of files, where bytes are needed; splits: given ones, by key.
+
+    A split that is none of train, val and test fails the job."""
+    return _rows(plan, _made(plan, records, assets, images), splits)
+
+
+def _rows(plan: ViewPlan, df: DataFrame, splits: DataFrame | None, *more: Column) -> DataFrame:
     failed = F.col("error").isNotNull()
-    if plan.skip_failure:
-        df = df.where(~failed)
-    else:
-        df = df.withColumn("record_id", F.when(failed, F.raise_error(F.col("error.message")).cast("string")).otherwise(F.col("record_id")))
+    df = df.where(~failed) if plan.skip_failure else df.where(_unless(failed, F.col("error.message")))
     level = select.LEVELS[plan.split.get("level", "document")]
     split = select.split_of(F.col(level), int(plan.split.get("seed", 42)), float(plan.split.get("train_ratio", 0.98)), float(plan.split.get("val_ratio", 0.01)))
     if splits is not None:
         df = select.split_by_table(df, level, splits, split)
         split = F.col("split")
+        df = df.where(_unless(~F.coalesce(split.isin(*SPLITS), F.lit(False)), F.concat(F.lit("no such split: "), F.coalesce(split, F.lit("null")))))
     prompt = rendered(_by_task(PROMPTS | dict(plan.prompts)))
     template = F.concat("task", F.lit("_default_v1"))
     content = stable_hash(F.concat("record_id", template))
     turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
     asset_id = stable_id("view_asset", F.lit(plan.name), F.col("task"), content)
-    path = F.when(F.col("fit").isNotNull(), F.concat(F.lit("assets/"), F.translate(asset_id, ":/", "__"), F.lit(".png"))).otherwise(F.col("path"))
+    path = F.when(F.col("fit").isNotNull(), _asset_path(plan)).otherwise(F.col("path")) if plan.transforms else F.col("path")
     image = {"embedded": F.array("bytes").alias("images_bytes"), "source_reference": F.array(path).alias("images_path"), "nested_reference": F.array(F.struct(path.alias("image"))).alias("images")}[plan.image_mode]
     cols = [
         stable_id("view", F.lit(plan.name), content).alias("id"), F.lit(plan.stage).alias("stage"), "task", path.alias("image_path"),
@@ -205,15 +215,18 @@ def view_rows(plan: ViewPlan, records: DataFrame, assets: DataFrame, images: Dat
     if plan.stage == "rlvr":
         profile = F.coalesce(_by_task(plan.rewards.get("by_task") or {}), F.lit(plan.rewards.get("default") or "normalized_levenshtein_v1"))
         cols += [profile.alias("reward_profile_id"), F.struct(F.col("label")).alias("reward_payload"), F.struct(F.lit("rule").alias("style"), F.col("label").alias("ground_truth")).alias("reward_model"), F.col("label").alias("answer_key"), F.struct(F.col("record_id").alias("sample_id"), split.alias("split")).alias("extra_info")]
-    return df.select(*cols).drop(*plan.prune)
+    return df.select(*cols, *more).drop(*plan.prune)
+
+
+def _asset_path(plan: ViewPlan) -> Column:
+    before = F.concat(F.lit(f"assets/view_asset_{plan.name}_".replace(":", "_")), "task", F.lit("_"))
+    return content_path(F.col("bytes"), before, ".png")
 
 
 def view_assets(plan: ViewPlan, records: DataFrame, assets: DataFrame, images: DataFrame) -> DataFrame:
-    """path (below the view's folder) and content of the images that the view resizes."""
+    """path (below the folder of views) and content of the images that the view resizes, each once."""
     df = _made(plan, records, assets, images).where(F.col("error").isNull() & F.col("fit").isNotNull())
-    content = stable_hash(F.concat("record_id", F.concat("task", F.lit("_default_v1"))))
-    name = F.translate(stable_id("view_asset", F.lit(plan.name), F.col("task"), content), ":/", "__")
-    return df.select(F.concat(F.lit("assets/"), name, F.lit(".png")).alias("path"), F.col("bytes").alias("content"))
+    return df.select(_asset_path(plan).alias("path"), F.col("bytes").alias("content")).dropDuplicates(["path"])
 
 
 def shard_counts(plan: ViewPlan, rows: DataFrame) -> DataFrame:
@@ -226,12 +239,35 @@ def filter_counts(plan: ViewPlan, records: DataFrame, assets: DataFrame) -> Data
 
 
 def write_view(plan: ViewPlan, records: DataFrame, assets: DataFrame, root: str, images: DataFrame | None = None, splits: DataFrame | None = None) -> str:
-    """Writes <root>/<view>/split=<split>/; a rerun replaces the view."""
-    path = f"{root.rstrip('/')}/{plan.name}"
-    out = view_rows(plan, records, assets, images, splits).write.mode("overwrite").partitionBy("split")
-    if plan.rows_per_shard:
-        out = out.option("maxRecordsPerFile", plan.rows_per_shard)
-    out.parquet(path)
-    if plan.transforms and images is not None and plan.image_mode != "embedded":
-        view_assets(plan, records, assets, images).write.mode("overwrite").parquet(f"{path}.assets")
+    """Replaces <root>/<view>/split=<split>/ as a whole, for splits that have rows; returns the view's path.
+
+    A job that fails leaves the view as it was. Resized images, which are made once, become files below <root>, named by
+    their content, before the view is replaced. `snapshots.current` tells the rows of each split.
+    """
+    spark, path = records.sparkSession, f"{root.rstrip('/')}/{plan.name}"
+
+    def write(staged: str) -> dict[str, Any]:
+        made, own = _made(plan, records, assets, images), f"{staged}/_made"
+        resized = bool(plan.transforms) and images is not None and plan.image_mode != "embedded"
+        if resized:
+            _rows(plan, made, splits, F.when(F.col("fit").isNotNull(), F.col("bytes")).alias("asset_content")).write.parquet(own)
+            rows = spark.read.parquet(own)
+            write_files(rows.select(F.col("image_path").alias("path"), F.col("asset_content").alias("content")), root, "keep")
+            rows = rows.drop("asset_content")
+        else:
+            rows = _rows(plan, made, splits)
+        seen = Observation()
+        out = rows.observe(seen, *(F.count_if(F.col("split") == s).alias(s) for s in SPLITS)).write.mode("append").partitionBy("split")
+        (out.option("maxRecordsPerFile", plan.rows_per_shard) if plan.rows_per_shard else out).parquet(staged)
+        if resized:
+            snapshots.Files(spark, own).delete(own)
+        return {"view": plan.name, "stage": plan.stage, "rows": {s: n for s, n in seen.get.items() if n}}
+
+    snapshots.commit(spark, path, write)
     return path
+
+
+def read_view(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a view; a replacement that died halfway is ended first."""
+    snapshots.current(spark, path)
+    return spark.read.parquet(path)

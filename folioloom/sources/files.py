@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.images import image_header
+from .file_sink import write_files as write_files
 
 EXTENSIONS = (".jpg", ".jpeg", ".png", ".webp")
 
@@ -65,26 +66,7 @@ def under_root(root: str, path: Column) -> Column:
 
 def first_existing(df: DataFrame, candidates: str, files: DataFrame, name: str = "path") -> DataFrame:
     """df with the first of its candidate paths (array) that is among files (path), else the first of all."""
-    each = df.select(F.xxhash64(candidates).alias("asked"), F.col(candidates).alias("all")).dropDuplicates(["asked"]).select("asked", F.posexplode("all").alias("place", "path"))
+    each = df.select(F.col(candidates).alias("asked")).distinct().select("asked", F.posexplode("asked").alias("place", "path"))
     found = each.join(files.select("path").distinct(), "path", "left_semi").groupBy("asked").agg(F.min_by("path", "place").alias("found"))
-    out = df.withColumn("asked", F.xxhash64(candidates)).join(found, "asked", "left")
+    out = df.withColumn("asked", F.col(candidates)).join(found, "asked", "left")
     return out.withColumn(name, F.coalesce("found", F.get(candidates, F.lit(0)))).drop("asked", "found")
-
-
-def write_files(df: DataFrame, root: str) -> None:
-    """Writes a file for each row (path below root, content); tasks that run again write the same files again.
-
-    root: a folder or URI that the executors' Arrow can write to."""
-    target = root if "://" in root else f"file://{root}"
-
-    def put(rows) -> None:
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(target)
-        for r in rows:
-            where = f"{base.rstrip('/')}/{r['path']}"
-            store.create_dir(where.rsplit("/", 1)[0], recursive=True)
-            with store.open_output_stream(where) as out:
-                out.write(bytes(r["content"]))
-
-    df.where(F.col("content").isNotNull()).select("path", "content").foreachPartition(put)
