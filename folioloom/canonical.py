@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.tables import keep_first, not_done, repeated_ids, violations
@@ -23,15 +25,24 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*cols)
 
 
-def write(df: DataFrame, root: str, table: str, append: bool = False, rows_per_file: int = 10_000) -> None:
-    """Overwrites the partitions that df has rows of; appending leaves out ids that are there already."""
+def write(df: DataFrame, root: str, table: str, append: bool = False, rows_per_file: int = 10_000, counted: Mapping[str, Column] | None = None, unseen: bool = False) -> dict[str, int]:
+    """Overwrites the partitions that df has rows of; appending leaves out ids that are there already.
+
+    Returns aggregates of the rows written, which are taken while they are. unseen: df has no id that is there, and no
+    id twice, so nothing is looked up.
+    """
     spark, df = df.sparkSession, conform(df, table)
-    df = keep_first(df, KEYS[table], "source_name", KEYS[table])
-    if append and (there := read(spark, root, table)) is not None:
-        df = not_done(df, there, KEYS[table])
+    if not unseen:
+        df = keep_first(df, KEYS[table], "source_name", KEYS[table])
+        if append and (there := read(spark, root, table)) is not None:
+            df = not_done(df, there, KEYS[table])
+    seen = Observation()
+    if counted:
+        df = df.observe(seen, *(v.alias(k) for k, v in counted.items()))
     df = df.withColumn("source", F.col("source_name"))
     out = df.write.option("maxRecordsPerFile", rows_per_file).partitionBy(*PARTITIONS.get(table, ["source"]))
     out.option("partitionOverwriteMode", "dynamic").mode("append" if append else "overwrite").parquet(path_of(root, table))
+    return seen.get if counted else {}
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame | None:
@@ -47,7 +58,8 @@ def read(spark: SparkSession, root: str, table: str) -> DataFrame | None:
 def asset_manifest(assets: DataFrame, needed: DataFrame) -> DataFrame:
     """Assets that are needed (column image_asset_id); of rows with one id the last path counts."""
     ids = needed.select(F.col("image_asset_id").alias("asset_id")).distinct()
-    return assets.join(ids, "asset_id", "left_semi").groupBy("asset_id").agg(*(F.max_by(c, F.struct("path", "source_name")).alias(c) for c in ("path", "width", "height", "format")))
+    last = F.max_by(F.struct("path", "width", "height", "format"), F.struct("path", "source_name"))
+    return assets.join(ids, "asset_id", "left_semi").groupBy("asset_id").agg(last.alias("last")).select("asset_id", "last.*")
 
 
 def constraints(table: str) -> dict[str, Column]:

@@ -70,26 +70,30 @@ def _side_by_side(short: list[str], long: list[str]) -> np.ndarray:
     found = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
     found[keys[found] != asked] = len(keys)
 
+    # At step s a pair's word w is at column s - w of its table, so all words of all pairs move at once.
     rises, falls = np.full((words, n), FULL), np.zeros((words, n), np.uint64)
-    last, bit = (m - 1) >> 6, ((m - 1) & 63).astype(np.uint64)
-    out = m.copy()
-    active = np.searchsorted(-sizes, -np.arange(int(sizes[0])), "left")  # pairs of which the long text goes on after j
-    for j, k in enumerate(active.tolist()):
-        letter = found[t_at[:k] + j]
-        up, down = np.ones(k, np.uint64), np.zeros(k, np.uint64)  # the difference that comes from the word before
-        for w in range(words):
-            same, r, f = masks[w, letter], rises[w, :k], falls[w, :k]
-            vertical = same | f
-            same |= down
-            across = (((same & r) + r) ^ r) | same
-            right, left = f | ~(across | r), r & across
-            here = last[:k] == w
-            b = bit[:k]
-            out[:k] += np.where(here, (right >> b & ONE).astype(np.int64) - (left >> b & ONE).astype(np.int64), 0)
-            right_out, left_out = right >> TOP, left >> TOP
-            right, left = right << ONE | up, left << ONE | down
-            rises[w, :k], falls[w, :k] = left | ~(vertical | right), right & vertical
-            up, down = right_out, left_out
+    up, down = np.ones((words + 1, n), np.uint64), np.zeros((words + 1, n), np.uint64)  # into each word, from the one before
+    letter = np.full((words, n), len(keys))
+    offset = (np.arange(words) * masks.shape[1])[:, None]
+    last, bit, out, each = (m - 1) >> 6, ((m - 1) & 63).astype(np.uint64), m.copy(), np.arange(n)
+    steps = int(sizes[0]) + words - 1
+    active = np.searchsorted(-sizes, words - 1 - np.arange(steps), "left")  # pairs of which some word has columns left
+    for s in range(steps):
+        k, h = int(active[s]), min(words, s + 1)
+        letter[1:h, :k] = letter[: h - 1, :k].copy()
+        letter[0, :k] = np.where(s < sizes[:k], found[np.minimum(t_at[:k] + s, len(found) - 1)], len(keys))
+        same, r, f = masks.ravel()[letter[:h, :k] + offset[:h]], rises[:h, :k], falls[:h, :k]
+        above, below = up[:h, :k].copy(), down[:h, :k].copy()
+        vertical = same | f
+        same |= below
+        across = (((same & r) + r) ^ r) | same
+        right, left = f | ~(across | r), r & across
+        here = np.flatnonzero((last[:k] <= s) & (s - last[:k] < sizes[:k]))
+        w, b = last[here], bit[here]
+        out[here] += (right[w, each[here]] >> b & ONE).astype(np.int64) - (left[w, each[here]] >> b & ONE).astype(np.int64)
+        up[1 : h + 1, :k], down[1 : h + 1, :k] = right >> TOP, left >> TOP
+        right, left = right << ONE | above, left << ONE | below
+        rises[:h, :k], falls[:h, :k] = left | ~(vertical | right), right & vertical
     return out
 
 
