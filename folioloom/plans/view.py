@@ -177,8 +177,11 @@ def failures(plan: ViewPlan, records: DataFrame, assets: DataFrame, images: Data
 
 
 def _unless(bad: Column, message: Column) -> Column:
-    """A filter that keeps all rows and fails the job at a bad one, whatever columns are read."""
-    return F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    """A filter that keeps all rows and fails the job at a bad one, whatever columns are read.
+
+    As it names the partition it isn't deterministic, and filters on the view aren't merged with it; they could make it
+    judge rows that they leave out by what is only true of those they keep."""
+    return F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.spark_partition_id() >= 0)
 
 
 def view_rows(plan: ViewPlan, records: DataFrame, assets: DataFrame, images: DataFrame | None = None, splits: DataFrame | None = None) -> DataFrame:

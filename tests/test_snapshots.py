@@ -72,6 +72,8 @@ def test_failures_are_not_pruned(spark, tmp_path):
     for use in (rows.count, rows.select("label").collect, rows.select(F.lit(1)).collect, rows.groupBy("split").count().collect):
         with pytest.raises(Exception, match="no format for task diagram"):
             use()
+    good = view_rows(ANY, made["records"], made["assets"])
+    assert [good.where(F.col("task") == t).count() for t in ("layout", "text", "none")] == [1, 1, 0]
 
 
 def test_every_file_that_a_view_refers_to_exists(spark, tmp_path):
