@@ -26,7 +26,10 @@ def main(args: list[str] | None = None) -> int:
             p.add_argument(o)
         if name == "export-source":
             p.add_argument("--append", action="store_true")
+            p.add_argument("--overwrite", action="store_true", help="replace the source's partitions, which is what happens without --append and --skip-completed")
             p.add_argument("--skip-completed", action="store_true")
+            p.add_argument("--images", help="folder of the pages' or records' images, for their sizes")
+            p.add_argument("--middle", help="annotated_pages: files <sample>_middle.json")
             p.add_argument("--max-samples", type=int)
             p.add_argument("--tasks", nargs="*")
         if name == "build-view":
@@ -34,6 +37,10 @@ def main(args: list[str] | None = None) -> int:
                 p.add_argument(o, type=int)
             p.add_argument("--images", help="folder of the images that the view embeds or resizes")
             p.add_argument("--prompts", help="YAML profile of prompts")
+            p.add_argument("--skip-failure", action="store_true", default=None, help="leave out records that can't be made")
+        if name == "validate-canonical":
+            p.add_argument("--tasks", nargs="*")
+            p.add_argument("--sources", nargs="*")
         if name == "validate-view":
             p.add_argument("--images", help="folder of the images that rows refer to")
             p.add_argument("--max-aspect-ratio", type=float, default=200.0)
@@ -44,18 +51,27 @@ def main(args: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("folioloom").getOrCreate()
     table = lambda name: canonical.read(spark, a.root, name)
     if a.command == "export-source":
-        tables = ADAPTERS[a.adapter](spark, a.path, a.source)
+        if a.overwrite and (a.append or a.skip_completed):
+            parser.error("--overwrite goes with neither --append nor --skip-completed")
+        more = {"middle": a.middle} if a.middle else {}
+        tables = ADAPTERS[a.adapter](spark, a.path, a.source, image_listing(spark, a.images) if a.images else None, **more)
         print(export(spark, tables, a.root, a.adapter, a.source, a.tasks, a.append, a.skip_completed, a.max_samples))
     elif a.command == "validate-canonical":
         bad = 0
         for name in CANONICAL:
-            if (df := table(name)) is not None and (rows := canonical.validate(df, name).limit(20).collect()):
+            if (df := table(name)) is None:
+                continue
+            if a.sources:
+                df = df.where(F.col("source_name").isin(a.sources))
+            if a.tasks and "task" in df.columns and name == "records":
+                df = df.where(F.col("task").isin(a.tasks))
+            if (rows := canonical.validate(df, name).limit(20).collect()):
                 bad += len(rows)
                 print(name, *(f"{r[0]}: {r.rule}" for r in rows), sep="\n  ")
         return int(bad > 0)
     elif a.command == "build-view":
-        raw = read_yaml(spark, a.config) | (prompts.load(spark, a.prompts) if a.prompts else {})
-        config.apply(spark, config.execution({"num_workers": a.num_workers, "worker_batch_size": a.worker_batch_size, "schema_sample_size": a.schema_sample_size}, (raw.get("execution") or {}).get("view_build"), None))
+        raw = read_yaml(spark, a.config) | (prompts.load(spark, a.prompts) if a.prompts else {}) | ({"skip_failure": True} if a.skip_failure else {})
+        config.apply(spark, {"num_workers": a.num_workers, "worker_batch_size": a.worker_batch_size, "schema_sample_size": a.schema_sample_size}, (raw.get("execution") or {}).get("view_build"))
         images = relative_files(spark, a.images) if a.images else None
         print(write_view(ViewPlan.of(raw), table("records"), table("assets"), a.views, images))
     elif a.command == "validate-view":

@@ -56,7 +56,9 @@ def execution(*layers: Mapping[str, object] | None) -> dict[str, int]:
     return out
 
 
-def apply(spark: SparkSession, options: Mapping[str, int]) -> None:
-    for name, value in options.items():
-        if (key := EXECUTION[name][1]) is not None:
+def apply(spark: SparkSession, *layers: Mapping[str, object] | None) -> None:
+    """Sets what some layer names; what none names stays as the session has it, and doesn't become the default."""
+    named = {name for layer in layers if layer for name, value in layer.items() if value is not None}
+    for name, value in execution(*layers).items():
+        if name in named and (key := EXECUTION[name][1]) is not None:
             spark.conf.set(key, str(value))

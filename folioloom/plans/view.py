@@ -19,7 +19,7 @@ from ..canonical import asset_manifest
 from ..functions.geometry import fitted, layout_text
 from ..functions.ids import stable_hash, stable_id
 from ..functions.images import refitted
-from ..functions.prompts import rendered
+from ..functions.prompts import chosen, rendered
 from ..functions.tables import html_to_cells
 from ..functions.text import truncated
 from ..operators import select
@@ -56,6 +56,7 @@ class ViewPlan:
     system_prompt: str = SYSTEM_PROMPT
     skip_failure: bool = False
     prune: tuple[str, ...] = ()
+    image_placeholder: str = "<image>"
 
     @classmethod
     def of(cls, config: Mapping[str, Any]) -> ViewPlan:
@@ -71,7 +72,7 @@ class ViewPlan:
         mode = (images.get("materialization") or {}).get("mode") or "source_reference"
         if mode not in MODES:
             raise ValueError(f"image mode {mode!r} isn't supported")
-        return cls(config["name"], stage, tuple(config.get("include") or ()), tuple(config.get("exclude") or ()), tuple([sample] if isinstance(sample := config.get("sample") or (), Mapping) else sample), dict(config.get("target_serialization") or {}), dict(config.get("prompts") or {}), dict(config.get("split_policy") or {}), float((images.get("filter") or {}).get("max_aspect_ratio") or 0) or None, mode, dict(config.get("reward_profile") or {}), rows, {t: dict(x) for t, x in (config.get("image_transform") or {}).items() if x and x.get("resize_to")}, config.get("system_prompt") or SYSTEM_PROMPT, bool(config.get("skip_failure")), tuple(config.get("prune") or ()))
+        return cls(config["name"], stage, tuple(config.get("include") or ()), tuple(config.get("exclude") or ()), tuple([sample] if isinstance(sample := config.get("sample") or (), Mapping) else sample), dict(config.get("target_serialization") or {}), dict(config.get("prompts") or {}), dict(config.get("split_policy") or {}), float((images.get("filter") or {}).get("max_aspect_ratio") or 0) or None, mode, dict(config.get("reward_profile") or {}), rows, {t: dict(x) for t, x in (config.get("image_transform") or {}).items() if x and x.get("resize_to")}, config.get("system_prompt") or SYSTEM_PROMPT, bool(config.get("skip_failure")), tuple(config.get("prune") or ()), config.get("image_placeholder") or "<image>")
 
     @classmethod
     def from_yaml(cls, spark: SparkSession, path: str) -> ViewPlan:
@@ -200,7 +201,7 @@ def _rows(plan: ViewPlan, df: DataFrame, splits: DataFrame | None, *more: Column
         df = select.split_by_table(df, level, splits, split)
         split = F.col("split")
         df = df.where(_unless(~F.coalesce(split.isin(*SPLITS), F.lit(False)), F.concat(F.lit("no such split: "), F.coalesce(split, F.lit("null")))))
-    prompt = rendered(_by_task(PROMPTS | dict(plan.prompts)))
+    prompt = rendered(chosen(plan.prompts, PROMPTS), plan.image_placeholder)
     template = F.concat("task", F.lit("_default_v1"))
     content = stable_hash(F.concat("record_id", template))
     turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
