@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .operators import index
+from .operators.index import bloom_options
 from .operators.tables import keep_first, not_done, repeated_ids, violations
+from .plans.snapshots import Files
 from .schemas import CANONICAL, KEYS
 
 PARTITIONS = {"records": ["task", "source"]}
@@ -39,8 +42,10 @@ def write(df: DataFrame, root: str, table: str, append: bool = False, rows_per_f
     seen = Observation()
     if counted:
         df = df.observe(seen, *(v.alias(k) for k, v in counted.items()))
-    df = df.withColumn("source", F.col("source_name"))
-    out = df.write.option("maxRecordsPerFile", rows_per_file).partitionBy(*PARTITIONS.get(table, ["source"]))
+    df, by = df.withColumn("source", F.col("source_name")), PARTITIONS.get(table, ["source"])
+    # Rows of a file are in the order of their ids, with a bloom filter of them, so that look-ups of ids skip files.
+    df = df.sortWithinPartitions(*by, KEYS[table])
+    out = df.write.option("maxRecordsPerFile", rows_per_file).options(**bloom_options(KEYS[table], rows_per_file)).partitionBy(*by)
     out.option("partitionOverwriteMode", "dynamic").mode("append" if append else "overwrite").parquet(path_of(root, table))
     return seen.get if counted else {}
 
@@ -55,6 +60,24 @@ def read(spark: SparkSession, root: str, table: str) -> DataFrame | None:
         raise
 
 
+def index_path(root: str, table: str) -> str:
+    return path_of(root, f"_index_{table}")
+
+
+def build_index(spark: SparkSession, root: str, table: str) -> None:
+    """The index of a table's ids, to be built again after the table has changed."""
+    index.build(spark.read.schema(CANONICAL[table] + ", source string").parquet(path_of(root, table)), KEYS[table], index_path(root, table))
+
+
+def lookup(spark: SparkSession, root: str, table: str, ids: Sequence[str]) -> DataFrame | None:
+    """Rows of a table with the ids; by its index where there is one, else by what the files' row groups tell."""
+    key = KEYS[table]
+    if Files(spark, root).exists(index_path(root, table)):
+        return index.rows_of(spark, index_path(root, table), key, ids, CANONICAL[table])
+    there = read(spark, root, table)
+    return there if there is None else there.where(F.col(key).isin(list(ids)))
+
+
 def asset_manifest(assets: DataFrame, needed: DataFrame) -> DataFrame:
     """Assets that are needed (column image_asset_id); of rows with one id the last path counts."""
     ids = needed.select(F.col("image_asset_id").alias("asset_id")).distinct()

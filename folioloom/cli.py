@@ -20,7 +20,7 @@ from .sources.files import image_listing, relative_files
 def main(args: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="folioloom", description=__doc__)
     sub = parser.add_subparsers(dest="command", required=True)
-    for name, options in {"export-source": ("adapter", "path", "source", "root"), "validate-canonical": ("root",), "build-view": ("config", "root", "views"), "validate-view": ("view",), "reward-smoke-test": ("view",), "deploy-manifest": ("view", "out"), "score-predictions": ("view", "predictions", "out"), "trace": ("view", "root", "id")}.items():
+    for name, options in {"export-source": ("adapter", "path", "source", "root"), "validate-canonical": ("root",), "build-view": ("config", "root", "views"), "validate-view": ("view",), "reward-smoke-test": ("view",), "deploy-manifest": ("view", "out"), "score-predictions": ("view", "predictions", "out"), "trace": ("view", "root", "id"), "index": ("root",)}.items():
         p = sub.add_parser(name)
         for o in options:
             p.add_argument(o)
@@ -69,6 +69,10 @@ def main(args: list[str] | None = None) -> int:
                 bad += len(rows)
                 print(name, *(f"{r[0]}: {r.rule}" for r in rows), sep="\n  ")
         return int(bad > 0)
+    elif a.command == "index":
+        for name in ("records", "documents", "assets"):
+            if table(name) is not None:
+                canonical.build_index(spark, a.root, name)
     elif a.command == "build-view":
         raw = read_yaml(spark, a.config) | (prompts.load(spark, a.prompts) if a.prompts else {}) | ({"skip_failure": True} if a.skip_failure else {})
         config.apply(spark, {"num_workers": a.num_workers, "worker_batch_size": a.worker_batch_size, "schema_sample_size": a.schema_sample_size}, (raw.get("execution") or {}).get("view_build"))
@@ -98,8 +102,12 @@ def main(args: list[str] | None = None) -> int:
         scores.write.mode("overwrite").parquet(a.out)
         print(views.reward_summary(spark.read.parquet(a.out)).first().asDict())
     else:
-        view = read_view(spark, a.view)
-        print(*views.trace(view.where(view.id == a.id), table("records"), table("documents")).toJSON().collect(), sep="\n")
+        rows = read_view(spark, a.view).where(F.col("id") == a.id)
+        ids = [r[0] for r in rows.select("canonical_record_id").collect()]
+        found = canonical.lookup(spark, a.root, "records", ids)
+        records = found if found is not None else spark.createDataFrame([], CANONICAL["records"])
+        documents = canonical.lookup(spark, a.root, "documents", [r[0] for r in records.select("document_id").collect()])
+        print(*views.trace(rows, records, documents).toJSON().collect(), sep="\n")
     return 0
 
 
