@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -66,6 +68,46 @@ def normalized_mse(teacher: Column, student: Column) -> Column:
     return dot(gap, gap) / F.greatest(dot(teacher, teacher), F.lit(1e-12))
 
 
+def unit_mse(teacher: Column, student: Column) -> Column:
+    """Mean squared difference of the two vectors at length one; a vector of length 0 stays as it is."""
+    unit = lambda x: let(F.greatest(F.sqrt(dot(x, x)), F.lit(1e-12)), lambda n: F.transform(x, lambda v: v.cast("double") / n))
+    gap = F.zip_with(unit(teacher), unit(student), lambda a, b: a - b)
+    return let(gap, lambda g: dot(g, g) / F.size(g))
+
+
+def bounded_cosine_loss(teacher: Column, student: Column) -> Column:
+    """1 less the cosine; lengths below 1e-8 count as that, so a vector of length 0 has loss 1."""
+    size = lambda x: F.greatest(F.sqrt(dot(x, x)), F.lit(1e-8))
+    return 1 - dot(teacher, student) / (size(teacher) * size(student))
+
+
+HIDDEN = {"normalized_mse": unit_mse, "cosine": bounded_cosine_loss}
+
+
+def hidden_loss(student: DataFrame, teacher: DataFrame, layers: Sequence[tuple[int, int]], mask: DataFrame, kind: str, token: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """by, loss: the mean over mapped layers of the masked mean over tokens of the loss between hidden vectors.
+
+    student and teacher: token columns, layer and hidden; mask: token columns and mask; layers: pairs of a student's and a
+    teacher's layer, of which each counts, repeated ones too. by: columns of the token. Tokens without a mask count as
+    masked; a layer of which no token has both vectors is an error, as it would be left out of the mean unnoticed.
+    """
+    if kind not in HIDDEN:
+        raise ValueError(f"no hidden loss {kind}; there are {', '.join(HIDDEN)}")
+    if not layers:
+        raise ValueError("at least one pair of layers has to be mapped")
+    spark = student.sparkSession
+    pairs = F.broadcast(spark.createDataFrame([(k, *map(int, x)) for k, x in enumerate(layers)], "entry int, student_layer int, teacher_layer int"))
+    own = student.select(*token, F.col("layer").alias("student_layer"), F.col("hidden").alias("student_hidden")).join(pairs, "student_layer")
+    other = teacher.select(*token, F.col("layer").alias("teacher_layer"), F.col("hidden").alias("teacher_hidden"))
+    both = own.join(other, [*token, "teacher_layer"]).join(mask.select(*token, "mask"), list(token), "left")
+    weight = F.coalesce(F.col("mask").cast("double"), F.lit(0.0))
+    each = both.select("entry", *by, HIDDEN[kind](F.col("teacher_hidden"), F.col("student_hidden")).alias("value"), weight.alias("weight"))
+    means = each.groupBy("entry", *by).agg(masked_mean(F.col("value"), F.col("weight")).alias("mean"))
+    out = means.groupBy(*by).agg(F.avg("mean").alias("loss"), F.count(F.lit(1)).alias("n"))
+    lacking = F.raise_error(F.concat(F.lit("mapped layers without a token: "), (F.lit(len(layers)) - F.col("n")).cast("string"))).cast("double")
+    return out.select(*by, F.when(F.col("n") < len(layers), lacking).otherwise(F.col("loss")).alias("loss"))
+
+
 def truncated_top_k_kl(teacher: Column, student: Column, k: int) -> Column:
     """KL over the teacher's k largest logits, both sides by their full denominators."""
     totals = F.struct(log_total(teacher).alias("t"), log_total(student).alias("s"), top_k(teacher, k).alias("top"))

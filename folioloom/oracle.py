@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import queries_runs
+from . import queries_runs, queries_store
 
 
 def _split(key: str) -> str:
@@ -101,4 +101,5 @@ m AS (SELECT *, list_sum(list_transform(lines, lambda t: length(t) - length(repl
 SELECT CASE WHEN regexp_matches(source, '(?i)\b(table|tabular|tbl|cell|row|column|col)\b') OR regexp_matches(lower(clean), '<table|<tr|<td') OR (len(lines) >= 2 AND (tabs >= 2 OR bars >= 4)) THEN 'table'
  WHEN regexp_matches(clean, {_DISPLAY}, 's') OR (regexp_matches(clean, '\\[a-zA-Z]+|[_^{{}}]') AND len(regexp_extract_all(rest, '[A-Za-z]{{2,}}')) <= 2 AND len(regexp_extract_all(rest, '[\x{{4e00}}-\x{{9fff}}]')) = 0) THEN 'formula' ELSE 'text' END AS kind, count(*) AS n FROM m GROUP BY 1""",
     "table_html_roundtrip": """SELECT n_nationkey, '<fcel>' || n_name || '<fcel>a & b<lcel><nl><ucel><fcel>c<ecel><nl>' AS cells, '<table><tr><td rowspan="2">' || n_name || '</td><td colspan="2">a &amp; b</td></tr><tr><td>c</td><td></td></tr></table>' AS html FROM nation""",
-} | queries_runs.ORACLE_SQL
+} | queries_runs.ORACLE_SQL | queries_store.ORACLE_SQL
+ORACLE_SQL["view_written"] = ORACLE_SQL["view_build"]

@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import queries_runs
+from . import queries_runs, queries_store
 from .functions import geometry, numeric, repetition, rewards, tables
 from .functions import text as T
 from .functions.ids import stable_hash, stable_id
@@ -311,4 +311,4 @@ def preview_and_extension(spark, sf_dir):
 
 
 _ALL = (view_build, view_filter_counts, view_select_where, sample_topk_hash, sample_keys, split_assign, split_counts, split_leakage, label_filter_counts, failure_stats, schema_sample_per_group, dedupe_keep_first, dedupe_last_wins, resume_anti_join, asset_left_join_dims, chat_messages, placeholder_count, reward_score, reward_summary, clean_labels, classify_text, layout_serialize, box_tokens_parse, crop_boxes, repetition_basic, repetition_full, table_cells, table_html_roundtrip, deploy_manifest, validator_violations, stable_ids, kd_schedule, kd_cosine, kd_topk_kl, metric_reduction, windowed_events, view_rlvr, view_validate, score_predictions, lineage_of_view, image_resolution, runtime_paths, kd_hidden, masked_loss, media_token_round_trip, preview_and_extension)
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL} | queries_runs.QUERIES
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL} | queries_runs.QUERIES | queries_store.QUERIES
