@@ -17,9 +17,18 @@ MEDIA_TOKENS = ("<image>", "<video>")
 DISPLAY = r"(?s)^\s*(?:\\\[(.*?)\\\]|\$\$(.*?)\$\$)\s*$"
 
 
+#: All of Unicode's White_Space.
+WHITE = "".join(map(chr, (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)))
+
+
 def py_strip(c: Column) -> Column:
-    """Strips all Unicode white space."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Strips all Unicode white space; only the ends are looked at."""
+    return F.btrim(c, F.lit(WHITE))
+
+
+def filled(c: Column) -> Column:
+    """Whether a text has anything but white space."""
+    return F.coalesce(c.rlike(r"(?U)\S"), F.lit(False))
 
 
 def clean_label(c: Column) -> Column:
@@ -56,11 +65,12 @@ def looks_like_table(label: Column) -> Column:
 
 def classify(label: Column, *hints: Column) -> Column:
     """table, formula or text; hints are metadata in which a word may tell of a table."""
-    clean = clean_label(F.coalesce(label, F.lit("")))
     hinted = F.lit(False)
     for h in hints:
         hinted = hinted | F.coalesce(h.cast("string").rlike(TABLE_HINT), F.lit(False))
-    return F.when(hinted | looks_like_table(clean), "table").when(is_standalone_formula(clean), "formula").otherwise("text")
+    judged = lambda clean: F.when(looks_like_table(clean), "table").when(is_standalone_formula(clean), "formula").otherwise("text")
+    # The clean label is made once, for the rows that no hint decides.
+    return F.when(hinted, "table").otherwise(F.get(F.transform(F.array(clean_label(F.coalesce(label, F.lit("")))), judged), F.lit(0)))
 
 
 def detect_task(message: Column) -> Column:

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..canonical import conform
 from ..functions import text as T
@@ -51,7 +52,9 @@ def _one_page_tables(df: DataFrame, tasks: Sequence[str] | None) -> dict[str, Da
 
 
 def _target(**fields: Column) -> Column:
-    return F.from_json(F.to_json(F.struct(*(c.alias(k) for k, c in fields.items()))), TARGET)
+    """A target of the given fields; the others are null."""
+    kinds = StructType.fromDDL(TARGET.removeprefix("struct<").removesuffix(">"))
+    return F.struct(*(fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kinds))
 
 
 def chat_messages(spark: SparkSession, paths: str | list[str], name: str, images: DataFrame | None = None, tasks: Sequence[str] | None = None) -> dict[str, DataFrame]:
@@ -61,7 +64,9 @@ def chat_messages(spark: SparkSession, paths: str | list[str], name: str, images
     df = _sized(df, images).withColumn("task", T.detect_task(F.col("ask")))
     key = stable_hash(F.concat_ws("\n", "image_path", "ask", "answer"))
     answer, task = T.parse_answer(F.col("task"), F.col("answer")), F.col("task")
-    layout = F.when(task == "layout", T.parse_boxes(F.col("answer"), F.col("width"), F.col("height")))
+    boxes = T.parse_boxes(F.col("answer"), F.col("width"), F.col("height"))
+    boxes = F.transform(boxes, lambda e: F.struct(F.lit(None).cast("string").alias("region_id"), e["bbox"].alias("bbox"), e["label"].alias("label"), e["rotation"].alias("rotation"), e["reading_order"].alias("reading_order")))
+    layout = F.when(task == "layout", boxes)
     space = F.when(task == "layout", "canonical_page_pixel_xyxy")
     df = df.select("*", F.lit(name).alias("source_name"), key.alias("doc_key"), key.alias("record_key"), _target(coordinate_space=space, elements=layout, text=F.when(task == "text", answer), otsl=F.when(task == "table", answer), latex=F.when(task == "formula", answer)).alias("target"))
     return _one_page_tables(df, tasks)
@@ -71,7 +76,7 @@ def nested_jsonl(spark: SparkSession, paths: str | list[str], name: str, images:
     schema = "record_id string, subset_id string, category string, language string, document_types array<string>, annotation_source string, original_file_name string, image_path string, size_key string, label string, label_empty boolean, raw struct<file_name:string,label:string,type:string>, type string"
     df = spark.read.schema(schema).json(paths)
     df = df.withColumn("subset_id", F.coalesce("subset_id", F.nullif(F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+/[^/]+$", 1), F.lit(""))))
-    df = df.where(~F.coalesce("label_empty", F.lit(False)) & (T.py_strip(F.coalesce("label", F.lit(""))) != ""))
+    df = df.where(~F.coalesce("label_empty", F.lit(False)) & T.filled(F.col("label")))
     side = lambda k: F.try_element_at(F.split("size_key", "_"), F.lit(k)).try_cast("int")
     df = _sized(df.withColumns({"width": side(1), "height": side(2)}), images)
     task = T.classify(F.col("label"), *(F.col(c) for c in ("category", "subset_id", "type", "raw.type", "annotation_source", "original_file_name")), F.array_join("document_types", " "))
@@ -133,7 +138,7 @@ def annotated_pages(spark: SparkSession, paths: str | list[str], name: str, imag
     content, task = F.coalesce("b.content", F.lit("")), F.col("task")
     region_target = _target(text=F.when(task == "text", content), html=F.when(task == "table", content), latex=F.when(task == "formula", content), raw=F.when(~task.isin("text", "table", "formula"), content))
     regions = blocks.select("*", F.col("b.index").cast("string").alias("source_annotation_id"), F.col("b.angle").alias("rotation"), F.col("b.type").alias("element_type"), F.col("b.type").alias("category"), F.col("crop").alias("crop_asset_id"))
-    records = blocks.where(T.py_strip(content) != "").select("*", stable_id("record", F.lit(name), task, key).alias("record_id"), F.col("crop").alias("image_asset_id"), region_target.alias("target"), F.col("b.type").alias("category"))
+    records = blocks.where(T.filled(content)).select("*", stable_id("record", F.lit(name), task, key).alias("record_id"), F.col("crop").alias("image_asset_id"), region_target.alias("target"), F.col("b.type").alias("category"))
     element = F.struct("position", "region_id", "bbox", F.col("b.type").alias("label"), F.coalesce(F.col("b.angle").cast("int"), F.lit(0)).alias("rotation"), "reading_order")
     layout = blocks.groupBy("source_name", "document_id", "page_id", "page_asset").agg(F.array_sort(F.collect_list(element)).alias("elements"))
     layout = layout.select("*", F.lit("layout").alias("task"), F.replace("page_id", F.lit("page:"), F.lit("record:layout:")).alias("record_id"), F.col("page_asset").alias("image_asset_id"), _target(coordinate_space=F.lit("canonical_page_pixel_xyxy"), elements=F.transform("elements", lambda e: e.dropFields("position"))).alias("target"))

@@ -13,22 +13,24 @@ from ..canonical import read, write
 from ..plans.snapshots import Files
 from ..schemas import KEYS
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: The state lives on disk, and a batch adds its changes to the checkpoint instead of another copy of all.
+STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8"}
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """A setting of the session while a query starts, which copies it."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of the session while a query starts, which copies them."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def ingest(spark: SparkSession, source: str, schema: str, root: str, table: str, checkpoint: str, to_rows: Callable[[DataFrame], DataFrame], files_per_batch: int = 1000) -> int:
@@ -70,7 +72,7 @@ def ingest(spark: SparkSession, source: str, schema: str, root: str, table: str,
             if name.isdigit() and int(name) < number:
                 files.delete(f"{begun}/{name}")
 
-    with _setting(spark, PROVIDER, ROCKSDB):
+    with _settings(spark, STATE):
         query = rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     files.delete(fresh)
