@@ -146,6 +146,8 @@ def first_by_hash(df: DataFrame, hashed: str, most: int) -> DataFrame:
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, most: int, most_bytes: int) -> DataFrame:
     """doc_id, h, y, text of at most `most` labelled documents and `most_bytes`, those of the least hashes h, as a table.
 
+    A text that would exceed the bytes is left out, however long; those behind it are taken while they fit.
+
     Labels that are null, neither 0 nor 1, or of a null id are left out; of an id's labels the higher counts, and
     of its texts the one with the least hash. A null text is empty.
     """
@@ -154,13 +156,17 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, most: int, mo
     known = written(first_by_hash(known, "h", most), "chosen-labels", 1)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
     rows = written(rows.groupBy("doc_id", "h", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "labelled-texts")
-    total, last = 0, None
+    total, last, over = 0, None, []
     for h, size in sorted(tuple(r) for r in rows.select("h", F.octet_length("text")).collect()):
-        if (total := total + size) > most_bytes:
-            break
-        last = h
+        if total + size > most_bytes:  # a text that doesn't fit is left out, and shorter ones behind it aren't
+            over.append(h)
+        else:
+            total, last = total + size, h
     release(known)
-    out = rows.where(F.col("h") <= last) if last is not None else rows.limit(0)
+    if last is None:
+        out = rows.limit(0)
+    else:
+        out = rows.where((F.col("h") <= last) & ~F.col("h").isin([h for h in over if h < last]))
     out.written_to = rows.written_to
     return out
 
