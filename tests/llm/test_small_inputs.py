@@ -119,3 +119,14 @@ def test_both_forms_of_the_trie(spark, seed):
         host, _, rest = u[7:].partition("/")
         fits = [((len(h.split(".")) if h else 0, len(p)), h + p, v) for h, p, v in rules if ("." + host).endswith("." + h if h else "") and ("/" + rest).startswith(p)]
         assert got[i] == (max(fits)[1:] if fits else (None, "allow"))
+
+
+def test_a_long_text_drops_no_other_label(spark):
+    from folioloom.llm.common import labelled_texts
+
+    sizes = {k: 40_000 if k % 3 == 0 else 100 for k in range(60)}
+    docs = spark.createDataFrame([(k, "x" * n) for k, n in sizes.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in sizes], "doc_id long, quality int")
+    got = {r.doc_id for r in labelled_texts(docs, labels, "quality", 60, 30_000).collect()}
+    assert got == {k for k, n in sizes.items() if n == 100}
+    assert labelled_texts(docs, labels, "quality", 60, 50).count() == 0
