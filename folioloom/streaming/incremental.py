@@ -13,8 +13,9 @@ from ..canonical import read, write
 from ..plans.snapshots import Files
 from ..schemas import KEYS
 
-#: The state lives on disk, and a batch adds its changes to the checkpoint instead of another copy of all.
-STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8"}
+#: The state lives on disk, and a batch adds its changes to the checkpoint instead of another copy of all. No disk is set
+#: aside in advance, which would be some megabytes for each of many small partitions.
+STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8", "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 @contextmanager
