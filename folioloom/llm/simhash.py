@@ -1,16 +1,18 @@
 """SimHash near-duplicates: fingerprints within a few bits, found with vantage-point trees.
 
 Fingerprint: of the lower-cased words' shingles, repeats included, bit i is 1 if more than half of the 64-bit
-XXH64 values (seed 42) have it. Two fingerprints within `most` bits agree within `most // CHUNKS` bits on one
-of CHUNKS chunks of theirs. For each chunk a vantage-point tree, built from a bounded sample of chunk values,
-divides all distinct fingerprints into shards by their chunk's distance from vantage points; the triangle
-bound says which other shards a fingerprint's ball can reach, and it queries those too. With 5 chunks and 4 bits
-the ball is a point, which only its own shard can hold; with 4 chunks it has one bit and reaches others. A shard
-compares whole fingerprints in a vantage-point tree of its own, exactly.
+XXH64 values (seed 42) have it. It is cut into CHUNKS chunks, each with a radius, and the radii add up to
+`most - CHUNKS + 1`: two fingerprints within `most` bits are within the radius on one chunk at least, as they would
+differ in more bits otherwise. With 4 bits and 4 chunks the first chunk has radius 1, the others 0. For each chunk a
+vantage-point tree, built from a bounded sample of chunk values, divides all distinct fingerprints into shards by
+their chunk's distance from vantage points; the triangle bound says which other shards a fingerprint's ball can
+reach, and it queries those too. A ball of radius 0 is a point, which only its own shard can hold. A shard compares
+whole fingerprints in a vantage-point tree of its own, exactly.
 
 Shards of more than DEEP * BLOCK fingerprints are dealt once more: where a chunk agrees, the other bits differ in
-`most` places at most, so one of CHUNKS parts of them agrees too, and so on up to LEVELS times. The key so gets
-longer as the corpus grows. What still is over BLOCK is cut into blocks, and each pair of blocks is searched.
+`most` places at most, so one of `most + 1` parts of them agrees too, and so on up to LEVELS times; where it is only
+near, no bits are known to agree yet. The key so gets longer as the corpus grows. What still is over BLOCK is cut
+into blocks, and each pair of blocks is searched.
 A shard gives links that connect what it found connected, not all pairs, so dense groups stay linear.
 
 Empty and null texts have fingerprint zero and are linked like any other. Equal fingerprints are one class.
@@ -34,7 +36,7 @@ from .common import bounded_batches, first_by_hash, whole_row, words_of, written
 from .components import components
 
 SEED, BITS = 42, 64
-CHUNKS, SAMPLE, BLOCK, LEAF = 5, 20_000, 8192, 48  # chunks of at most 16 bits
+CHUNKS, SAMPLE, BLOCK, LEAF = 4, 20_000, 8192, 48  # chunks of at most 16 bits
 DEEP, LEVELS = 16, 3
 #: Lists of full shards up to this length are broadcast.
 BROADCAST_SHARDS = 100_000
@@ -179,21 +181,27 @@ def _bits(first: int, last: int) -> int:
     return (1 << last) - (1 << first)
 
 
-def _parts(mask: int, chunks: int) -> list[int]:
-    """The bits that a mask leaves, in `chunks` masks."""
+def _parts(mask: int, parts: int) -> list[int]:
+    """The bits that a mask leaves, in `parts` masks."""
     free = [i for i in range(BITS) if not mask >> i & 1]
-    return [sum(1 << int(i) for i in own) for own in np.array_split(free, chunks) if len(own)]
+    return [sum(1 << int(i) for i in own) for own in np.array_split(free, parts) if len(own)]
+
+
+def radii(most: int, chunks: int) -> list[int]:
+    """By chunk, how near two fingerprints within `most` bits are on one chunk at least."""
+    each, more = divmod(max(0, most - chunks + 1), chunks)
+    return [each + (k < more) for k in range(chunks)]
 
 
 def _shards(distinct: DataFrame, most: int, chunks: int, sample: int) -> DataFrame:
     """shard, fp, home (whether the shard is the fingerprint's own), mask (bits that agree, where a ball is a point)."""
-    reach, edges = most // chunks, np.linspace(0, BITS, chunks + 1).astype(int).tolist()
+    reach, edges = radii(most, chunks), np.linspace(0, BITS, chunks + 1).astype(int).tolist()
     if -(-BITS // chunks) > 16:
         raise ValueError("chunks must have at most 16 bits")
     some = first_by_hash(distinct.withColumn("h", F.xxhash64("fp")), "h", sample).select("fp").toArrow()["fp"].to_numpy().view(np.uint64)
     cut = lambda v, k: (v >> np.uint64(edges[k])) & np.uint64(_bits(0, edges[k + 1] - edges[k]))
-    routes = distinct.sparkSession.sparkContext.broadcast([VantageTree(np.unique(cut(some, k)), 2, seed=k).routes(edges[k + 1] - edges[k], reach) for k in range(chunks)])
-    masks = np.array([_bits(a, z) for a, z in zip(edges, edges[1:], strict=False)], np.uint64).view(np.int64)
+    routes = distinct.sparkSession.sparkContext.broadcast([VantageTree(np.unique(cut(some, k)), 2, seed=k).routes(edges[k + 1] - edges[k], reach[k]) for k in range(chunks)])
+    masks = np.array([0 if near else _bits(a, z) for a, z, near in zip(edges, edges[1:], reach, strict=False)], np.uint64).view(np.int64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,11 +212,10 @@ def _shards(distinct: DataFrame, most: int, chunks: int, sample: int) -> DataFra
                 at = np.repeat(first[value] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 yield pa.RecordBatch.from_arrays([pa.array(k * 10_000_000 + leaf[at]), pa.array(np.repeat(fp, n)), pa.array(home[at]), pa.array(np.full(len(at), masks[k]))], ["shard", "fp", "home", "mask"])
 
-    dealt = distinct.mapInArrow(deal, "shard long, fp long, home boolean, mask long")
-    return dealt.groupBy("shard", "fp", "mask").agg(F.max("home").alias("home")) if reach else dealt
+    return distinct.mapInArrow(deal, "shard long, fp long, home boolean, mask long")
 
 
-def _deeper(rows: DataFrame, chunks: int) -> DataFrame:
+def _deeper(rows: DataFrame, most: int) -> DataFrame:
     """Rows of full shards, dealt by a part of the bits that aren't known to agree."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +223,7 @@ def _deeper(rows: DataFrame, chunks: int) -> DataFrame:
             fp, mask = batch.column("fp").to_numpy(), batch.column("mask").to_numpy()
             for m in np.unique(mask):
                 own = fp[mask == m]
-                for part in _parts(int(m) & _bits(0, BITS), chunks):
+                for part in _parts(int(m) & _bits(0, BITS), most + 1):
                     both = np.array([int(m) & _bits(0, BITS) | part], np.uint64).view(np.int64)[0]
                     yield pa.RecordBatch.from_arrays([pa.array(own & both), pa.array(own), pa.array(np.ones(len(own), bool)), pa.array(np.full(len(own), both))], ["value", "fp", "home", "mask"])
 
@@ -225,15 +232,14 @@ def _deeper(rows: DataFrame, chunks: int) -> DataFrame:
 
 def links(distinct: DataFrame, most: int = 4, chunks: int = CHUNKS, block: int = BLOCK, sample: int = SAMPLE, deep: int = DEEP) -> DataFrame:
     """u, v that connect the fingerprints (column fp, distinct) within `most` bits of each other."""
-    reach = most // chunks
     dealt, ready = written(_shards(distinct, most, chunks, sample), "shards"), []
-    for _ in range(0 if reach else LEVELS):
+    for _ in range(LEVELS):
         full = written(dealt.groupBy("shard").count().where(F.col("count") > deep * block).select("shard"), "full-shards")
         if not (n := full.count()):
             break
         full = F.broadcast(full) if n <= BROADCAST_SHARDS else full
         ready.append(dealt.join(full, "shard", "left_anti"))
-        dealt = written(_deeper(dealt.join(full, "shard", "left_semi"), chunks), "shards")
+        dealt = written(_deeper(dealt.join(full, "shard", "left_semi"), most), "shards")
     for other in ready:
         dealt = dealt.unionByName(other)
     # full shards are cut into blocks; a block meets itself and each later one
@@ -250,7 +256,7 @@ def links(distinct: DataFrame, most: int = 4, chunks: int = CHUNKS, block: int =
         def found(fp: list[np.ndarray], home: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             values = np.concatenate(fp)
             if len(values) > 1:
-                a, b = forest(values.view(np.uint64), most, np.concatenate(home) if reach else None)
+                a, b = forest(values.view(np.uint64), most, np.concatenate(home))
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(values[a]), pa.array(values[b])], ["u", "v"])
 

@@ -408,7 +408,7 @@ def test_simhash(spark, docs):
     assert [docs.doc_id[r] for r in root] == got.component_id.tolist()
 
 
-@pytest.mark.parametrize("options", [{}, {"chunks": 4}, {"block": 16}, {"block": 16, "deep": 1}, {"block": 4, "deep": 0}])
+@pytest.mark.parametrize("options", [{}, {"chunks": 4}, {"chunks": 5}, {"block": 16}, {"block": 16, "deep": 1}, {"block": 4, "deep": 0}, {"chunks": 5, "block": 4, "deep": 0}])
 def test_links_of_dense_groups(spark, options):
     rng = np.random.default_rng(2)
     v = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
@@ -599,3 +599,23 @@ def test_links_of_isolated_pairs_in_a_full_shard(spark):
     got = {frozenset((r.u, r.v)) for r in simhash.links(df).collect()}
     missed = [1 for a, b in zip(half.view(np.int64).tolist(), (half ^ flips).view(np.int64).tolist(), strict=True) if frozenset((a, b)) not in got]
     assert not missed, len(missed)
+
+
+@pytest.mark.parametrize("options", [{}, {"block": 64, "deep": 1}])
+def test_links_over_the_border_of_shards(spark, options):
+    """One bit differs in each chunk, so that a pair meets only where a ball of one bit reaches another shard."""
+    rng = np.random.default_rng(6)
+    edges = np.linspace(0, 64, simhash.CHUNKS + 1).astype(int)
+    assert sum(simhash.radii(4, simhash.CHUNKS)) == 1
+    half = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    flips = sum(np.uint64(1) << rng.integers(s, e, len(half)).astype(np.uint64) for s, e in zip(edges, edges[1:], strict=False))
+    df = spark.createDataFrame([(int(x),) for x in np.unique(np.concatenate([half, half ^ flips])).view(np.int64)], "fp long")
+    got = {frozenset((r.u, r.v)) for r in simhash.links(df, **options).collect()}
+    assert got == {frozenset(x) for x in zip(half.view(np.int64).tolist(), (half ^ flips).view(np.int64).tolist(), strict=True)}
+
+
+@pytest.mark.parametrize(("most", "chunks"), [(4, 4), (4, 5), (3, 4), (8, 4), (0, 4), (2, 6)])
+def test_radii_leave_no_pair_out(most, chunks):
+    """The nearest that all chunks can stay beyond their radius is farther than `most`."""
+    near = simhash.radii(most, chunks)
+    assert sum(r + 1 for r in near) > most
