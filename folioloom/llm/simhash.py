@@ -132,7 +132,10 @@ class VantageTree:
 
 
     def routes(self, bits: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """By each value of `bits` bits, where its leaves start; the leaves that its ball meets; which of them is its own."""
+        """By each value of `bits` bits, where its leaves start; the leaves that its ball meets; which of them is its own.
+
+        The bounds give leaves that a ball may meet; of those, leaves stay that hold a value of the ball.
+        """
         values = np.arange(1 << bits, dtype=np.uint64)
         own = np.zeros(len(values), np.int64)
         for leaf, rows in self.reached(values, 0):
@@ -140,8 +143,12 @@ class VantageTree:
         met = self.reached(values, reach)
         value = np.concatenate([rows for _, rows in met])
         leaf = np.concatenate([np.full(len(rows), x) for x, rows in met])
-        order = np.lexsort((leaf, value))
-        value, leaf = value[order], leaf[order]
+        key, leaves = np.sort(value * len(self.members) + leaf), len(self.members)
+        near = np.unique(values.astype(np.int64) * leaves + own)
+        for _ in range(reach):
+            v, x = np.divmod(near, leaves)
+            near = np.unique(np.concatenate([near, *((v ^ (1 << b)) * leaves + x for b in range(bits))]))
+        value, leaf = np.divmod(key[np.isin(key, near, assume_unique=True)], leaves)
         return np.searchsorted(value, np.arange(len(values) + 1)), leaf, leaf == own[value]
 
 
