@@ -1,4 +1,4 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by nearest labelled examples: exact cosine of label-weighted TF-IDF over a block-max inverted index.
 
 The index holds at most `most` labelled documents of at most `most_bytes` in all, chosen by hash, one for each id.
 Terms are runs of letters and digits (A-Z lower-cased, bytes above 127 count as letters). The vector space has all
