@@ -39,15 +39,45 @@ REST = WINDOW - WIDTH + 1
 #: Different strings of a group in one task; bytes merged at once, and shards of them.
 HOT, MERGED_BYTES, SHARDS = 10_000, 600_000, 4
 SEPARATOR = 0xFF  # no byte of UTF-8
+BLOCK = 16_384  # windows hashed at once
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _eights(data: np.ndarray) -> np.ndarray:
-    """The eight bytes from each place on, as a number."""
-    v = data.astype(np.uint64)
-    v = v[:-1] | v[1:] << np.uint64(8)
-    v = v[:-2] | v[2:] << np.uint64(16)
-    return v[:-4] | v[4:] << np.uint64(32)
+    """The eight bytes from each place on, as a number; a view of the bytes."""
+    return np.ndarray((max(0, len(data) - 7),), np.dtype("<u8"), np.ascontiguousarray(data), strides=(1,))
+
+
+def _anchors(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(anchor of each window, whether the window before has another one); v: _eights of the text.
+
+    Windows are worked through by blocks whose arrays stay in a processor's cache."""
+    n = len(v) + 8 - WINDOW
+    anchor, new = np.empty(n, np.int32), np.empty(n, bool)
+    place = np.arange(BLOCK + WIDTH - 1, dtype=np.uint64)
+    for start in range(0, n, BLOCK):
+        size = min(BLOCK, n - start)
+        m = size + WIDTH - 1
+        near = v[start : start + m + 8].copy()
+        h, spare = near[:m] * _A, near[8:] * _B
+        h ^= spare
+        np.right_shift(h, np.uint64(29), out=spare)
+        h ^= spare
+        h *= _B
+        h &= np.uint64(0xFFFFFFFF00000000)
+        h |= place[:m]
+        have = 1
+        while have < WIDTH:
+            step = min(have, WIDTH - have)
+            h, spare = np.minimum(h[:-step], h[step:], out=spare[: len(h) - step]), h
+            have += step
+        h &= np.uint64(0xFFFFFFFF)
+        own = anchor[start : start + size]
+        own[:] = h
+        own += start
+        np.not_equal(own[1:], own[:-1], out=new[start + 1 : start + size])
+        new[start] = not start or own[0] != anchor[start - 1]
+    return anchor, new
 
 
 def groups(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -56,17 +86,7 @@ def groups(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     if len(data) < WINDOW:
         return (none,) * 5
     v = _eights(data)
-    n = len(data) - SEED_BYTES + 1
-    h = (v[:n] * _A) ^ (v[8 : 8 + n] * _B)
-    h ^= h >> np.uint64(29)
-    h = (h * _B) & np.uint64(0xFFFFFFFF00000000) | np.arange(n, dtype=np.uint64)
-    have = 1
-    while have < WIDTH:
-        step = min(have, WIDTH - have)
-        h = np.minimum(h[:-step], h[step:])
-        have += step
-    anchor = (h & np.uint64(0xFFFFFFFF)).astype(np.int64)[: len(data) - WINDOW + 1]
-    edge = np.diff(anchor, prepend=-1) != 0
+    anchor, edge = _anchors(v)
     inside = at[:-1][at[:-1] < len(edge)]
     edge[inside] = True
     first = np.flatnonzero(edge)
@@ -74,7 +94,8 @@ def groups(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     text = np.searchsorted(at, first, "right") - 1
     last = np.minimum(last, at[text + 1] - WINDOW)
     ok = last >= first
-    text, first, last, anchor = text[ok], first[ok], last[ok], anchor[first[ok]]
+    text, first, last = text[ok], first[ok], last[ok]
+    anchor = anchor[first].astype(np.int64)
     x = np.zeros(len(first), np.uint64)
     for k in (*range(0, REST - 8, 8), REST - 8):
         x = (x ^ v[anchor + k]) * _A
