@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,9 +144,9 @@ def steps_back(transforms: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarra
         spelled = letter[back] * np.int32(names) + number  # the byte farthest back is the first to sort by
         have = np.zeros(size * names, bool)
         have[spelled] = True
-        dense = np.cumsum(have, dtype=np.int32) - 1
-        if dense[-1] >= 65536:
+        if np.count_nonzero(have) > 65536:
             break
+        dense = np.cumsum(have, dtype=np.int32) - 1
         number, names, back = dense[spelled], int(dense[-1]) + 1, before[back]
         out.append((back, number.astype(np.uint16)))
     return out
@@ -260,8 +261,11 @@ def repeated_windows(strings: list[bytes], kinds: list[tuple[int, int]]) -> list
 
 def runs(flag: np.ndarray) -> list[list[int]]:
     """[first, last] of the runs of true."""
-    edge = np.flatnonzero(np.diff(flag.astype(np.int8), prepend=0, append=0))
-    return [[int(a), int(b) - 1] for a, b in edge.reshape(-1, 2)]
+    closed = np.zeros(len(flag) + 2, bool)
+    closed[1:-1] = flag
+    edge = np.flatnonzero(closed[1:] != closed[:-1])
+    edge[1::2] -= 1
+    return edge.reshape(-1, 2).tolist()
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -293,20 +297,24 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for part in in_parts(batches):
-            rows: list[tuple] = []
-            for k, l, text, own in zip(*(part.column(c).to_pylist() for c in ("_k", "_l", "text", "groups")), strict=True):
-                raw = text.encode()
-                for g in own:
-                    string = raw[g["first"] : g["last"] + WINDOW]
-                    name = xxhash.xxh64_intdigest(string) - (1 << 63)
-                    new = (g["x"], name) not in seen
-                    if new:
-                        if len(seen) > 300_000:
-                            seen.clear()
-                        seen.add((g["x"], name))
-                    rows.append((g["x"], name, k, l, g["first"], g["last"], g["ahead"], string if new else None))
-            kinds = (*[pa.int64()] * 4, *[pa.int32()] * 3, pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 8, kinds, strict=True)], ["x", "name", "_k", "_l", "first", "last", "ahead", "string"])
+            data, at = utf8(part.column("text"))
+            own = part.column("groups")
+            row = np.repeat(np.arange(part.num_rows), pc.list_value_length(own).to_numpy())
+            own = own.flatten()
+            first, last, ahead, x = (own.field(c) for c in ("first", "last", "ahead", "x"))
+            start = (at[row] + first.to_numpy()).tolist()
+            stop = (at[row] + last.to_numpy() + WINDOW).tolist()
+            raw = data.tobytes()
+            view = memoryview(raw)
+            name = np.fromiter((xxhash.xxh64_intdigest(view[a:z]) for a, z in zip(start, stop, strict=True)), np.uint64, len(row)).view(np.int64)
+            if len(seen) > 300_000:
+                seen.clear()
+            strings: list[bytes | None] = []
+            for pair, a, z in zip(zip(x.to_pylist(), name.tolist(), strict=True), start, stop, strict=True):
+                strings.append(None if pair in seen else raw[a:z])
+                seen.add(pair)
+            owner = pa.array(row)
+            yield pa.RecordBatch.from_arrays([x, pa.array(name), part.column("_k").take(owner), part.column("_l").take(owner), first, last, ahead, pa.array(strings, pa.binary())], ["x", "name", "_k", "_l", "first", "last", "ahead", "string"])
 
     once = docs.select("_k", "_l", "text").join(listed, ["_k", "_l"])  # rows that repeat give their groups each
     cells = written(once.mapInArrow(cut, "x long, name long, _k long, _l long, first int, last int, ahead int, string binary"), "windows")
@@ -363,13 +371,15 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     return placed.select("_k", "_l", F.coalesce(shifted, F.array(F.array("first", "last"))).alias("spans"))
 
 
-def _removed(raw: bytes, own: list) -> np.ndarray:
-    """The bytes of a text that go."""
-    change = np.zeros(len(raw) + WINDOW + 1, np.int32)
-    for a, z in () if own is None else own:
-        change[a] += 1
-        change[z + WINDOW] -= 1
-    return np.cumsum(change)[: len(raw)] > 0
+def _gone(text: pa.Array, own: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, offsets, the bytes that go) of some texts; own: [first, last] starts of repeated windows of each, or null."""
+    data, at = utf8(text)
+    row = np.repeat(np.arange(len(text)), pc.fill_null(pc.list_value_length(own), 0).to_numpy())
+    span = own.flatten().flatten().to_numpy().reshape(-1, 2) + at[row][:, None]
+    change = np.zeros(len(data) + 1, np.int32)
+    np.add.at(change, span[:, 0], 1)
+    np.subtract.at(change, span[:, 1] + WINDOW, 1)
+    return data, at, np.cumsum(change[:-1], dtype=np.int32) > 0
 
 
 def spans_by_row(docs: DataFrame, **options) -> DataFrame:
@@ -385,14 +395,16 @@ def dedup_digest(docs: DataFrame, **options) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_parts(batches):
-            rows = []
-            for text, own in zip(part.column("text").to_pylist(), part.column("own").to_pylist(), strict=True):
-                raw = (text or "").encode()
-                gone = _removed(raw, own) if own else None
-                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes() if own else raw
-                rows.append((len(raw), len(raw) - len(kept), len(runs(gone)) if own else 0, hashlib.sha256(kept).hexdigest()))
-            cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3])], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            data, at, gone = _gone(part.column("text"), part.column("own"))
+            begins = gone.copy()
+            begins[1:] &= ~gone[:-1]
+            begins[at[:-1][at[:-1] < len(gone)]] = gone[at[:-1][at[:-1] < len(gone)]]
+            upto = lambda flag: np.diff(np.concatenate([[0], np.cumsum(flag)])[at])
+            size, less = np.diff(at), upto(gone)
+            kept = memoryview(data[~gone].tobytes())
+            stop = np.cumsum(size - less).tolist()
+            digest = [hashlib.sha256(kept[a:z]).hexdigest() for a, z in zip([0, *stop], stop, strict=False)]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size), pa.array(less), pa.array(upto(begins)), pa.array(digest)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     out = spans_by_row(docs.select("doc_id", "text"), **options).select("row.doc_id", "text", "own")
     return out.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
@@ -401,15 +413,14 @@ def dedup_digest(docs: DataFrame, **options) -> DataFrame:
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """docs with the repeated bytes gone from text; bytes left of a character that was cut go too."""
 
-    @F.pandas_udf("string")
-    def kept(text, own):
-        import pandas as pd
-
-        out = []
-        for t, spans in zip(text, own, strict=True):
-            raw = (t or "").encode()
-            out.append(np.frombuffer(raw, np.uint8)[~_removed(raw, spans)].tobytes().decode(errors="ignore"))
-        return pd.Series(out, dtype=object)
+    @F.arrow_udf("string")
+    def kept(text: pa.Array, own: pa.Array) -> pa.Array:
+        out: list[str | None] = []
+        for part in in_parts([pa.RecordBatch.from_arrays([text, own], ["text", "own"])]):
+            data, at, gone = _gone(part.column("text"), part.column("own"))
+            for changed, a, z in zip(part.column("own").is_valid().to_pylist(), at.tolist(), at[1:].tolist(), strict=False):
+                out.append(data[a:z][~gone[a:z]].tobytes().decode(errors="ignore") if changed else None)
+        return pa.array(out, pa.string())
 
     out = spans_by_row(docs, **options)
     text = F.when(F.col("own").isNull(), F.col("text")).otherwise(kept("text", "own"))
