@@ -130,25 +130,30 @@ class VantageTree:
             stack.append((self.below[node][1], rows[d > self.radius[node] - reach]))
         return out
 
-
-    def routes(self, bits: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def routes(self, bits: int, reach: int, step: int = 8192) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """By each value of `bits` bits, where its leaves start; the leaves that its ball meets; which of them is its own.
 
-        The bounds give leaves that a ball may meet; of those, leaves stay that hold a value of the ball.
+        The bounds give leaves that a ball may meet; of those, leaves stay that hold a value of the ball. Values are
+        taken in slices, as the bounds leave many leaves and all this is the driver's.
         """
-        values = np.arange(1 << bits, dtype=np.uint64)
+        values, leaves = np.arange(1 << bits, dtype=np.uint64), len(self.members)
         own = np.zeros(len(values), np.int64)
         for leaf, rows in self.reached(values, 0):
             own[rows] = leaf
-        met = self.reached(values, reach)
-        value = np.concatenate([rows for _, rows in met])
-        leaf = np.concatenate([np.full(len(rows), x) for x, rows in met])
-        key, leaves = np.sort(value * len(self.members) + leaf), len(self.members)
+        if not reach:
+            return np.arange(len(values) + 1), own, np.ones(len(own), bool)
         near = np.unique(values.astype(np.int64) * leaves + own)
         for _ in range(reach):
             v, x = np.divmod(near, leaves)
             near = np.unique(np.concatenate([near, *((v ^ (1 << b)) * leaves + x for b in range(bits))]))
-        value, leaf = np.divmod(key[np.isin(key, near, assume_unique=True)], leaves)
+        kept = []
+        for start in range(0, len(values), step):
+            met = self.reached(values[start : start + step], reach)
+            key = np.concatenate([(start + rows) * leaves + leaf for leaf, rows in met])
+            key.sort()
+            low, high = np.searchsorted(near, [start * leaves, (start + step) * leaves])
+            kept.append(key[np.isin(key, near[low:high], assume_unique=True)])
+        value, leaf = np.divmod(np.concatenate(kept), leaves)
         return np.searchsorted(value, np.arange(len(values) + 1)), leaf, leaf == own[value]
 
 
