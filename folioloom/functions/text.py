@@ -31,36 +31,52 @@ def filled(c: Column) -> Column:
     return F.coalesce(c.rlike(r"(?U)\S"), F.lit(False))
 
 
+def _any_of(c: Column, marks: str) -> Column:
+    """Whether a text has one of the marks; cheaper than a pattern, and so asked first."""
+    out = c.contains(marks[0])
+    for mark in marks[1:]:
+        out = out | c.contains(mark)
+    return out
+
+
 def clean_label(c: Column) -> Column:
     """Newline tokens go, inline formulas get dollar signs, stray wrappers go, ends are stripped."""
+    whole = c
     for token in NEWLINE_TOKENS:
         c = F.replace(c, F.lit(token), F.lit(""))
     c = F.regexp_replace(c, r"(?Us)\\\(\s*(.*?)\s*\\\)", r"\$$1\$")
     c = F.regexp_replace(c, r"(?Us)\\\$\s*(.*?)\s*\\\$", r"\$$1\$")
-    return py_strip(F.replace(F.replace(c, F.lit(r"\("), F.lit("")), F.lit(r"\)"), F.lit("")))
+    c = F.replace(F.replace(c, F.lit(r"\("), F.lit("")), F.lit(r"\)"), F.lit(""))
+    # All that goes has one of these marks, which few texts have.
+    return py_strip(F.when(_any_of(whole, "<\\"), c).otherwise(whole))
 
 
 def strip_formula_wrappers(c: Column) -> Column:
     """The formula inside of display or inline wrappers; wrappers without a partner are peeled off too."""
-    c = clean_label(c)
-    inner = py_strip(F.concat(F.regexp_extract(c, DISPLAY, 1), F.regexp_extract(c, DISPLAY, 2)))
-    inline = c.startswith("$") & c.endswith("$") & (F.regexp_count(c, F.lit(r"\$")) == 2)
-    peeled = c
-    for pattern in (r"^\\\[", r"\\\]$", r"^\$\$", r"\$\$$"):
-        peeled = F.when(peeled.rlike(pattern), py_strip(F.regexp_replace(peeled, pattern, ""))).otherwise(peeled)
-    return F.when(c.rlike(DISPLAY), inner).when(inline, py_strip(F.substr(c, F.lit(2), F.length(c) - 2))).otherwise(py_strip(peeled))
+
+    def inside(c: Column) -> Column:
+        inner = py_strip(F.concat(F.regexp_extract(c, DISPLAY, 1), F.regexp_extract(c, DISPLAY, 2)))
+        inline = c.startswith("$") & c.endswith("$") & (F.regexp_count(c, F.lit(r"\$")) == 2)
+        peeled = c
+        for pattern in (r"^\\\[", r"\\\]$", r"^\$\$", r"\$\$$"):
+            peeled = F.when(peeled.rlike(pattern), py_strip(F.regexp_replace(peeled, pattern, ""))).otherwise(peeled)
+        return F.when(c.rlike(DISPLAY), inner).when(inline, py_strip(F.substr(c, F.lit(2), F.length(c) - 2))).otherwise(py_strip(peeled))
+
+    # The clean label is made once.
+    return F.get(F.transform(F.array(clean_label(c)), inside), F.lit(0))
 
 
 def is_standalone_formula(label: Column) -> Column:
     rest = F.regexp_replace(F.regexp_replace(label, r"\\\((.*?)\\\)", ""), DISPLAY, "")
     few_words = (F.regexp_count(rest, F.lit("[A-Za-z]{2,}")) <= 2) & (F.regexp_count(rest, F.lit(r"[\u4e00-\u9fff]")) == 0)
-    return label.rlike(DISPLAY) | (label.rlike(LATEX_SIGNAL) & few_words)
+    return label.rlike(DISPLAY) | (_any_of(label, "\\_^{}") & label.rlike(LATEX_SIGNAL) & few_words)
 
 
 def looks_like_table(label: Column) -> Column:
     lines = F.filter(F.split(label, r"\r\n|[\n\r]"), lambda x: py_strip(x) != "")
     count = lambda mark: F.aggregate(lines, F.lit(0), lambda n, x: n + F.regexp_count(x, F.lit(mark)))
-    return F.lower(label).rlike("<table|<tr|<td") | ((F.size(lines) >= 2) & ((count("\t") >= 2) | (count(r"\|") >= 4)))
+    ruled = (F.size(lines) >= 2) & ((count("\t") >= 2) | (count(r"\|") >= 4))
+    return (label.contains("<") & label.rlike("(?i)<table|<tr|<td")) | (_any_of(label, "\t|") & ruled)
 
 
 def classify(label: Column, *hints: Column) -> Column:

@@ -22,6 +22,7 @@ from ..canonical import path_of, read, write
 from ..functions.geometry import crop_box
 from ..functions.images import cropped
 from ..schemas import TASKS
+from ..sources.adapters import OnePage
 from .snapshots import Files
 
 Tables = dict[str, DataFrame]
@@ -32,6 +33,8 @@ ORDER = ("assets", "pages", "regions", "records", "documents")
 
 def of_documents(tables: Tables, documents: DataFrame) -> Tables:
     """The rows of all tables that belong to the documents (document_id); assets without one stay."""
+    if isinstance(tables, OnePage):
+        return tables.of(documents)
     keep = documents.select("document_id").distinct()
     out = {k: df.join(keep, "document_id", "left_semi") for k, df in tables.items() if k != "assets"}
     assets = tables["assets"]
@@ -116,7 +119,10 @@ def export(spark: SparkSession, tables: Tables, root: str, adapter: str, source:
     scanned = tables["documents"].count() if some else None
     if skip_completed:
         tables = not_completed(spark, tables, root)
-    tables = with_tasks(limited(tables, most), tasks)
+    tables, rows = limited(tables, most), None
+    if isinstance(tables, OnePage):  # else each table would judge all rows again
+        tables, rows = tables.settled()
+    tables = with_tasks(tables, tasks)
     if not append:
         where = f"{path_of(root, 'commits')}/{_source_folder(spark, source)}"
         Files(spark, where).delete(where)
@@ -128,6 +134,8 @@ def export(spark: SparkSession, tables: Tables, root: str, adapter: str, source:
         counts |= {k: n for k, n in write(tables[name], root, name, append=append, counted=by).items() if n or k == name}
     _commit(tables["documents"], root, source, f"{time.time_ns()}-{uuid.uuid4().hex[:8]}")
     counts |= {"scanned": scanned, "skipped": scanned - tables["documents"].count()} if some else {"scanned": counts["documents"], "skipped": 0}
+    if rows is not None:
+        Files(spark, rows).delete(rows)
     write_json(spark, {"adapter": adapter, "source": source, "report": counts}, path_of(root, f"manifests/source={source}"))
     return counts
 
