@@ -11,7 +11,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructType
 
@@ -71,24 +71,43 @@ def char_run(text: str | None) -> int:
     return most if most >= 10 else 0
 
 
+#: Rows of a batch of texts, and tokens that are held at a time beside those of one text.
+ROWS, TOKENS = 500, 200_000
+
+
 @F.pandas_udf(SIGNS)
 def signs_of(text: pd.Series) -> pd.DataFrame:
-    tokens = [_TOKEN.findall(t) if t else [] for t in text]
-    best, runs = [], []
-    start = 0
-    while start < len(tokens):  # a bounded number of tokens at a time
-        stop, held = start, 0
-        while stop < len(tokens) and (stop == start or held + len(tokens[stop]) <= 1_000_000):
-            held += len(tokens[stop])
-            stop += 1
-        b, r = loops(tokens[start:stop])
-        best, runs, start = best + b, runs + r, stop
+    best, runs, counts, tokens, held = [], [], [], [], 0
+
+    def judge() -> None:
+        b, r = loops(tokens)
+        best.extend(b)
+        runs.extend(r)
+        tokens.clear()
+
+    for t in text:
+        own = _TOKEN.findall(t) if t else []
+        if tokens and held + len(own) > TOKENS:
+            judge()
+            held = 0
+        tokens.append(own)
+        counts.append(len(own))
+        held += len(own)
+    judge()
     ngram = [dict(zip(("repeats", "n", "span", "example"), x, strict=True)) for x in best]
-    return pd.DataFrame({"token_count": [len(t) for t in tokens], "same_token_run": runs, "ngram": ngram, "compression": [compression_ratio(t) for t in text], "char_run": [char_run(t) for t in text]})
+    return pd.DataFrame({"token_count": counts, "same_token_run": runs, "ngram": ngram, "compression": [compression_ratio(t) for t in text], "char_run": [char_run(t) for t in text]})
+
+
+def _bounded_batches(spark: SparkSession) -> None:
+    """Batches hold whole texts, so they get few rows; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= ROWS:
+        spark.conf.set(key, str(ROWS))
 
 
 def analysed(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds token_count, char_count, same_token_run, ngram, compression, char_run and reasons."""
+    _bounded_batches(df.sparkSession)
     whole = F.coalesce(text, F.lit(""))
     df = df.withColumn("signs", signs_of(text)).select(*(f"`{c}`" for c in df.columns), "signs.*", F.length(whole).alias("char_count"))
     x, col = LIMITS, F.col
