@@ -1,14 +1,16 @@
 """Quality classifier by Bradley-Terry pairwise ranking.
 
-A document's score is linear in features of its whole text. Pairs of a preferred and another labelled document
-give the logistic loss of their feature differences, minimised by Newton steps. A quantile of the scores of the
-labelled documents, at the share that isn't preferred, is the threshold; a logistic curve that has `cut` there
-makes scores from 0 to 1.
+A document's score is linear in features of its whole text. All pairs of a preferred and another labelled document
+give the logistic loss of their feature differences, minimised by Newton steps; their mean weighs as much as `pairs`
+pairs against the ridge. A pair's loss depends on two scores only, so documents are summed, by label, at nodes a
+sixteenth apart, to the two nearest by distance, and pairs of nodes take the place of pairs of documents (error of a
+probability: some 0.0001; scores beyond 500 count as 500). A quantile of the scores of all labelled documents, at the
+share that isn't preferred, is the threshold; a logistic curve that has `cut` there makes scores from 0 to 1.
 
 Features: shares of byte classes and of pairs of neighbouring classes, mean word length, share of distinct
 words and of distinct lines, logarithm of the number of words. Null and empty texts have all features zero
-and get a score like any other. At most `most` labelled documents and `most_bytes` of text, chosen by hash, are
-learned from, one for each id; labels that are null or neither 0 nor 1 are left out. Without a pair to learn from,
+and get a score like any other. All labelled documents are learned from, one for each id, that of the least text
+hash; labels that are null or neither 0 nor 1 are left out, and of an id's labels the higher counts. Without a pair to learn from,
 every score is the threshold, which accepts.
 
 Rows that repeat get the same score, and so do texts that tie in all features. Texts of any length are read whole.
@@ -24,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, held_out, in_parts, labelled_texts, release, utf8
+from .common import bounded_batches, held_out, in_parts, release, utf8, written
 
-#: Labelled documents to learn from, and pairs of them.
-MOST_LABELLED, MOST_BYTES, PAIRS = 6000, 128_000_000, 20_000
+#: What all pairs together weigh; nodes of scores in a unit, and the largest score that they tell apart.
+PAIRS, NODES, FAR = 20_000, 16, 500
 CUT = 0.7
 CLASSES = 12
 N_FEATURES = CLASSES * CLASSES + CLASSES + 4
@@ -65,7 +67,8 @@ def features(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def fit(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, ridge: float = 1.0, seed: int = 11, cut: float = CUT) -> dict:
-    """Learns weights from pairs of rows of x that differ in y, the threshold and the curve's slope."""
+    """Weights from drawn pairs of rows of x that differ in y, the threshold and the curve's slope: what `train` does
+    with all pairs, for rows in memory. The queries don't use it."""
     mean, scale = x.mean(axis=0) if len(x) else np.zeros(N_FEATURES), x.std(axis=0) if len(x) else np.ones(N_FEATURES)
     scale = np.where(scale > 1e-6, scale, 1.0)
     model = {"mean": mean.astype(np.float64), "scale": scale.astype(np.float64), "w": np.zeros(x.shape[1]), "threshold": 0.0, "slope": 1.0, "cut": cut}
@@ -95,24 +98,134 @@ def apply(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model["slope"] * (s - model["threshold"]) + odds, -30, 30)))
 
 
-def _featured(docs: DataFrame) -> DataFrame:
+def _labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """y and features x of every labelled document."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_parts(batches):
             x = features(*utf8(part.column("text")))
             rows = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), N_FEATURES).cast(pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([part.column("h"), part.column("y"), rows], ["h", "y", "x"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("h"), rows], ["doc_id", "h", "x"])
+
+    known = labels.where(F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("y"))
+    known = known.where(F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.max("y").alias("y"))
+    # features are shorter than texts, so they are made before documents meet their labels
+    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(run, f"doc_id {kind}, h long, x array<float>")
+    return rows.join(known, "doc_id").groupBy("doc_id").agg(F.first("y").alias("y"), F.min_by("x", "h").alias("x")).select("y", "x")
+
+
+def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return batch.column("y").to_numpy(), batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1).astype(np.float64)
+
+
+def _sums(rows: DataFrame, of: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, and by key the sum over all rows of the vectors that `of` gives of y and x with their keys."""
+
+    def added(pairs: Iterator[tuple[list[int], np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for keys, vectors in pairs:
+            for k, v in zip(keys, vectors, strict=True):
+                sums[k] = sums[k] + v if k in sums else v.copy()
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["k", "v"])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = (of(*_rows(b)) for b in batches if b.num_rows)
+        return added((keys.tolist(), vectors) for keys, vectors in got)
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return added((b.column("k").to_pylist(), [np.frombuffer(v) for v in b.column("v").to_pylist()]) for b in batches)
+
+    got = rows.mapInArrow(each, "k long, v binary").repartition("k").mapInArrow(again, "k long, v binary").collect()
+    got = sorted((r.k, r.v) for r in got)
+    return np.array([k for k, _ in got], np.int64), np.stack([np.frombuffer(v) for _, v in got]) if got else np.zeros((0, 1))
+
+
+def _place(z: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return np.clip(z @ w, -FAR, FAR) * NODES
+
 
-    return docs.select("h", "text", "y").mapInArrow(run, "h long, y int, x array<float>")
+def _by_node(y: np.ndarray, z: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (2 * node + y), and of each how many documents and the sum of z, shared between the nodes beside a score."""
+    place = _place(z, w)
+    low = np.floor(place)
+    keys = np.concatenate([low, low + 1]).astype(np.int64) * 2 + np.tile(y, 2)
+    part = np.concatenate([1 - (place - low), place - low])
+    order = np.argsort(keys, kind="stable")
+    own, start = np.unique(keys[order], return_index=True)
+    rows = np.column_stack([np.ones(len(z)), z])[order % len(z)] * part[order, None]
+    return own, np.add.reduceat(rows, start, axis=0)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST_LABELLED, most_bytes: int = MOST_BYTES, **options) -> dict:
-    """Fits on a bounded number of labelled documents; labels is a frame of doc_id and the label, without held-out rows."""
+def _pair_sums(nodes: np.ndarray, others: np.ndarray, rows: np.ndarray, curve: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum over others of curve(node - other) * row, for each node."""
+    return np.concatenate([curve((nodes[k : k + 256, None] - others) / NODES) @ rows for k in range(0, len(nodes), 256)])
+
+
+def _kth(scores: DataFrame, k: int) -> float:
+    """The value of rank k (from 0) of the column s; cells that hold it are counted, ever smaller ones."""
+    while True:
+        low, high, n = scores.agg(F.min("s"), F.max("s"), F.count("s")).first()
+        if low == high:
+            return low
+        if n <= 10_000:
+            return sorted(r[0] for r in scores.collect())[k]
+        cell = F.least(F.floor((F.col("s") - low) / (high - low) * 4096), F.lit(4095))
+        for own, count in sorted(tuple(r) for r in scores.groupBy(cell.alias("cell")).count().collect()):
+            if k < count:
+                break
+            k -= count
+        scores = scores.where(cell == own)
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", pairs: int = PAIRS, ridge: float = 1.0, cut: float = CUT) -> dict:
+    """Fits on all labelled documents and all pairs of them; labels is a frame of doc_id and the label, without held-out rows."""
     bounded_batches(docs.sparkSession)
-    texts = labelled_texts(docs, labels, label, most, most_bytes)
-    got = _featured(texts).toPandas().sort_values("h")
-    release(texts)
-    x = np.stack(got["x"].to_numpy()).astype(np.float32) if len(got) else np.zeros((0, N_FEATURES), np.float32)
-    return fit(x, got["y"].to_numpy(np.int64), **options)
+    rows = written(_labelled(docs, labels, label), "quality-features")
+    keys, sums = _sums(rows, lambda y, x: (np.arange(2), np.stack([np.concatenate([[(y == c).sum()], x[y == c].sum(axis=0), (x[y == c] ** 2).sum(axis=0)]) for c in (0, 1)])))
+    model = {"mean": np.zeros(N_FEATURES), "scale": np.ones(N_FEATURES), "w": np.zeros(N_FEATURES), "threshold": 0.0, "slope": 1.0, "cut": cut}
+    bad, good = (int(n) for n in sums[:, 0]) if len(keys) else (0, 0)
+    if not bad or not good:
+        release(rows)
+        return model
+    first, second = sums[:, 1 : N_FEATURES + 1], sums[:, N_FEATURES + 1 :]
+    mean = first.sum(axis=0) / (good + bad)
+    scale = np.sqrt(np.maximum(second.sum(axis=0) / (good + bad) - mean**2, 0))
+    scale = np.where(scale > 1e-6, scale, 1.0)
+    w, weight = np.zeros(N_FEATURES), pairs / good / bad
+    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    slope = lambda x: sigmoid(x) * sigmoid(-x)
+    for _ in range(12):
+        keys, sums = _sums(rows, lambda y, x, w=w: _by_node(y, (x - mean) / scale, w))
+        (b, g), (at_b, at_g) = (sums[keys % 2 == c] for c in (0, 1)), (keys[keys % 2 == c] // 2 for c in (0, 1))
+        lost = _pair_sums(at_g, at_b, b[:, 0], lambda x: sigmoid(-x)) @ g[:, 1:] - _pair_sums(at_b, at_g, g[:, 0], sigmoid) @ b[:, 1:]
+        steep = [(at_b, _pair_sums(at_b, at_g, g[:, 0], slope)), (at_g, _pair_sums(at_g, at_b, b[:, 0], slope))]
+        crossed = g[:, 1:].T @ _pair_sums(at_g, at_b, b[:, 1:], slope)
+
+        def squares(y: np.ndarray, x: np.ndarray, w: np.ndarray = w, steep: list = steep) -> tuple[np.ndarray, np.ndarray]:
+            z = (x - mean) / scale
+            place = _place(z, w)
+            d = np.where(y == 1, np.interp(place, *steep[1]), np.interp(place, *steep[0]))
+            return np.zeros(1, np.int64), ((z * d[:, None]).T @ z).reshape(1, -1)
+
+        own = _sums(rows, squares)[1].reshape(N_FEATURES, N_FEATURES)
+        step = np.linalg.solve(weight * (own - crossed - crossed.T) + ridge * np.eye(N_FEATURES), weight * lost - ridge * w)
+        w = w + step
+        if np.abs(step).max() < 1e-4:
+            break
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array((_rows(batch)[1] - mean) / scale @ w)], ["s"])
+
+    scores = written(rows.mapInArrow(score, "s double"), "quality-scores")
+    place = (good + bad - 1) * bad / (good + bad)
+    k = int(place)
+    low, high = _kth(scores, k), _kth(scores, min(k + 1, good + bad - 1))
+    gap = float((first[1] / good - first[0] / bad) / scale @ w)
+    release(rows, scores)
+    return model | {"mean": mean, "scale": scale, "w": w, "threshold": low + (high - low) * (place - k), "slope": 4 / max(gap, 1e-3)}
 
 
 def scored(docs: DataFrame, model: dict, keep: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from folioloom.llm import attention_lm
+from folioloom.llm import attention_lm, quality, toxicity
 from folioloom.llm.queries import VOCABULARY
 
 
@@ -48,3 +48,28 @@ def test_model_of_many_tasks(spark):
     start = attention_lm.begun(cut, windows, weight, 3)
     mean = lambda m: attention_lm.score_tokens(m, cut, pairs).mean()
     assert mean(model) > mean(start) + 0.2
+
+
+def test_quality_learns_from_all_labels_and_pairs(spark):
+    """More labelled documents than were once learned from: the gradient of the loss of all their pairs is zero."""
+    rng = np.random.default_rng(6)
+    y = rng.integers(0, 2, 7000)
+    texts = [" ".join(rng.choice(["Ab,", "cd.", "EF!", "12", "x|y", "\n"], 12, p=np.array([3 + 2 * k, 3, 2, 1, 2 - k, 1]) / (12 + k))) for k in y]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(k)) for i, k in enumerate(y)], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    x = quality.features(*toxicity.joined([t.encode() for t in texts])).astype(np.float64)
+    assert np.allclose(model["mean"], x.mean(axis=0), atol=1e-6)
+    z = (x - model["mean"]) / model["scale"]
+    s = z @ model["w"]
+    good, bad = y == 1, y == 0
+    lost = 1 / (1 + np.exp(s[good][:, None] - s[bad]))
+    gradient = quality.PAIRS / good.sum() / bad.sum() * (lost.sum(axis=1) @ z[good] - lost.sum(axis=0) @ z[bad]) - model["w"]
+    assert np.abs(gradient).max() < 1 and np.abs(model["w"]).max() > 0.1
+    assert np.isclose(model["threshold"], np.quantile(s, bad.mean())) and np.isclose(model["slope"], 4 / (s[good].mean() - s[bad].mean()))
+
+
+def test_a_rank_among_many(spark):
+    values = np.concatenate([np.random.default_rng(7).normal(size=25_000), np.full(15_000, 0.25), [1e9]])
+    df = spark.createDataFrame([(float(v),) for v in values], "s double")
+    assert [quality._kth(df, k) for k in (0, 12_000, 16_000, 40_000)] == np.sort(values)[[0, 12_000, 16_000, 40_000]].tolist()
